@@ -46,7 +46,7 @@ def prepare(events: DataFrame, root: str, rollups=ROLLUPS) -> PreparedStore:
 
 
 _CACHE: dict[tuple[str, str], PreparedStore] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def prepared_for(spark: SparkSession, sf_dir: str) -> PreparedStore:
@@ -60,3 +60,66 @@ def prepared_for(spark: SparkSession, sf_dir: str) -> PreparedStore:
             root = scratch_path(spark, "store")
             _CACHE[key] = prepare(load_ad_events(spark, sf_dir), root)
         return _CACHE[key]
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, build):
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+    with _LOCK:
+        if key not in _FILES:
+            _FILES[key] = build()
+        return _FILES[key]
+
+
+_FILES: dict[tuple[str, str, str], str] = {}
+
+# Parts written per fixture folder (a few, so multi-part reading is real).
+FIXTURE_PARTS = 4
+
+
+def csv_parts_for(spark: SparkSession, sf_dir: str, mixed_headers: bool = True) -> str:
+    """Folder of ``events_part_*.csv`` rendered from ``sf_dir``'s events.
+
+    With ``mixed_headers`` every odd part lists its columns in reverse order.
+    """
+    from adevents.plans.adapter import load_ad_events, raw_events
+    from adevents.sources.csv_parts import write_event_parts
+
+    def build() -> str:
+        prepare_session(spark)
+        folder = scratch_path(spark, "csv-parts")
+        raw = raw_events(load_ad_events(spark, sf_dir))
+        write_event_parts(raw, folder, parts=FIXTURE_PARTS, mixed_headers=mixed_headers)
+        return folder
+
+    return _once(spark, sf_dir, f"csv-{mixed_headers}", build)
+
+
+def zip_parts_for(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of zip archives (one part member each, plus a __MACOSX copy)."""
+    from adevents.plans.adapter import load_ad_events, raw_events
+    from adevents.sources.zip_parts import write_event_zips
+
+    def build() -> str:
+        prepare_session(spark)
+        folder = scratch_path(spark, "zip-parts")
+        raw = raw_events(load_ad_events(spark, sf_dir)).repartition(FIXTURE_PARTS)
+        write_event_zips(raw, folder)
+        return folder
+
+    return _once(spark, sf_dir, "zip", build)
+
+
+def ingested_store_for(spark: SparkSession, sf_dir: str) -> str:
+    """Store built by streaming the CSV parts in one part per trigger."""
+    from adevents.streaming.ingest import catch_up
+
+    def build() -> str:
+        # the streaming reader assigns columns by position (and verifies each
+        # header), so it is fed parts in the canonical column order
+        folder = csv_parts_for(spark, sf_dir, mixed_headers=False)
+        root = scratch_path(spark, "stream")
+        store = _join(root, "events")
+        catch_up(spark, folder, store, _join(root, "checkpoint"), max_files=1)
+        return store
+
+    return _once(spark, sf_dir, "stream", build)

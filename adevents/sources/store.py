@@ -59,9 +59,9 @@ def register_events(df: DataFrame, name: str = "events") -> DataFrame:
 
 def store_inventory(store: DataFrame, with_files: bool = True) -> DataFrame:
     """Rows (and files) per ``(type, day)`` partition of a store scan."""
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
     if with_files:
-        aggs.append(F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+        aggs.append(F.count_distinct(F.col("_metadata.file_path")).alias("n_files"))
     return store.groupBy(*STORE_PARTITIONS).agg(*aggs)
 
 
