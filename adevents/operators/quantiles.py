@@ -104,7 +104,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], col: str, name: str) -> Dat
     sel = hist.select(*keys, _D, _C, _CUM, targets.alias("__tr")).select(
         *keys, _D, _C, _CUM, F.col("__tr." + _T).alias(_T), F.col("__tr." + _R).alias(_R)
     )
-    sel = _pick(sel).select(*keys, _T, F.col(_D).alias(_P), _R)
+    sel = _pick(sel).select(*keys, _T, F.col(_D).alias(_P), (F.col(_R) - (F.col(_CUM) - F.col(_C))).alias(_R))
 
     for level in (1, 2, 3):
         cand = vals.withColumn(_P, _prefix(level))

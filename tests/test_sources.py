@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import os
+import zipfile
+
+import pytest
+
+from adevents.functions.typing import type_events
+from adevents.plans.adapter import raw_events
+from adevents.schema import RAW_COLUMNS
+from adevents.sources.csv_parts import read_event_parts, write_event_parts
+from adevents.sources.store import read_store
+from adevents.sources.zip_parts import read_event_zip, write_event_zips
+from adevents.streaming.ingest import catch_up
+
+HEADER = ",".join(RAW_COLUMNS)
+
+
+def _write(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write(text)
+
+
+def test_parts_are_read_by_header_name(spark, scratch):
+    _write(scratch, "events_part_0.csv", HEADER + "\n1717200000000,impression,a1,7,12,0.5,99,,JP\n")
+    rev = list(reversed(RAW_COLUMNS))
+    _write(scratch, "events_part_1.csv", ",".join(rev) + "\nNA,,99,0.25,12,8,a2,impression,1717200000000\n")
+    _write(scratch, "events_part_2.csv", HEADER + "\n")  # header only
+    _write(scratch, "events_part_3.csv", "")  # empty file
+    _write(scratch, "other.csv", HEADER + "\n1,x,zz,1,1,abc,1,,US\n")  # not a part
+    rows = {r.auction_id: r for r in read_event_parts(spark, scratch).collect()}
+    assert set(rows) == {"a1", "a2"}
+    assert rows["a2"].country == "NA" and rows["a2"].advertiser_id == "8" and rows["a2"].bid_price == "0.25"
+    assert rows["a1"].total_price is None
+
+
+def test_missing_columns_are_null(spark, scratch):
+    _write(scratch, "events_part_0.csv", "ts,type,auction_id\n1717200000000,impression,a1\n")
+    r = read_event_parts(spark, scratch).collect()[0]
+    assert r.auction_id == "a1" and r.country is None and r.bid_price is None
+
+
+def test_no_part_is_an_error(spark, scratch):
+    _write(scratch, "notes.txt", "nothing here")
+    with pytest.raises(FileNotFoundError):
+        read_event_parts(spark, scratch)
+
+
+def test_csv_roundtrip_of_events(spark, events, scratch):
+    write_event_parts(raw_events(events), scratch, parts=3, mixed_headers=True)
+    names = sorted(os.listdir(scratch))
+    assert names == ["events_part_00000.csv", "events_part_00001.csv", "events_part_00002.csv"]
+    back = type_events(read_event_parts(spark, scratch))
+    assert back.count() == events.count()
+    assert back.exceptAll(type_events(raw_events(events))).count() == 0
+
+
+def test_zip_skips_other_members(spark, events, scratch):
+    write_event_zips(raw_events(events).repartition(2), scratch, junk_member=True)
+    with zipfile.ZipFile(os.path.join(scratch, sorted(os.listdir(scratch))[0])) as zf:
+        assert any(n.startswith("__MACOSX/") for n in zf.namelist())
+    back = type_events(read_event_zip(spark, scratch))  # the junk rows would fail the strict price
+    assert back.count() == events.count()
+    assert back.exceptAll(type_events(raw_events(events))).count() == 0
+
+
+def test_single_archive_with_folders(spark, scratch):
+    path = os.path.join(scratch, "data.zip")
+    os.makedirs(scratch, exist_ok=True)
+    with zipfile.ZipFile(path, "w") as zf:
+        zf.writestr("data/events_part_0.csv", HEADER + "\n1717200000000,impression,a1,7,12,0.5,99,,JP\n")
+        zf.writestr("data/readme_events_part.txt", "x")
+        zf.writestr("__MACOSX/data/events_part_0.csv", "garbage")
+    rows = read_event_zip(spark, path).collect()
+    assert [r.auction_id for r in rows] == ["a1"]
+
+
+def test_stream_ingests_each_part_once(spark, events, scratch):
+    parts, store, ckpt = scratch + "/parts", scratch + "/store", scratch + "/ckpt"
+    write_event_parts(raw_events(events), parts, parts=3)
+    catch_up(spark, parts, store, ckpt, max_files=1)
+    assert read_store(spark, store).count() == events.count()
+    # a second run over the same parts appends nothing
+    catch_up(spark, parts, store, ckpt, max_files=1)
+    assert read_store(spark, store).count() == events.count()
+    # a newly arrived part is picked up by the next run
+    _write(parts, "events_part_99999.csv", HEADER + "\n1717200000000,impression,new,7,12,0.5,99,,JP\n")
+    catch_up(spark, parts, store, ckpt, max_files=1)
+    assert read_store(spark, store).count() == events.count() + 1
