@@ -41,9 +41,19 @@ def rollup_table(spark: SparkSession, sf_dir: str, rollup: Rollup) -> DataFrame:
     return prepared_for(spark, sf_dir).rollup(spark, rollup)
 
 
+_CSV_VIEWS: dict = {}
+
+
 def csv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed events read lazily from the CSV parts (the unprepared path)."""
-    return type_events(read_event_parts(spark, csv_parts_for(spark, sf_dir)))
+    """Typed events over the CSV parts (the unprepared path).
+
+    The lazy frame is defined once per session; every report on it parses
+    the CSV text again, as a view over raw files does.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _CSV_VIEWS:
+        _CSV_VIEWS[key] = type_events(read_event_parts(spark, csv_parts_for(spark, sf_dir)))
+    return _CSV_VIEWS[key]
 
 
 def _digits(name: str) -> dict[str, int]:

@@ -19,18 +19,36 @@ from adevents.sources.store import read_store, write_store
 
 @dataclass
 class PreparedStore:
+    """Paths of a prepared store, and its relations once they are opened.
+
+    A prepared store is immutable, so each relation (its schema and file
+    listing, never its rows) is opened once per session and reused by
+    every report -- the way a view is defined once and queried many
+    times.  Call :meth:`refresh` after changing the files.
+    """
+
     root: str
     rollup_paths: dict[str, str] = field(default_factory=dict)
+    _frames: dict = field(default_factory=dict, repr=False)
 
     @property
     def events_path(self) -> str:
         return _join(self.root, "events")
 
+    def _open(self, spark: SparkSession, name: str, make) -> DataFrame:
+        key = (spark.sparkContext.applicationId, name)
+        if key not in self._frames:
+            self._frames[key] = make()
+        return self._frames[key]
+
     def events(self, spark: SparkSession) -> DataFrame:
-        return read_store(spark, self.events_path)
+        return self._open(spark, "events", lambda: read_store(spark, self.events_path))
 
     def rollup(self, spark: SparkSession, rollup: Rollup) -> DataFrame:
-        return read_rollup(spark, rollup, self.rollup_paths[rollup.name])
+        return self._open(spark, rollup.name, lambda: read_rollup(spark, rollup, self.rollup_paths[rollup.name]))
+
+    def refresh(self) -> None:
+        self._frames.clear()
 
 
 def prepare(events: DataFrame, root: str, rollups=ROLLUPS) -> PreparedStore:
