@@ -31,10 +31,13 @@ def compare_results(a: DataFrame, b: DataFrame, digits: int = 6) -> DataFrame:
     """One row: ``rows_a, rows_b, only_a, only_b, same_header, matched``."""
     same_header = a.columns == b.columns
     if not same_header:
-        ca = normalize(a, digits).agg(F.count(F.lit(1)).alias("rows_a"))
-        cb = normalize(b, digits).agg(F.count(F.lit(1)).alias("rows_b"))
-        k = "__one"
-        counts = ca.withColumn(k, F.lit(1)).join(cb.withColumn(k, F.lit(1)), k).drop(k)
+        # different headers: only the distinct-row counts are comparable
+        side_a = normalize(a, digits).select(F.lit(1).alias(_SIDE))
+        side_b = normalize(b, digits).select(F.lit(2).alias(_SIDE))
+        counts = side_a.unionByName(side_b).agg(
+            F.count(F.when(F.col(_SIDE) == 1, 1)).alias("rows_a"),
+            F.count(F.when(F.col(_SIDE) == 2, 1)).alias("rows_b"),
+        )
         return counts.select(
             "rows_a",
             "rows_b",

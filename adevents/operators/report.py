@@ -133,16 +133,36 @@ def _direction(c: Column, direction: str) -> Column:
     return c.desc_nulls_last() if direction == "desc" else c.asc_nulls_last()
 
 
-def finish(result: DataFrame, s: Spec, out_names: Sequence[str], hidden: Sequence[str] = ()) -> DataFrame:
-    """Apply order_by and limit, then drop helper columns."""
+def finish(
+    result: DataFrame,
+    s: Spec,
+    out_names: Sequence[str],
+    hidden: Sequence[str] = (),
+    unique_keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """Apply order_by and limit, then drop helper columns.
+
+    Rows that tie on the order keys have no defined order, so trailing
+    tie-breakers are added: the group keys (unique per output row) or, for
+    plain projections, a hash of the row.  A global sort then range-
+    partitions on a key with few ties, so a value shared by a third of
+    all rows is still spread over many sort tasks, and results with a
+    limit are deterministic.
+    """
     if s.order_by:
         keys = []
+        used = []
         for o in s.order_by:
             key = _order_key(s, o, out_names)
             name = key.name if isinstance(key, AggItem) else key
             if name not in result.columns:
                 raise ValueError(f"cannot order by {o['col']!r}: not an output, key or aggregate")
             keys.append(_direction(F.col(name), o["dir"]))
+            used.append(name)
+        if unique_keys is not None:
+            keys.extend(F.col(k).asc_nulls_last() for k in unique_keys if k not in used and k in result.columns)
+        else:
+            keys.append(F.xxhash64(*[F.col(c) for c in out_names]).asc())
         result = result.orderBy(*keys)
     if hidden:
         result = result.select(*out_names)
@@ -190,7 +210,7 @@ def report(df: DataFrame, select=None, where=None, group_by=None, order_by=None,
             hidden.append(key)
 
     result = aggregate(filtered, keys, aggs)
-    return finish(result.select(*out_names, *hidden), s, out_names, hidden)
+    return finish(result.select(*out_names, *hidden), s, out_names, hidden, unique_keys=keys)
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[AggItem]) -> DataFrame:
@@ -218,6 +238,12 @@ def aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[AggItem]) -> Da
 
 
 def _attach_scalar(one_row: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Join two single-row frames without a cross join (constant key)."""
-    k = "__one"
-    return one_row.withColumn(k, F.lit(1)).join(scalar.withColumn(k, F.lit(1)), k).drop(k)
+    """Put the columns of two single-row frames side by side.
+
+    The rows are unioned (each column is set on one of the two rows) and
+    folded by a global aggregate -- no join, so nothing can turn into a
+    cartesian product.
+    """
+    cols = one_row.columns + [c for c in scalar.columns if c not in one_row.columns]
+    both = one_row.unionByName(scalar, allowMissingColumns=True)
+    return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

@@ -190,4 +190,4 @@ def rollup_report(rollup: Rollup, table: DataFrame, select=None, where=None, gro
         result = filtered.groupBy(*keys).agg(*cols)
     else:
         result = filtered.agg(*cols)
-    return finish(result.select(*out_names, *hidden), s, out_names, hidden)
+    return finish(result.select(*out_names, *hidden), s, out_names, hidden, unique_keys=keys)

@@ -139,3 +139,20 @@ def test_exact_median_property(spark, rows):
         vals.sort()
         lo, hi = vals[(len(vals) - 1) // 2], vals[len(vals) // 2]
         assert got[key] == lo * 0.5 + hi * 0.5
+
+
+def test_global_median_with_other_aggregates(events):
+    r = report(events, select=["MEDIAN(bid_price)", "SUM(bid_price)", "COUNT(*)"]).collect()
+    assert len(r) == 1
+    pdf = events.select("bid_price").toPandas()
+    assert r[0].median_bid_price == pytest.approx(pdf["bid_price"].median())
+    assert r[0].sum_bid_price == pytest.approx(pdf["bid_price"].sum())
+    assert r[0].count_star == len(pdf)
+
+
+def test_sort_has_tie_breakers(events):
+    grouped = report(events, select=["type", "COUNT(*)"], group_by=["type"], order_by=[{"col": "COUNT(*)", "dir": "desc"}])
+    plan = grouped._jdf.queryExecution().optimizedPlan().toString()
+    assert "type#" in plan.split("Sort [")[1].split("]")[0]
+    plain = report(events, select=["type", "auction_id"], order_by=[{"col": "type"}])
+    assert "xxhash64" in plain._jdf.queryExecution().optimizedPlan().toString()
