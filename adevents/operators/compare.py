@@ -66,3 +66,23 @@ def compare_results(a: DataFrame, b: DataFrame, digits: int = 6) -> DataFrame:
         F.lit(True).alias("same_header"),
         ((F.col("only_a") == 0) & (F.col("only_b") == 0)).alias("matched"),
     )
+
+
+def _text_normalized(df: DataFrame, digits: int) -> DataFrame:
+    """Text values that parse as numbers are rounded, as a text comparer does."""
+    cols = []
+    for c in df.columns:
+        num = F.col(c).try_cast("double")
+        cols.append(F.when(num.isNotNull(), F.round(num, digits).cast("string")).otherwise(F.col(c)).alias(c))
+    return df.select(*cols)
+
+
+def compare_result_files(spark, path_a: str, path_b: str, digits: int = 6) -> DataFrame:
+    """Compare two CSV results (header row, any row order) as sets of rows.
+
+    Values are read as text; every value that parses as a number is rounded
+    to ``digits`` places on both sides before the comparison.
+    """
+    a = spark.read.option("header", True).option("inferSchema", False).csv(path_a)
+    b = spark.read.option("header", True).option("inferSchema", False).csv(path_b)
+    return compare_results(_text_normalized(a, digits), _text_normalized(b, digits), digits)

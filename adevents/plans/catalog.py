@@ -327,7 +327,19 @@ def queries() -> dict:
     )
     for key, where in FILTERS.items():
         out[key] = _filtered(where)
-    return out
+    return {k: _with_session(fn) for k, fn in out.items()}
+
+
+def _with_session(fn):
+    """Apply the session settings (UTC buckets, checkpoint folder) first."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare_session(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

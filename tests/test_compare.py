@@ -28,3 +28,24 @@ def test_empty_sides(spark):
     a = spark.createDataFrame([], "k string")
     r = compare_results(a, a).collect()[0]
     assert (r.rows_a, r.rows_b, r.matched) == (0, 0, True)
+
+
+def test_compare_written_results(spark, events, scratch):
+    from adevents.operators.compare import compare_result_files
+    from adevents.plans.answer import answer, write_reports
+    from adevents.plans.prepare import prepare
+    from adevents.plans.reports import SPECS
+
+    store = prepare(events, scratch + "/store")
+    sources = write_reports(spark, store, SPECS, scratch + "/out")
+    assert sources == {"q1": "revenue", "q2": "revenue", "q3": "purchases", "q4": "counts", "q5": "revenue"}
+    for name, spec in SPECS.items():
+        from adevents.operators.report import report
+        from adevents.sources.results import write_result_csv
+
+        write_result_csv(report(store.events(spark), **spec), f"{scratch}/base/{name}")
+        r = compare_result_files(spark, f"{scratch}/base/{name}", f"{scratch}/out/{name}").collect()[0]
+        assert r.matched and r.same_header and r.rows_a == r.rows_b > 0, name
+    # a spec no summary table covers falls back to the events
+    _, source = answer(spark, store, select=["country", "MEDIAN(bid_price)"], group_by=["country"])
+    assert source == "events"
