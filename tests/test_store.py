@@ -53,3 +53,22 @@ def test_reload_one_day_replaces_only_that_day(spark, events, scratch):
     day = events.where("day = '2024-01-02'")
     write_store(day, scratch, replace="partitions")
     assert read_store(spark, scratch).count() == events.count()
+
+
+def test_named_view_answers_sql(spark, events, scratch):
+    from adevents.operators.compare import compare_results
+    from adevents.sources.store import register_events
+
+    write_store(events, scratch)
+    register_events(read_store(spark, scratch), "events_view")
+    via_sql = spark.sql("SELECT day, SUM(bid_price) AS sum_bid_price FROM events_view WHERE type = 'impression' GROUP BY day")
+    via_report = report(read_store(spark, scratch), select=["day", "SUM(bid_price)"], where=[{"col": "type", "op": "eq", "val": "impression"}], group_by=["day"])
+    assert compare_results(via_sql, via_report).collect()[0].matched
+
+
+def test_missing_store_raises(spark, scratch):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        read_store(spark, scratch + "/nowhere").count()
