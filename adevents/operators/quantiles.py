@@ -138,3 +138,29 @@ def exact_median(df: DataFrame, keys: Sequence[str], col: str, name: str) -> Dat
 def _pick(hist: DataFrame) -> DataFrame:
     """Rows whose bucket holds the target rank: cum - count < rank <= cum."""
     return hist.where((F.col(_CUM) - F.col(_C) < F.col(_R)) & (F.col(_R) <= F.col(_CUM)))
+
+
+_COL = "__col"
+
+
+def exact_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[tuple[str, str]]) -> DataFrame:
+    """Medians of several columns with one radix selection.
+
+    ``cols`` holds ``(source column, output name)`` pairs.  The columns are
+    stacked into ``(keys, column index, value)`` rows, the selection runs
+    once with the column index as an extra group key, and the results are
+    pivoted back to one row per group -- four passes in total instead of
+    four per column.
+    """
+    keys = list(keys)
+    if len(cols) == 1:
+        return exact_median(df, keys, cols[0][0], cols[0][1])
+    stacked = df.select(
+        *keys,
+        F.explode(
+            F.array(*[F.struct(F.lit(i).alias(_COL), F.col(c).cast("double").alias(_X)) for i, (c, _) in enumerate(cols)])
+        ).alias("__cv"),
+    ).select(*keys, F.col("__cv." + _COL).alias(_COL), F.col("__cv." + _X).alias(_X))
+    med = exact_median(stacked, keys + [_COL], _X, "__m")
+    pivot = [F.max(F.when(F.col(_COL) == i, F.col("__m"))).alias(name) for i, (_, name) in enumerate(cols)]
+    return med.groupBy(*keys).agg(*pivot) if keys else med.agg(*pivot)

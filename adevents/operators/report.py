@@ -215,7 +215,7 @@ def report(df: DataFrame, select=None, where=None, group_by=None, order_by=None,
 
 def aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[AggItem]) -> DataFrame:
     """Group ``df`` by ``keys`` and compute ``aggs`` (distinct groups if none)."""
-    from adevents.operators.quantiles import exact_median
+    from adevents.operators.quantiles import exact_medians
 
     plain = [aggregate_column(a) for a in aggs if not a.planned]
     planned = [a for a in aggs if a.planned]
@@ -225,16 +225,15 @@ def aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[AggItem]) -> Da
         result = df.select(*keys).distinct()
     else:
         result = None
-    for a in planned:
-        med = exact_median(df, keys, a.col, a.name)
-        if result is None:
-            result = med
-        elif keys:
-            cond = [result[k].eqNullSafe(med[k]) for k in keys]
-            result = result.join(med, cond, "left").select(result["*"], med[a.name])
-        else:
-            result = _attach_scalar(result, med)
-    return result
+    if not planned:
+        return result
+    med = exact_medians(df, keys, [(a.col, a.name) for a in planned])
+    if result is None:
+        return med
+    if not keys:
+        return _attach_scalar(result, med)
+    cond = [result[k].eqNullSafe(med[k]) for k in keys]
+    return result.join(med, cond, "left").select(result["*"], *[med[a.name] for a in planned])
 
 
 def _attach_scalar(one_row: DataFrame, scalar: DataFrame) -> DataFrame:

@@ -73,24 +73,20 @@ def read_event_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB)
     Raises ``FileNotFoundError`` when no part exists; header-only and empty
     parts contribute no rows.
     """
-    layouts = (
-        part_headers(spark, folder, pattern)
-        .where(F.col("header").isNotNull())
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()
-    )
+    headers = part_headers(spark, folder, pattern).where(F.col("header").isNotNull())
+    # distinct header layouts only (tiny); paths are fetched only if they differ
+    layouts = [r.header for r in headers.select("header").distinct().collect()]
     if not layouts:
         if list_parts(spark, folder, pattern).isEmpty():
             raise FileNotFoundError(f"no {pattern} in {folder}")
         return spark.createDataFrame([], RAW_SCHEMA)
-    unknown_only = [r.header for r in layouts if not set(r.header.split("\x1f")) & set(RAW_COLUMNS)]
+    unknown_only = [h for h in layouts if not set(h.split("\x1f")) & set(RAW_COLUMNS)]
     if unknown_only:
         raise ValueError(f"part headers without any event column: {unknown_only[:3]}")
     if len(layouts) == 1:
-        names = layouts[0].header.split("\x1f")
-        return _scan(spark, folder, names, {"pathGlobFilter": pattern})
-    scans = [_scan(spark, list(r.paths), r.header.split("\x1f"), {}) for r in layouts]
+        return _scan(spark, folder, layouts[0].split("\x1f"), {"pathGlobFilter": pattern})
+    groups = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    scans = [_scan(spark, list(r.paths), r.header.split("\x1f"), {}) for r in groups]
     return reduce(lambda a, b: a.unionByName(b), scans)
 
 

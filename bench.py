@@ -41,7 +41,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(
         f"local[{cpus}]",
-        spark__sql__shuffle__partitions=str(max(8, int(cpus) * 2)),
+        spark__sql__shuffle__partitions=str(int(cpus)),
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -156,3 +156,16 @@ def test_sort_has_tie_breakers(events):
     assert "type#" in plan.split("Sort [")[1].split("]")[0]
     plain = report(events, select=["type", "auction_id"], order_by=[{"col": "type"}])
     assert "xxhash64" in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_several_medians_share_one_selection(events):
+    r = report(events, select=["country", "MEDIAN(bid_price)", "MEDIAN(total_price)", "MEDIAN(advertiser_id)"], group_by=["country"])
+    plan = r._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") <= 5  # one selection (5 windows), not one per column
+    pdf = events.select("country", "bid_price", "total_price", "advertiser_id").toPandas()
+    want = pdf.groupby("country", dropna=False).median()
+    for row in r.collect():
+        exp = want.loc[row.country] if row.country is not None else want[want.index.isna()].iloc[0]
+        for col in ("bid_price", "total_price", "advertiser_id"):
+            got = getattr(row, f"median_{col}")
+            assert (got is None and np.isnan(exp[col])) or got == pytest.approx(exp[col])
