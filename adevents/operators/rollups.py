@@ -83,8 +83,12 @@ def build_rollup(events: DataFrame, rollup: Rollup) -> DataFrame:
     return df.groupBy(*rollup.dims).agg(*aggs)
 
 
-def write_rollup(table: DataFrame, rollup: Rollup, path: str) -> str:
-    """Write a rollup as Parquet; partitioned by its ``partition_by`` dims."""
+def write_rollup(table: DataFrame, rollup: Rollup, path: str, only_present_partitions: bool = False) -> str:
+    """Write a rollup as Parquet; partitioned by its ``partition_by`` dims.
+
+    ``only_present_partitions`` replaces just the partitions present in
+    ``table`` (dynamic partition overwrite) and keeps the others.
+    """
     writer = table
     if rollup.partition_by:
         # One shuffle on the partition dims keeps files per directory few;
@@ -95,6 +99,10 @@ def write_rollup(table: DataFrame, rollup: Rollup, path: str) -> str:
     w = writer.write.mode("overwrite").option("compression", "zstd")
     if rollup.partition_by:
         w = w.partitionBy(*rollup.partition_by)
+        if only_present_partitions:
+            w = w.option("partitionOverwriteMode", "dynamic")
+    elif only_present_partitions:
+        raise ValueError(f"{rollup.name} is not partitioned; rebuild it whole")
     w.parquet(path)
     return path
 

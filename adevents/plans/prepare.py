@@ -63,6 +63,30 @@ def prepare(events: DataFrame, root: str, rollups=ROLLUPS) -> PreparedStore:
     return prepared
 
 
+def refresh_rollups(spark: SparkSession, prepared: PreparedStore, days=None, rollups=ROLLUPS) -> PreparedStore:
+    """Rebuild the summary tables after the store changed.
+
+    With ``days`` given, a rollup partitioned by ``day`` is recomputed for
+    those days only (the whole day is re-read from the store and its
+    partitions replaced; stored sums are never incremented in place).
+    Rollups without a ``day`` partition are rebuilt from the whole store.
+    """
+    from adevents.functions.predicates import apply_filters
+
+    prepared.refresh()
+    store = prepared.events(spark)
+    for r in rollups:
+        path = prepared.rollup_paths.get(r.name) or _join(prepared.root, f"agg_{r.name}")
+        if days is not None and "day" in r.partition_by:
+            changed = apply_filters(store, [{"col": "day", "op": "in", "val": list(days)}])
+            write_rollup(build_rollup(changed, r), r, path, only_present_partitions=True)
+        else:
+            write_rollup(build_rollup(store, r), r, path)
+        prepared.rollup_paths[r.name] = path
+    prepared.refresh()
+    return prepared
+
+
 _CACHE: dict[tuple[str, str], PreparedStore] = {}
 _LOCK = threading.RLock()
 

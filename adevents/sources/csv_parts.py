@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adevents.schema import PART_GLOB, RAW_COLUMNS, RAW_SCHEMA
-from adevents.sources.files import open_filesystem
+from adevents.sources.files import attempt_suffix, open_filesystem, publish
 
 _FIRST_LINE_BYTES = 1 << 16
 
@@ -109,7 +109,8 @@ def _part_writer(folder: str, mixed_headers: bool):
                     if mixed_headers and pid % 2 == 1:
                         order = order[::-1]
                     table_schema = pa.schema([(c, pa.string()) for c in order])
-                    out = filesystem.open_output_stream(f"{root}/{name}")
+                    tmp = f"{root}/{name}{attempt_suffix()}"
+                    out = filesystem.open_output_stream(tmp)
                     writer = pacsv.CSVWriter(out, table_schema, write_options=pacsv.WriteOptions(quoting_style="needed"))
                 batch = pa.RecordBatch.from_pandas(pdf[order], schema=table_schema, preserve_index=False)
                 writer.write_batch(batch)
@@ -120,6 +121,7 @@ def _part_writer(folder: str, mixed_headers: bool):
             if out is not None:
                 out.close()
         if name is not None:
+            publish(filesystem, tmp, f"{root}/{name}")
             yield pd.DataFrame({"file": [name], "rows": [rows]})
 
     return write

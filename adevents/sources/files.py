@@ -26,3 +26,19 @@ def is_part_name(name: str, pattern: str) -> bool:
     """Base name matches the part pattern and no path segment is __MACOSX."""
     parts = name.replace("\\", "/").split("/")
     return "__MACOSX" not in parts and fnmatch.fnmatchcase(posixpath.basename(name), pattern)
+
+
+def attempt_suffix() -> str:
+    """A per-task-attempt suffix for temporary output names."""
+    from pyspark import TaskContext
+
+    ctx = TaskContext.get()
+    if ctx is None:
+        return ".tmp"
+    return f".attempt-{ctx.stageId()}-{ctx.attemptNumber()}-{ctx.taskAttemptId()}.tmp"
+
+
+def publish(filesystem, tmp: str, final: str) -> None:
+    """Move a finished temporary file to its final name (replacing a
+    previous attempt's file), so readers never see a half-written part."""
+    filesystem.move(tmp, final)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from adevents.schema import PART_GLOB, RAW_COLUMNS
-from adevents.sources.files import is_part_name, open_filesystem
+from adevents.sources.files import attempt_suffix, is_part_name, open_filesystem, publish
 
 FORMAT = "adevents_zip"
 _BATCH_BYTES = 8 << 20
@@ -138,7 +138,8 @@ def _zip_writer(folder: str, junk_member: bool):
                 if stream is None:
                     pid = int(pdf["__pid"].iloc[0])
                     name = f"events_{pid:05d}.zip"
-                    out = filesystem.open_output_stream(f"{root}/{name}")
+                    tmp = f"{root}/{name}{attempt_suffix()}"
+                    out = filesystem.open_output_stream(tmp)
                     zf = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED)
                     stream = zf.open(f"events_part_{pid:05d}.csv", "w", force_zip64=True)
                 stream.write(text.encode("utf-8"))
@@ -159,6 +160,7 @@ def _zip_writer(folder: str, junk_member: bool):
             if out is not None:
                 out.close()
         if name is not None:
+            publish(filesystem, tmp, f"{root}/{name}")
             yield pd.DataFrame({"file": [name], "rows": [rows]})
 
     return write

@@ -88,3 +88,30 @@ def test_stream_ingests_each_part_once(spark, events, scratch):
     _write(parts, "events_part_99999.csv", HEADER + "\n1717200000000,impression,new,7,12,0.5,99,,JP\n")
     catch_up(spark, parts, store, ckpt, max_files=1)
     assert read_store(spark, store).count() == events.count() + 1
+
+
+def test_stream_fails_loudly_on_bad_price(spark, scratch):
+    from pyspark.errors import PySparkException
+
+    _write(scratch + "/parts", "events_part_0.csv", HEADER + "\n1717200000000,impression,a1,7,12,abc,99,,JP\n")
+    with pytest.raises((PySparkException, Exception), match="malformed bid_price"):
+        catch_up(spark, scratch + "/parts", scratch + "/store", scratch + "/ckpt")
+
+
+def test_refresh_rollups_after_ingest(spark, events, scratch):
+    from adevents.operators.compare import compare_results
+    from adevents.plans.prepare import prepare, refresh_rollups
+    from adevents.plans.reports import on_events, on_rollup
+    from adevents.operators.rollups import REVENUE, COUNTS
+    from adevents.sources.store import write_store
+
+    first = events.where("day < '2024-01-20'")
+    late = events.where("day >= '2024-01-20'")
+    prepared = prepare(first, scratch + "/store")
+    write_store(late, prepared.events_path, replace="none")  # late days arrive
+    days = [r.day for r in late.select("day").distinct().collect()]
+    refresh_rollups(spark, prepared, days=days)
+    for name, rollup in (("q1", REVENUE), ("q4", COUNTS)):
+        got = on_rollup(name, prepared.rollup(spark, rollup))
+        want = on_events(name, events)
+        assert compare_results(got, want).collect()[0].matched, name
