@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_result_csv(result: DataFrame, path: str, single_file: bool = True) -> str:
-    """Write a report result as CSV with a header.
+def write_result_csv(result: DataFrame, path: str, single_file: bool = False) -> str:
+    """Write a report result as CSV with a header (every part has one).
 
-    Results are small aggregates; ``single_file`` coalesces them into one
-    task so the folder holds one ``part-*.csv``.  A result sorted by
-    ``order_by`` keeps its order (the sort is the last operator before the
-    single-task coalesce).  Pass ``single_file=False`` for large results.
+    By default every task writes its own part, so a large result never
+    funnels through one task; a sorted result is globally ordered across
+    the parts in part-number order.  ``single_file=True`` coalesces a
+    result known to be small into one ``part-*.csv`` (order kept).
     """
     out = result.coalesce(1) if single_file else result
     out.write.mode("overwrite").option("header", True).csv(path)

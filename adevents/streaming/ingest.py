@@ -1,17 +1,18 @@
 """Incremental ingest: event parts are appended to the store as they arrive.
 
 A Structured Streaming file source watches the part folder; every trigger
-takes at most ``max_files`` new parts, types them with the same rules as
+takes the new parts (at most ``max_files`` of them when set), types them with the same rules as
 the batch path and appends them to the partitioned Parquet store.  The
 checkpoint records which parts were taken, so each part lands exactly once
 even when a run is interrupted and restarted.  ``available_now=True`` works
 through the backlog and stops (a batch-style catch-up); otherwise the query
 keeps running with the given processing-time trigger.
 
-Summary tables are not updated by the stream: rebuild them after a
-catch-up, or rebuild only the days that changed (dynamic partition
-overwrite re-reads the whole day from the store; stored sums are never
-incremented in place).
+The store is written through the file sink's log (``_spark_metadata``),
+which is what makes appends exactly-once; read it with ``read_store`` and
+let only the stream write to it.  Summary tables are not updated by the
+stream: call :func:`adevents.plans.prepare.refresh_rollups` afterwards,
+which recomputes only the changed days of the day-partitioned table.
 """
 
 from __future__ import annotations
@@ -24,15 +25,16 @@ from adevents.schema import PART_GLOB, RAW_SCHEMA, STORE_PARTITIONS
 from adevents.sources.files import to_uri
 
 
-def stream_event_parts(spark: SparkSession, folder: str, max_files: int = 1, pattern: str = PART_GLOB) -> DataFrame:
-    """Streaming frame of raw text events from parts arriving in ``folder``."""
-    return (
-        spark.readStream.schema(RAW_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", max_files)
-        .csv(f"{folder.rstrip('/')}/{pattern}")
-    )
+def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
+    """Streaming frame of raw text events from parts arriving in ``folder``.
+
+    ``max_files`` caps the parts per trigger (1 = part by part); ``None``
+    takes every new part in one trigger.
+    """
+    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", False)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.csv(f"{folder.rstrip('/')}/{pattern}")
 
 
 def ingest_parts(
@@ -40,7 +42,7 @@ def ingest_parts(
     folder: str,
     store: str,
     checkpoint: str,
-    max_files: int = 1,
+    max_files: int | None = None,
     available_now: bool = True,
     processing_time: str = "30 seconds",
     bad_price: str = "error",
@@ -59,7 +61,7 @@ def ingest_parts(
     return writer.start()
 
 
-def catch_up(spark: SparkSession, folder: str, store: str, checkpoint: str, max_files: int = 1, bad_price: str = "error") -> StreamingQuery:
+def catch_up(spark: SparkSession, folder: str, store: str, checkpoint: str, max_files: int | None = None, bad_price: str = "error") -> StreamingQuery:
     """Append every part not yet ingested, then return the finished query."""
     q = ingest_parts(spark, folder, store, checkpoint, max_files, available_now=True, bad_price=bad_price)
     q.awaitTermination()
