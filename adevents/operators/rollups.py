@@ -42,6 +42,8 @@ class Rollup:
     measures: tuple[tuple[str, str, str], ...]
     where: tuple = ()
     partition_by: tuple[str, ...] = ()
+    # order of rows inside each file, for Parquet row-group skipping
+    cluster_by: tuple[str, ...] = ()
 
     def measure(self, func: str, col: str) -> str | None:
         for stored, f, c in self.measures:
@@ -61,6 +63,7 @@ REVENUE = Rollup(
     (("total_revenue", "sum", "bid_price"),),
     where=_IMPRESSIONS,
     partition_by=("day",),
+    cluster_by=("country", "publisher_id", "minute"),
 )
 PURCHASES = Rollup(
     "purchases",
@@ -93,9 +96,8 @@ def write_rollup(table: DataFrame, rollup: Rollup, path: str, only_present_parti
     if rollup.partition_by:
         # One shuffle on the partition dims keeps files per directory few;
         # adaptive execution splits a skewed dim value over several tasks.
-        writer = table.hint("rebalance", *rollup.partition_by).sortWithinPartitions(
-            *rollup.partition_by, *[d for d in rollup.dims if d not in rollup.partition_by]
-        )
+        order = list(rollup.cluster_by) or [d for d in rollup.dims if d not in rollup.partition_by]
+        writer = table.hint("rebalance", *rollup.partition_by).sortWithinPartitions(*rollup.partition_by, *order)
     w = writer.write.mode("overwrite").option("compression", "zstd")
     if rollup.partition_by:
         w = w.partitionBy(*rollup.partition_by)

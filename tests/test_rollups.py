@@ -64,3 +64,15 @@ def test_full_grain_needs_no_shuffle(events, scratch, spark):
     r = rollup_report(COUNTS, table, select=["advertiser_id", "type", "COUNT(*)"], group_by=["advertiser_id", "type"])
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" not in plan
+
+
+def test_revenue_rollup_prunes_days_and_pushes_country(events, scratch, spark):
+    from adevents.operators.rollups import read_rollup, write_rollup
+    from adevents.plans.reports import Q2
+
+    path = write_rollup(build_rollup(events, REVENUE), REVENUE, scratch + "/revenue")
+    r = rollup_report(REVENUE, read_rollup(spark, REVENUE, path), **Q2)
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    part = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "day#" in part and "2024-01-20" in part
+    assert "EqualTo(country,JP)" in plan
