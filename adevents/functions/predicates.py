@@ -20,18 +20,23 @@ from pyspark.sql import functions as F
 OPERATORS = ("eq", "neq", "lt", "lte", "gt", "gte", "between", "in")
 
 
-def _typed(df: DataFrame, col: str, value) -> Column:
-    return F.lit(value).cast(df.schema[col].dataType)
+def _column_types(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema.fields}
 
 
-def predicate(df: DataFrame, cond: Mapping) -> Column:
+def predicate(df: DataFrame, cond: Mapping, types: dict | None = None) -> Column:
     """One condition -> Column; ``neq`` drops NULL rows as SQL does."""
+    types = types if types is not None else _column_types(df)
     try:
         col, op, val = cond["col"], cond["op"], cond["val"]
     except KeyError as exc:
         raise ValueError(f"condition needs col, op and val: {dict(cond)}") from exc
-    if col not in df.columns:
+    if col not in types:
         raise ValueError(f"unknown column in condition: {col!r}")
+
+    def _typed(_df, _col, value) -> Column:
+        return F.lit(value).cast(types[_col])
+
     c = F.col(col)
     if op == "eq":
         return c == _typed(df, col, val)
@@ -62,7 +67,11 @@ def predicate(df: DataFrame, cond: Mapping) -> Column:
 
 def conjunction(df: DataFrame, conds: Iterable[Mapping] | None) -> Column | None:
     """AND of all conditions; ``None`` when there are none."""
-    preds = [predicate(df, c) for c in (conds or [])]
+    conds = list(conds or [])
+    if not conds:
+        return None
+    types = _column_types(df)
+    preds = [predicate(df, c, types) for c in conds]
     if not preds:
         return None
     return reduce(lambda a, b: a & b, preds)

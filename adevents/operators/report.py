@@ -91,16 +91,17 @@ def spec(
     )
 
 
-def _check_names(df: DataFrame, names) -> None:
-    missing = [n for n in names if n != "*" and n not in df.columns]
+def _check_names(df: DataFrame, names, columns: Sequence[str] | None = None) -> None:
+    columns = df.columns if columns is None else columns
+    missing = [n for n in names if n != "*" and n not in columns]
     if missing:
-        raise ValueError(f"unknown columns {missing}; available {df.columns}")
+        raise ValueError(f"unknown columns {missing}; available {list(columns)}")
 
 
-def _expand_star(df: DataFrame, items: Sequence) -> list:
+def _expand_star(columns: Sequence[str], items: Sequence) -> list:
     out: list = []
     for i in items:
-        out.extend(df.columns if i == "*" else [i])
+        out.extend(columns if i == "*" else [i])
     return out
 
 
@@ -174,8 +175,9 @@ def finish(
 def report(df: DataFrame, select=None, where=None, group_by=None, order_by=None, limit=None, *, spec_: Spec | None = None) -> DataFrame:
     """Build the report DataFrame over ``df`` (events or any frame)."""
     s = spec_ or spec(select, where, group_by, order_by, limit)
-    _check_names(df, s.names + list(s.group_by) + [a.col for a in s.aggregates if a.col != "*"])
-    out_names = output_names(s, df.columns)
+    columns = df.columns
+    _check_names(df, s.names + list(s.group_by) + [a.col for a in s.aggregates if a.col != "*"], columns)
+    out_names = output_names(s, columns)
     filtered = apply_filters(df, s.where)
 
     if not s.aggregating:
@@ -185,13 +187,13 @@ def report(df: DataFrame, select=None, where=None, group_by=None, order_by=None,
             if isinstance(key, AggItem):
                 raise ValueError(f"cannot order a plain projection by {o['col']!r}")
             if key not in out_names:
-                _check_names(df, [key])
+                _check_names(df, [key], columns)
                 hidden.append(key)
-        cols = _expand_star(df, s.names) + [h for h in hidden if h not in out_names]
+        cols = _expand_star(columns, s.names) + [h for h in hidden if h not in out_names]
         return finish(filtered.select(*cols), s, out_names, hidden)
 
     keys = list(s.group_by)
-    bare = [n for n in _expand_star(df, s.names) if n not in keys]
+    bare = [n for n in _expand_star(columns, s.names) if n not in keys]
     if bare:
         raise ValueError(f"selected columns {bare} are neither grouped nor aggregated")
 
@@ -200,7 +202,7 @@ def report(df: DataFrame, select=None, where=None, group_by=None, order_by=None,
     for o in s.order_by:
         key = _order_key(s, o, out_names)
         if isinstance(key, AggItem):
-            _check_names(df, [] if key.col == "*" else [key.col])
+            _check_names(df, [] if key.col == "*" else [key.col], columns)
             if key not in aggs:
                 aggs.append(key)
                 hidden.append(key.name)

@@ -30,6 +30,8 @@ SUM4 = {"sum_bid_price": 4}
 
 
 def _rounded(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    if not digits:
+        return df
     return df.withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
 
 
