@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adevents.functions.typing import type_events
 from adevents.schema import PART_GLOB, RAW_SCHEMA, STORE_PARTITIONS
-from adevents.sources.files import to_uri
 
 
 def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:

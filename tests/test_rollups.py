@@ -76,3 +76,20 @@ def test_revenue_rollup_prunes_days_and_pushes_country(events, scratch, spark):
     part = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "day#" in part and "2024-01-20" in part
     assert "EqualTo(country,JP)" in plan
+
+
+def test_rollup_report_keeps_select_order(events):
+    table = build_rollup(events, REVENUE)
+    r = rollup_report(REVENUE, table, select=[{"SUM": "bid_price"}, "day"], where=[{"col": "type", "op": "eq", "val": "impression"}], group_by=["day"])
+    assert r.columns == ["sum_bid_price", "day"]
+
+
+def test_average_of_all_null_prices_is_null(spark):
+    from adevents.schema import EVENTS_SCHEMA
+
+    rows = [(None,) * 5 + ("purchase", "a1", 1, 1, None, 1, None, "XX"), (None,) * 5 + ("purchase", "a2", 1, 1, None, 1, 5.0, "YY")]
+    ev = spark.createDataFrame(rows, EVENTS_SCHEMA)
+    got = {r.country: r.avg_total_price for r in rollup_report(
+        PURCHASES, build_rollup(ev, PURCHASES), select=["country", "AVG(total_price)"],
+        where=[{"col": "type", "op": "eq", "val": "purchase"}], group_by=["country"]).collect()}
+    assert got == {"XX": None, "YY": 5.0}
