@@ -75,17 +75,47 @@ def _prefix(level: int) -> Column:
     return F.shiftright(F.col(_K), 64 - 16 * level)
 
 
+def _columnar_scan_only(df: DataFrame) -> bool:
+    """True when ``df`` is a projection/filter of Parquet or ORC files."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Scan " in line]
+    if not scans or "Exchange" in plan or "Generate" in plan:
+        return False
+    return all("FileScan parquet" in line or "FileScan orc" in line for line in scans)
+
+
+def _passes_input(vals: DataFrame, materialize: bool | None) -> DataFrame:
+    """The frame the four passes read.
+
+    Re-reading pruned columns of Parquet is cheaper than writing a copy,
+    but a costly source (CSV text, a shuffle, a Python data source) would
+    be recomputed by every pass; that lineage is cut once with a reliable
+    checkpoint in the shared ``spark.checkpoint.dir``.
+    """
+    if materialize is None:
+        materialize = not _columnar_scan_only(vals)
+    if not materialize:
+        return vals
+    from adevents.session import checkpoint_root
+
+    checkpoint_root(vals.sparkSession)
+    return vals.checkpoint(eager=True)
+
+
 def _keys_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [left[k].eqNullSafe(right[k]) for k in keys]
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], col: str, name: str, materialize: bool | None = None) -> DataFrame:
     """One row per group of ``keys``: the exact median of ``col`` as ``name``.
 
     Groups whose values are all NULL get NULL; no ``keys`` means one row.
+    ``materialize`` forces (True) or forbids (False) checkpointing the
+    input of the passes; by default only costly sources are checkpointed.
     """
     keys = list(keys)
     vals = df.select(*keys, F.col(col).cast("double").alias(_X))
+    vals = _passes_input(vals, materialize)
     vals = vals.select(*keys, (F.col(_X) + F.lit(0.0)).alias(_X)).withColumn(_K, sortable_key(F.col(_X)))
 
     # Level 0: top digit per group; NULL values keep their group alive.
@@ -161,6 +191,8 @@ def exact_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[tuple[str,
             F.array(*[F.struct(F.lit(i).alias(_COL), F.col(c).cast("double").alias(_X)) for i, (c, _) in enumerate(cols)])
         ).alias("__cv"),
     ).select(*keys, F.col("__cv." + _COL).alias(_COL), F.col("__cv." + _X).alias(_X))
-    med = exact_median(stacked, keys + [_COL], _X, "__m")
+    # the explode is cheap to recompute from a columnar scan; otherwise cut
+    source_cheap = _columnar_scan_only(df.select(*keys, *[c for c, _ in cols]))
+    med = exact_median(stacked, keys + [_COL], _X, "__m", materialize=not source_cheap)
     pivot = [F.max(F.when(F.col(_COL) == i, F.col("__m"))).alias(name) for i, (_, name) in enumerate(cols)]
     return med.groupBy(*keys).agg(*pivot) if keys else med.agg(*pivot)

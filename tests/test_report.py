@@ -169,3 +169,17 @@ def test_several_medians_share_one_selection(events):
         for col in ("bid_price", "total_price", "advertiser_id"):
             got = getattr(row, f"median_{col}")
             assert (got is None and np.isnan(exp[col])) or got == pytest.approx(exp[col])
+
+
+def test_median_checkpoints_only_costly_sources(spark, events, scratch):
+    from adevents.operators.quantiles import _columnar_scan_only
+    from adevents.sources.store import read_store, write_store
+
+    write_store(events, scratch)
+    stored = read_store(spark, scratch)
+    assert _columnar_scan_only(stored.select("country", "bid_price"))
+    assert not _columnar_scan_only(events.groupBy("country").count())
+    # both paths give the same medians
+    a = exact_median(stored, ["country"], "bid_price", "m").orderBy("country").collect()
+    b = exact_median(events, ["country"], "bid_price", "m", materialize=True).orderBy("country").collect()
+    assert a == b
