@@ -44,9 +44,44 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != SESSION_TIME_ZONE:
         spark.conf.set("spark.sql.session.timeZone", SESSION_TIME_ZONE)
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``adevents`` importable in every Python worker (once per app).
+
+    Python-side pieces (the zip data source, the part writers, the header
+    sniffer) run in executor processes; the package is zipped into the
+    shared checkpoint folder and registered with ``addPyFile``.
+    """
+    import io
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    from adevents.sources.files import open_filesystem
+
+    package = Path(__file__).resolve().parent
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        for f in sorted(package.rglob("*.py")):
+            zf.write(f, str(Path(package.name) / f.relative_to(package)))
+    folder = scratch_path(spark, "pyfiles")
+    filesystem, inner = open_filesystem(folder)
+    filesystem.create_dir(inner, recursive=True)
+    with filesystem.open_output_stream(f"{inner}/adevents.zip") as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(f"{folder}/adevents.zip")
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; created privately only when unset."""
     sc = spark.sparkContext
