@@ -215,6 +215,31 @@ def report(df: DataFrame, select=None, where=None, group_by=None, order_by=None,
     return finish(result.select(*out_names, *hidden), s, out_names, hidden, unique_keys=keys)
 
 
+# The keys of a report given as one dict.
+QUERY_KEYS = ("select", "from", "where", "group_by", "order_by", "limit")
+
+
+def clauses_of(query: Mapping) -> tuple[str, dict]:
+    """Split a query dict into its source name and the report clauses."""
+    unknown = sorted(set(query) - set(QUERY_KEYS))
+    if unknown:
+        raise ValueError(f"unknown query keys {unknown}; expected {QUERY_KEYS}")
+    clauses = {k: query[k] for k in QUERY_KEYS[2:] if k in query}
+    clauses["select"] = query.get("select", [])
+    return query.get("from", "events"), clauses
+
+
+def report_query(query: Mapping, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Report from a dict ``{select, from, where, group_by, order_by, limit}``.
+
+    ``from`` names a frame in ``tables`` (default ``"events"``).
+    """
+    source, clauses = clauses_of(query)
+    if source not in tables:
+        raise ValueError(f"unknown table {source!r}; available {sorted(tables)}")
+    return report(tables[source], **clauses)
+
+
 def aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[AggItem]) -> DataFrame:
     """Group ``df`` by ``keys`` and compute ``aggs`` (distinct groups if none)."""
     from adevents.operators.quantiles import exact_medians

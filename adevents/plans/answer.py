@@ -13,7 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adevents.operators.report import report
+from adevents.operators.report import clauses_of, report
 from adevents.operators.rollups import ROLLUPS, covers, rollup_report
 from adevents.plans.prepare import PreparedStore
 from adevents.session import _join
@@ -28,11 +28,19 @@ def answer(spark: SparkSession, store: PreparedStore, rollups=ROLLUPS, **clauses
     return report(store.events(spark), **clauses), "events"
 
 
+def answer_query(spark: SparkSession, store: PreparedStore, query: Mapping, rollups=ROLLUPS) -> tuple[DataFrame, str]:
+    """:func:`answer` for a query dict (``from`` must name the events)."""
+    source, clauses = clauses_of(query)
+    if source != "events":
+        raise ValueError(f"a prepared store answers queries on 'events', not {source!r}")
+    return answer(spark, store, rollups, **clauses)
+
+
 def write_reports(spark: SparkSession, store: PreparedStore, specs: Mapping[str, Mapping], out_dir: str) -> dict[str, str]:
-    """Answer each named spec and write ``<out_dir>/<name>/`` as CSV."""
+    """Answer each named query dict and write ``<out_dir>/<name>/`` as CSV."""
     sources = {}
-    for name, clauses in specs.items():
-        result, source = answer(spark, store, **clauses)
+    for name, query in specs.items():
+        result, source = answer_query(spark, store, query)
         write_result_csv(result, _join(out_dir, name))
         sources[name] = source
     return sources

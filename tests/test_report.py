@@ -183,3 +183,16 @@ def test_median_checkpoints_only_costly_sources(spark, events, scratch):
     a = exact_median(stored, ["country"], "bid_price", "m").orderBy("country").collect()
     b = exact_median(events, ["country"], "bid_price", "m", materialize=True).orderBy("country").collect()
     assert a == b
+
+
+def test_query_dicts_with_from(events):
+    from adevents.operators.report import report_query
+    from adevents.plans.reports import SPECS
+
+    for name, spec_ in SPECS.items():
+        q = {**spec_, "from": "events"}
+        assert report_query(q, {"events": events}).columns == report(events, **spec_).columns
+    with pytest.raises(ValueError, match="unknown query keys"):
+        report_query({"select": ["day"], "having": []}, {"events": events})
+    with pytest.raises(ValueError, match="unknown table"):
+        report_query({"select": ["day"], "from": "clicks"}, {"events": events})
