@@ -51,6 +51,28 @@ class PreparedStore:
         self._frames.clear()
 
 
+def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
+    """Raw text events from a folder of CSV parts or from zip archive(s).
+
+    A path ending in ``.zip`` (or a glob of them) is read with the zip
+    source; anything else is a folder of ``events_part_*.csv``.
+    """
+    from adevents.sources.csv_parts import read_event_parts
+    from adevents.sources.zip_parts import read_event_zip
+
+    if path.rstrip("/").lower().endswith(".zip"):
+        return read_event_zip(spark, path)
+    return read_event_parts(spark, path)
+
+
+def prepare_from_path(spark: SparkSession, path: str, root: str, bad_price: str = "error") -> PreparedStore:
+    """Read raw parts (folder or zip), type them and prepare the store."""
+    from adevents.functions.typing import type_events
+
+    prepare_session(spark)
+    return prepare(type_events(read_raw_events(spark, path), bad_price=bad_price), root)
+
+
 def prepare(events: DataFrame, root: str, rollups=ROLLUPS) -> PreparedStore:
     spark = events.sparkSession
     prepared = PreparedStore(root)

@@ -115,3 +115,15 @@ def test_refresh_rollups_after_ingest(spark, events, scratch):
         got = on_rollup(name, prepared.rollup(spark, rollup))
         want = on_events(name, events)
         assert compare_results(got, want).collect()[0].matched, name
+
+
+def test_prepare_from_folder_and_zip(spark, events, scratch):
+    from adevents.plans.prepare import prepare_from_path
+    from adevents.sources.zip_parts import write_event_zips
+
+    write_event_parts(raw_events(events), scratch + "/parts", parts=2)
+    write_event_zips(raw_events(events).coalesce(1), scratch + "/zips")
+    a = prepare_from_path(spark, scratch + "/parts", scratch + "/store_a")
+    b = prepare_from_path(spark, scratch + "/zips/events_00000.zip", scratch + "/store_b")
+    assert a.events(spark).count() == b.events(spark).count() == events.count()
+    assert a.events(spark).exceptAll(b.events(spark)).count() == 0
