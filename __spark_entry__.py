@@ -123,6 +123,7 @@ _OTHER = {
     "csv_roundtrip": f"SELECT {_ALL} FROM ad_text",
     "zip_roundtrip": f"SELECT {_ALL} FROM ad_text",
     "incremental_ingest": f"SELECT {_ALL} FROM ad_text",
+    "incremental_ingest_by_name": f"SELECT {_ALL} FROM ad_text",
     "store_roundtrip": f"SELECT {_ALL} FROM ad_events",
     "store_pruned_scan": """
 SELECT ts, day, publisher_id, country, bid_price FROM ad_events

@@ -173,17 +173,19 @@ def zip_parts_for(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "zip", build)
 
 
-def ingested_store_for(spark: SparkSession, sf_dir: str) -> str:
-    """Store built by streaming the CSV parts in one part per trigger."""
+def ingested_store_for(spark: SparkSession, sf_dir: str, by_name: bool = False) -> str:
+    """Store built by streaming the CSV parts in one part per trigger.
+
+    The positional stream is fed parts in the canonical column order (it
+    verifies each header); the by-name stream gets parts in mixed orders.
+    """
     from adevents.streaming.ingest import catch_up
 
     def build() -> str:
-        # the streaming reader assigns columns by position (and verifies each
-        # header), so it is fed parts in the canonical column order
-        folder = csv_parts_for(spark, sf_dir, mixed_headers=False)
+        folder = csv_parts_for(spark, sf_dir, mixed_headers=by_name)
         root = scratch_path(spark, "stream")
         store = _join(root, "events")
-        catch_up(spark, folder, store, _join(root, "checkpoint"), max_files=1)
+        catch_up(spark, folder, store, _join(root, "checkpoint"), max_files=1, by_name=by_name)
         return store
 
-    return _once(spark, sf_dir, "stream", build)
+    return _once(spark, sf_dir, f"stream-{by_name}", build)

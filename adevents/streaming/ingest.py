@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adevents.functions.typing import type_events
-from adevents.schema import PART_GLOB, RAW_SCHEMA, STORE_PARTITIONS
+from adevents.schema import PART_GLOB, RAW_COLUMNS, RAW_SCHEMA, STORE_PARTITIONS
 
 
 def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
@@ -36,6 +36,48 @@ def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None =
     return reader.csv(f"{folder.rstrip('/')}/{pattern}")
 
 
+def _parse_whole_parts(batches):
+    """Whole part texts -> raw rows, columns assigned by each part's header."""
+    import io
+
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.csv as pacsv
+
+    convert = pacsv.ConvertOptions(
+        column_types={c: pa.string() for c in RAW_COLUMNS},
+        include_columns=list(RAW_COLUMNS),
+        include_missing_columns=True,
+        strings_can_be_null=True,
+        null_values=[""],
+        quoted_strings_can_be_null=False,
+    )
+    for pdf in batches:
+        frames = []
+        for text in pdf["value"]:
+            if text is None or not text.strip():
+                continue
+            table = pacsv.read_csv(io.BytesIO(text.encode("utf-8")), convert_options=convert)
+            if table.num_rows:
+                frames.append(table.to_pandas())
+        if frames:
+            yield pd.concat(frames, ignore_index=True)
+
+
+def stream_event_parts_by_name(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
+    """Like :func:`stream_event_parts`, but columns are assigned by header name.
+
+    Each new part arrives whole as one text row (``wholetext``), so every
+    part is parsed with its own header by Arrow inside a stateless
+    ``mapInPandas``.  A part must fit comfortably in a task's memory.
+    """
+    reader = spark.readStream.format("text").option("wholetext", True)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    parts = reader.load(f"{folder.rstrip('/')}/{pattern}")
+    return parts.mapInPandas(_parse_whole_parts, RAW_SCHEMA)
+
+
 def ingest_parts(
     spark: SparkSession,
     folder: str,
@@ -45,9 +87,15 @@ def ingest_parts(
     available_now: bool = True,
     processing_time: str = "30 seconds",
     bad_price: str = "error",
+    by_name: bool = False,
 ) -> StreamingQuery:
-    """Start appending typed parts from ``folder`` to the store at ``store``."""
-    typed = type_events(stream_event_parts(spark, folder, max_files), bad_price=bad_price)
+    """Start appending typed parts from ``folder`` to the store at ``store``.
+
+    ``by_name=True`` assigns columns by each part's header (parts in any
+    column order); the default assigns by position and verifies headers.
+    """
+    source = stream_event_parts_by_name if by_name else stream_event_parts
+    typed = type_events(source(spark, folder, max_files), bad_price=bad_price)
     writer = (
         typed.writeStream.format("parquet")
         .option("path", store)
@@ -60,9 +108,17 @@ def ingest_parts(
     return writer.start()
 
 
-def catch_up(spark: SparkSession, folder: str, store: str, checkpoint: str, max_files: int | None = None, bad_price: str = "error") -> StreamingQuery:
+def catch_up(
+    spark: SparkSession,
+    folder: str,
+    store: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    bad_price: str = "error",
+    by_name: bool = False,
+) -> StreamingQuery:
     """Append every part not yet ingested, then return the finished query."""
-    q = ingest_parts(spark, folder, store, checkpoint, max_files, available_now=True, bad_price=bad_price)
+    q = ingest_parts(spark, folder, store, checkpoint, max_files, available_now=True, bad_price=bad_price, by_name=by_name)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -127,3 +127,15 @@ def test_prepare_from_folder_and_zip(spark, events, scratch):
     b = prepare_from_path(spark, scratch + "/zips/events_00000.zip", scratch + "/store_b")
     assert a.events(spark).count() == b.events(spark).count() == events.count()
     assert a.events(spark).exceptAll(b.events(spark)).count() == 0
+
+
+def test_stream_by_name_accepts_mixed_headers(spark, events, scratch):
+    parts, store, ckpt = scratch + "/parts", scratch + "/store", scratch + "/ckpt"
+    write_event_parts(raw_events(events), parts, parts=3, mixed_headers=True)
+    catch_up(spark, parts, store, ckpt, max_files=1, by_name=True)
+    back = read_store(spark, store)
+    want = type_events(raw_events(events))
+    assert back.count() == events.count()
+    assert back.exceptAll(want).count() == 0
+    catch_up(spark, parts, store, ckpt, max_files=1, by_name=True)  # nothing new
+    assert read_store(spark, store).count() == events.count()
