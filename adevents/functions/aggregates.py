@@ -68,6 +68,16 @@ class AggItem:
     def planned(self) -> bool:
         return self.func in PLANNED
 
+    @property
+    def sql_name(self) -> str:
+        """The name a SQL engine gives the aggregate by default,
+        e.g. ``sum(bid_price)``, ``count_star()``, ``count(DISTINCT user_id)``."""
+        if self.col == "*":
+            return "count_star()"
+        if self.func.endswith("_distinct"):
+            return f"{self.func[: -len('_distinct')]}(DISTINCT {self.col})"
+        return f"{self.func}({self.col})"
+
 
 def make_agg(func: str, arg: str) -> AggItem:
     func = func.strip().lower()

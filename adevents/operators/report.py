@@ -172,9 +172,41 @@ def finish(
     return result
 
 
-def report(df: DataFrame, select=None, where=None, group_by=None, order_by=None, limit=None, *, spec_: Spec | None = None) -> DataFrame:
+# Output naming styles of aggregate columns.
+NAMING = ("plain", "sql")
+
+
+def named(result: DataFrame, s: Spec, names: str) -> DataFrame:
+    """Rename aggregate columns to the chosen style (a final projection).
+
+    ``plain`` keeps ``sum_bid_price``; ``sql`` gives the names a SQL engine
+    uses by default (``sum(bid_price)``, ``count_star()``), so results can
+    be compared header for header with files written by SQL tools.
+    """
+    if names not in NAMING:
+        raise ValueError(f"names must be one of {NAMING}")
+    if names == "plain":
+        return result
+    return result.withColumnsRenamed({a.name: a.sql_name for a in dict.fromkeys(s.aggregates)})
+
+
+def report(
+    df: DataFrame,
+    select=None,
+    where=None,
+    group_by=None,
+    order_by=None,
+    limit=None,
+    *,
+    names: str = "plain",
+    spec_: Spec | None = None,
+) -> DataFrame:
     """Build the report DataFrame over ``df`` (events or any frame)."""
     s = spec_ or spec(select, where, group_by, order_by, limit)
+    return named(_report(df, s), s, names)
+
+
+def _report(df: DataFrame, s: Spec) -> DataFrame:
     columns = df.columns
     _check_names(df, s.names + list(s.group_by) + [a.col for a in s.aggregates if a.col != "*"], columns)
     out_names = output_names(s, columns)
@@ -229,7 +261,7 @@ def clauses_of(query: Mapping) -> tuple[str, dict]:
     return query.get("from", "events"), clauses
 
 
-def report_query(query: Mapping, tables: Mapping[str, DataFrame]) -> DataFrame:
+def report_query(query: Mapping, tables: Mapping[str, DataFrame], names: str = "plain") -> DataFrame:
     """Report from a dict ``{select, from, where, group_by, order_by, limit}``.
 
     ``from`` names a frame in ``tables`` (default ``"events"``).
@@ -237,7 +269,7 @@ def report_query(query: Mapping, tables: Mapping[str, DataFrame]) -> DataFrame:
     source, clauses = clauses_of(query)
     if source not in tables:
         raise ValueError(f"unknown table {source!r}; available {sorted(tables)}")
-    return report(tables[source], **clauses)
+    return report(tables[source], **clauses, names=names)
 
 
 def aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[AggItem]) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from adevents.functions.aggregates import AggItem
 from adevents.functions.predicates import apply_filters
-from adevents.operators.report import Spec, _order_key, finish, output_names, spec
+from adevents.operators.report import Spec, _order_key, finish, named, output_names, spec
 
 
 class NotCovered(ValueError):
@@ -169,7 +169,17 @@ def covers(rollup: Rollup, **clauses) -> bool:
         return False
 
 
-def rollup_report(rollup: Rollup, table: DataFrame, select=None, where=None, group_by=None, order_by=None, limit=None) -> DataFrame:
+def rollup_report(
+    rollup: Rollup,
+    table: DataFrame,
+    select=None,
+    where=None,
+    group_by=None,
+    order_by=None,
+    limit=None,
+    *,
+    names: str = "plain",
+) -> DataFrame:
     """Answer a report from a rollup table, or raise NotCovered."""
     s = spec(select, where, group_by, order_by, limit)
     remaining = check_coverage(rollup, s)
@@ -200,4 +210,4 @@ def rollup_report(rollup: Rollup, table: DataFrame, select=None, where=None, gro
         result = filtered.groupBy(*keys).agg(*cols)
     else:
         result = filtered.agg(*cols)
-    return finish(result.select(*out_names, *hidden), s, out_names, hidden, unique_keys=keys)
+    return named(finish(result.select(*out_names, *hidden), s, out_names, hidden, unique_keys=keys), s, names)

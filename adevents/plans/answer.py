@@ -20,27 +20,29 @@ from adevents.session import _join
 from adevents.sources.results import write_result_csv
 
 
-def answer(spark: SparkSession, store: PreparedStore, rollups=ROLLUPS, **clauses) -> tuple[DataFrame, str]:
+def answer(spark: SparkSession, store: PreparedStore, rollups=ROLLUPS, names: str = "plain", **clauses) -> tuple[DataFrame, str]:
     """``(result, source)``; source is a rollup name or ``"events"``."""
     for r in sorted(rollups, key=lambda x: len(x.dims)):
         if r.name in store.rollup_paths and covers(r, **clauses):
-            return rollup_report(r, store.rollup(spark, r), **clauses), r.name
-    return report(store.events(spark), **clauses), "events"
+            return rollup_report(r, store.rollup(spark, r), **clauses, names=names), r.name
+    return report(store.events(spark), **clauses, names=names), "events"
 
 
-def answer_query(spark: SparkSession, store: PreparedStore, query: Mapping, rollups=ROLLUPS) -> tuple[DataFrame, str]:
+def answer_query(spark: SparkSession, store: PreparedStore, query: Mapping, rollups=ROLLUPS, names: str = "plain") -> tuple[DataFrame, str]:
     """:func:`answer` for a query dict (``from`` must name the events)."""
     source, clauses = clauses_of(query)
     if source != "events":
         raise ValueError(f"a prepared store answers queries on 'events', not {source!r}")
-    return answer(spark, store, rollups, **clauses)
+    return answer(spark, store, rollups, names=names, **clauses)
 
 
-def write_reports(spark: SparkSession, store: PreparedStore, specs: Mapping[str, Mapping], out_dir: str) -> dict[str, str]:
+def write_reports(
+    spark: SparkSession, store: PreparedStore, specs: Mapping[str, Mapping], out_dir: str, names: str = "plain"
+) -> dict[str, str]:
     """Answer each named query dict and write ``<out_dir>/<name>/`` as CSV."""
     sources = {}
     for name, query in specs.items():
-        result, source = answer_query(spark, store, query)
+        result, source = answer_query(spark, store, query, names=names)
         write_result_csv(result, _join(out_dir, name))
         sources[name] = source
     return sources

@@ -196,3 +196,21 @@ def test_query_dicts_with_from(events):
         report_query({"select": ["day"], "having": []}, {"events": events})
     with pytest.raises(ValueError, match="unknown table"):
         report_query({"select": ["day"], "from": "clicks"}, {"events": events})
+
+
+def test_sql_style_names(events):
+    from adevents.operators.rollups import COUNTS, build_rollup, rollup_report
+    from adevents.plans.reports import SPECS
+
+    r = report(events, **SPECS["q1"], names="sql")
+    assert r.columns == ["day", "sum(bid_price)"]
+    r4 = report(events, **SPECS["q4"], names="sql", limit=3)
+    assert r4.columns == ["advertiser_id", "type", "count_star()"]
+    counts = [x["count_star()"] for x in r4.collect()]
+    assert counts == sorted(counts, reverse=True)
+    rr = rollup_report(COUNTS, build_rollup(events, COUNTS), **SPECS["q4"], names="sql")
+    assert rr.columns == r4.columns
+    d = report(events, select=["COUNT(DISTINCT user_id)"], names="sql")
+    assert d.columns == ["count(DISTINCT user_id)"]
+    with pytest.raises(ValueError):
+        report(events, select=["day"], names="fancy")
