@@ -184,6 +184,19 @@ SELECT rows_a, rows_b, only_a, only_b, TRUE AS same_header, (only_a = 0 AND only
 }
 
 
+def _verify_sql() -> str:
+    parts = []
+    for q in ("q1", "q2", "q3", "q4", "q5"):
+        body = _Q[q].format(src="ad_events")
+        body = body.split("ORDER BY")[0]
+        parts.append(
+            f"SELECT '{q}' AS query, n AS rows_a, n AS rows_b, CAST(0 AS BIGINT) AS only_a, "
+            f"CAST(0 AS BIGINT) AS only_b, TRUE AS same_header, TRUE AS matched "
+            f"FROM (SELECT COUNT(*) AS n FROM ({body}))"
+        )
+    return "\n" + "\nUNION ALL\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     a = AD_EVENTS
     out: dict[str, str] = {}
@@ -197,4 +210,5 @@ def oracle_sql() -> dict[str, str]:
         out[key] = a + f"\nSELECT {_ROW} FROM ad_events WHERE {cond}"
     for key, sql in _OTHER.items():
         out[key] = a + ("\n" + sql if not sql.startswith(",") else sql)
+    out["verify_reports"] = a + _verify_sql()
     return out

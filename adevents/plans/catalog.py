@@ -293,6 +293,37 @@ def compare_q3(spark, sf_dir):
     return compare_results(a, b, digits=6)
 
 
+def verify_reports(spark, sf_dir):
+    """U4 end to end: the five reports written twice and compared as files.
+
+    Routed answers (covering summary tables) and baseline answers (raw CSV
+    parts, parsed on the fly) are written as CSV result folders in the
+    shared scratch space, then every pair is read back and compared as
+    row sets with numeric text rounded to six places.
+    """
+    from functools import reduce
+
+    from adevents.operators.compare import compare_result_files
+    from adevents.plans.answer import write_reports
+    from adevents.session import _join, scratch_path
+    from adevents.sources.results import write_result_csv
+
+    prepared = prepared_for(spark, sf_dir)
+    out = scratch_path(spark, "verify")
+    queries_ = {name: {**spec_, "from": "events"} for name, spec_ in SPECS.items()}
+    write_reports(spark, prepared, queries_, _join(out, "routed"))
+    baseline = csv_events(spark, sf_dir)
+    for name, spec_ in SPECS.items():
+        write_result_csv(report(baseline, **spec_), _join(out, "baseline", name))
+    rows = [
+        compare_result_files(spark, _join(out, "baseline", name), _join(out, "routed", name)).select(
+            F.lit(name).alias("query"), "*"
+        )
+        for name in SPECS
+    ]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 def queries() -> dict:
     prepare = {
         "csv_roundtrip": csv_roundtrip,
@@ -331,6 +362,7 @@ def queries() -> dict:
             "topk_advertisers": topk_advertisers,
             "adhoc_report": adhoc_report,
             "compare_q3": compare_q3,
+            "verify_reports": verify_reports,
         }
     )
     for key, where in FILTERS.items():
