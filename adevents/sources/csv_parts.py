@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from adevents.schema import PART_GLOB, RAW_COLUMNS, RAW_SCHEMA
 from adevents.sources.files import attempt_suffix, open_filesystem, publish
 
-_FIRST_LINE_BYTES = 1 << 16
+_CHUNK = 8 << 10
+_MAX_HEADER = 1 << 20
 
 
 def list_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB) -> DataFrame:
@@ -41,14 +42,27 @@ def list_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB) -> Da
     )
 
 
+def _read_first_line(path: str) -> str:
+    """The first line of a file, read in small chunks (a header is short)."""
+    filesystem, inner = open_filesystem(path)
+    head = b""
+    with filesystem.open_input_stream(inner) as f:
+        while len(head) < _MAX_HEADER:
+            chunk = f.read(_CHUNK)
+            if not chunk:
+                break
+            head += chunk
+            if b"\n" in chunk or b"\r" in chunk:
+                break
+    text = head.decode("utf-8-sig", errors="replace")
+    return text.splitlines()[0] if text.strip() else ""
+
+
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         headers = []
         for path in pdf["path"]:
-            filesystem, inner = open_filesystem(path)
-            with filesystem.open_input_stream(inner) as f:
-                head = f.read(_FIRST_LINE_BYTES).decode("utf-8-sig", errors="replace")
-            line = head.splitlines()[0] if head.strip() else ""
+            line = _read_first_line(path)
             names = next(csv.reader(io.StringIO(line)), []) if line else []
             headers.append("\x1f".join(n.strip() for n in names) if names else None)
         yield pd.DataFrame({"path": pdf["path"], "header": headers})
