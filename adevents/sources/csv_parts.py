@@ -99,8 +99,13 @@ def read_event_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB)
         raise ValueError(f"part headers without any event column: {unknown_only[:3]}")
     if len(layouts) == 1:
         return _scan(spark, folder, layouts[0].split("\x1f"), {"pathGlobFilter": pattern})
-    groups = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    scans = [_scan(spark, list(r.paths), r.header.split("\x1f"), {}) for r in groups]
+    # Layouts differ: one scan per layout over its own files.  The file list
+    # is metadata the driver's file index holds anyway; it is collected as
+    # plain rows (no per-layout list is built inside a task).
+    by_layout: dict[str, list[str]] = {}
+    for r in headers.select("header", "path").collect():
+        by_layout.setdefault(r.header, []).append(r.path)
+    scans = [_scan(spark, sorted(paths), header.split("\x1f"), {}) for header, paths in sorted(by_layout.items())]
     return reduce(lambda a, b: a.unionByName(b), scans)
 
 
