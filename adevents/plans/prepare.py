@@ -85,6 +85,29 @@ def prepare(events: DataFrame, root: str, rollups=ROLLUPS) -> PreparedStore:
     return prepared
 
 
+def open_prepared(spark: SparkSession, root: str, rollups=ROLLUPS) -> PreparedStore:
+    """Reopen a store prepared earlier (by another application).
+
+    Raises ``FileNotFoundError`` when ``root`` holds no event store; summary
+    tables that are missing are simply not offered to :func:`answer`.
+    """
+    from pyarrow import fs as pafs
+
+    from adevents.sources.files import open_filesystem
+
+    prepare_session(spark)
+    prepared = PreparedStore(root)
+    filesystem, inner = open_filesystem(prepared.events_path)
+    if filesystem.get_file_info(inner).type != pafs.FileType.Directory:
+        raise FileNotFoundError(f"no event store at {prepared.events_path}; prepare it first")
+    for r in rollups:
+        path = _join(root, f"agg_{r.name}")
+        fs_, p = open_filesystem(path)
+        if fs_.get_file_info(p).type == pafs.FileType.Directory:
+            prepared.rollup_paths[r.name] = path
+    return prepared
+
+
 def refresh_rollups(spark: SparkSession, prepared: PreparedStore, days=None, rollups=ROLLUPS) -> PreparedStore:
     """Rebuild the summary tables after the store changed.
 

@@ -72,3 +72,19 @@ def test_missing_store_raises(spark, scratch):
 
     with pytest.raises(AnalysisException):
         read_store(spark, scratch + "/nowhere").count()
+
+
+def test_reopen_prepared_store(spark, events, scratch):
+    import pytest
+
+    from adevents.plans.answer import answer_query
+    from adevents.plans.prepare import open_prepared, prepare
+    from adevents.plans.reports import SPECS
+
+    prepare(events, scratch + "/p")
+    again = open_prepared(spark, scratch + "/p")
+    assert sorted(again.rollup_paths) == ["counts", "purchases", "revenue"]
+    result, source = answer_query(spark, again, {**SPECS["q3"], "from": "events"})
+    assert source == "purchases" and result.count() > 0
+    with pytest.raises(FileNotFoundError):
+        open_prepared(spark, scratch + "/nothing")
