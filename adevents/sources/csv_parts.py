@@ -110,30 +110,29 @@ def read_event_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB)
 
 
 def _part_writer(folder: str, mixed_headers: bool):
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches):
         import pyarrow as pa
         import pyarrow.csv as pacsv
 
         filesystem, root = open_filesystem(folder)
         out = writer = None
         order = list(RAW_COLUMNS)
-        name, rows = None, 0
+        name, tmp, rows = None, None, 0
         try:
-            for pdf in batches:
-                if pdf.empty:
+            for batch in batches:
+                if batch.num_rows == 0:
                     continue
                 if writer is None:
-                    pid = int(pdf["__pid"].iloc[0])
+                    pid = batch.column("__pid")[0].as_py()
                     name = f"events_part_{pid:05d}.csv"
                     if mixed_headers and pid % 2 == 1:
                         order = order[::-1]
-                    table_schema = pa.schema([(c, pa.string()) for c in order])
                     tmp = f"{root}/{name}{attempt_suffix()}"
                     out = filesystem.open_output_stream(tmp)
-                    writer = pacsv.CSVWriter(out, table_schema, write_options=pacsv.WriteOptions(quoting_style="needed"))
-                batch = pa.RecordBatch.from_pandas(pdf[order], schema=table_schema, preserve_index=False)
-                writer.write_batch(batch)
-                rows += len(pdf)
+                    schema = pa.schema([(c, pa.string()) for c in order])
+                    writer = pacsv.CSVWriter(out, schema, write_options=pacsv.WriteOptions(quoting_style="needed"))
+                writer.write_batch(pa.RecordBatch.from_arrays([batch.column(c) for c in order], names=order))
+                rows += batch.num_rows
         finally:
             if writer is not None:
                 writer.close()
@@ -141,7 +140,7 @@ def _part_writer(folder: str, mixed_headers: bool):
                 out.close()
         if name is not None:
             publish(filesystem, tmp, f"{root}/{name}")
-            yield pd.DataFrame({"file": [name], "rows": [rows]})
+            yield pa.RecordBatch.from_pydict({"file": [name], "rows": [rows]}, schema=pa.schema([("file", pa.string()), ("rows", pa.int64())]))
 
     return write
 
@@ -153,15 +152,15 @@ def write_event_parts(raw: DataFrame, folder: str, parts: int | None = None, mix
     reverse order (and a header saying so), as parts from different
     producers may arrive.
 
-    Returns the ``(file, rows)`` summary as a DataFrame; it is computed once
-    (the write is an action) and cached as a local, tiny result.
+    Tasks stream Arrow record batches straight into the CSV writer.
+    Returns the ``(file, rows)`` summary, one row per written part.
     """
     filesystem, root = open_filesystem(folder)
     filesystem.create_dir(root, recursive=True)
     df = raw.select(*RAW_COLUMNS)
     if parts is not None:
         df = df.repartition(parts)
-    written = df.withColumn("__pid", F.spark_partition_id()).mapInPandas(
+    written = df.withColumn("__pid", F.spark_partition_id()).mapInArrow(
         _part_writer(folder, mixed_headers), "file string, rows long"
     )
     summary = written.collect()

@@ -125,25 +125,35 @@ def read_event_zip(spark: SparkSession, path: str, pattern: str = PART_GLOB) ->
 
 def _zip_writer(folder: str, junk_member: bool):
     def write(batches):
-        import pandas as pd
+        import io
+
+        import pyarrow as pa
+        import pyarrow.csv as pacsv
 
         filesystem, root = open_filesystem(folder)
         out = zf = stream = None
-        name, rows = None, 0
+        name, tmp, rows = None, None, 0
         try:
-            for pdf in batches:
-                if pdf.empty:
+            for batch in batches:
+                if batch.num_rows == 0:
                     continue
-                text = pdf[list(RAW_COLUMNS)].to_csv(index=False, header=stream is None)
-                if stream is None:
-                    pid = int(pdf["__pid"].iloc[0])
+                first = stream is None
+                if first:
+                    pid = batch.column("__pid")[0].as_py()
                     name = f"events_{pid:05d}.zip"
                     tmp = f"{root}/{name}{attempt_suffix()}"
                     out = filesystem.open_output_stream(tmp)
                     zf = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED)
                     stream = zf.open(f"events_part_{pid:05d}.csv", "w", force_zip64=True)
-                stream.write(text.encode("utf-8"))
-                rows += len(pdf)
+                text = io.BytesIO()
+                cols = [batch.column(c) for c in RAW_COLUMNS]
+                pacsv.write_csv(
+                    pa.RecordBatch.from_arrays(cols, names=list(RAW_COLUMNS)),
+                    text,
+                    write_options=pacsv.WriteOptions(include_header=first, quoting_style="needed"),
+                )
+                stream.write(text.getvalue())
+                rows += batch.num_rows
             if stream is not None:
                 stream.close()
                 stream = None
@@ -161,7 +171,7 @@ def _zip_writer(folder: str, junk_member: bool):
                 out.close()
         if name is not None:
             publish(filesystem, tmp, f"{root}/{name}")
-            yield pd.DataFrame({"file": [name], "rows": [rows]})
+            yield pa.RecordBatch.from_pydict({"file": [name], "rows": [rows]}, schema=pa.schema([("file", pa.string()), ("rows", pa.int64())]))
 
     return write
 
@@ -172,7 +182,7 @@ def write_event_zips(raw: DataFrame, folder: str, junk_member: bool = True) -> l
 
     filesystem, root = open_filesystem(folder)
     filesystem.create_dir(root, recursive=True)
-    written = raw.select(*RAW_COLUMNS).withColumn("__pid", F.spark_partition_id()).mapInPandas(
+    written = raw.select(*RAW_COLUMNS).withColumn("__pid", F.spark_partition_id()).mapInArrow(
         _zip_writer(folder, junk_member), "file string, rows long"
     )
     return written.collect()

@@ -38,9 +38,6 @@ def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None =
 
 def _parse_whole_parts(batches):
     """Whole part texts -> raw rows, columns assigned by each part's header."""
-    import io
-
-    import pandas as pd
     import pyarrow as pa
     import pyarrow.csv as pacsv
 
@@ -52,16 +49,12 @@ def _parse_whole_parts(batches):
         null_values=[""],
         quoted_strings_can_be_null=False,
     )
-    for pdf in batches:
-        frames = []
-        for text in pdf["value"]:
+    for batch in batches:
+        for text in batch.column("value").to_pylist():
             if text is None or not text.strip():
                 continue
-            table = pacsv.read_csv(io.BytesIO(text.encode("utf-8")), convert_options=convert)
-            if table.num_rows:
-                frames.append(table.to_pandas())
-        if frames:
-            yield pd.concat(frames, ignore_index=True)
+            table = pacsv.read_csv(pa.BufferReader(text.encode("utf-8")), convert_options=convert)
+            yield from table.to_batches()
 
 
 def stream_event_parts_by_name(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
@@ -69,13 +62,13 @@ def stream_event_parts_by_name(spark: SparkSession, folder: str, max_files: int
 
     Each new part arrives whole as one text row (``wholetext``), so every
     part is parsed with its own header by Arrow inside a stateless
-    ``mapInPandas``.  A part must fit comfortably in a task's memory.
+    ``mapInArrow``.  A part must fit comfortably in a task's memory.
     """
     reader = spark.readStream.format("text").option("wholetext", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     parts = reader.load(f"{folder.rstrip('/')}/{pattern}")
-    return parts.mapInPandas(_parse_whole_parts, RAW_SCHEMA)
+    return parts.mapInArrow(_parse_whole_parts, RAW_SCHEMA)
 
 
 def ingest_parts(
