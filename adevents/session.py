@@ -27,6 +27,9 @@ def get_session(master: str = "local[*]", app: str = "adevents", **conf: str) ->
         .config("spark.sql.session.timeZone", SESSION_TIME_ZONE)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # coalesce to the advisory size (not to the core count): the setting
+        # Spark recommends for shared clusters
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.filterPushdown", "true")
         .config("spark.ui.enabled", "false")
