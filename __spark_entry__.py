@@ -43,7 +43,7 @@ WITH ad_events AS (
     CASE event_type WHEN 'view' THEN 'impression' WHEN 'signup' THEN 'serve' ELSE event_type END AS type,
     'a' || CAST(event_id AS VARCHAR) AS auction_id,
     CAST(user_id % 20 AS INTEGER) AS advertiser_id,
-    CAST(json_extract(props, '$.k') AS INTEGER) AS publisher_id,
+    TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS publisher_id,
     CASE WHEN event_type = 'view' AND event_id % 89 <> 0 THEN value END AS bid_price,
     user_id,
     CASE WHEN event_type = 'purchase' AND event_id % 83 <> 0 THEN value END AS total_price,

@@ -56,7 +56,7 @@ def ad_events(events: DataFrame) -> DataFrame:
         _ad_type(kind).alias("type"),
         F.concat(F.lit("a"), eid.cast("string")).alias("auction_id"),
         (F.col("user_id") % ADVERTISERS).cast("int").alias("advertiser_id"),
-        F.get_json_object("props", "$.k").cast("int").alias("publisher_id"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("publisher_id"),
         F.when((kind == "view") & (eid % BLANK_BID_EVERY != 0), F.col("value")).alias("bid_price"),
         F.col("user_id"),
         F.when((kind == "purchase") & (eid % BLANK_PRICE_EVERY != 0), F.col("value")).alias("total_price"),
