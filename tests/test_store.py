@@ -88,3 +88,22 @@ def test_reopen_prepared_store(spark, events, scratch):
     assert source == "purchases" and result.count() > 0
     with pytest.raises(FileNotFoundError):
         open_prepared(spark, scratch + "/nothing")
+
+
+def test_null_partition_values_roundtrip(spark, scratch):
+    from adevents.functions.typing import type_events
+    from adevents.schema import RAW_SCHEMA
+
+    raw = spark.createDataFrame(
+        [
+            ("oops", "impression", "a1", "1", "2", "0.5", "3", None, "US"),
+            ("1717200000000", None, "a2", "1", "2", "0.5", "3", None, "US"),
+            ("1717200000000", "impression", "a3", "1", "2", "0.5", "3", None, "US"),
+        ],
+        RAW_SCHEMA,
+    )
+    write_store(type_events(raw), scratch)
+    back = {r.auction_id: r for r in read_store(spark, scratch).collect()}
+    assert back["a1"].day is None and back["a1"].type == "impression"
+    assert back["a2"].type is None and str(back["a2"].day) == "2024-06-01"
+    assert back["a3"].bid_price == 0.5

@@ -109,3 +109,12 @@ def test_projection_is_one_codegen_stage(spark):
     raw = spark.createDataFrame([ROWS["impression"]], RAW_SCHEMA)
     plan = type_events(raw).where(F.col("day").isNotNull())._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_out_of_range_epoch_is_null(spark):
+    raw = spark.createDataFrame(
+        [("1e20", "impression", "big", "1", "1", "1", "1", None, "US"), ("NaN", "impression", "nan", "1", "1", "1", "1", None, "US")],
+        RAW_SCHEMA,
+    )
+    rows = {r.auction_id: r for r in type_events(raw).collect()}
+    assert rows["big"].ts is None and rows["nan"].ts is None
