@@ -49,3 +49,17 @@ def test_compare_written_results(spark, events, scratch):
     # a spec no summary table covers falls back to the events
     _, source = answer(spark, store, select=["country", "MEDIAN(bid_price)"], group_by=["country"])
     assert source == "events"
+
+
+def test_parallel_write_reports(spark, events, scratch):
+    from adevents.operators.compare import compare_result_files
+    from adevents.plans.answer import write_reports
+    from adevents.plans.prepare import prepare
+    from adevents.plans.reports import SPECS
+
+    store = prepare(events, scratch + "/store")
+    a = write_reports(spark, store, SPECS, scratch + "/seq")
+    b = write_reports(spark, store, SPECS, scratch + "/par", max_parallel=5)
+    assert a == b
+    for name in SPECS:
+        assert compare_result_files(spark, f"{scratch}/seq/{name}", f"{scratch}/par/{name}").collect()[0].matched
