@@ -117,6 +117,18 @@ def read_rollup(spark: SparkSession, rollup: Rollup, path: str, schema=None) ->
     return df.select(*rollup.dims, *[m[0] for m in rollup.measures])
 
 
+# Stored measures each derivable aggregate needs.
+_NEEDS = {"sum": ("sum",), "count": ("count",), "min": ("min",), "max": ("max",), "avg": ("sum", "count")}
+
+
+def _check_derivable(rollup: Rollup, agg: AggItem) -> None:
+    if agg.func not in _NEEDS:
+        raise NotCovered(f"{agg.func}({agg.col}) cannot be derived from a rollup")
+    for func in _NEEDS[agg.func]:
+        if rollup.measure(func, agg.col) is None:
+            raise NotCovered(f"{rollup.name} has no {func}({agg.col}) for {agg.func}({agg.col})")
+
+
 def _derive(rollup: Rollup, agg: AggItem, regroup: bool) -> Column:
     """Column computing ``agg`` from stored measures (raises if impossible)."""
 
@@ -158,6 +170,15 @@ def check_coverage(rollup: Rollup, s: Spec) -> list[Mapping]:
             raise NotCovered(f"{rollup.name} cannot project {n!r} without grouping by it")
     if not s.aggregating:
         raise NotCovered("a plain projection needs the events")
+    out_names = output_names(s, [])
+    for agg in s.aggregates:
+        _check_derivable(rollup, agg)
+    for o in s.order_by:
+        key = _order_key(s, o, out_names)
+        if isinstance(key, AggItem):
+            _check_derivable(rollup, key)
+        elif key not in out_names and key not in s.group_by:
+            raise NotCovered(f"{rollup.name} cannot order by {key!r}")
     return remaining
 
 

@@ -93,3 +93,18 @@ def test_average_of_all_null_prices_is_null(spark):
         PURCHASES, build_rollup(ev, PURCHASES), select=["country", "AVG(total_price)"],
         where=[{"col": "type", "op": "eq", "val": "purchase"}], group_by=["country"]).collect()}
     assert got == {"XX": None, "YY": 5.0}
+
+
+def test_answer_falls_back_when_an_aggregate_is_not_derivable(spark, events, scratch):
+    from adevents.plans.answer import answer
+    from adevents.plans.prepare import prepare
+
+    store = prepare(events, scratch + "/store")
+    spec_ = dict(select=["country", "MEDIAN(total_price)"], where=[{"col": "type", "op": "eq", "val": "purchase"}], group_by=["country"])
+    assert not covers(PURCHASES, **spec_)
+    result, source = answer(spark, store, **spec_)
+    assert source == "events" and result.count() > 0
+    # an aggregate only named in order_by must be derivable as well
+    ordered = dict(select=["country"], where=[{"col": "type", "op": "eq", "val": "purchase"}], group_by=["country"],
+                   order_by=[{"col": "MAX(total_price)", "dir": "desc"}])
+    assert not covers(PURCHASES, **ordered)
