@@ -9,11 +9,19 @@ built by streaming those parts).  See :mod:`adevents.plans.catalog`.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+# The package lives next to this file; make it importable however this
+# module was loaded (by path, from another working directory).
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from adevents.plans import catalog
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from adevents.plans import catalog  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
