@@ -11,7 +11,7 @@ each report three ways, after three warm-up passes:
 * ``qN_csv``    -- answered from the raw CSV parts, parsed on every run
   (the unprepared baseline path).
 
-Each timing is the median of three runs.  ``qN_<path>`` is end to end:
+Each timing is the median of five runs.  ``qN_<path>`` is end to end:
 building the DataFrame from the report spec plus ``collect()``.
 ``exec_<path>_total`` counts only ``collect()`` (optimise, plan, execute,
 fetch) of a freshly built DataFrame -- the boundary at which the
@@ -34,7 +34,7 @@ from adevents.plans import catalog
 from adevents.plans.prepare import csv_parts_for, prepared_for
 from adevents.session import get_session
 
-RUNS = 3
+RUNS = 5
 WARMUP = 3
 
 
