@@ -139,3 +139,17 @@ def test_stream_by_name_accepts_mixed_headers(spark, events, scratch):
     assert back.exceptAll(want).count() == 0
     catch_up(spark, parts, store, ckpt, max_files=1, by_name=True)  # nothing new
     assert read_store(spark, store).count() == events.count()
+
+
+def test_leftover_attempt_files_are_invisible(spark, scratch):
+    _write(scratch, "events_part_0.csv", HEADER + "\n1717200000000,impression,a1,7,12,0.5,99,,JP\n")
+    # a crashed attempt's temporary file (malformed on purpose)
+    _write(scratch, "events_part_1.csv.attempt-3-0-17.tmp", HEADER + "\n1,impression,zz,1,1,abc,1,,US\n")
+    assert [r.auction_id for r in type_events(read_event_parts(spark, scratch)).collect()] == ["a1"]
+    zdir = scratch + "/z"
+    os.makedirs(zdir)
+    with zipfile.ZipFile(os.path.join(zdir, "events_0.zip"), "w") as zf:
+        zf.writestr("events_part_0.csv", HEADER + "\n1717200000000,impression,a1,7,12,0.5,99,,JP\n")
+    with zipfile.ZipFile(os.path.join(zdir, "events_1.zip.attempt-3-0-17.tmp"), "w") as zf:
+        zf.writestr("events_part_1.csv", HEADER + "\n1,impression,zz,1,1,abc,1,,US\n")
+    assert [r.auction_id for r in read_event_zip(spark, zdir).collect()] == ["a1"]
