@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,6 +53,7 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -61,16 +63,23 @@ def ship_package(spark: SparkSession) -> None:
     sniffer) run in executor processes; the package is zipped into the
     shared checkpoint folder and registered with ``addPyFile``.
     """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    with _SHIP_LOCK:
+        if app not in _SHIPPED:
+            _ship(spark)
+            _SHIPPED.add(app)
+
+
+def _ship(spark: SparkSession) -> None:
     import io
     import zipfile
     from pathlib import Path
 
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
     from adevents.sources.files import open_filesystem
 
+    sc = spark.sparkContext
     package = Path(__file__).resolve().parent
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
@@ -82,7 +91,6 @@ def ship_package(spark: SparkSession) -> None:
     with filesystem.open_output_stream(f"{inner}/adevents.zip") as out:
         out.write(buf.getvalue())
     sc.addPyFile(f"{folder}/adevents.zip")
-    _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
