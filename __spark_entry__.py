@@ -123,6 +123,8 @@ _FILTERS = {
     "filter_range": "bid_price > 10 AND bid_price <= 80 AND advertiser_id >= 3 AND advertiser_id < 15",
     "filter_between": "minute BETWEEN '2024-01-05 00:00' AND '2024-01-06 12:00'",
     "filter_in": "country IN ('US', 'JP')",
+    "filter_hours": "hour BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-05 18:00:00' "
+    "AND type IN ('impression', 'click', 'purchase')",
     "filter_and": "type = 'impression' AND country IN ('DE', 'BR', 'IN') "
     "AND day BETWEEN DATE '2024-01-03' AND DATE '2024-01-25' AND publisher_id >= 20",
 }
@@ -178,6 +180,8 @@ FROM ad_events
 WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-01-27' AND type <> 'error'
 GROUP BY country, type
 ORDER BY count_star DESC, country ASC NULLS LAST, type ASC NULLS LAST LIMIT 10""",
+    "q1_sql_names": """
+SELECT day, ROUND(SUM(bid_price), 4) AS "sum(bid_price)" FROM ad_events WHERE type = 'impression' GROUP BY day""",
     "compare_q3": """,
 qa AS (SELECT country, ROUND(AVG(total_price), 6) AS v FROM ad_events WHERE type = 'purchase' GROUP BY country),
 qb AS (SELECT country, ROUND(SUM(total_price) / NULLIF(COUNT(total_price), 0), 6) AS v

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from adevents.functions.typing import type_events
 from adevents.operators.compare import compare_results
 from adevents.operators.report import report
-from adevents.operators.rollups import COUNTS, PURCHASES, REVENUE, Rollup
+from adevents.operators.rollups import COUNTS, PURCHASES, REVENUE, Rollup, rollup_report
 from adevents.plans.adapter import load_ad_events, raw_events
 from adevents.plans.prepare import csv_parts_for, ingested_store_for, prepared_for, zip_parts_for
 from adevents.plans.reports import ROLLUP_OF, SPECS, on_events, on_rollup
@@ -197,6 +197,10 @@ FILTERS = {
     ],
     "filter_between": [{"col": "minute", "op": "between", "val": ["2024-01-05 00:00", "2024-01-06 12:00"]}],
     "filter_in": [{"col": "country", "op": "in", "val": ["US", "JP"]}],
+    "filter_hours": [
+        {"col": "hour", "op": "between", "val": ["2024-01-05 06:00:00", "2024-01-05 18:00:00"]},
+        {"col": "type", "op": "in", "val": ["impression", "click", "purchase"]},
+    ],
     "filter_and": [
         {"col": "type", "op": "eq", "val": "impression"},
         {"col": "country", "op": "in", "val": ["DE", "BR", "IN"]},
@@ -291,6 +295,12 @@ def compare_q3(spark, sf_dir):
     return compare_results(a, b, digits=6)
 
 
+def q1_sql_names(spark, sf_dir):
+    """Q1 from the revenue rollup with the default SQL column names."""
+    r = rollup_report(REVENUE, rollup_table(spark, sf_dir, REVENUE), **SPECS["q1"], names="sql")
+    return _rounded(r, {"sum(bid_price)": 4})
+
+
 def verify_reports(spark, sf_dir):
     """U4 end to end: the five reports written twice and compared as files.
 
@@ -361,6 +371,7 @@ def queries() -> dict:
             "adhoc_report": adhoc_report,
             "compare_q3": compare_q3,
             "verify_reports": verify_reports,
+            "q1_sql_names": q1_sql_names,
         }
     )
     for key, where in FILTERS.items():
