@@ -124,6 +124,9 @@ def _order_key(s: Spec, o: Mapping, out_names: Sequence[str]):
     text = o["col"]
     if text in out_names:
         return text
+    by_sql_name = {a.sql_name: a for a in s.aggregates}
+    if text in by_sql_name:
+        return by_sql_name[text].name
     agg = parse_agg_text(text)
     if agg is not None:
         return agg.name if agg.name in out_names else agg

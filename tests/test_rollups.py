@@ -108,3 +108,22 @@ def test_answer_falls_back_when_an_aggregate_is_not_derivable(spark, events, scr
     ordered = dict(select=["country"], where=[{"col": "type", "op": "eq", "val": "purchase"}], group_by=["country"],
                    order_by=[{"col": "MAX(total_price)", "dir": "desc"}])
     assert not covers(PURCHASES, **ordered)
+
+
+def test_custom_rollup_is_preferred_when_smallest(spark, events, scratch):
+    from adevents.operators.rollups import ROLLUPS, Rollup
+    from adevents.plans.answer import answer
+    from adevents.plans.prepare import prepare
+    from adevents.plans.reports import SPECS
+
+    daily = Rollup("daily", ("day", "type"), (("n", "count", "*"), ("revenue", "sum", "bid_price")))
+    store = prepare(events, scratch + "/store", rollups=ROLLUPS + (daily,))
+    result, source = answer(spark, store, rollups=ROLLUPS + (daily,), **SPECS["q1"])
+    assert source == "daily"
+    assert compare_results(result, report(events, **SPECS["q1"])).collect()[0].matched
+
+
+def test_order_by_sql_style_name(events):
+    r = report(events, select=["type", "COUNT(*)"], group_by=["type"], order_by=[{"col": "count_star()", "dir": "desc"}], names="sql")
+    counts = [x["count_star()"] for x in r.collect()]
+    assert counts == sorted(counts, reverse=True)
