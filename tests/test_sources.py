@@ -153,3 +153,30 @@ def test_leftover_attempt_files_are_invisible(spark, scratch):
     with zipfile.ZipFile(os.path.join(zdir, "events_1.zip.attempt-3-0-17.tmp"), "w") as zf:
         zf.writestr("events_part_1.csv", HEADER + "\n1,impression,zz,1,1,abc,1,,US\n")
     assert [r.auction_id for r in read_event_zip(spark, zdir).collect()] == ["a1"]
+
+
+def test_stream_fed_store_with_refreshed_summaries(spark, events, scratch):
+    from adevents.operators.compare import compare_results
+    from adevents.operators.report import report
+    from adevents.plans.answer import answer
+    from adevents.plans.prepare import PreparedStore, refresh_rollups
+    from adevents.plans.reports import SPECS
+
+    parts = scratch + "/parts"
+    early = events.where("day < '2024-01-25'")
+    write_event_parts(raw_events(early), parts, parts=2)
+    store = PreparedStore(scratch + "/root")
+    catch_up(spark, parts, store.events_path, scratch + "/root/_checkpoint")
+    refresh_rollups(spark, store)  # first build
+    late = events.where("day >= '2024-01-25'")
+    write_event_parts(raw_events(late), scratch + "/late", parts=1)
+    import shutil
+
+    shutil.copyfile(scratch + "/late/events_part_00000.csv", parts + "/events_part_99000.csv")  # a part arrives
+    catch_up(spark, parts, store.events_path, scratch + "/root/_checkpoint")
+    refresh_rollups(spark, store, days=[r.day for r in late.select("day").distinct().collect()])
+    for name in ("q1", "q3", "q4"):
+        got, source = answer(spark, store, **SPECS[name])
+        assert source != "events"
+        want = report(type_events(raw_events(events)), **SPECS[name])
+        assert compare_results(got, want).collect()[0].matched, name
