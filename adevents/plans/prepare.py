@@ -73,15 +73,31 @@ def prepare_from_path(spark: SparkSession, path: str, root: str, bad_price: str
     return prepare(type_events(read_raw_events(spark, path), bad_price=bad_price), root)
 
 
-def prepare(events: DataFrame, root: str, rollups=ROLLUPS) -> PreparedStore:
+def prepare(events: DataFrame, root: str, rollups=ROLLUPS, parallel: int = 3) -> PreparedStore:
+    """Write the store, then build every rollup from the written files.
+
+    The rollups are independent pruned reads of the store, so up to
+    ``parallel`` of them are submitted at once from driver threads; their
+    jobs overlap on the cluster (results do not depend on it).
+    """
     spark = events.sparkSession
     prepared = PreparedStore(root)
     write_store(events, prepared.events_path)
     store = prepared.events(spark)
-    for r in rollups:
+
+    def build(r: Rollup) -> tuple[str, str]:
         path = _join(root, f"agg_{r.name}")
         write_rollup(build_rollup(store, r), r, path)
-        prepared.rollup_paths[r.name] = path
+        return r.name, path
+
+    if parallel > 1 and len(rollups) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=min(parallel, len(rollups))) as pool:
+            built = list(pool.map(build, rollups))
+    else:
+        built = [build(r) for r in rollups]
+    prepared.rollup_paths.update(dict(built))
     return prepared
 
 
