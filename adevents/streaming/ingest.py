@@ -1,8 +1,10 @@
 """Incremental ingest: event parts are appended to the store as they arrive.
 
 A Structured Streaming file source watches the part folder; every trigger
-takes the new parts (at most ``max_files`` of them when set), types them with the same rules as
-the batch path and appends them to the partitioned Parquet store.  The
+takes the new parts (at most ``max_files`` of them when set), types them
+with the same rules as the batch path and appends them to the partitioned
+Parquet store.  Columns are assigned by position with every header
+verified, or by each part's own header with ``by_name=True``.  The
 checkpoint records which parts were taken, so each part lands exactly once
 even when a run is interrupted and restarted.  ``available_now=True`` works
 through the backlog and stops (a batch-style catch-up); otherwise the query
