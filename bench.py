@@ -55,6 +55,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
 
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").count()
     t_prepare = _time(lambda: prepared_for(spark, sf_dir))
     t_parts = _time(lambda: csv_parts_for(spark, sf_dir))
     print(f"prepare {t_prepare:.2f}s, csv parts {t_parts:.2f}s", file=sys.stderr)
@@ -120,6 +121,7 @@ def main() -> None:
             "prepare": round(t_prepare, 3),
         },
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        "events_rows": rows,
         "cpus": int(cpus),
     }
     print(json.dumps(out))
