@@ -159,6 +159,11 @@ SELECT country, MIN(bid_price) AS min_bid_price, MAX(bid_price) AS max_bid_price
        ROUND(MEDIAN(bid_price), 6) AS median_bid_price, COUNT(DISTINCT user_id) AS count_distinct_user_id,
        ROUND(MEDIAN(total_price), 6) AS median_total_price
 FROM ad_events GROUP BY country""",
+    "agg_variants": """
+SELECT type, ROUND(STDDEV_POP(bid_price), 6) AS stddev_pop_bid_price, ROUND(VAR_POP(bid_price), 6) AS var_pop_bid_price,
+       ROUND(AVG(total_price), 6) AS avg_total_price, CAST(SUM(DISTINCT advertiser_id) AS BIGINT) AS sum_distinct_advertiser_id,
+       COUNT(DISTINCT country) AS count_distinct_country
+FROM ad_events GROUP BY type""",
     "distinct_pairs": "SELECT DISTINCT advertiser_id, type FROM ad_events",
     "rollup_counts": "SELECT advertiser_id, type, COUNT(*) AS event_count FROM ad_events GROUP BY advertiser_id, type",
     "rollup_revenue": """

@@ -235,6 +235,21 @@ def agg_misc(spark, sf_dir):
     return _rounded(r, six)
 
 
+def agg_variants(spark, sf_dir):
+    """Population spreads, DISTINCT sums and counts, the MEAN alias."""
+    r = report(
+        store(spark, sf_dir),
+        select=[
+            "type",
+            {"STDDEV_POP": "bid_price", "VAR_POP": "bid_price", "MEAN": "total_price"},
+            "SUM(DISTINCT advertiser_id)",
+            "COUNT(DISTINCT country)",
+        ],
+        group_by=["type"],
+    )
+    return _rounded(r, {"stddev_pop_bid_price": 6, "var_pop_bid_price": 6, "avg_total_price": 6})
+
+
 def distinct_pairs(spark, sf_dir):
     return report(store(spark, sf_dir), select=["advertiser_id", "type"], group_by=["advertiser_id", "type"])
 
@@ -362,6 +377,7 @@ def queries() -> dict:
             "hourly_revenue": hourly_revenue,
             "global_agg": global_agg,
             "agg_misc": agg_misc,
+            "agg_variants": agg_variants,
             "distinct_pairs": distinct_pairs,
             "rollup_counts": rollup_counts,
             "rollup_revenue": rollup_revenue,
