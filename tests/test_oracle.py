@@ -28,6 +28,11 @@ def con():
     return c
 
 
+# Spark type -> DuckDB type name the oracle must produce for the same column.
+TYPE_NAMES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def test_every_query_has_an_oracle():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
@@ -39,6 +44,9 @@ def test_query_matches_oracle(spark, con, key):
     res = con.execute(entry.oracle_sql()[key])
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
+    duck_types = dict(zip(cols, (str(t) for t in con.sql(entry.oracle_sql()[key]).types)))
+    for f in df.schema.fields:
+        assert TYPE_NAMES.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType, duck_types[f.name])
     want = [tuple(r[cols.index(c)] for c in df.columns) for r in res.fetchall()]
     assert _norm(got) == _norm(want)
 
