@@ -19,6 +19,8 @@ Clause rules:
   aggregate text or (without aggregation) any input column; NULLs sort
   last in both directions.
 * ``limit=None`` returns every row, ``limit=n`` the first ``n``.
+* ``names="sql"`` renames aggregate columns to the default SQL names
+  (``sum(bid_price)``, ``count_star()``) as a final projection.
 """
 
 from __future__ import annotations

@@ -214,3 +214,10 @@ def test_sql_style_names(events):
     assert d.columns == ["count(DISTINCT user_id)"]
     with pytest.raises(ValueError):
         report(events, select=["day"], names="fancy")
+
+
+def test_approx_count_distinct_is_close(events):
+    r = report(events, select=["type", "APPROX_COUNT_DISTINCT(user_id)", "COUNT(DISTINCT user_id)"], group_by=["type"]).collect()
+    for row in r:
+        exact = row.count_distinct_user_id
+        assert abs(row.approx_count_distinct_user_id - exact) <= max(2, 0.1 * exact)
