@@ -9,6 +9,8 @@ built by streaming those parts).  See :mod:`adevents.plans.catalog`.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -31,8 +33,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return catalog.flagship(spark, SMOKE_DIR)
 
 
+def _optional(name: str):
+    """The module, or None where it (or its package) isn't installed."""
+    try:
+        found = importlib.util.find_spec(name)
+    except ModuleNotFoundError:
+        return None
+    return importlib.import_module(name) if found else None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return catalog.queries()
+    out = dict(catalog.queries())
+    if llm := _optional("adevents.llm.queries"):
+        out |= llm.QUERIES
+        if pipeline := _optional("corpus_pipeline"):
+            out["pipeline"] = pipeline.run
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -228,4 +244,9 @@ def oracle_sql() -> dict[str, str]:
     for key, sql in _OTHER.items():
         out[key] = a + ("\n" + sql if not sql.startswith(",") else sql)
     out["verify_reports"] = a + _verify_sql()
+    if llm := _optional("adevents.llm.oracles"):
+        out |= llm.ORACLES
+        pipeline = _optional("corpus_pipeline")
+        if pipeline and pipeline.ORACLE_SQL:
+            out["pipeline"] = pipeline.ORACLE_SQL
     return out
