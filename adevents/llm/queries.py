@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adevents.llm import mixing, quality, sharding, url_filter
+from adevents.llm import contamination, jaccard_join, mixing, quality, sharding, substring_dedup, token_files, url_filter
 from adevents.llm.common import read_table
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination_digest(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(read_table(spark, sf_dir, "documents"))
 
@@ -27,9 +37,21 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_digest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
+    "op2_decontamination": op2_decontamination,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
     "op8_mixing": op8_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
