@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adevents.llm import contamination, jaccard_join, mixing, quality, sharding, substring_dedup, token_files, url_filter
+from adevents.llm import contamination, jaccard_join, katz, mixing, quality, sharding, substring_dedup, token_files, url_filter
 from adevents.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.lm_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(read_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
+    "op4_katz_scoring": op4_katz_scoring,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
