@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adevents.llm import contamination, jaccard_join, katz, mixing, quality, sharding, substring_dedup, token_files, url_filter
+from adevents.llm import contamination, jaccard_join, katz, mixing, quality, sharding, substring_dedup, token_files, toxicity, url_filter
 from adevents.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.lm_digest(read_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_katz_scoring": op4_katz_scoring,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
