@@ -18,17 +18,20 @@ same order; a block whose answers don't fit its keys raises.
 from __future__ import annotations
 
 import io
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adevents.llm.common import with_row_id
 
-BLOCKS_PER_PART = 4
+#: Blocks and key partitions per shuffle partition.  Every block sends a row to every key partition.
+BLOCKS = 2
+PARTS = 0.5
 ANSWER = "block int, round int, part int, payload binary"
 _ANSWER = pa.schema([("block", pa.int32()), ("round", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
 _PACKED = "block int, payload binary"
@@ -90,11 +93,19 @@ def flags_of(bits: np.ndarray, n: int) -> np.ndarray:
 # ---- blocks ------------------------------------------------------------------
 
 
-def parts_of(docs: DataFrame) -> int:
-    """Number of hash partitions: the session's number of shuffle partitions."""
+def _width(docs: DataFrame) -> int:
     return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parts_of(docs: DataFrame) -> int:
+    """Number of hash partitions of the keys."""
+    return max(1, math.ceil(_width(docs) * PARTS))
+
+
+def block_of(row_id: str, docs: DataFrame) -> Column:
+    return F.pmod(F.xxhash64(row_id), F.lit(max(1, math.ceil(_width(docs) * BLOCKS)))).cast("int")
+
+
 def _pack_batches(columns: list[str]):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -120,11 +131,8 @@ def _pack_batches(columns: list[str]):
 
 def deal(docs: DataFrame, *columns: str) -> DataFrame:
     """``docs`` (a table scan) as blocks of ``row_id`` and the given columns."""
-    parts = parts_of(docs)
-    rows = with_row_id(docs.select(*columns), "row_id").withColumn(
-        "block", F.pmod(F.xxhash64("row_id"), F.lit(parts * BLOCKS_PER_PART)).cast("int")
-    )
-    return rows.mapInArrow(_pack_batches(["row_id", *columns]), _PACKED).repartition(parts, "block")
+    rows = with_row_id(docs.select(*columns), "row_id").withColumn("block", block_of("row_id", docs))
+    return rows.mapInArrow(_pack_batches(["row_id", *columns]), _PACKED).repartition(_width(docs), "block")
 
 
 def _rows_of(block: pa.Table) -> pa.Table:

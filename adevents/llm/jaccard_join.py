@@ -125,7 +125,7 @@ def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
 # ---- survivors -------------------------------------------------------------------
 
 
-def _standing(classes: DataFrame, parts: int) -> DataFrame:
+def _standing(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The classes' first rows as round 0 of the blocks' answers."""
 
     def pack(key, rows):
@@ -135,8 +135,7 @@ def _standing(classes: DataFrame, parts: int) -> DataFrame:
             schema=pa.schema([("block", pa.int32()), ("round", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())]),
         )
 
-    block = F.pmod(F.xxhash64("rep"), F.lit(parts * B.BLOCKS_PER_PART)).cast("int")
-    return classes.select("rep", block.alias("block")).groupBy("block").applyInArrow(pack, B.ANSWER)
+    return classes.select("rep", B.block_of("rep", docs).alias("block")).groupBy("block").applyInArrow(pack, B.ANSWER)
 
 
 class _Standing:
@@ -178,7 +177,7 @@ def _survivors(docs: DataFrame, classes: DataFrame, threshold: int, shingle: int
         )
 
     dealt = B.deal(docs, "text")
-    standing = _standing(classes, parts)
+    standing = _standing(classes, docs)
     asked = B.questions(dealt, 1, ask, standing)
     answers = standing.unionByName(B.answered(asked, reply_shared))
     return B.finish(dealt, answers, "rid long, tokens binary", survive)
