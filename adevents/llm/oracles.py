@@ -30,11 +30,12 @@ ln AS (
   FROM (SELECT rid, host, unnest(string_split(text, chr(10))) AS line FROM d)
 ),
 lk AS (SELECT rid, host, words, ('0x' || substr(md5(norm), 1, 15))::BIGINT AS key FROM ln WHERE norm <> ''),
-mk AS (SELECT rid, min(key) AS mark FROM lk GROUP BY rid),
-hosts AS (SELECT host, count(DISTINCT mark) AS host_docs FROM d LEFT JOIN mk USING (rid) GROUP BY host),
+mk AS (SELECT rid, list_sort(list(DISTINCT key))[1:2] AS marks FROM lk GROUP BY rid),
+hosts AS (SELECT host, count(DISTINCT marks) AS host_docs FROM d JOIN mk USING (rid) GROUP BY host),
 common AS (
   SELECT host, key FROM (
-    SELECT host, key, count(DISTINCT mark) AS docs FROM lk JOIN mk USING (rid) GROUP BY host, key) JOIN hosts USING (host)
+    SELECT host, key, count(DISTINCT CASE WHEN key = marks[1] THEN coalesce(marks[2], key) ELSE marks[1] END) AS docs
+    FROM lk JOIN mk USING (rid) GROUP BY host, key) JOIN hosts USING (host)
   WHERE docs > {quality.MIN_DOCS} AND docs > host_docs * {quality.MAX_SHARE}::DOUBLE
 ),
 gone AS (SELECT rid, sum(words)::BIGINT AS n FROM lk JOIN common USING (host, key) GROUP BY rid),
