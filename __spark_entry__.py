@@ -139,13 +139,29 @@ _FILTERS = {
     "filter_range": "bid_price > 10 AND bid_price <= 80 AND advertiser_id >= 3 AND advertiser_id < 15",
     "filter_between": "minute BETWEEN '2024-01-05 00:00' AND '2024-01-06 12:00'",
     "filter_in": "country IN ('US', 'JP')",
+    "filter_fraction": "advertiser_id < 12.5 AND advertiser_id >= 2.5 AND publisher_id BETWEEN -0.5 AND 60.25 AND advertiser_id <> 7.5",
+    "filter_wide": "advertiser_id < 3000000000 AND publisher_id > -3000000000 AND user_id <= 400",
     "filter_hours": "hour BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-05 18:00:00' "
     "AND type IN ('impression', 'click', 'purchase')",
     "filter_and": "type = 'impression' AND country IN ('DE', 'BR', 'IN') "
     "AND day BETWEEN DATE '2024-01-03' AND DATE '2024-01-25' AND publisher_id >= 20",
 }
 
+_DAILY = "SELECT day, ROUND(SUM(bid_price), 4) AS sum_bid_price, '{source}' AS source FROM ad_events WHERE type = 'impression' AND {cond} GROUP BY day"
+
 _OTHER = {
+    "answer_routed": _DAILY.format(source="daily_revenue", cond="country IN ('US', 'DE')"),
+    "answer_fallback": _DAILY.format(source="events", cond="user_id < 500"),
+    "answer_empty_count": "SELECT COUNT(*) AS count_star, 'counts' AS source FROM ad_events WHERE type = 'no such type'",
+    "reload_day": """
+SELECT type, day, COUNT(*) AS n_rows FROM ad_events
+WHERE NOT (type = 'click' AND day = DATE '2024-01-10') OR type IS NULL OR day IS NULL OR advertiser_id < 7.5
+GROUP BY type, day""",
+    "view_report": "SELECT type, COUNT(*) AS n_rows, COUNT(DISTINCT country) AS n_countries FROM ad_events GROUP BY type",
+    "scalar_items": """
+SELECT lower(country) AS lower_country, CAST(month(day) AS INTEGER) AS month_day, CAST(length(type) AS INTEGER) AS length_type,
+       COUNT(*) AS count_star
+FROM ad_events GROUP BY ALL""",
     "csv_roundtrip": f"SELECT {_ALL} FROM ad_text",
     "zip_roundtrip": f"SELECT {_ALL} FROM ad_text",
     "incremental_ingest": f"SELECT {_ALL} FROM ad_text",
@@ -224,9 +240,10 @@ def _verify_sql() -> str:
         body = body.split("ORDER BY")[0]
         parts.append(
             f"SELECT '{q}' AS query, n AS rows_a, n AS rows_b, CAST(0 AS BIGINT) AS only_a, "
-            f"CAST(0 AS BIGINT) AS only_b, TRUE AS same_header, TRUE AS matched "
+            f"CAST(0 AS BIGINT) AS only_b, TRUE AS same_header, TRUE AS matched, 'PASS' AS status "
             f"FROM (SELECT COUNT(*) AS n FROM ({body}))"
         )
+    parts.append("SELECT 'missing', NULL, NULL, NULL, NULL, FALSE, FALSE, 'FAIL'")  # in neither folder
     return "\n" + "\nUNION ALL\n".join(parts)
 
 

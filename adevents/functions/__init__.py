@@ -1,26 +1 @@
 """Column-level building blocks: typing rules, predicates, aggregates."""
-
-from adevents.functions.aggregates import AggItem, aggregate_column, parse_select_item
-from adevents.functions.predicates import conjunction, predicate
-from adevents.functions.typing import (
-    calendar_columns,
-    epoch_millis_to_ts,
-    soft_int,
-    strict_double,
-    ts_to_epoch_millis,
-    type_events,
-)
-
-__all__ = [
-    "AggItem",
-    "aggregate_column",
-    "parse_select_item",
-    "conjunction",
-    "predicate",
-    "calendar_columns",
-    "epoch_millis_to_ts",
-    "soft_int",
-    "strict_double",
-    "ts_to_epoch_millis",
-    "type_events",
-]

@@ -1,6 +1,6 @@
 """Aggregate items of a report: parsing, naming and Column builders.
 
-A select item is either a column name, an aggregate text such as
+A select item is either a column name, a function text such as
 ``"AVG(total_price)"`` / ``"COUNT(*)"`` / ``"COUNT(DISTINCT user_id)"``, or
 a dict ``{FUNC: col, ...}`` where every key is one output column.  Every
 aggregate gets an explicit, engine-independent name ``<func>_<col>``
@@ -11,7 +11,11 @@ All builders are Spark built-ins: they aggregate partially on the map side
 before the shuffle, so a hot group never travels as raw rows.  The one
 exception is ``median``, whose exact value is computed by
 :func:`adevents.operators.quantiles.exact_median` as a separate,
-distributed plan (see there).
+distributed plan (see there).  ``mode`` keeps a group's distinct values in one
+buffer; use it for columns with few values.
+
+Scalar functions of one column (``{"UPPER": "country"}``, ``"MONTH(day)"``) may
+be selected and grouped by, and are named ``<func>_<col>`` too.
 """
 
 from __future__ import annotations
@@ -45,6 +49,25 @@ BUILDERS: dict[str, Callable[[Column], Column]] = {
     "variance": F.var_samp,
     "var_pop": F.var_pop,
     "approx_count_distinct": F.approx_count_distinct,
+    "any_value": F.any_value,
+    "first": F.first,
+    "last": F.last,
+    "mode": lambda c: F.mode(c, deterministic=True),
+    "skewness": F.skewness,
+    "kurtosis": F.kurtosis,
+    "bool_and": F.bool_and,
+    "bool_or": F.bool_or,
+}
+# Scalar functions of one column, for select and group_by.
+SCALARS: dict[str, Callable[[Column], Column]] = {
+    "upper": F.upper,
+    "lower": F.lower,
+    "length": F.length,
+    "abs": F.abs,
+    "round": F.round,
+    "year": F.year,
+    "month": F.month,
+    "dayofweek": F.dayofweek,
 }
 # Aggregates computed by a dedicated distributed plan, not a Column.
 PLANNED = ("median",)
@@ -79,6 +102,41 @@ class AggItem:
         return f"{self.func}({self.col})"
 
 
+@dataclass(frozen=True)
+class ScalarItem:
+    """A scalar function of one column; its output is named ``<func>_<col>``."""
+
+    func: str
+    col: str
+
+    @property
+    def name(self) -> str:
+        return f"{self.func}_{self.col}"
+
+    def column(self) -> Column:
+        return SCALARS[self.func](F.col(self.col))
+
+
+def make_item(func: str, arg: str) -> AggItem | ScalarItem:
+    if func.strip().lower() in SCALARS:
+        return ScalarItem(func.strip().lower(), arg.strip())
+    return make_agg(func, arg)
+
+
+def parse_scalar(text: str) -> ScalarItem | None:
+    """``"UPPER(country)"`` -> its item; ``None`` for anything but a scalar function."""
+    m = _CALL.match(text)
+    if not m or m.group(1).lower() not in SCALARS:
+        return None
+    return ScalarItem(m.group(1).lower(), m.group(2))
+
+
+def parse_call(text: str) -> AggItem | ScalarItem | None:
+    """``"UPPER(country)"`` or ``"SUM(bid_price)"`` -> its item; ``None`` for a plain name."""
+    m = _CALL.match(text)
+    return make_item(m.group(1), m.group(2)) if m else None
+
+
 def make_agg(func: str, arg: str) -> AggItem:
     func = func.strip().lower()
     func = FUNCTION_ALIASES.get(func, func)
@@ -104,14 +162,14 @@ def parse_agg_text(text: str) -> AggItem | None:
 
 
 def parse_select_item(item) -> list:
-    """A select item -> list of column names (str) and AggItems."""
+    """A select item -> list of column names (str), AggItems and ScalarItems."""
     if isinstance(item, str):
-        agg = parse_agg_text(item)
-        return [agg if agg is not None else item.strip()]
+        call = parse_call(item)
+        return [call if call is not None else item.strip()]
     if isinstance(item, dict):
         if not item:
             raise ValueError("empty function item in select")
-        return [make_agg(func, col) for func, col in item.items()]
+        return [make_item(func, col) for func, col in item.items()]
     raise ValueError(f"select item must be a name, an aggregate text or a dict: {item!r}")
 
 

@@ -24,6 +24,15 @@ def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+#: What counts as a number: no type suffix as in ``1d``, which a cast alone would take.
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
+
+
+def soft_double(text: Column) -> Column:
+    """``TRY_CAST(x AS DOUBLE)``: NULL unless ``x`` is a number."""
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
 def soft_int(text: Column, kind: str = "int") -> Column:
     """``TRY_CAST(x AS INTEGER/BIGINT)``: NULL unless ``x`` is a plain integer."""
     return text.try_cast(kind)
@@ -34,7 +43,7 @@ def strict_double(text: Column, name: str, bad: str = "error") -> Column:
     if bad not in ("error", "null"):
         raise ValueError(f"bad must be 'error' or 'null', not {bad!r}")
     value = F.nullif(text, F.lit(""))
-    parsed = value.try_cast("double")
+    parsed = soft_double(value)
     if bad == "null":
         return parsed
     message = F.concat(F.lit(f"malformed {name}: "), value)
@@ -47,7 +56,7 @@ def epoch_millis_to_ts(text: Column) -> Column:
     The value is rounded to whole microseconds before it becomes a
     timestamp, so integral milliseconds convert exactly.
     """
-    micros = F.round(text.try_cast("double") * F.lit(1000.0)).try_cast("long")
+    micros = F.round(soft_double(text) * F.lit(1000.0)).try_cast("long")
     return F.timestamp_add("MICROSECOND", micros, _epoch())
 
 

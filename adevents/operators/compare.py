@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from adevents.functions.typing import soft_double
+from adevents.sources.files import CSV_DIALECT, exists
+
 _SIDE = "__side"
 
 
@@ -72,7 +75,7 @@ def _text_normalized(df: DataFrame, digits: int) -> DataFrame:
     """Text values that parse as numbers are rounded, as a text comparer does."""
     cols = []
     for c in df.columns:
-        num = F.col(c).try_cast("double")
+        num = soft_double(F.col(c))
         cols.append(F.when(num.isNotNull(), F.round(num, digits).cast("string")).otherwise(F.col(c)).alias(c))
     return df.select(*cols)
 
@@ -83,6 +86,31 @@ def compare_result_files(spark, path_a: str, path_b: str, digits: int = 6) -> Da
     Values are read as text; every value that parses as a number is rounded
     to ``digits`` places on both sides before the comparison.
     """
-    a = spark.read.option("header", True).option("inferSchema", False).csv(path_a)
-    b = spark.read.option("header", True).option("inferSchema", False).csv(path_b)
+    reader = spark.read.options(header=True, inferSchema=False, **CSV_DIALECT)
+    a, b = reader.csv(path_a), reader.csv(path_b)
     return compare_results(_text_normalized(a, digits), _text_normalized(b, digits), digits)
+
+
+_SUMMARY = "rows_a long, rows_b long, only_a long, only_b long, same_header boolean, matched boolean"
+
+
+def compare_result_folders(spark, dir_a: str, dir_b: str, names, digits: int = 6) -> DataFrame:
+    """One row per result name: the comparison of its CSV in both folders.
+
+    ``status`` is PASS or FAIL; a result that a folder lacks is a FAIL row with
+    NULL counts.
+    """
+    rows = None
+    for name in names:
+        paths = [f"{d.rstrip('/')}/{name}" for d in (dir_a, dir_b)]
+        if all(exists(spark, p) for p in paths):
+            one = compare_result_files(spark, *paths, digits)
+        else:
+            one = spark.createDataFrame([(None, None, None, None, False, False)], _SUMMARY)
+        one = one.select(
+            F.lit(name).alias("query"), "*", F.when(F.col("matched"), "PASS").otherwise("FAIL").alias("status")
+        )
+        rows = one if rows is None else rows.unionByName(one)
+    if rows is None:
+        raise ValueError("no result names given")
+    return rows

@@ -1,23 +1,19 @@
-"""Exact median per group, without gathering a group in one task.
+"""Exact medians per group, without gathering a group in one task.
 
 Spark's built-in ``median``/``percentile`` merge every distinct value of a
 group in a single task, so one hot group with many distinct values can
-exhaust that task.  Here the median is found by a radix selection over an
-order-preserving 64-bit key of each value:
-
-1. every value gets a signed 64-bit key whose order equals the value order
-   (NaN largest, ``-0.0`` folded into ``0.0``);
-2. the key is read as four 16-bit digits; at each level the candidate rows
-   are counted per ``(group, digit)`` -- a partial aggregate, at most
-   65,536 buckets per group -- and a running sum over those buckets finds
-   the digit that holds the wanted rank;
-3. the next level only sees rows whose key starts with the chosen prefix
-   (an equi-join with one row per group and target, which adaptive
-   execution broadcasts when it is small).
-
-Four passes fix the key exactly; the lower and upper middle values are then
-averaged as ``quantile_cont(0.5)`` does.  No window ever holds more than
-65,536 rows per group and no value list is ever built.
+exhaust that task.  Here the rows are first counted per group and value (a
+partial aggregate), and these counts are written range-partitioned by group
+and value.  From then on only counts are looked at:
+
+1. every range partition's total per group (one row per partition and group)
+   gives, by a running sum over the partitions of a group, the partition that
+   holds each of the two middle ranks;
+2. only those partitions' rows are ranked, inside their partition.
+
+The raw values are shuffled once, behind the partial aggregate; no window holds
+more than one range partition of a group, and a group of any size is spread
+over the partitions its values fill.
 """
 
 from __future__ import annotations
@@ -28,171 +24,75 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_X, _K, _D, _C, _V = "__x", "__k", "__d", "__c", "__v"
-_T, _R, _P, _CUM, _N = "__t", "__r", "__p", "__cum", "__n"
+_X, _C, _P, _T, _R, _N, _UPTO = "__x", "__c", "__p", "__t", "__r", "__n", "__upto"
 
-_TWO52 = float(2**52)
-_NAN_KEY = 0x7FF8000000000000
-_INF_KEY = 0x7FF0000000000000
 
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """An equi-join in which NULL keys match; the keys are kept once."""
+    other = right.withColumnsRenamed({k: f"__other_{i}" for i, k in enumerate(keys)})
+    same = [F.col(k).eqNullSafe(F.col(f"__other_{i}")) for i, k in enumerate(keys)]
+    return left.join(other, reduce(lambda a, b: a & b, same), how).drop(*[f"__other_{i}" for i in range(len(keys))])
 
-def sortable_key(x: Column) -> Column:
-    """Signed 64-bit key with the same order as the double ``x``.
 
-    For finite non-zero values the key is the IEEE-754 bit pattern of
-    ``|x|`` (negated for negative values), rebuilt exactly from the binary
-    exponent and mantissa with power-of-two arithmetic.
-    """
-    a = F.abs(x)
-    e0 = F.floor(F.log2(a))
-    e = (
-        F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
-        .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1)
-        .otherwise(e0)
-    )
-    normal = (e + 1023) * F.lit(2**52) + ((a / F.pow(F.lit(2.0), e) - 1.0) * F.lit(_TWO52)).cast("long")
-    subnormal = (a * F.lit(2.0**1022) * F.lit(_TWO52)).cast("long")
-    magnitude = F.when(e >= -1022, normal).otherwise(subnormal)
-    return (
-        F.when(x.isNull(), F.lit(None).cast("long"))
-        .when(F.isnan(x), F.lit(_NAN_KEY))
-        .when(a == F.lit(float("inf")), F.when(x > 0, F.lit(_INF_KEY)).otherwise(F.lit(-_INF_KEY)))
-        .when(a == 0.0, F.lit(0).cast("long"))
-        .when(x > 0, magnitude)
-        .otherwise(-magnitude)
-    )
-
-
-def _digit(level: int) -> Column:
-    k = F.col(_K)
-    if level == 0:
-        return F.shiftright(k, 48)
-    return F.shiftright(k, 48 - 16 * level).bitwiseAND(F.lit(0xFFFF))
+def _ranged_counts(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """``keys, value, count, part`` on storage, range-partitioned by keys and value."""
+    from adevents.session import scratch_path
 
+    # + 0.0 makes -0.0 an ordinary zero
+    counts = df.select(*keys, (value.cast("double") + F.lit(0.0)).alias(_X)).groupBy(*keys, _X).agg(F.count(F.lit(1)).alias(_C))
+    ranged = counts.repartitionByRange(*keys, _X).withColumn(_P, F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "median")
+    ranged.write.parquet(path)
+    return df.sparkSession.read.schema(ranged.schema).parquet(path)
 
-def _prefix(level: int) -> Column:
-    """Key bits above the digit of ``level`` (level >= 1)."""
-    return F.shiftright(F.col(_K), 64 - 16 * level)
 
-
-def _columnar_scan_only(df: DataFrame) -> bool:
-    """True when ``df`` is a projection/filter of Parquet or ORC files."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "Scan " in line]
-    if not scans or "Exchange" in plan or "Generate" in plan:
-        return False
-    return all("FileScan parquet" in line or "FileScan orc" in line for line in scans)
-
-
-def _passes_input(vals: DataFrame, materialize: bool | None) -> DataFrame:
-    """The frame the four passes read.
-
-    Re-reading pruned columns of Parquet is cheaper than writing a copy,
-    but a costly source (CSV text, a shuffle, a Python data source) would
-    be recomputed by every pass; that lineage is cut once with a reliable
-    checkpoint in the shared ``spark.checkpoint.dir``.
-    """
-    if materialize is None:
-        materialize = not _columnar_scan_only(vals)
-    if not materialize:
-        return vals
-    from adevents.session import checkpoint_root
-
-    checkpoint_root(vals.sparkSession)
-    return vals.checkpoint(eager=True)
-
-
-def _keys_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [left[k].eqNullSafe(right[k]) for k in keys]
-
-
-def exact_median(df: DataFrame, keys: Sequence[str], col: str, name: str, materialize: bool | None = None) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
     """One row per group of ``keys``: the exact median of ``col`` as ``name``.
 
-    Groups whose values are all NULL get NULL; no ``keys`` means one row.
-    ``materialize`` forces (True) or forbids (False) checkpointing the
-    input of the passes; by default only costly sources are checkpointed.
+    The lower and upper middle values are averaged.  Groups whose values are
+    all NULL get NULL; no ``keys`` means one row.  NaN counts as the largest value.
     """
     keys = list(keys)
-    vals = df.select(*keys, F.col(col).cast("double").alias(_X))
-    vals = _passes_input(vals, materialize)
-    vals = vals.select(*keys, (F.col(_X) + F.lit(0.0)).alias(_X)).withColumn(_K, sortable_key(F.col(_X)))
-
-    # Level 0: top digit per group; NULL values keep their group alive.
-    hist = vals.groupBy(*keys, _digit(0).alias(_D)).agg(F.count(F.lit(1)).alias(_C))
-    groups = hist.select(*keys).distinct() if keys else None
-    hist = hist.where(F.col(_D).isNotNull())
-    by_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    running = by_group.orderBy(_D).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn(_N, F.sum(_C).over(by_group)).withColumn(_CUM, F.sum(_C).over(running))
-    targets = F.explode(
-        F.array(
-            F.struct(F.lit(1).alias(_T), F.floor((F.col(_N) + 1) / 2).alias(_R)),
-            F.struct(F.lit(2).alias(_T), (F.floor(F.col(_N) / 2) + 1).alias(_R)),
-        )
+    every = _ranged_counts(df, keys, F.col(col))
+    counts = every.where(F.col(_X).isNotNull())
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    parts = counts.groupBy(*keys, _P).agg(F.sum(_C).alias(_C))
+    parts = parts.withColumn(_N, F.sum(_C).over(group)).withColumn(
+        _UPTO, F.sum(_C).over(group.orderBy(_P).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    sel = hist.select(*keys, _D, _C, _CUM, targets.alias("__tr")).select(
-        *keys, _D, _C, _CUM, F.col("__tr." + _T).alias(_T), F.col("__tr." + _R).alias(_R)
+    ranks = F.array(F.floor((F.col(_N) + 1) / 2), F.floor(F.col(_N) / 2) + 1)
+    wanted = (
+        parts.select(*keys, _P, _C, _UPTO, F.posexplode(ranks).alias(_T, _R))
+        .where((F.col(_UPTO) - F.col(_C) < F.col(_R)) & (F.col(_R) <= F.col(_UPTO)))
+        .select(*keys, _P, _T, (F.col(_R) - (F.col(_UPTO) - F.col(_C))).alias(_R))
     )
-    sel = _pick(sel).select(*keys, _T, F.col(_D).alias(_P), (F.col(_R) - (F.col(_CUM) - F.col(_C))).alias(_R))
-
-    for level in (1, 2, 3):
-        cand = vals.withColumn(_P, _prefix(level))
-        cond = _keys_match(cand, sel, keys) + [cand[_P] == sel[_P]]
-        joined = cand.join(sel, reduce(lambda a, b: a & b, cond), "inner").select(
-            *[cand[k] for k in keys], sel[_T], sel[_R], sel[_P], cand[_X], cand[_K]
-        )
-        aggs = [F.count(F.lit(1)).alias(_C)]
-        if level == 3:
-            aggs.append(F.min(_X).alias(_V))
-        hist = joined.groupBy(*keys, _T, _R, _P, _digit(level).alias(_D)).agg(*aggs)
-        by_target = Window.partitionBy(*keys, _T) if keys else Window.partitionBy(_T)
-        running = by_target.orderBy(_D).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        hist = hist.withColumn(_CUM, F.sum(_C).over(running))
-        picked = _pick(hist)
-        nxt = (F.col(_P) * F.lit(65536) + F.col(_D)).alias(_P)
-        extra = [_V] if level == 3 else []
-        sel = picked.select(*keys, _T, nxt, (F.col(_R) - (F.col(_CUM) - F.col(_C))).alias(_R), *extra)
-
-    lower = F.max(F.when(F.col(_T) == 1, F.col(_V)))
-    upper = F.max(F.when(F.col(_T) == 2, F.col(_V)))
+    held = _join(counts, wanted, [*keys, _P])
+    inside = Window.partitionBy(*keys, _P, _T).orderBy(_X).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = held.withColumn(_UPTO, F.sum(_C).over(inside)).where(
+        (F.col(_UPTO) - F.col(_C) < F.col(_R)) & (F.col(_R) <= F.col(_UPTO))
+    )
+    lower, upper = (F.max(F.when(F.col(_T) == t, F.col(_X))) for t in (0, 1))
     middle = (lower * 0.5 + upper * 0.5).alias(name)
-    med = sel.groupBy(*keys).agg(middle) if keys else sel.agg(middle)
     if not keys:
-        return med
-    return groups.join(med, _keys_match(groups, med, keys), "left").select(
-        *[groups[k] for k in keys], med[name]
-    )
-
-
-def _pick(hist: DataFrame) -> DataFrame:
-    """Rows whose bucket holds the target rank: cum - count < rank <= cum."""
-    return hist.where((F.col(_CUM) - F.col(_C) < F.col(_R)) & (F.col(_R) <= F.col(_CUM)))
+        return found.agg(middle)
+    medians = found.groupBy(*keys).agg(middle)
+    return _join(every.select(*keys).distinct(), medians, keys, "left")
 
 
 _COL = "__col"
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], cols: Sequence[tuple[str, str]]) -> DataFrame:
-    """Medians of several columns with one radix selection.
+    """Medians of several columns at once: ``cols`` holds ``(column, output name)`` pairs.
 
-    ``cols`` holds ``(source column, output name)`` pairs.  The columns are
-    stacked into ``(keys, column index, value)`` rows, the selection runs
-    once with the column index as an extra group key, and the results are
-    pivoted back to one row per group -- four passes in total instead of
-    four per column.
+    The columns are stacked into rows with the column's number as one more
+    group key, and the results are pivoted back to one row per group.
     """
     keys = list(keys)
     if len(cols) == 1:
         return exact_median(df, keys, cols[0][0], cols[0][1])
-    stacked = df.select(
-        *keys,
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias(_COL), F.col(c).cast("double").alias(_X)) for i, (c, _) in enumerate(cols)])
-        ).alias("__cv"),
-    ).select(*keys, F.col("__cv." + _COL).alias(_COL), F.col("__cv." + _X).alias(_X))
-    # the explode is cheap to recompute from a columnar scan; otherwise cut
-    source_cheap = _columnar_scan_only(df.select(*keys, *[c for c, _ in cols]))
-    med = exact_median(stacked, keys + [_COL], _X, "__m", materialize=not source_cheap)
+    values = F.array(*[F.struct(F.lit(i).alias(_COL), F.col(c).cast("double").alias(_X)) for i, (c, _) in enumerate(cols)])
+    stacked = df.select(*keys, F.explode(values).alias("__cv")).select(*keys, f"__cv.{_COL}", f"__cv.{_X}")
+    med = exact_median(stacked, [*keys, _COL], _X, "__m")
     pivot = [F.max(F.when(F.col(_COL) == i, F.col("__m"))).alias(name) for i, (_, name) in enumerate(cols)]
     return med.groupBy(*keys).agg(*pivot) if keys else med.agg(*pivot)

@@ -14,7 +14,9 @@ Clause rules:
   are named ``<func>_<col>``.  ``"*"`` selects every column.
 * ``where`` is an AND of ``{col, op, val}`` conditions (see
   :mod:`adevents.functions.predicates`).
-* ``group_by`` without aggregates returns the distinct groups.
+* ``group_by`` without aggregates returns the distinct groups.  Scalar functions
+  of one column (``{"UPPER": "country"}``, ``"MONTH(day)"``) may be selected,
+  grouped and ordered by.
 * ``order_by`` items ``{col, dir}`` name an output column, a group key, an
   aggregate text or (without aggregation) any input column; NULLs sort
   last in both directions.
@@ -31,7 +33,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adevents.functions.aggregates import AggItem, aggregate_column, parse_agg_text, parse_select_item
+from adevents.functions.aggregates import AggItem, ScalarItem, aggregate_column, parse_agg_text, parse_scalar, parse_select_item
 from adevents.functions.predicates import apply_filters
 
 
@@ -45,6 +47,8 @@ class Spec:
     order_by: tuple = ()
     limit: int | None = None
     items: tuple = field(default=(), compare=False)
+    #: scalar functions that the clauses name; in ``items`` they are plain names
+    scalars: tuple = field(default=(), compare=False)
 
     @property
     def aggregates(self) -> list[AggItem]:
@@ -73,6 +77,24 @@ def spec(
     items: list = []
     for item in select:
         items.extend(parse_select_item(item))
+    scalars = [i for i in items if isinstance(i, ScalarItem)]
+
+    def plain(text):
+        """A grouping or ordering text; a scalar function becomes its name."""
+        call = parse_scalar(text)
+        if call is None:
+            return text
+        scalars.append(call)
+        return call.name
+
+    if isinstance(group_by, (str, dict)):
+        group_by = [group_by]
+    groups = []
+    for g in group_by or []:
+        parsed = parse_select_item(g) if isinstance(g, dict) else [plain(g)]
+        scalars.extend(i for i in parsed if isinstance(i, ScalarItem))
+        groups.extend(i.name if isinstance(i, ScalarItem) else i for i in parsed)
+    items = [i.name if isinstance(i, ScalarItem) else i for i in items]
     if limit is not None and (not isinstance(limit, int) or limit < 0):
         raise ValueError(f"limit must be a non-negative int or None: {limit!r}")
     order = []
@@ -82,14 +104,15 @@ def spec(
         direction = str(o.get("dir", "asc")).lower()
         if direction not in ("asc", "desc"):
             raise ValueError(f"order direction must be asc or desc: {o!r}")
-        order.append({"col": o["col"], "dir": direction})
+        order.append({"col": plain(o["col"]), "dir": direction})
     return Spec(
         select=tuple(select),
         where=tuple(dict(w) for w in (where or [])),
-        group_by=tuple(group_by or []),
+        group_by=tuple(groups),
         order_by=tuple(order),
         limit=limit,
         items=tuple(items),
+        scalars=tuple(dict.fromkeys(scalars)),
     )
 
 
@@ -212,9 +235,16 @@ def report(
 
 
 def _report(df: DataFrame, s: Spec) -> DataFrame:
+    star = df.columns
+    _check_names(df, [x.col for x in s.scalars], star)
+    taken = [x.name for x in s.scalars if x.name in star]
+    if taken:
+        raise ValueError(f"function results would be named like the columns {taken}")
+    if s.scalars:
+        df = df.withColumns({x.name: x.column() for x in s.scalars})
     columns = df.columns
     _check_names(df, s.names + list(s.group_by) + [a.col for a in s.aggregates if a.col != "*"], columns)
-    out_names = output_names(s, columns)
+    out_names = output_names(s, star)
     filtered = apply_filters(df, s.where)
 
     if not s.aggregating:
@@ -226,11 +256,11 @@ def _report(df: DataFrame, s: Spec) -> DataFrame:
             if key not in out_names:
                 _check_names(df, [key], columns)
                 hidden.append(key)
-        cols = _expand_star(columns, s.names) + [h for h in hidden if h not in out_names]
+        cols = _expand_star(star, s.names) + [h for h in hidden if h not in out_names]
         return finish(filtered.select(*cols), s, out_names, hidden)
 
     keys = list(s.group_by)
-    bare = [n for n in _expand_star(columns, s.names) if n not in keys]
+    bare = [n for n in _expand_star(star, s.names) if n not in keys]
     if bare:
         raise ValueError(f"selected columns {bare} are neither grouped nor aggregated")
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from adevents.functions.aggregates import AggItem
 from adevents.functions.predicates import apply_filters
 from adevents.operators.report import Spec, _order_key, finish, named, output_names, spec
+from adevents.schema import EVENTS_SCHEMA
 
 
 class NotCovered(ValueError):
@@ -55,8 +56,10 @@ class Rollup:
 _IMPRESSIONS = ({"col": "type", "op": "eq", "val": "impression"},)
 _PURCHASES = ({"col": "type", "op": "eq", "val": "purchase"},)
 
-# The three summary tables of the prepared store.
-COUNTS = Rollup("counts", ("advertiser_id", "type"), (("event_count", "count", "*"),))
+# The measures of the prepared store's three summary tables.  All
+# are kept by day, so a refresh reads only the days that changed, and coarser
+# reports re-aggregate.
+COUNTS = Rollup("counts", ("day", "advertiser_id", "type"), (("event_count", "count", "*"),), partition_by=("day",))
 REVENUE = Rollup(
     "revenue",
     ("minute", "day", "publisher_id", "country"),
@@ -67,11 +70,22 @@ REVENUE = Rollup(
 )
 PURCHASES = Rollup(
     "purchases",
-    ("country",),
+    ("day", "country"),
     (("sum_of_price", "sum", "total_price"), ("count_of_purchases", "count", "total_price")),
     where=_PURCHASES,
+    partition_by=("day",),
+)
+# The minute grain hardly shrinks the impressions; reports that don't need
+# minutes have a table without them.
+DAILY_REVENUE = Rollup(
+    "daily_revenue",
+    ("day", "publisher_id", "country"),
+    (("total_revenue", "sum", "bid_price"),),
+    where=_IMPRESSIONS,
+    partition_by=("day",),
+    cluster_by=("country", "publisher_id"),
 )
-ROLLUPS = (COUNTS, REVENUE, PURCHASES)
+ROLLUPS = (COUNTS, REVENUE, PURCHASES, DAILY_REVENUE)
 
 _BUILD = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
@@ -90,7 +104,8 @@ def write_rollup(table: DataFrame, rollup: Rollup, path: str, only_present_parti
     """Write a rollup as Parquet; partitioned by its ``partition_by`` dims.
 
     ``only_present_partitions`` replaces just the partitions present in
-    ``table`` (dynamic partition overwrite) and keeps the others.
+    ``table`` (dynamic partition overwrite) and keeps the others; partitions
+    that became empty are cleared with :func:`clear_partitions`.
     """
     writer = table
     if rollup.partition_by:
@@ -109,11 +124,19 @@ def write_rollup(table: DataFrame, rollup: Rollup, path: str, only_present_parti
     return path
 
 
+def clear_partitions(spark: SparkSession, rollup: Rollup, path: str, days) -> None:
+    """Empty the given days' directories of a rollup partitioned by ``day``."""
+    schema = read_rollup(spark, rollup, path).drop("day").schema
+    for day in days:
+        name = "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
+        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/day={name}")
+
+
 def read_rollup(spark: SparkSession, rollup: Rollup, path: str, schema=None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(path)
+    """Lazy scan; the schema follows from the declaration (a rollup may have no rows)."""
+    if schema is None:
+        schema = build_rollup(spark.createDataFrame([], EVENTS_SCHEMA), rollup).schema
+    df = spark.read.schema(schema).parquet(path)
     return df.select(*rollup.dims, *[m[0] for m in rollup.measures])
 
 
@@ -138,9 +161,12 @@ def _derive(rollup: Rollup, agg: AggItem, regroup: bool) -> Column:
             raise NotCovered(f"{rollup.name} has no {func}({agg.col}) for {agg.func}({agg.col})")
         return F.col(stored)
 
-    if agg.func in ("sum", "count"):
-        c = need(agg.func)
+    if agg.func == "sum":
+        c = need("sum")
         return (F.sum(c) if regroup else c).alias(agg.name)
+    if agg.func == "count":  # a count of no rows is 0, a sum of no rows NULL
+        c = need("count")
+        return (F.coalesce(F.sum(c), F.lit(0).cast("long")) if regroup else c).alias(agg.name)
     if agg.func in ("min", "max"):
         c = need(agg.func)
         return ((F.min(c) if agg.func == "min" else F.max(c)) if regroup else c).alias(agg.name)

@@ -21,8 +21,13 @@ from adevents.sources.results import write_result_csv
 
 
 def answer(spark: SparkSession, store: PreparedStore, rollups=ROLLUPS, names: str = "plain", **clauses) -> tuple[DataFrame, str]:
-    """``(result, source)``; source is a rollup name or ``"events"``."""
-    for r in sorted(rollups, key=lambda x: len(x.dims)):
+    """``(result, source)``; source is a rollup name or ``"events"``.
+
+    Of the covering summary tables built from the store's current version,
+    the one with the fewest rows answers.
+    """
+    store.sync(spark)
+    for r in sorted(rollups, key=lambda x: (store.rollup_rows.get(x.name, 0), len(x.dims))):
         if r.name in store.rollup_paths and covers(r, **clauses):
             return rollup_report(r, store.rollup(spark, r), **clauses, names=names), r.name
     return report(store.events(spark), **clauses, names=names), "events"

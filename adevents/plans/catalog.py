@@ -207,6 +207,17 @@ FILTERS = {
         {"col": "day", "op": "between", "val": ["2024-01-03", "2024-01-25"]},
         {"col": "publisher_id", "op": "gte", "val": 20},
     ],
+    "filter_fraction": [
+        {"col": "advertiser_id", "op": "lt", "val": 12.5},
+        {"col": "advertiser_id", "op": "gte", "val": "2.5"},
+        {"col": "publisher_id", "op": "between", "val": [-0.5, 60.25]},
+        {"col": "advertiser_id", "op": "neq", "val": 7.5},
+    ],
+    "filter_wide": [
+        {"col": "advertiser_id", "op": "lt", "val": 3_000_000_000},
+        {"col": "publisher_id", "op": "gt", "val": -3e9},
+        {"col": "user_id", "op": "lte", "val": 400},
+    ],
 }
 
 
@@ -255,7 +266,7 @@ def distinct_pairs(spark, sf_dir):
 
 
 def rollup_counts(spark, sf_dir):
-    return rollup_table(spark, sf_dir, COUNTS)
+    return rollup_table(spark, sf_dir, COUNTS).groupBy("advertiser_id", "type").agg(F.sum("event_count").alias("event_count"))
 
 
 def rollup_revenue(spark, sf_dir):
@@ -263,7 +274,74 @@ def rollup_revenue(spark, sf_dir):
 
 
 def rollup_purchases(spark, sf_dir):
-    return _rounded(rollup_table(spark, sf_dir, PURCHASES), {"sum_of_price": 4})
+    table = rollup_table(spark, sf_dir, PURCHASES).groupBy("country")
+    sums = [F.sum(c).alias(c) for c in ("sum_of_price", "count_of_purchases")]
+    return _rounded(table.agg(*sums), {"sum_of_price": 4})
+
+
+# ---- answers: summary table or events ------------------------------------------
+
+def _answered(spark, sf_dir, **clauses) -> DataFrame:
+    from adevents.plans.answer import answer
+
+    result, source = answer(spark, prepared_for(spark, sf_dir), **clauses)
+    return result.withColumn("source", F.lit(source))
+
+
+def answer_routed(spark, sf_dir):
+    """The covering summary table with the fewest rows answers."""
+    where = [{"col": "type", "op": "eq", "val": "impression"}, {"col": "country", "op": "in", "val": ["US", "DE"]}]
+    r = _answered(spark, sf_dir, select=["day", "SUM(bid_price)"], where=where, group_by=["day"])
+    return _rounded(r, SUM4)
+
+
+def answer_fallback(spark, sf_dir):
+    """No summary table covers the filter, so the events answer."""
+    where = [{"col": "type", "op": "eq", "val": "impression"}, {"col": "user_id", "op": "lt", "val": 500}]
+    r = _answered(spark, sf_dir, select=["day", "SUM(bid_price)"], where=where, group_by=["day"])
+    return _rounded(r, SUM4)
+
+
+def answer_empty_count(spark, sf_dir):
+    """A count over no stored rows is 0."""
+    return _answered(spark, sf_dir, select=["COUNT(*)"], where=[{"col": "type", "op": "eq", "val": "no such type"}])
+
+
+def reload_day(spark, sf_dir):
+    """One (type, day) of a store is replaced, all others stay."""
+    from adevents.session import _join, scratch_path
+    from adevents.sources.store import write_store
+
+    path = _join(scratch_path(spark, "reload"), "events")
+    write_store(load_ad_events(spark, sf_dir), path)
+    reloaded = report(
+        load_ad_events(spark, sf_dir),
+        select=["*"],
+        where=[
+            {"col": "type", "op": "eq", "val": "click"},
+            {"col": "day", "op": "eq", "val": "2024-01-10"},
+            {"col": "advertiser_id", "op": "lt", "val": 7.5},
+        ],
+    )
+    write_store(reloaded, path, replace="partitions")
+    return store_inventory(read_store(spark, path), with_files=False)
+
+
+def view_report(spark, sf_dir):
+    """The store as a named view, queried with SQL."""
+    from adevents.sources.store import register_events
+
+    register_events(store(spark, sf_dir), "ad_events_view")
+    return spark.sql("SELECT type, COUNT(*) AS n_rows, COUNT(DISTINCT country) AS n_countries FROM ad_events_view GROUP BY type")
+
+
+def scalar_items(spark, sf_dir):
+    """Scalar functions selected and grouped by."""
+    return report(
+        store(spark, sf_dir),
+        select=[{"LOWER": "country"}, "MONTH(day)", {"LENGTH": "type"}, "COUNT(*)"],
+        group_by=["LOWER(country)", {"MONTH": "day"}, "LENGTH(type)"],
+    )
 
 
 # ---- sort / limit ----------------------------------------------------------------
@@ -324,9 +402,7 @@ def verify_reports(spark, sf_dir):
     shared scratch space, then every pair is read back and compared as
     row sets with numeric text rounded to six places.
     """
-    from functools import reduce
-
-    from adevents.operators.compare import compare_result_files
+    from adevents.operators.compare import compare_result_folders
     from adevents.plans.answer import write_reports
     from adevents.session import _join, scratch_path
     from adevents.sources.results import write_result_csv
@@ -338,13 +414,7 @@ def verify_reports(spark, sf_dir):
     baseline = csv_events(spark, sf_dir)
     for name, spec_ in SPECS.items():
         write_result_csv(report(baseline, **spec_), _join(out, "baseline", name))
-    rows = [
-        compare_result_files(spark, _join(out, "baseline", name), _join(out, "routed", name)).select(
-            F.lit(name).alias("query"), "*"
-        )
-        for name in SPECS
-    ]
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    return compare_result_folders(spark, _join(out, "baseline"), _join(out, "routed"), [*SPECS, "missing"])
 
 
 def queries() -> dict:
@@ -388,6 +458,12 @@ def queries() -> dict:
             "compare_q3": compare_q3,
             "verify_reports": verify_reports,
             "q1_sql_names": q1_sql_names,
+            "answer_routed": answer_routed,
+            "answer_fallback": answer_fallback,
+            "answer_empty_count": answer_empty_count,
+            "reload_day": reload_day,
+            "view_report": view_report,
+            "scalar_items": scalar_items,
         }
     )
     for key, where in FILTERS.items():

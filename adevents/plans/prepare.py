@@ -1,19 +1,25 @@
-"""Prepare: typed events -> event store + three summary tables.
+"""Prepare: typed events -> event store + summary tables.
 
-``prepare(events, root)`` runs four write jobs: the partitioned event store,
-then each rollup aggregated from the *written* store (so each rollup scan
-reads only its partitions and columns, never the raw input again).
+``prepare(events, root)`` writes the partitioned event store, then each rollup
+aggregated from the *written* store (so each rollup scan reads only its
+partitions and columns, never the raw input again), and last lists the rollups
+in the store's manifest (:mod:`adevents.sources.manifest`).  A rollup that isn't
+listed for the store's current version is never read.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adevents.operators.rollups import ROLLUPS, Rollup, build_rollup, read_rollup, write_rollup
+from adevents.operators.rollups import ROLLUPS, Rollup, build_rollup, clear_partitions, read_rollup, write_rollup
 from adevents.session import _join, prepare_session, scratch_path
+from adevents.sources import manifest
+from adevents.sources.files import exists
 from adevents.sources.store import read_store, write_store
 
 
@@ -21,15 +27,19 @@ from adevents.sources.store import read_store, write_store
 class PreparedStore:
     """Paths of a prepared store, and its relations once they are opened.
 
-    A prepared store is immutable, so each relation (its schema and file
-    listing, never its rows) is opened once per session and reused by
-    every report -- the way a view is defined once and queried many
-    times.  Call :meth:`refresh` after changing the files.
+    Each relation (its schema and file listing, never its rows) is opened
+    once per session and reused by every report -- the way a view is
+    defined once and queried many times.  :meth:`sync` compares with the
+    manifest, drops what was opened before a change and takes over the
+    summary tables that are listed for the current version; ``answer`` calls
+    it for every report.
     """
 
     root: str
     rollup_paths: dict[str, str] = field(default_factory=dict)
+    rollup_rows: dict[str, int] = field(default_factory=dict)
     _frames: dict = field(default_factory=dict, repr=False)
+    _seq: int | None = field(default=None, repr=False)
 
     @property
     def events_path(self) -> str:
@@ -47,8 +57,24 @@ class PreparedStore:
     def rollup(self, spark: SparkSession, rollup: Rollup) -> DataFrame:
         return self._open(spark, rollup.name, lambda: read_rollup(spark, rollup, self.rollup_paths[rollup.name]))
 
-    def refresh(self) -> None:
-        self._frames.clear()
+    def rollup_path(self, name: str) -> str:
+        return _join(self.root, f"agg_{name}")
+
+    def sync(self, spark: SparkSession) -> str:
+        """Follow the manifest; gives the store's version.
+
+        Raises ``FileNotFoundError`` when there is no store or its last write
+        didn't finish.
+        """
+        entry = manifest.current(spark, self.events_path)
+        if entry is None or entry.version == manifest.UNFINISHED:
+            raise FileNotFoundError(f"no complete event store at {self.events_path}; prepare it first")
+        if entry.seq != self._seq or entry.version == manifest.STREAMING:
+            self._frames.clear()
+        self._seq = entry.seq
+        self.rollup_rows = dict(entry.rollups)
+        self.rollup_paths = {name: self.rollup_path(name) for name in entry.rollups}
+        return entry.version
 
 
 def read_raw_events(spark: SparkSession, path: str) -> DataFrame:
@@ -83,12 +109,13 @@ def prepare(events: DataFrame, root: str, rollups=ROLLUPS, parallel: int = 3) ->
     spark = events.sparkSession
     prepared = PreparedStore(root)
     write_store(events, prepared.events_path)
+    version = prepared.sync(spark)
     store = prepared.events(spark)
 
-    def build(r: Rollup) -> tuple[str, str]:
-        path = _join(root, f"agg_{r.name}")
+    def build(r: Rollup) -> tuple[str, int]:
+        path = prepared.rollup_path(r.name)
         write_rollup(build_rollup(store, r), r, path)
-        return r.name, path
+        return r.name, read_rollup(spark, r, path).count()
 
     if parallel > 1 and len(rollups) > 1:
         from concurrent.futures import ThreadPoolExecutor
@@ -97,57 +124,62 @@ def prepare(events: DataFrame, root: str, rollups=ROLLUPS, parallel: int = 3) ->
             built = list(pool.map(build, rollups))
     else:
         built = [build(r) for r in rollups]
-    prepared.rollup_paths.update(dict(built))
+    manifest.record(spark, prepared.events_path, version, dict(built))
+    prepared.sync(spark)
     return prepared
 
 
 def open_prepared(spark: SparkSession, root: str, rollups=ROLLUPS) -> PreparedStore:
     """Reopen a store prepared earlier (by another application).
 
-    Raises ``FileNotFoundError`` when ``root`` holds no event store; summary
-    tables that are missing are simply not offered to :func:`answer`.
+    Raises ``FileNotFoundError`` when ``root`` holds no complete event store;
+    summary tables that aren't listed for its version are not offered to
+    :func:`answer`.
     """
-    from pyarrow import fs as pafs
-
-    from adevents.sources.files import open_filesystem
-
     prepare_session(spark)
     prepared = PreparedStore(root)
-    filesystem, inner = open_filesystem(prepared.events_path)
-    if filesystem.get_file_info(inner).type != pafs.FileType.Directory:
-        raise FileNotFoundError(f"no event store at {prepared.events_path}; prepare it first")
-    for r in rollups:
-        path = _join(root, f"agg_{r.name}")
-        fs_, p = open_filesystem(path)
-        if fs_.get_file_info(p).type == pafs.FileType.Directory:
-            prepared.rollup_paths[r.name] = path
+    prepared.sync(spark)
     return prepared
 
 
 def refresh_rollups(spark: SparkSession, prepared: PreparedStore, days=None, rollups=ROLLUPS) -> PreparedStore:
     """Rebuild the summary tables after the store changed.
 
-    With ``days`` given, a rollup partitioned by ``day`` is recomputed for
-    those days only (the whole day is re-read from the store and its
-    partitions replaced; stored sums are never incremented in place).
-    Rollups without a ``day`` partition are rebuilt from the whole store.
+    With ``days`` given (``None`` among them for rows without a day), a rollup
+    partitioned by ``day`` is recomputed for those days only: they are re-read
+    from the store and replaced, and days without rows are emptied.  The
+    caller states that no other day changed since the tables were built.
+    Rollups without a ``day`` partition or not built yet are built from the
+    whole store.
     """
-    from adevents.functions.predicates import apply_filters
-
-    prepared.refresh()
+    version = prepared.sync(spark)
     store = prepared.events(spark)
+    rows = {}
     for r in rollups:
-        path = prepared.rollup_paths.get(r.name) or _join(prepared.root, f"agg_{r.name}")
-        if days is not None and "day" in r.partition_by:
-            changed = apply_filters(store, [{"col": "day", "op": "in", "val": list(days)}])
-            write_rollup(build_rollup(changed, r), r, path, only_present_partitions=True)
+        path = prepared.rollup_path(r.name)
+        if days is not None and "day" in r.partition_by and exists(spark, path):
+            table = build_rollup(store.where(_on_days(days)), r)
+            write_rollup(table, r, path, only_present_partitions=True)
+            present = {x.day for x in table.select("day").distinct().collect()}  # at most the given days
+            asked = {None if d is None else dt.date.fromisoformat(str(d)) for d in days}
+            clear_partitions(spark, r, path, asked - present)
         else:
             write_rollup(build_rollup(store, r), r, path)
-        prepared.rollup_paths[r.name] = path
-    prepared.refresh()
+        rows[r.name] = read_rollup(spark, r, path).count()
+    kept = {n: k for n, k in prepared.rollup_rows.items() if n not in rows}
+    if version == manifest.STREAMING:  # the stream may go on; nothing stays true
+        kept = rows = {}
+    manifest.record(spark, prepared.events_path, version, kept | rows)
+    prepared.sync(spark)
     return prepared
 
 
+def _on_days(days):
+    known = [F.lit(str(d)).cast("date") for d in days if d is not None]
+    cond = F.col("day").isin(*known) if known else F.lit(False)
+    return cond | F.col("day").isNull() if None in list(days) else cond
+
+
 _CACHE: dict[tuple[str, str], PreparedStore] = {}
 _LOCK = threading.RLock()
 
@@ -175,8 +207,13 @@ def _once(spark: SparkSession, sf_dir: str, what: str, build):
 
 _FILES: dict[tuple[str, str, str], str] = {}
 
-# Parts written per fixture folder (a few, so multi-part reading is real).
-FIXTURE_PARTS = 4
+# Events per rendered part; there are a few parts at least, so multi-part reading is real.
+PART_EVENTS = 50_000
+MIN_PARTS = 4
+
+
+def _n_parts(events: DataFrame) -> int:
+    return max(MIN_PARTS, -(-events.count() // PART_EVENTS))
 
 
 def csv_parts_for(spark: SparkSession, sf_dir: str, mixed_headers: bool = True) -> str:
@@ -190,8 +227,8 @@ def csv_parts_for(spark: SparkSession, sf_dir: str, mixed_headers: bool = True)
     def build() -> str:
         prepare_session(spark)
         folder = scratch_path(spark, "csv-parts")
-        raw = raw_events(load_ad_events(spark, sf_dir))
-        write_event_parts(raw, folder, parts=FIXTURE_PARTS, mixed_headers=mixed_headers)
+        events = load_ad_events(spark, sf_dir)
+        write_event_parts(raw_events(events), folder, parts=_n_parts(events), mixed_headers=mixed_headers)
         return folder
 
     return _once(spark, sf_dir, f"csv-{mixed_headers}", build)
@@ -205,8 +242,8 @@ def zip_parts_for(spark: SparkSession, sf_dir: str) -> str:
     def build() -> str:
         prepare_session(spark)
         folder = scratch_path(spark, "zip-parts")
-        raw = raw_events(load_ad_events(spark, sf_dir)).repartition(FIXTURE_PARTS)
-        write_event_zips(raw, folder)
+        events = load_ad_events(spark, sf_dir)
+        write_event_zips(raw_events(events).repartition(_n_parts(events)), folder)
         return folder
 
     return _once(spark, sf_dir, "zip", build)

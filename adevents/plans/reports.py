@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from adevents.operators.report import report
-from adevents.operators.rollups import COUNTS, PURCHASES, REVENUE, rollup_report
+from adevents.operators.rollups import COUNTS, DAILY_REVENUE, PURCHASES, REVENUE, rollup_report
 
 _IMPRESSION = {"col": "type", "op": "eq", "val": "impression"}
 
@@ -49,7 +49,7 @@ Q5 = dict(
     order_by=[{"col": "minute", "dir": "asc"}],
 )
 SPECS = {"q1": Q1, "q2": Q2, "q3": Q3, "q4": Q4, "q5": Q5}
-ROLLUP_OF = {"q1": REVENUE, "q2": REVENUE, "q3": PURCHASES, "q4": COUNTS, "q5": REVENUE}
+ROLLUP_OF = {"q1": DAILY_REVENUE, "q2": DAILY_REVENUE, "q3": PURCHASES, "q4": COUNTS, "q5": REVENUE}
 
 
 def on_events(name: str, events: DataFrame) -> DataFrame:

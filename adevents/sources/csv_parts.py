@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adevents.schema import PART_GLOB, RAW_COLUMNS, RAW_SCHEMA
-from adevents.sources.files import attempt_suffix, open_filesystem, publish
+from adevents.sources.files import CSV_DIALECT, attempt_suffix, open_filesystem, publish
 
 _CHUNK = 8 << 10
 _MAX_HEADER = 1 << 20
@@ -47,7 +47,9 @@ def _read_first_line(path: str) -> str:
     filesystem, inner = open_filesystem(path)
     head = b""
     with filesystem.open_input_stream(inner) as f:
-        while len(head) < _MAX_HEADER:
+        while True:
+            if len(head) > _MAX_HEADER:
+                raise ValueError(f"no line end in the first {_MAX_HEADER} bytes of {path}; is it a CSV part?")
             chunk = f.read(_CHUNK)
             if not chunk:
                 break
@@ -76,7 +78,7 @@ def part_headers(spark: SparkSession, folder: str, pattern: str = PART_GLOB) ->
 
 def _scan(spark: SparkSession, paths, names: list[str], options: dict) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    reader = spark.read.schema(schema).options(header=True, enforceSchema=False, mode="FAILFAST", **options)
+    reader = spark.read.schema(schema).options(header=True, enforceSchema=False, mode="FAILFAST", **CSV_DIALECT, **options)
     df = reader.csv(paths)
     return df.select(*[F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS])
 

@@ -6,8 +6,41 @@ import fnmatch
 import posixpath
 
 
+#: Standard CSV: quotes are doubled, and a backslash is an ordinary character.
+CSV_DIALECT = {"quote": '"', "escape": '"'}
+
+
+def arrow_csv_options():
+    """How Arrow reads event parts as text: only empty fields are NULL, quoted or not."""
+    import pyarrow as pa
+    import pyarrow.csv as pacsv
+
+    from adevents.schema import RAW_COLUMNS
+
+    return pacsv.ConvertOptions(
+        column_types={c: pa.string() for c in RAW_COLUMNS},
+        include_columns=list(RAW_COLUMNS),
+        include_missing_columns=True,
+        strings_can_be_null=True,
+        null_values=[""],
+        quoted_strings_can_be_null=True,
+    )
+
+
+def exists(spark, path: str) -> bool:
+    """Whether Spark finds a folder or file with data at ``path``."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return not spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").isEmpty()
+    except AnalysisException:
+        return False
+
+
 def to_uri(path: str) -> str:
-    """Normalise Spark's ``file:/x`` paths to ``file:///x`` URIs."""
+    """Spark's paths as URIs that Arrow opens: ``file:/x`` as ``file:///x``, ``s3a`` as ``s3``."""
+    if path.startswith(("s3a://", "s3n://")):
+        return "s3" + path[3:]
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
     if "://" not in path:

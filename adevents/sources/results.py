@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from adevents.sources.files import CSV_DIALECT
+
 
 def write_result_csv(result: DataFrame, path: str, single_file: bool = False) -> str:
     """Write a report result as CSV with a header (every part has one).
@@ -14,5 +16,5 @@ def write_result_csv(result: DataFrame, path: str, single_file: bool = False) ->
     result known to be small into one ``part-*.csv`` (order kept).
     """
     out = result.coalesce(1) if single_file else result
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(header=True, **CSV_DIALECT).csv(path)
     return path

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adevents.schema import EVENT_COLUMNS, EVENTS_SCHEMA, STORE_PARTITIONS
+from adevents.sources import manifest
 
 # Columns after the partition keys used to order rows inside each file.
 CLUSTER_COLUMNS = ("country", "publisher_id", "minute")
@@ -27,7 +28,8 @@ def write_store(events: DataFrame, path: str, replace: str = "all") -> str:
 
     ``replace="all"`` replaces the whole store; ``replace="partitions"``
     replaces only the ``(type, day)`` directories present in ``events``
-    (reloading single days); ``replace="none"`` appends.
+    (reloading single days); ``replace="none"`` appends.  The manifest gets
+    a new version without summary tables.
     """
     modes = {"all": "overwrite", "partitions": "overwrite", "none": "append"}
     if replace not in modes:
@@ -42,7 +44,10 @@ def write_store(events: DataFrame, path: str, replace: str = "all") -> str:
     )
     if replace == "partitions":
         writer = writer.option("partitionOverwriteMode", "dynamic")
+    spark = events.sparkSession
+    manifest.record(spark, path, manifest.UNFINISHED)
     writer.parquet(path)
+    manifest.record(spark, path, manifest.new_version())
     return path
 
 

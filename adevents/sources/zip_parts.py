@@ -1,126 +1,73 @@
-"""Event parts inside zip archives, read as a Python data source.
-
-A zip member cannot be split, so the unit of parallelism is the member:
-``partitions()`` lists the members of every archive (central directories
-only, on the driver) and each task opens its archive on shared storage and
-streams one member as Arrow record batches of text columns, assigned by
-header name.  Members whose base name does not match ``events_part_*.csv``
-and anything under ``__MACOSX/`` are skipped.
-
-Usage::
-
-    register_zip_source(spark)
-    raw = spark.read.format("adevents_zip").load("/data/parts.zip")
-    # or a folder / glob of archives: .load("/data/zips/*.zip")
+"""Event parts inside zip archives.
+
+A zip member cannot be split, so the unit of parallelism is the member: Spark
+lists the archives, tasks read their central directories, and the members are
+dealt over the cluster; each task opens its archive on shared storage and
+streams its members as Arrow record batches of text columns, assigned by header
+name.  Members whose base name does not match ``events_part_*.csv`` and anything
+under ``__MACOSX/`` are skipped.
 """
 
 from __future__ import annotations
 
 import zipfile
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from adevents.schema import PART_GLOB, RAW_COLUMNS
-from adevents.sources.files import attempt_suffix, is_part_name, open_filesystem, publish
+from adevents.schema import PART_GLOB, RAW_COLUMNS, RAW_SCHEMA
+from adevents.sources.files import arrow_csv_options, attempt_suffix, is_part_name, open_filesystem, publish
 
-FORMAT = "adevents_zip"
 _BATCH_BYTES = 8 << 20
 
 
-@dataclass
-class MemberPartition(InputPartition):
-    archive: str
-    member: str
-
-    def __init__(self, archive: str, member: str):
-        super().__init__((archive, member))
-        self.archive = archive
-        self.member = member
-
-
-def _archives(path: str) -> list[str]:
-    from pyarrow import fs as pafs
-
-    filesystem, inner = open_filesystem(path)
-    info = filesystem.get_file_info(inner)
-    if info.type == pafs.FileType.File:
-        return [path]
-    if info.type == pafs.FileType.Directory:
-        sel = pafs.FileSelector(inner, recursive=False)
-        found = [i.path for i in filesystem.get_file_info(sel) if i.type == pafs.FileType.File and i.path.endswith(".zip")]
-        return sorted(found)
-    # a glob: expand its last segment
-    import fnmatch
-    import posixpath
-
-    parent, pattern = posixpath.split(inner)
-    sel = pafs.FileSelector(parent, recursive=False)
-    return sorted(i.path for i in filesystem.get_file_info(sel) if fnmatch.fnmatchcase(posixpath.basename(i.path), pattern))
+def list_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The archives at a path: one file, a folder of ``*.zip`` or a glob (``path``, with its scheme)."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path")
 
 
-class EventZipReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options.get("path")
-        if not self.path:
-            raise ValueError("adevents_zip needs a path")
-        self.pattern = options.get("pattern", PART_GLOB)
-
-    def partitions(self):
-        parts = []
-        for archive in _archives(self.path):
-            filesystem, inner = open_filesystem(archive)
-            with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf:
-                members = sorted(n for n in zf.namelist() if is_part_name(n, self.pattern))
-            parts.extend(MemberPartition(archive, m) for m in members)
-        if not parts:
-            raise FileNotFoundError(f"no {self.pattern} member in {self.path}")
-        return parts
-
-    def read(self, partition: MemberPartition):
+def _members_of(pattern: str):
+    def members(batches):
         import pyarrow as pa
-        import pyarrow.csv as pacsv
-
-        filesystem, inner = open_filesystem(partition.archive)
-        convert = pacsv.ConvertOptions(
-            column_types={c: pa.string() for c in RAW_COLUMNS},
-            include_columns=list(RAW_COLUMNS),
-            include_missing_columns=True,
-            strings_can_be_null=True,
-            null_values=[""],
-            quoted_strings_can_be_null=False,
-        )
-        with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf, zf.open(partition.member) as member:
-            head = member.peek(1) if hasattr(member, "peek") else b"x"
-            if not head:
-                return
-            reader = pacsv.open_csv(member, read_options=pacsv.ReadOptions(block_size=_BATCH_BYTES), convert_options=convert)
-            for batch in reader:
-                if batch.num_rows:
-                    yield batch
 
+        for batch in batches:
+            for archive in batch.column("path").to_pylist():
+                filesystem, inner = open_filesystem(archive)
+                with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf:
+                    names = sorted(n for n in zf.namelist() if is_part_name(n, pattern))
+                yield pa.RecordBatch.from_pydict(
+                    {"archive": [archive] * len(names), "member": names},
+                    schema=pa.schema([("archive", pa.string()), ("member", pa.string())]),
+                )
 
-class EventZipDataSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def schema(self) -> str:
-        return ", ".join(f"{c} string" for c in RAW_COLUMNS)
+    return members
 
-    def reader(self, schema) -> DataSourceReader:
-        return EventZipReader(self.options)
 
+def _read_members(batches):
+    import pyarrow.csv as pacsv
 
-def register_zip_source(spark: SparkSession) -> None:
-    spark.dataSource.register(EventZipDataSource)
+    convert = arrow_csv_options()
+    for batch in batches:
+        for archive, name in zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist()):
+            filesystem, inner = open_filesystem(archive)
+            with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf, zf.open(name) as member:
+                if not member.peek(1):
+                    continue
+                read = pacsv.ReadOptions(block_size=_BATCH_BYTES)
+                for rows in pacsv.open_csv(member, read_options=read, convert_options=convert):
+                    if rows.num_rows:
+                        yield rows
 
 
 def read_event_zip(spark: SparkSession, path: str, pattern: str = PART_GLOB) -> DataFrame:
-    """Raw text events from a zip archive (or a folder / glob of archives)."""
-    register_zip_source(spark)
-    return spark.read.format(FORMAT).option("pattern", pattern).load(path)
+    """Raw text events from a zip archive (or a folder / glob of archives).
+
+    Raises ``FileNotFoundError`` when no archive holds a matching member.
+    """
+    members = list_archives(spark, path).mapInArrow(_members_of(pattern), "archive string, member string")
+    if members.isEmpty():
+        raise FileNotFoundError(f"no {pattern} member in {path}")
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return members.repartition(width, "archive", "member").mapInArrow(_read_members, RAW_SCHEMA)
 
 
 def _zip_writer(folder: str, junk_member: bool):

@@ -23,7 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adevents.functions.typing import type_events
-from adevents.schema import PART_GLOB, RAW_COLUMNS, RAW_SCHEMA, STORE_PARTITIONS
+from adevents.schema import PART_GLOB, RAW_SCHEMA, STORE_PARTITIONS
+from adevents.sources import manifest
+from adevents.sources.files import CSV_DIALECT, arrow_csv_options, open_filesystem
 
 
 def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
@@ -32,45 +34,40 @@ def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None =
     ``max_files`` caps the parts per trigger (1 = part by part); ``None``
     takes every new part in one trigger.
     """
-    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", False)
+    reader = spark.readStream.schema(RAW_SCHEMA).options(header=True, enforceSchema=False, mode="FAILFAST", **CSV_DIALECT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(f"{folder.rstrip('/')}/{pattern}")
 
 
-def _parse_whole_parts(batches):
-    """Whole part texts -> raw rows, columns assigned by each part's header."""
-    import pyarrow as pa
+def _parse_parts(batches):
+    """Paths of parts -> raw rows, read in blocks, columns assigned by each part's header."""
     import pyarrow.csv as pacsv
 
-    convert = pacsv.ConvertOptions(
-        column_types={c: pa.string() for c in RAW_COLUMNS},
-        include_columns=list(RAW_COLUMNS),
-        include_missing_columns=True,
-        strings_can_be_null=True,
-        null_values=[""],
-        quoted_strings_can_be_null=False,
-    )
+    convert = arrow_csv_options()
     for batch in batches:
-        for text in batch.column("value").to_pylist():
-            if text is None or not text.strip():
+        for path in batch.column("path").to_pylist():
+            filesystem, inner = open_filesystem(path)
+            if not filesystem.get_file_info(inner).size:
                 continue
-            table = pacsv.read_csv(pa.BufferReader(text.encode("utf-8")), convert_options=convert)
-            yield from table.to_batches()
+            with filesystem.open_input_stream(inner) as part:
+                for rows in pacsv.open_csv(part, convert_options=convert):
+                    if rows.num_rows:
+                        yield rows
 
 
 def stream_event_parts_by_name(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
     """Like :func:`stream_event_parts`, but columns are assigned by header name.
 
-    Each new part arrives whole as one text row (``wholetext``), so every
-    part is parsed with its own header by Arrow inside a stateless
-    ``mapInArrow``.  A part must fit comfortably in a task's memory.
+    The stream carries the new parts' paths only; each part is read in blocks
+    with its own header by Arrow inside a stateless ``mapInArrow``, one task
+    per part.
     """
-    reader = spark.readStream.format("text").option("wholetext", True)
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    parts = reader.load(f"{folder.rstrip('/')}/{pattern}")
-    return parts.mapInArrow(_parse_whole_parts, RAW_SCHEMA)
+    parts = reader.option("pathGlobFilter", pattern).load(folder)
+    return parts.select("path").mapInArrow(_parse_parts, RAW_SCHEMA)
 
 
 def ingest_parts(
@@ -89,6 +86,7 @@ def ingest_parts(
     ``by_name=True`` assigns columns by each part's header (parts in any
     column order); the default assigns by position and verifies headers.
     """
+    manifest.record(spark, store, manifest.STREAMING)
     source = stream_event_parts_by_name if by_name else stream_event_parts
     typed = type_events(source(spark, folder, max_files), bad_price=bad_price)
     writer = (
@@ -117,4 +115,5 @@ def catch_up(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    manifest.record(spark, store, manifest.new_version())
     return q

@@ -38,7 +38,7 @@ def test_compare_written_results(spark, events, scratch):
 
     store = prepare(events, scratch + "/store")
     sources = write_reports(spark, store, SPECS, scratch + "/out")
-    assert sources == {"q1": "revenue", "q2": "revenue", "q3": "purchases", "q4": "counts", "q5": "revenue"}
+    assert sources == {"q1": "daily_revenue", "q2": "daily_revenue", "q3": "purchases", "q4": "counts", "q5": "revenue"}
     for name, spec in SPECS.items():
         from adevents.operators.report import report
         from adevents.sources.results import write_result_csv
@@ -63,3 +63,29 @@ def test_parallel_write_reports(spark, events, scratch):
     assert a == b
     for name in SPECS:
         assert compare_result_files(spark, f"{scratch}/seq/{name}", f"{scratch}/par/{name}").collect()[0].matched
+
+
+def test_number_suffixes_are_text(spark, scratch):
+    from adevents.operators.compare import compare_result_files
+    from adevents.sources.results import write_result_csv
+
+    for name, v in (("a", "12d"), ("b", "12f"), ("c", 'a "q", b\\')):
+        write_result_csv(spark.createDataFrame([(v,)], "v string"), f"{scratch}/{name}", single_file=True)
+    assert not compare_result_files(spark, scratch + "/a", scratch + "/b").collect()[0].matched
+    assert compare_result_files(spark, scratch + "/c", scratch + "/c").collect()[0].matched
+    import glob
+
+    text = "".join(open(f).read() for f in glob.glob(scratch + "/c/part-*.csv"))
+    assert text == 'v\n"a ""q"", b\\"\n'
+
+
+def test_folders_with_a_missing_result_fail(spark, scratch):
+    from adevents.operators.compare import compare_result_folders
+    from adevents.sources.results import write_result_csv
+
+    one = spark.createDataFrame([(1.0000000001,)], "v double")
+    write_result_csv(one, scratch + "/x/q1")
+    write_result_csv(spark.createDataFrame([(1.0,)], "v double"), scratch + "/y/q1")
+    write_result_csv(one, scratch + "/x/q2")
+    rows = {r.query: r.status for r in compare_result_folders(spark, scratch + "/x", scratch + "/y", ["q1", "q2"]).collect()}
+    assert rows == {"q1": "PASS", "q2": "FAIL"}

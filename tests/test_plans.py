@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from adevents.plans import catalog
 from tests.conftest import SF_SMALL
 
 # Operators that must not appear: pairs of rows, per-row Python, and the
@@ -12,7 +13,7 @@ from tests.conftest import SF_SMALL
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Percentile")
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(catalog.queries()))
 def test_plan_has_no_unbounded_operator(spark, key):
     df = entry.queries()[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()

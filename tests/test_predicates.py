@@ -68,3 +68,36 @@ def test_unknown_column_raises(events):
 def test_between_needs_two_values(events):
     with pytest.raises(ValueError):
         apply_filters(events, [{"col": "day", "op": "between", "val": "2024-01-01"}])
+
+
+IDS = [2, 7, 12, 13, -1, -2, None]
+
+
+@pytest.mark.parametrize(
+    "op,val,want",
+    [
+        ("lt", 12.5, [-2, -1, 2, 7, 12]), ("gte", 12.5, [13]), ("eq", 12.7, []), ("neq", 12.7, [-2, -1, 2, 7, 12, 13]),
+        ("lte", -1.5, [-2]), ("gt", -1.5, [-1, 2, 7, 12, 13]), ("between", [2.5, "12.5"], [7, 12]), ("in", [2, 12.5, "7", None, 10**12], [2, 7]),
+        ("lt", 3_000_000_000, [-2, -1, 2, 7, 12, 13]), ("gt", 3_000_000_000, []), ("gt", float("-inf"), [-2, -1, 2, 7, 12, 13]),
+        ("lt", float("nan"), [-2, -1, 2, 7, 12, 13]), ("eq", float("nan"), []), ("eq", None, []), ("lte", -3_000_000_000, []), ("in", [], []),
+    ],
+)
+def test_values_are_not_cut_to_an_integer_column(spark, op, val, want):
+    df = spark.createDataFrame([(i,) for i in IDS], "x int")
+    assert sorted(r.x for r in apply_filters(df, [{"col": "x", "op": op, "val": val}]).collect()) == want
+
+
+def test_fractional_bounds_are_pushed_down(spark, scratch):
+    spark.createDataFrame([(i,) for i in IDS], "x int").write.parquet(scratch)
+    plan = apply_filters(spark.read.parquet(scratch), [{"col": "x", "op": "lt", "val": 12.5}])._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(x,12)" in plan
+
+
+def test_a_date_column_takes_whole_days_only(spark):
+    df = spark.sql("SELECT DATE '2024-06-01' AS day")
+    for val in ("2024-06-01 12:00:00", "soon", 7):
+        with pytest.raises(ValueError):
+            apply_filters(df, [{"col": "day", "op": "lt", "val": val}])
+    assert apply_filters(df, [{"col": "day", "op": "eq", "val": "2024-06-01 00:00:00"}]).count() == 1
+    with pytest.raises(ValueError, match="not a number"):
+        apply_filters(spark.range(1), [{"col": "id", "op": "eq", "val": "abc"}])

@@ -171,18 +171,18 @@ def test_several_medians_share_one_selection(events):
             assert (got is None and np.isnan(exp[col])) or got == pytest.approx(exp[col])
 
 
-def test_median_checkpoints_only_costly_sources(spark, events, scratch):
-    from adevents.operators.quantiles import _columnar_scan_only
-    from adevents.sources.store import read_store, write_store
-
-    write_store(events, scratch)
-    stored = read_store(spark, scratch)
-    assert _columnar_scan_only(stored.select("country", "bid_price"))
-    assert not _columnar_scan_only(events.groupBy("country").count())
-    # both paths give the same medians
-    a = exact_median(stored, ["country"], "bid_price", "m").orderBy("country").collect()
-    b = exact_median(events, ["country"], "bid_price", "m", materialize=True).orderBy("country").collect()
-    assert a == b
+def test_median_shuffles_no_raw_rows_and_spreads_a_hot_group(spark, scratch):
+    # one group with a third of many distinct values, and NaN, -0.0, NULL and ties elsewhere
+    rows = [("hot", float(i * 7919 % 10007)) for i in range(3000)] + [("z", x) for x in (-0.0, 0.0, None, float("nan"), 3.0)]
+    rows += [("n", None), (None, 1.0), (None, 2.0)] + [(f"g{i}", float(i)) for i in range(500)]
+    spark.createDataFrame(rows, "g string, x double").write.parquet(scratch)
+    stored = spark.read.parquet(scratch)
+    hot = sorted(x for g, x in rows if g == "hot")
+    m = exact_median(stored, ["g"], "x", "m")
+    got = {r.g: r.m for r in m.collect()}
+    assert got["hot"] == (hot[1499] + hot[1500]) / 2 and got["z"] == 1.5 and got["n"] is None and got[None] == 1.5 and got["g7"] == 7.0
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert scratch not in plan  # the raw rows were read once, for the counts
 
 
 def test_query_dicts_with_from(events):

@@ -61,7 +61,7 @@ def test_full_grain_needs_no_shuffle(events, scratch, spark):
 
     path = write_rollup(build_rollup(events, COUNTS), COUNTS, scratch + "/counts")
     table = read_rollup(spark, COUNTS, path)
-    r = rollup_report(COUNTS, table, select=["advertiser_id", "type", "COUNT(*)"], group_by=["advertiser_id", "type"])
+    r = rollup_report(COUNTS, table, select=["day", "advertiser_id", "type", "COUNT(*)"], group_by=["day", "advertiser_id", "type"])
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" not in plan
 

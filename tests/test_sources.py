@@ -180,3 +180,88 @@ def test_stream_fed_store_with_refreshed_summaries(spark, events, scratch):
         assert source != "events"
         want = report(type_events(raw_events(events)), **SPECS[name])
         assert compare_results(got, want).collect()[0].matched, name
+
+
+TRICKY = [
+    ("1717200000000", "impression", 'a "q" b', "1", "2", "0.5", "3", None, "US"),
+    ("1717200000001", "impression", 'a "x", b', "1", "2", "0.5", "3", None, "x\\"),
+    ("1717200000002", "impression", "plain,comma", "1", "2", "0.5", "3", None, None),
+    ("1717200000003", "impression", "\\n", "1", "2", "0.5", "3", None, "NA"),
+]
+
+
+def test_one_csv_dialect_in_every_reader(spark, scratch):
+    """Quotes, commas, backslashes and quoted empties mean the same everywhere."""
+    import os
+    import zipfile
+
+    from adevents.functions.typing import type_events
+    from adevents.schema import RAW_COLUMNS, RAW_SCHEMA
+    from adevents.sources.csv_parts import write_event_parts
+    from adevents.sources.zip_parts import write_event_zips
+    from adevents.streaming.ingest import catch_up
+
+    raw = spark.createDataFrame(TRICKY, RAW_SCHEMA).coalesce(1)
+    want = sorted(TRICKY)
+    write_event_parts(raw, scratch + "/own")
+    assert sorted(map(tuple, read_event_parts(spark, scratch + "/own").collect())) == want
+    write_event_zips(raw, scratch + "/zips")
+    assert sorted(map(tuple, read_event_zip(spark, "file://" + scratch + "/zips").collect())) == want
+
+    # the same rows as another tool writes them, every field quoted
+    lines = [",".join(RAW_COLUMNS)] + [",".join('"' + (v or "").replace('"', '""') + '"' for v in r) for r in TRICKY]
+    os.makedirs(scratch + "/quoted")
+    with open(scratch + "/quoted/events_part_0.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    with zipfile.ZipFile(scratch + "/quoted.zip", "w") as z:
+        z.write(scratch + "/quoted/events_part_0.csv", "events_part_0.csv")
+    assert sorted(map(tuple, read_event_parts(spark, scratch + "/quoted").collect())) == want
+    assert sorted(map(tuple, read_event_zip(spark, scratch + "/quoted.zip").collect())) == want
+    typed = sorted(map(tuple, type_events(raw).select("auction_id", "country").collect()))
+    for by_name in (False, True):
+        store = f"{scratch}/store-{by_name}"
+        catch_up(spark, scratch + "/quoted", store, f"{scratch}/checkpoint-{by_name}", by_name=by_name)
+        assert sorted(map(tuple, read_store(spark, store).select("auction_id", "country").collect())) == typed
+
+
+@pytest.mark.parametrize("row", ["1,impression,a", "1,impression,a,1,1,1,1,1,US,more"])
+@pytest.mark.parametrize("by_name", [False, True])
+def test_rows_of_a_wrong_length_fail_the_stream_and_the_batch(spark, scratch, row, by_name):
+    import os
+
+    from adevents.schema import RAW_COLUMNS
+    from adevents.streaming.ingest import catch_up
+
+    os.makedirs(scratch + "/in")
+    with open(scratch + "/in/events_part_0.csv", "w") as f:
+        f.write(",".join(RAW_COLUMNS) + "\n" + row + "\n")
+    with pytest.raises(Exception):
+        catch_up(spark, scratch + "/in", scratch + "/store", scratch + "/cp", by_name=by_name)
+    with pytest.raises(Exception):
+        read_event_parts(spark, scratch + "/in").collect()
+
+
+def test_part_count_grows_with_the_input(events):
+    from adevents.plans.prepare import MIN_PARTS, PART_EVENTS, _n_parts
+
+    assert _n_parts(events.limit(10)) == MIN_PARTS
+    assert _n_parts(events.sparkSession.range(PART_EVENTS * 9 + 1)) == 10
+
+
+def test_uris():
+    from adevents.sources.files import to_uri
+
+    assert [to_uri(p) for p in ("/a/b", "file:/a", "file:///a", "s3a://bucket/x", "hdfs://host/x")] == [
+        "file:///a/b", "file:///a", "file:///a", "s3://bucket/x", "hdfs://host/x"]
+
+
+def test_a_header_without_end_is_refused(scratch):
+    import os
+
+    from adevents.sources import csv_parts
+
+    os.makedirs(scratch)
+    with open(scratch + "/events_part_0.csv", "w") as f:
+        f.write("x" * (csv_parts._MAX_HEADER + 20000))
+    with pytest.raises(ValueError, match="no line end"):
+        csv_parts._read_first_line(scratch + "/events_part_0.csv")

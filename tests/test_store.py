@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 import os
 
 from adevents.operators.report import report
@@ -83,7 +87,7 @@ def test_reopen_prepared_store(spark, events, scratch):
 
     prepare(events, scratch + "/p")
     again = open_prepared(spark, scratch + "/p")
-    assert sorted(again.rollup_paths) == ["counts", "purchases", "revenue"]
+    assert sorted(again.rollup_paths) == ["counts", "daily_revenue", "purchases", "revenue"]
     result, source = answer_query(spark, again, {**SPECS["q3"], "from": "events"})
     assert source == "purchases" and result.count() > 0
     with pytest.raises(FileNotFoundError):
@@ -107,3 +111,92 @@ def test_null_partition_values_roundtrip(spark, scratch):
     assert back["a1"].day is None and back["a1"].type == "impression"
     assert back["a2"].type is None and str(back["a2"].day) == "2024-06-01"
     assert back["a3"].bid_price == 0.5
+
+
+EVENT = "2024-06-01 10:00:00", "impression", 0.5
+
+
+def _events(spark, rows):
+    """Typed events of ``(ts text, type, bid price)`` rows."""
+    from adevents.functions.typing import type_events
+    from adevents.schema import RAW_SCHEMA
+
+    raw = []
+    for i, (ts, kind, price) in enumerate(rows):
+        millis = None if ts is None else str(int(dt.datetime.fromisoformat(ts + "+00:00").timestamp() * 1000))
+        raw.append((millis, kind, f"a{i}", "1", "2", str(price), "3", None, "US"))
+    return type_events(spark.createDataFrame(raw, RAW_SCHEMA))
+
+
+def _revenue(spark, store):
+    from adevents.plans.answer import answer
+
+    result, source = answer(
+        spark, store, select=["day", "SUM(bid_price)"], where=[{"col": "type", "op": "eq", "val": "impression"}], group_by=["day"]
+    )
+    return {str(r.day): r.sum_bid_price for r in result.collect()}, source
+
+
+def test_summary_tables_are_never_stale(spark, scratch):
+    from adevents.plans.answer import answer
+    from adevents.plans.prepare import open_prepared, prepare, refresh_rollups
+
+    store = prepare(_events(spark, [EVENT, ("2024-06-02 10:00:00", "impression", 1.4), (None, "impression", 9.0)]), scratch)
+    assert _revenue(spark, store) == ({"2024-06-01": 0.5, "2024-06-02": 1.4, "None": 9.0}, "daily_revenue")
+    write_store(_events(spark, [EVENT]), store.events_path, replace="none")
+    assert _revenue(spark, store) == ({"2024-06-01": 1.0, "2024-06-02": 1.4, "None": 9.0}, "events")
+    refresh_rollups(spark, store, ["2024-06-01"])
+    assert _revenue(spark, store) == ({"2024-06-01": 1.0, "2024-06-02": 1.4, "None": 9.0}, "daily_revenue")
+    # days without rows leave the summary tables
+    write_store(_events(spark, [EVENT, EVENT]), store.events_path)
+    refresh_rollups(spark, open_prepared(spark, scratch), ["2024-06-02", None])
+    assert _revenue(spark, store) == ({"2024-06-01": 1.0}, "daily_revenue")
+    # a count over no rows is 0 from a summary table too
+    none, source = answer(spark, store, select=["COUNT(*)"], where=[{"col": "type", "op": "eq", "val": "nothing"}])
+    assert source == "counts" and none.collect()[0].count_star == 0
+
+
+def test_a_refresh_by_days_reads_only_those_days(spark, events, scratch):
+    from adevents.operators.rollups import ROLLUPS, build_rollup
+    from adevents.plans.prepare import _on_days
+
+    write_store(events, scratch)
+    for r in ROLLUPS:
+        table = build_rollup(read_store(spark, scratch).where(_on_days(["2024-01-03"])), r)
+        assert "PartitionFilters: [" in (plan := table._jdf.queryExecution().executedPlan().toString())
+        assert "2024-01-03" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_broken_off_write_is_no_store(spark, events, scratch):
+    import pytest
+
+    from adevents.plans.prepare import open_prepared, prepare
+
+    store = prepare(events.limit(50), scratch)
+    bad = events.limit(50).withColumn("auction_id", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        write_store(bad, store.events_path)
+    with pytest.raises(FileNotFoundError):
+        open_prepared(spark, scratch)
+
+
+def test_non_local_masters_need_a_shared_folder(monkeypatch):
+    import pytest
+
+    from adevents import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

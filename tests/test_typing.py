@@ -118,3 +118,22 @@ def test_out_of_range_epoch_is_null(spark):
     )
     rows = {r.auction_id: r for r in type_events(raw).collect()}
     assert rows["big"].ts is None and rows["nan"].ts is None
+
+
+@pytest.mark.parametrize("price", ["1d", "2f", "0x10", "1_000", "1 2", "--1", ".", "e5"])
+def test_text_that_is_no_number_raises_as_a_price(spark, price):
+    raw = spark.createDataFrame([("1717200000000", "impression", "a", "1", "1", price, "1", None, "US")], RAW_SCHEMA)
+    with pytest.raises(PySparkException, match="malformed bid_price"):
+        type_events(raw).collect()
+    assert type_events(raw, bad_price="null").collect()[0].bid_price is None
+
+
+def test_number_texts(spark):
+    from adevents.functions.typing import soft_double
+
+    texts = ["1", "-1.5", "+.5", "2.", "1e3", "1E-2", " 7 ", "1d", "3F", "", None, "NaN", "-inf"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(soft_double(F.col("t")).alias("x")).collect()
+    got = [None if r.x is None else str(r.x) for r in rows]
+    assert got == ["1.0", "-1.5", "0.5", "2.0", "1000.0", "0.01", "7.0", None, None, None, None, "nan", "-inf"]
+    raw = spark.createDataFrame([("12d", "click", "a", "1", "1", None, "1", None, "US")], RAW_SCHEMA)
+    assert type_events(raw).collect()[0].ts is None
