@@ -108,7 +108,7 @@ def block_of(row_id: str, docs: DataFrame) -> Column:
 
 def _pack_batches(columns: list[str]):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
         for batch in batches:
             if not batch.num_rows:
                 continue

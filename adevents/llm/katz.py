@@ -15,8 +15,9 @@ share ``0.5 / (c(context) + 0.5)`` for backing off, and its n-grams' shares are
 scaled to the rest.
 
 Documents are dealt into blocks (:mod:`adevents.llm.blocks`).  For every order,
-blocks first ask which of their n-grams occur ``MIN_COUNT`` times (by 48-bit
-keys; a false yes is found out next), then send the counts of only these, with
+blocks first ask which of their n-grams occur ``MIN_COUNT`` times (by short keys,
+with as many bits as the corpus needs for one false yes in some thousands, which
+is found out next), then send the counts of only these, with
 their lower-order probabilities, to the partition that holds their context.
 It adds them up to its part of the model table and answers with counts and
 the sums that ``alpha`` and the discounts need.  N-grams counted once therefore
@@ -49,7 +50,10 @@ from adevents.session import scratch_path
 ORDER = 2
 MIN_COUNT = 2
 CUTOFF = 5
-_KEY_BITS = 48
+#: Bits of an n-gram's key above those that number the corpus's bytes by fours.
+_SPARE_BITS = 12
+#: Bits of a word within its context, whose hash has 64.
+_WORD_SHIFT = np.uint64(16)
 _END = np.uint64(0x1D8E4E27C47D124F)
 _BEGIN = np.uint64(0xEB44ACCAB455D165)
 _CONTEXT = np.uint64(0x9FB21C651E98DF25)
@@ -176,13 +180,18 @@ def _unigrams(tokens: Tokens, replies: list[bytes]) -> Unigrams:
 # ---- higher orders -------------------------------------------------------------
 
 
-def _ask_frequent(order: int, parts: int):
+def _key_bits(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(64, max(1, size // 4).bit_length() + _SPARE_BITS)
+
+
+def _ask_frequent(order: int, parts: int, bits: int):
     """Which n-grams occur MIN_COUNT times or more?"""
 
     def ask(rows, _):
         keys, _, _, counts = Tokens(rows).ngrams(order)
-        keys >>= np.uint64(64 - _KEY_BITS)
-        cut = B.cuts_of(keys, parts, _KEY_BITS)
+        keys >>= np.uint64(64 - bits)
+        cut = B.cuts_of(keys, parts, bits)
         small = np.minimum(counts, MIN_COUNT).astype(np.uint8)
         return [B.pack_arrays(B.gaps(keys[a:b]), small[a:b]) for a, b in zip(cut, cut[1:])]
 
@@ -229,9 +238,11 @@ def _ask_contexts(order: int, parts: int):
         out = []
         for a, b, i, j in zip(cut, cut[1:], inner, inner[1:]):
             own = (owner[i:j] - a).astype(np.uint32)
+            word = _short(tokens.hashes[at[i:j]])
+            values, which = np.unique(lower[at[i:j]], return_inverse=True)  # few differ
             out.append(
                 B.pack_arrays(
-                    B.gaps(contexts[a:b]), seen[a:b], B.gaps(own), tokens.hashes[at[i:j]], counts[chosen[i:j]], lower[at[i:j]]
+                    B.gaps(contexts[a:b]), seen[a:b], B.gaps(own), word, counts[chosen[i:j]], values, which.astype(np.uint32)
                 )
             )
         return out
@@ -239,6 +250,11 @@ def _ask_contexts(order: int, parts: int):
     return ask
 
 
+def _short(words: np.ndarray) -> np.ndarray:
+    """The leading 48 bits of hashes; the packed array's two empty planes cost nothing."""
+    return words >> _WORD_SHIFT
+
+
 def _merged(payloads):
     """A part of the model: contexts, their totals, their n-grams' words and totals, and sums per context."""
     asked = [B.unpack_arrays(p) for p in payloads]
@@ -255,7 +271,7 @@ def _merged(payloads):
     counts = np.concatenate([a[4] for a in asked])
     totals = np.bincount(which_ngram, weights=counts, minlength=int(new.sum())).astype(np.int64)
     first = order[new]
-    of, words, lower = owner[first], word[first], np.concatenate([a[5] for a in asked])[first]
+    of, words, lower = owner[first], word[first], np.concatenate([a[5][a[6]] for a in asked])[first]
     kept = totals >= MIN_COUNT
     n = len(contexts)
     by_count = [np.bincount(of[kept & (totals == r)], minlength=n) for r in range(1, CUTOFF + 1)]
@@ -328,12 +344,12 @@ def probability(tokens: Tokens, earlier: dict[int, list[bytes]], order: int) ->
 # ---- fitting and scoring -------------------------------------------------------
 
 
-def _answers(dealt: DataFrame, order: int, parts: int) -> tuple[DataFrame, list[DataFrame]]:
+def _answers(dealt: DataFrame, order: int, parts: int, bits: int) -> tuple[DataFrame, list[DataFrame]]:
     answers = B.answered(B.questions(dealt, 1, _ask_words(parts)), _reply_words)
     asked = []
     for k in range(2, order + 1):
         first, second = _rounds(k)
-        frequent = B.answered(B.questions(dealt, first, _ask_frequent(k, parts)), _reply_frequent)
+        frequent = B.answered(B.questions(dealt, first, _ask_frequent(k, parts, bits)), _reply_frequent)
         answers = answers.unionByName(frequent)
         counts = B.questions(dealt, second, _ask_contexts(k, parts), answers)
         asked.append(counts)
@@ -371,7 +387,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, train: str = "train") -
     """
     parts = B.parts_of(docs)
     dealt = B.deal(docs.withColumnRenamed(train, "train"), "doc_id", "text", "train")
-    answers, _ = _answers(dealt, order, parts)
+    answers, _ = _answers(dealt, order, parts, _key_bits(docs))
     return B.finish(dealt, answers, SCORES, _score(order))
 
 
@@ -383,7 +399,7 @@ def write_model(docs: DataFrame, path: str | None = None, order: int = ORDER) ->
     spark: SparkSession = docs.sparkSession
     parts = B.parts_of(docs)
     dealt = B.deal(docs, "text", "train")
-    _, asked = _answers(dealt, order, parts)
+    _, asked = _answers(dealt, order, parts, _key_bits(docs))
     path = path or scratch_path(spark, "katz")
 
     def part_of(key, rows):
