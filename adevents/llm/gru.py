@@ -123,12 +123,15 @@ class Network:
             h = out[t] = after
         return out
 
-    def forward(self, v: Vocabulary, at: np.ndarray, mask: np.ndarray | None, keep: bool = False):
-        """Logits of windows; ``at`` (places x windows) numbers the words in ``v``."""
+    def gates(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        """What the words' inputs add to the gates of either direction."""
+        return {d: x @ self.p[f"w{d}"] + self.p[f"c{d}"] for d in "fb"}
+
+    def forward(self, gates: dict[str, np.ndarray], at: np.ndarray, mask: np.ndarray | None, keep: bool = False):
+        """Logits of windows; ``at`` (places x windows) numbers the words that ``gates`` has."""
         p = self.p
-        x = self.inputs(v)
         tapes = {d: [] if keep else None for d in "fb"}
-        states = [self._run(d, x @ p[f"w{d}"] + p[f"c{d}"], at, mask, tapes[d]) for d in "fb"]
+        states = [self._run(d, gates[d], at, mask, tapes[d]) for d in "fb"]
         h = np.concatenate(states, axis=2)
         a = np.tanh(h @ p["wa"])
         score = a @ p["va"]
@@ -138,13 +141,14 @@ class Network:
         share = score / score.sum(axis=0)
         pooled = np.einsum("tn,tnh->nh", share, h)
         logit = pooled @ p["wo"] + p["bo"]
-        return (logit, (x, tapes, h, a, share, pooled)) if keep else logit
+        return (logit, (tapes, h, a, share, pooled)) if keep else logit
 
     # -- training ----------------------------------------------------------------
 
     def gradients(self, v: Vocabulary, at: np.ndarray, mask: np.ndarray, label: np.ndarray, weight: np.ndarray):
         p, hid = self.p, HIDDEN
-        logit, (x, tapes, h, a, share, pooled) = self.forward(v, at, mask, keep=True)
+        x = self.inputs(v)
+        logit, (tapes, h, a, share, pooled) = self.forward(self.gates(x), at, mask, keep=True)
         error = ((_sigmoid(logit) - label) * weight / weight.sum()).astype(np.float32)
         grad = {"wo": pooled.T @ error, "bo": np.array([error.sum()], np.float32)}
         d_pooled = error[:, None] * p["wo"]

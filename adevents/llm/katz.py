@@ -23,9 +23,9 @@ It adds them up to its part of the model table and answers with counts and
 the sums that ``alpha`` and the discounts need.  N-grams counted once therefore
 cost a few bytes each, though all enter the counts of counts.
 
-The parts of the model (contexts, their counts and weights, their n-grams) are
-written as a table partitioned by order, and evaluated in the blocks, order by
-order, for all tokens.
+So the model is a table partitioned by context.  ``write_model`` stores its
+parts; scoring takes the blocks' tokens to the parts as they are made, and then
+evaluates order by order in the blocks, for all tokens.
 
 Cases: a null text has the end token alone, a null ``doc_id`` counts as the
 empty text in the split, repeated rows are counted and scored each, without

@@ -34,9 +34,9 @@ from adevents.llm.words import ALNUM, Texts
 
 WINDOW = 64
 STRIDE = 48
-MAX_POSITIVE = 2000
-MAX_NEGATIVE = 4000
-MAX_CHARS = 200_000
+MAX_POSITIVE = 1200
+MAX_NEGATIVE = 3600
+MAX_CHARS = 50_000
 EPOCHS = 5
 BATCH = 128
 SEED = 11
@@ -67,30 +67,49 @@ class Windows:
         return self.number[np.minimum(at, len(self.number) - 1)], mask
 
 
-def _log_odds(numbers: np.ndarray, texts: np.ndarray, label: np.ndarray, buckets: int) -> np.ndarray:
-    """Smoothed log-odds of the label in the documents that hold a bucket, against all documents."""
-    pairs = np.unique(numbers.astype(np.int64) * len(label) + texts)
-    bucket, of = pairs // len(label), label[pairs % len(label)]
-    yes = np.bincount(bucket[of > 0], minlength=buckets)
-    no = np.bincount(bucket[of == 0], minlength=buckets)
+def _log_odds(parts, label: np.ndarray, buckets: int) -> np.ndarray:
+    """Smoothed log-odds of the label in the documents that hold a bucket, against all documents.
+
+    ``parts`` gives ``(buckets, documents)``, all of a document's in one part.
+    """
+    yes, no = np.zeros(buckets), np.zeros(buckets)
+    for bucket, document in parts:
+        pairs = np.unique(bucket * len(label) + document)
+        bucket, of = pairs // len(label), label[pairs % len(label)]
+        yes += np.bincount(bucket[of > 0], minlength=buckets)
+        no += np.bincount(bucket[of == 0], minlength=buckets)
     prior = label.mean()
     return np.log((yes + _SMOOTHING * prior) / (no + _SMOOTHING * (1 - prior)) * (1 - prior) / prior).astype(np.float32)
 
 
+def _held(w: Windows, step: int = 200):
+    """Distinct words of runs of documents: ``(words, documents)``."""
+    first = w.texts.first
+    for a in range(0, len(w.texts), step):
+        b = min(a + step, len(w.texts))
+        document = np.repeat(np.arange(a, b), np.diff(first[a : b + 1]))
+        pairs = np.unique(document * len(w.vocabulary) + w.number[first[a] : first[b]])
+        yield pairs % max(len(w.vocabulary), 1), pairs // max(len(w.vocabulary), 1)
+
+
+def _grams(v: gru.Vocabulary, held):
+    for word, document in held:
+        size = np.diff(v.first)[word]
+        at = np.repeat(v.first[word] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        yield v.grams[at], np.repeat(document, size)
+
+
 def train(column, label: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) -> gru.Network:
     """A network for the texts of ``column`` and their labels (0 or 1, both present)."""
     rng = np.random.default_rng(seed)
     w, net = Windows(column), gru.Network(seed)
     v = w.vocabulary
-    of_word = w.texts.text_of_word()
-    odds = _log_odds(v.word[w.number], of_word, label, gru.WORD_BUCKETS)
+    odds = _log_odds(((v.word[word], document) for word, document in _held(w)), label, gru.WORD_BUCKETS)
     net.p["word"][:, 0] = odds
-    per_word = np.diff(v.first)[w.number]
-    at = np.repeat(v.first[:-1][w.number], per_word) + np.arange(int(per_word.sum())) - np.repeat(np.cumsum(per_word) - per_word, per_word)
-    net.p["char"][:, 0] = _log_odds(v.grams[at], np.repeat(of_word, per_word), label, gru.CHAR_BUCKETS)
+    net.p["char"][:, 0] = _log_odds(_grams(v, _held(w)), label, gru.CHAR_BUCKETS)
     # The most telling window of each document, and random windows of unlabelled ones.
-    value = np.maximum(odds[v.word[w.number]], 0) + np.maximum(net.inputs(v)[:, gru.WORD_SIZE][w.number], 0)
-    upto = np.concatenate([[0], np.cumsum(value ** 2)])
+    value = np.maximum(odds[v.word], 0) + np.maximum(net.inputs(v)[:, gru.WORD_SIZE], 0)
+    upto = np.concatenate([[0], np.cumsum((value ** 2)[w.number])])
     telling = upto[w.start + w.size] - upto[w.start]
     best = np.lexsort((-telling, w.text))
     best = best[np.r_[True, w.text[best][1:] != w.text[best][:-1]]] if len(best) else best
@@ -114,9 +133,10 @@ def train(column, label: np.ndarray, epochs: int = EPOCHS, seed: int = SEED) ->
     return net
 
 
-def score_texts(net: gru.Network, column, empty: float, lanes: int = 8192) -> np.ndarray:
+def score_texts(net: gru.Network, column, empty: float, lanes: int = 2048) -> np.ndarray:
     """The highest window score of each text."""
     w = Windows(column)
+    gates = net.gates(net.inputs(w.vocabulary))
     out = np.full(len(w.texts), -np.inf)
     for full in (True, False):
         chosen = np.flatnonzero((w.size == WINDOW) == full)
@@ -125,7 +145,7 @@ def score_texts(net: gru.Network, column, empty: float, lanes: int = 8192) -> np
         for a in range(0, len(chosen), lanes):
             some = chosen[a : a + lanes]
             grid, mask = w.grid(some, int(w.size[some].max()))
-            np.maximum.at(out, w.text[some], net.forward(w.vocabulary, grid, None if full else mask))
+            np.maximum.at(out, w.text[some], net.forward(gates, grid, None if full else mask))
     scores = 1 / (1 + np.exp(-np.clip(out, -60, 60)))
     return np.where(np.isneginf(out), empty, scores)
 
