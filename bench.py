@@ -2,7 +2,7 @@
 
 Prepares the event store and summary tables from ``$BENCH_SF_DIR`` (default
 ``/root/testdata/sf0.1``) on ``local[$BENCH_CPUS]`` (default 8), then times
-each report three ways, after three warm-up passes:
+each report three ways, after three warm-up passes (``$BENCH_RUNS`` sets fewer runs):
 
 * ``qN_rollup`` -- answered from the covering summary table (the prepared,
   routed path; its total is the headline metric, comparable with the
@@ -34,8 +34,8 @@ from adevents.plans import catalog
 from adevents.plans.prepare import csv_parts_for, prepared_for
 from adevents.session import get_session
 
-RUNS = 5
-WARMUP = 3
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+WARMUP = min(3, RUNS)
 
 
 def _time(fn) -> float:

@@ -115,7 +115,7 @@ def test_median_matches_pandas(events):
         assert (np.isnan(exp) and row.median_bid_price is None) or row.median_bid_price == pytest.approx(exp)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(
         st.tuples(
