@@ -21,19 +21,24 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK_IDS = 1024
-LANES = 2048
+LANES = 6144
 MAX_ID = (1 << 16) - 1
 
 _ONE_BITS = 12
 _ONE = 1 << _ONE_BITS
 _ORDER_1 = 10  # log2 of a lane's table of order-1 predictions
-_ORDER_2 = 11
+_ORDER_2 = 10
 _CLASSES = 60
-_WIDTH = _CLASSES + 1
+_ALL_BITS = 14
+_ALL = 1 << _ALL_BITS
 _WORD = np.uint64(1 << 32)
 _LOW = np.uint64((1 << 32) - 1)
 _32 = np.uint64(32)
-_RATE = 5
+#: The classes' distribution is renewed after so many ids, and then every _RENEW ids.
+_EARLY = (1, 2, 4, 8, 16, 24)
+_RENEW = 32
+_CHECK = 32  # ids between two looks at the room for words
+_STEP = 8  # classes per step of the decoder's search
 
 
 def _class_tables():
@@ -45,70 +50,107 @@ def _class_tables():
     bits = np.zeros(_CLASSES, np.int64)
     first[number[::-1]] = ids[::-1]
     bits[number] = below
-    return number, first, bits
+    return number.astype(np.uint8), first, bits.astype(np.uint64)
 
 
 _CLASS, _FIRST, _BITS = _class_tables()
-_PLACE = np.arange(_WIDTH)
-_ALL_BITS = 14
-_ALL = 1 << _ALL_BITS
-#: Cumulative shares (of _ALL) that the classes' distribution moves to: four units stay with every class.
-_TARGET = np.where(_PLACE[None, :] > np.arange(_CLASSES)[:, None], _ALL - (_CLASSES - _PLACE) * 4, _PLACE * 4).astype(np.int16)
 
 
 class _Models:
-    """The models of ``lanes`` blocks, all at the same place."""
+    """The models of ``lanes`` blocks, all at the same place.
+
+    An entry of the prediction tables is an id and, in its lowest two bits, its
+    confidence (0: nothing predicted).  Most predictions fail on ordinary text,
+    so the steps below do for all lanes what a miss needs, and then put right
+    the lanes with a hit.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.id1 = np.zeros(lanes << _ORDER_1, np.uint16)
-        self.sure1 = np.zeros(lanes << _ORDER_1, np.int8)
-        self.id2 = np.zeros(lanes << _ORDER_2, np.uint16)
-        self.sure2 = np.zeros(lanes << _ORDER_2, np.int8)
-        self.share2 = np.tile(np.linspace(200, 3400, 4).astype(np.int32).repeat(8), lanes)
-        self.share1 = np.tile(np.tile(np.linspace(100, 2400, 4).astype(np.int32).repeat(2), 4), lanes)
-        self.shares = np.tile((_PLACE * _ALL // _CLASSES).astype(np.int16), (lanes, 1))
+        lane = np.arange(lanes)
+        self.base1, self.base2, self.base_state = lane << _ORDER_1, lane << _ORDER_2, lane << 5
+        self.table1 = np.zeros(lanes << _ORDER_1, np.int32)
+        self.table2 = np.zeros(lanes << _ORDER_2, np.int32)
+        self.share2 = np.tile(np.linspace(200, 3400, 4).astype(np.int64).repeat(8), lanes)
+        self.share1 = np.tile(np.tile(np.linspace(100, 2400, 4).astype(np.int64).repeat(2), 4), lanes)
+        self.counts = np.ones((lanes, _CLASSES), np.int32)
+        self.base_class, self.base_share = lane * _CLASSES, lane * (_CLASSES + 4)
+        self.shares = np.full((lanes, _CLASSES + 4), _ALL, np.int16)  # cumulative, of _ALL
+        self.renew(lanes)
         self.before = np.zeros(lanes, np.int64)
         self.last = np.zeros(lanes, np.int64)
 
+    def renew(self, n: int) -> None:
+        upto = np.cumsum(self.counts[:n], axis=1)
+        free = _ALL - _CLASSES  # every class keeps one unit
+        self.shares[:n, 0] = 0
+        self.shares[:n, 1 : _CLASSES + 1] = upto * free // upto[:, -1:] + np.arange(1, _CLASSES + 1)
+
     def predict(self, n: int) -> None:
         """Predictions and shares for the first ``n`` lanes."""
-        last, lane = self.last[:n], self.lane[:n]
-        self.at1 = (lane << _ORDER_1) + ((last * 40503 >> 5) & ((1 << _ORDER_1) - 1))
-        self.at2 = (lane << _ORDER_2) + (((self.before[:n] * 31153 + last * 52711) >> 6) & ((1 << _ORDER_2) - 1))
-        self.p1, self.p2 = self.id1[self.at1].astype(np.int64), self.id2[self.at2].astype(np.int64)
-        self.c1, self.c2 = self.sure1[self.at1], self.sure2[self.at2]
-        self.has2 = self.c2 > 0
-        self.has1 = (self.c1 > 0) & ~(self.has2 & (self.p1 == self.p2))
-        agree = self.has2 & (self.p1 == self.p2)
-        self.state = (lane << 5) + (self.c2.astype(np.int64) << 3) + (self.c1.astype(np.int64) << 1) + agree
-        s2, s1 = self.share2[self.state], self.share1[self.state]
-        self.f2 = np.where(self.has2, s2, 0).astype(np.int64)
-        self.f1 = np.where(self.has1, ((_ONE - self.f2) * s1) >> _ONE_BITS, 0)
-
-    def learn(self, n: int, ids: np.ndarray, classes: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        state = self.state
-        s = self.share2[state]
-        s += ((hit2.astype(np.int32) << _ONE_BITS) - s) >> 4
-        self.share2[state] = np.clip(s, 32, _ONE - 64)
-        tried = np.flatnonzero(self.has1 & ~hit2)
-        s = self.share1[state[tried]]
-        s += ((hit1[tried].astype(np.int32) << _ONE_BITS) - s) >> 4
-        self.share1[state[tried]] = np.clip(s, 32, _ONE - 64)
-        for table, sure, at, p, c in ((self.id1, self.sure1, self.at1, self.p1, self.c1), (self.id2, self.sure2, self.at2, self.p2, self.c2)):
-            right = (p == ids) & (c > 0)
-            stays = right | (c > 1)
-            table[at] = np.where(stays, p, ids)
-            sure[at] = np.where(right, np.minimum(c + 1, 3), np.maximum(c - 1, 1))
-        shares = self.shares[:n]
-        shares += (_TARGET[classes] - shares) >> _RATE
+        key = self.last[:n] * 40503
+        self.at1 = ((key >> 5) & ((1 << _ORDER_1) - 1)) + self.base1[:n]
+        key += self.before[:n] * 31153
+        self.at2 = ((key >> 6) & ((1 << _ORDER_2) - 1)) + self.base2[:n]
+        self.e1, self.e2 = self.table1[self.at1], self.table2[self.at2]
+        self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
+        self.c1, self.c2 = self.e1 & 3, self.e2 & 3
+        agree = (self.p1 == self.p2) & (self.c2 > 0)
+        self.state = (self.c2 << 3) + (self.c1 << 1) + agree + self.base_state[:n]
+        self.s2, self.s1 = self.share2[self.state], self.share1[self.state]
+        self.has1 = (self.c1 > 0) & ~agree
+        self.f2 = self.s2 * (self.c2 > 0)
+        self.f1 = np.maximum(((_ONE - self.f2) * self.s1) >> _ONE_BITS, 1) * self.has1
+
+    def learn(self, t: int, n: int, ids: np.ndarray, classes: np.ndarray, hits2: np.ndarray, hits1: np.ndarray) -> None:
+        s = self.s2 - (self.s2 >> 4)
+        s[hits2] = self.s2[hits2] + ((_ONE - self.s2[hits2]) >> 4)
+        self.share2[self.state] = s
+        s = self.s1 - (self.s1 >> 4) * self.has1
+        s[hits1] = self.s1[hits1] + ((_ONE - self.s1[hits1]) >> 4)
+        s[hits2] = self.s1[hits2]  # order 1 wasn't asked
+        self.share1[self.state] = s
+        fresh = (ids << 2) | 1
+        for table, at, e, p, c in ((self.table1, self.at1, self.e1, self.p1, self.c1), (self.table2, self.at2, self.e2, self.p2, self.c2)):
+            right = p == ids
+            stays = np.flatnonzero(right | (c > 1))
+            new = fresh.copy()
+            new[stays] = e[stays] + np.where(right[stays], c[stays] < 3, -1)
+            table[at] = new
+        self.counts.reshape(-1)[self.base_class[:n] + classes] += 1
+        if (t + 1) % _RENEW == 0 or t + 1 in _EARLY:
+            self.renew(n)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
 
+    def shares_of(self, hits2: np.ndarray, hits1: np.ndarray):
+        """Start and size of the share of each lane's case: order 2, order 1, or neither."""
+        start = self.f2 + self.f1
+        size = _ONE - start
+        start[hits1] = self.f2[hits1]
+        size[hits1] = self.f1[hits1]
+        start[hits2] = 0
+        size[hits2] = self.f2[hits2]
+        return start.view(np.uint64), size.view(np.uint64)
+
+    def class_share(self, n: int, c: np.ndarray):
+        flat, at = self.shares.reshape(-1), self.base_share[:n] + c
+        a = flat[at]
+        return a.astype(np.uint64), (flat[at + 1] - a).astype(np.uint64)
+
+    def find(self, n: int, value: np.ndarray) -> np.ndarray:
+        """The class whose share holds each value."""
+        coarse = (self.shares[:n, _STEP : _CLASSES : _STEP] <= value[:, None]).sum(axis=1) * _STEP
+        flat, at = self.shares.reshape(-1), self.base_share[:n] + coarse
+        width = _STEP // 2
+        while width:  # halve the eight classes that are left; past the last one, shares are full
+            at += (flat[at + width] <= value) * width
+            width //= 2
+        return at - self.base_share[:n]
+
 
 def _widths(lengths: np.ndarray):
     """Lanes in use at each place; ``lengths`` is descending."""
-    return np.searchsorted(-lengths, -np.arange(1, (lengths[0] if len(lengths) else 0) + 1), "right")
+    return np.searchsorted(-lengths, -np.arange(1, (lengths[0] if len(lengths) else 0) + 1), "right").tolist()
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -116,16 +158,15 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     lengths = np.array([len(blocks[i]) for i in order], np.int64)
     lanes = len(blocks)
-    ids = np.zeros((lengths[0] if lanes else 0, lanes), np.int64)
+    ids = np.zeros((lengths[0] if lanes else 0, lanes), np.uint16)
     for lane, i in enumerate(order):
         ids[: lengths[lane], lane] = blocks[i]
     m = _Models(lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    out = np.zeros((lanes, len(ids) + 4), "<u4")
+    out = np.zeros((lanes, len(ids) // 2 + 2 * _CHECK), "<u4")
     used = np.zeros(lanes, np.int64)
 
-    def shift(n: int) -> None:
-        lo, sp = low[:n], span[:n]
+    def shift(lo: np.ndarray, sp: np.ndarray) -> None:
         k = np.flatnonzero(sp < _WORD)
         if len(k):
             a, s = lo[k], sp[k]
@@ -138,30 +179,30 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 
     with np.errstate(over="ignore"):
         for t, n in enumerate(_widths(lengths)):
-            x, lo, sp = ids[t, :n], low[:n], span[:n]
+            if t % _CHECK == 0 and used.max() + 2 * _CHECK > out.shape[1]:  # an id takes two words at most
+                out = np.pad(out, ((0, 0), (0, out.shape[1] // 2 + 2 * _CHECK)))
+            x, lo, sp = ids[t, :n].astype(np.int64), low[:n], span[:n]
             m.predict(n)
-            hit2 = m.has2 & (m.p2 == x)
-            hit1 = m.has1 & (m.p1 == x) & ~hit2
-            other = ~(hit2 | hit1)
-            start = np.where(hit2, 0, np.where(hit1, m.f2, m.f2 + m.f1))
-            size = np.where(hit2, m.f2, np.where(hit1, m.f1, _ONE - m.f2 - m.f1))
+            hits2 = np.flatnonzero((m.p2 == x) & (m.c2 > 0))
+            hits1 = np.flatnonzero((m.p1 == x) & m.has1)  # has1 rules out that order 2 named it too
+            hits = np.concatenate([hits2, hits1])
+            start, size = m.shares_of(hits2, hits1)
             r = sp >> np.uint64(_ONE_BITS)
-            lo += start.astype(np.uint64) * r
-            sp[:] = size.astype(np.uint64) * r
-            c = _CLASS[x]
-            row = m.lane[:n]
-            a = m.shares[row, c].astype(np.uint64) * other
-            b = np.where(other, m.shares[row, c + 1], 0).astype(np.uint64)
+            lo += start * r
+            np.multiply(size, r, out=sp)
+            c = _CLASS[x].astype(np.int64)
+            start, size = m.class_share(n, c)
             r = sp >> np.uint64(_ALL_BITS)
-            lo += a * r
-            sp[:] = np.where(other, (b - a) * r, sp)
-            shift(n)
-            bits = np.where(other, _BITS[c], 0).astype(np.uint64)
-            r = sp >> bits
-            lo += np.where(other, x - _FIRST[c], 0).astype(np.uint64) * r
-            sp[:] = r
-            shift(n)
-            m.learn(n, x, c, hit2, hit1)
+            start[hits], r[hits], size[hits] = 0, sp[hits], 1
+            lo += start * r
+            np.multiply(size, r, out=sp)
+            shift(lo, sp)
+            bits, rest = _BITS[c], (x - _FIRST[c]).view(np.uint64)
+            bits[hits] = rest[hits] = 0
+            sp >>= bits
+            lo += rest * sp
+            shift(lo, sp)
+            m.learn(t, n, x, c, hits2, hits1)
         last = (low + _LOW) >> _32  # the one value of the interval that ends in 32 zero bits
         out[np.arange(lanes), used] = last.astype(np.uint32)
     codes: list[bytes] = [b""] * lanes
@@ -180,15 +221,14 @@ def decode_blocks(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     words = np.zeros((lanes, width), "<u4")
     for lane, i in enumerate(order):
         words[lane, : len(codes[i]) // 4] = np.frombuffer(codes[i], "<u4")
-    ids = np.zeros((lengths[0] if lanes else 0, lanes), np.int64)
+    ids = np.zeros((lengths[0] if lanes else 0, lanes), np.uint16)
     m = _Models(lanes)
     # ``gap`` is the code minus the interval's low end.
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     gap = (words[:, 0].astype(np.uint64) << _32) | words[:, 1] if lanes else np.zeros(0, np.uint64)
     used = np.full(lanes, 2, np.int64)
 
-    def shift(n: int) -> None:
-        lo, sp, g = low[:n], span[:n], gap[:n]
+    def shift(lo: np.ndarray, sp: np.ndarray, g: np.ndarray) -> None:
         k = np.flatnonzero(sp < _WORD)
         if len(k):
             a, s = lo[k], sp[k]
@@ -199,42 +239,43 @@ def decode_blocks(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
             lo[k] = a << _32
             sp[k] = s << _32
 
+    def take(lo: np.ndarray, g: np.ndarray, by: np.ndarray) -> None:
+        lo += by
+        g -= by
+
     with np.errstate(over="ignore"):
         for t, n in enumerate(_widths(lengths)):
             lo, sp, g = low[:n], span[:n], gap[:n]
             m.predict(n)
             r = sp >> np.uint64(_ONE_BITS)
-            v = np.minimum(g // r, np.uint64(_ONE - 1)).astype(np.int64)
-            hit2 = v < m.f2
-            hit1 = ~hit2 & (v < m.f2 + m.f1)
-            other = ~(hit2 | hit1)
-            start = (np.where(hit2, 0, np.where(hit1, m.f2, m.f2 + m.f1))).astype(np.uint64) * r
-            lo += start
-            g -= start
-            sp[:] = np.where(hit2, m.f2, np.where(hit1, m.f1, _ONE - m.f2 - m.f1)).astype(np.uint64) * r
+            v = np.minimum(g // r, np.uint64(_ONE - 1)).view(np.int64)
+            hits = np.flatnonzero(v < m.f2 + m.f1)
+            by2 = v[hits] < m.f2[hits]
+            hits2, hits1 = hits[by2], hits[~by2]
+            start, size = m.shares_of(hits2, hits1)
+            take(lo, g, start * r)
+            np.multiply(size, r, out=sp)
             r = sp >> np.uint64(_ALL_BITS)
+            # a small share of a right prediction may leave nothing to divide; its class isn't looked at
             v = np.minimum(g // np.maximum(r, np.uint64(1)), np.uint64(_ALL - 1)).astype(np.int16)
-            shares = m.shares[:n]
-            c = np.maximum(np.count_nonzero(shares[:, 1:_CLASSES] <= v[:, None], axis=1), 0)
-            row = m.lane[:n]
-            a = shares[row, c].astype(np.uint64) * other
-            b = np.where(other, shares[row, c + 1], 0).astype(np.uint64)
-            lo += a * r
-            g -= a * r
-            sp[:] = np.where(other, (b - a) * r, sp)
-            shift(n)
-            bits = np.where(other, _BITS[c], 0).astype(np.uint64)
-            r = sp >> bits
-            rest = np.where(other, np.minimum(g // r, (np.uint64(1) << bits) - np.uint64(1)), np.uint64(0))
-            lo += rest * r
-            g -= rest * r
-            sp[:] = r
-            shift(n)
-            x = np.where(hit2, m.p2, np.where(hit1, m.p1, _FIRST[c] + rest.astype(np.int64)))
-            ids[t, :n] = np.minimum(x, MAX_ID)
-            x = ids[t, :n]
-            m.learn(n, x, _CLASS[x], hit2, hit1)
+            c = m.find(n, v)
+            start, size = m.class_share(n, c)
+            start[hits], r[hits], size[hits] = 0, sp[hits], 1
+            take(lo, g, start * r)
+            np.multiply(size, r, out=sp)
+            shift(lo, sp, g)
+            bits = _BITS[c]
+            bits[hits] = 0
+            sp >>= bits
+            rest = np.minimum(g // sp, (np.uint64(1) << bits) - np.uint64(1))
+            take(lo, g, rest * sp)
+            shift(lo, sp, g)
+            x = _FIRST[c] + rest.view(np.int64)
+            x[hits2], x[hits1] = m.p2[hits2], m.p1[hits1]
+            x = np.minimum(x, MAX_ID)
+            ids[t, :n] = x
+            m.learn(t, n, x, _CLASS[x].astype(np.int64), hits2, hits1)
     out: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
     for lane, i in enumerate(order):
-        out[i] = ids[: lengths[lane], lane].astype(np.uint16)
+        out[i] = ids[: lengths[lane], lane].copy()
     return out

@@ -1,11 +1,16 @@
 """Token ids of whole texts, by a public tokenizer of the ``tokenizers`` library.
 
 Byte-level tokenizers of this kind cut a text into pieces that never reach
-from a non-space character into the white space after it.  So the ids of a
-text are the ids of its *chunks* (white space and the run of other characters
-after it) one after the other, and each distinct chunk is encoded only once
+from a non-space character into the white space after it, nor from a letter
+into the punctuation after it.  So the ids of a text are the ids of its *chunks*
+(white space and the run of other characters after it, or the punctuation
+after letters) one after the other.  Each distinct chunk is encoded only once
 per batch, and remembered by the worker up to ``REMEMBER`` chunks.  A chunk
 never begins after a character that might be non-ASCII white space.
+
+For the same reason the new chunks of a batch that begin with a space and end
+in printable ASCII can be encoded as one text; the ids' lengths in bytes tell
+where each chunk's ids end.
 """
 
 from __future__ import annotations
@@ -18,10 +23,11 @@ import pyarrow as pa
 from adevents.llm.words import NOT_SPACE, Texts, range_hashes
 
 END_ID = 2
-REMEMBER = 1_000_000
+REMEMBER = 2_000_000
 
 _TOKENIZERS: dict[str, object] = {}
 _MEMORY: dict[str, _Memory] = {}
+_LENGTHS: dict[str, np.ndarray] = {}
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -39,13 +45,26 @@ def load(path: str):
     return _TOKENIZERS[path]
 
 
+def _lengths(path: str) -> np.ndarray:
+    """The number of bytes of every id."""
+    if path not in _LENGTHS:
+        tok = load(path)
+        out = np.zeros(tok.get_vocab_size(), np.int64)
+        special = {i: t.content for i, t in tok.get_added_tokens_decoder().items()}
+        for token, i in tok.get_vocab().items():
+            # a byte-level vocabulary writes each byte as one character
+            out[i] = len(special[i].encode()) if i in special else len(token)
+        _LENGTHS[path] = out
+    return _LENGTHS[path]
+
+
 class _Memory:
     """Chunks met before: sorted hashes, and each one's ids in one long array."""
 
     def __init__(self):
         self.keys = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        self.start = np.zeros(0, np.uint32)
+        self.count = np.zeros(0, np.uint32)
         self.ids = np.zeros(0, np.uint16)
 
     def find(self, keys: np.ndarray):
@@ -54,18 +73,20 @@ class _Memory:
         known[known] = self.keys[at[known]] == keys[known]
         return at, known
 
-    def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for one in ids for x in one), np.uint16, int(count.sum()))
+    def add(self, keys: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
         keys_ = np.concatenate([self.keys, keys])
-        start = np.concatenate([self.start, len(self.ids) + np.cumsum(count) - count])
+        start = np.concatenate([self.start, (len(self.ids) + np.cumsum(count) - count).astype(np.uint32)])
         order = np.argsort(keys_, kind="stable")
         self.keys, self.start = keys_[order], start[order]
-        self.count = np.concatenate([self.count, count])[order]
-        self.ids = np.concatenate([self.ids, flat])
+        self.count = np.concatenate([self.count, count.astype(np.uint32)])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+
+_PUNCTUATION = np.isin(np.arange(256), [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
+_LETTER = np.isin(np.arange(256), [*range(0x41, 0x5B), *range(0x61, 0x7B)])
 
 
-def _chunk_starts(texts: Texts) -> np.ndarray:
+def _chunk_starts(texts: Texts, specials: list[bytes]) -> np.ndarray:
     data = texts.data
     space = ~NOT_SPACE[data]
     begins = space.copy()
@@ -75,14 +96,43 @@ def _chunk_starts(texts: Texts) -> np.ndarray:
     one, two = data[at - 1], data[np.maximum(at - 2, 0)]
     # After printable ASCII, or a two-byte character from U+00C0 on, none of which is white space.
     safe = ((one >= 0x21) & (one <= 0x7E)) | ((one >= 0x80) & (two >= 0xC3) & (two <= 0xDF))
-    starts = np.concatenate([texts.offsets[:-1][np.diff(texts.offsets) > 0], at[safe]])
-    return np.unique(starts)
+    cuts = np.zeros(len(data), bool)
+    cuts[at[safe]] = True
+    raw = data.tobytes()
+    if not any(s in raw for s in specials):  # else letters and punctuation may be one special token
+        cuts[1:] |= _LETTER[data[:-1]] & _PUNCTUATION[data[1:]]
+    cuts[texts.offsets[:-1][np.diff(texts.offsets) > 0]] = True
+    return np.flatnonzero(cuts)
+
+
+def _encode_chunks(data: np.ndarray, start: np.ndarray, end: np.ndarray, path: str):
+    """Numbers of ids and the ids of chunks, in any order: ``(order, counts, ids)``."""
+    tok, last = load(path), data[end - 1]
+    joins = ~NOT_SPACE[data[start]] & (last >= 0x21) & (last <= 0x7E)
+    together, alone = np.flatnonzero(joins), np.flatnonzero(~joins)
+    raw = data.tobytes()
+    counts, ids = [], []
+    for a in range(0, len(together), 20_000):
+        some = together[a : a + 20_000]
+        text = b"".join([raw[i:j] for i, j in zip(start[some].tolist(), end[some].tolist())]).decode("utf-8")
+        found = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
+        upto = np.cumsum(_lengths(path)[found])
+        last_id = np.searchsorted(upto, np.cumsum(end[some] - start[some]))
+        counts.append(np.diff(np.append(-1, last_id)))
+        ids.append(found)
+    texts = [raw[i:j].decode("utf-8") for i, j in zip(start[alone].tolist(), end[alone].tolist())]
+    for e in tok.encode_batch_fast(texts, add_special_tokens=False):
+        counts.append(np.array([len(e.ids)]))
+        ids.append(np.array(e.ids, np.uint16))
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate([together, alone]), np.concatenate(counts or none), np.concatenate(ids or none).astype(np.uint16)
 
 
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a column (null: empty) in one array, and each text's number of ids."""
     texts = Texts(column)
-    start = _chunk_starts(texts)
+    specials = [t.content.encode() for t in load(path).get_added_tokens_decoder().values()]
+    start = _chunk_starts(texts, specials)
     end = np.append(start[1:], len(texts.data))
     keys, example, which = np.unique(range_hashes(texts.data, start, end), return_index=True, return_inverse=True)
     memory = _MEMORY.setdefault(path, _Memory())
@@ -91,13 +141,12 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         if len(memory.keys) > REMEMBER:
             memory = _MEMORY[path] = _Memory()
             known[:] = False
-        raw, new = texts.data.tobytes(), example[~known]
-        chunks = [raw[a:b].decode("utf-8") for a, b in zip(start[new].tolist(), end[new].tolist())]
-        encoded = load(path).encode_batch_fast(chunks, add_special_tokens=False)
-        memory.add(keys[~known], [e.ids for e in encoded])
+        new = example[~known]
+        order, counts, ids = _encode_chunks(texts.data, start[new], end[new], path)
+        memory.add(keys[~known][order], counts, ids)
         at, _ = memory.find(keys)
     at = at[which]
-    count, first = memory.count[at], memory.start[at]
+    count, first = memory.count[at].astype(np.int64), memory.start[at].astype(np.int64)
     upto = np.cumsum(count)
     total = int(upto[-1]) if len(upto) else 0
     ids = memory.ids[np.arange(total) + np.repeat(first - (upto - count), count)]
