@@ -77,6 +77,8 @@ def _ship(spark: SparkSession) -> None:
     import zipfile
     from pathlib import Path
 
+    import pyarrow as pa
+
     from adevents.sources.files import open_filesystem
 
     sc = spark.sparkContext
@@ -86,7 +88,10 @@ def _ship(spark: SparkSession) -> None:
         for f in sorted(package.rglob("*.py")):
             zf.write(f, str(Path(package.name) / f.relative_to(package)))
     folder = scratch_path(spark, "pyfiles")
-    filesystem, inner = open_filesystem(folder)
+    try:
+        filesystem, inner = open_filesystem(folder)
+    except pa.ArrowInvalid:  # a store that Arrow can't write: the workers need the package installed
+        return
     filesystem.create_dir(inner, recursive=True)
     with filesystem.open_output_stream(f"{inner}/adevents.zip") as out:
         out.write(buf.getvalue())
