@@ -32,7 +32,7 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` for i in 0..n, kept between calls."""
     have = _POWERS.get(int(base))
     if have is None or len(have[0]) <= n:
-        size = 1 << max(16, int(n + 1).bit_length())
+        size = max(1 << 16, n + 1 + n // 8)
         with np.errstate(over="ignore"):
             tables = []
             for b in (base, _inverse(base)):
@@ -107,7 +107,7 @@ class Texts:
         return range_hashes(self.data, self.start, self.end)
 
 
-def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = 1 << 22) -> np.ndarray:
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = 1 << 19) -> np.ndarray:
     """A 64-bit hash of each of some ascending, disjoint ranges of bytes."""
     out = np.empty(len(start), np.uint64)
     a = 0
