@@ -2,7 +2,7 @@
 
 The probability of a token after a context of ``order - 1`` tokens is
 
-* ``d(c) * c / c(context)`` where the n-gram was counted ``c >= MIN_COUNT``
+* ``d(c) * c / c(context)`` where the n-gram was counted ``c >= min_count``
   times in the training documents, with Good-Turing's discount ``d`` up to
   counts of ``CUTOFF``, and else
 * ``alpha(context)`` times the probability at the next lower order, with
@@ -15,12 +15,14 @@ share ``0.5 / (c(context) + 0.5)`` for backing off, and its n-grams' shares are
 scaled to the rest.
 
 Documents are dealt into blocks (:mod:`adevents.llm.blocks`).  For every order,
-blocks first ask which of their n-grams occur ``MIN_COUNT`` times (by short keys,
-with as many bits as the corpus needs for one false yes in some thousands, which
-is found out next), then send the counts of only these, with
-their lower-order probabilities, to the partition that holds their context.
+blocks send the counts of their n-grams, with their lower-order probabilities,
+to the partition that holds their context.
 It adds them up to its part of the model table and answers with counts and
-the sums that ``alpha`` and the discounts need.  N-grams counted once therefore
+the sums that ``alpha`` and the discounts need.  The query keeps every n-gram
+that training holds (``min_count`` 1).  With a higher ``min_count`` blocks first
+ask which of their n-grams occur so often (by short keys,
+with as many bits as the corpus needs for one false yes in some thousands, which
+is found out next) and send only these; the others
 cost a few bytes each, though all enter the counts of counts.
 
 So the model is a table partitioned by context.  ``write_model`` stores its
@@ -49,6 +51,9 @@ from adevents.session import scratch_path
 
 ORDER = 2
 MIN_COUNT = 2
+#: The registered query's model: trigrams, with all n-grams that were counted.
+QUERY_ORDER = 3
+QUERY_MIN_COUNT = 1
 CUTOFF = 5
 #: Bits of an n-gram's key above those that number the corpus's bytes by fours.
 _SPARE_BITS = 12
@@ -185,30 +190,36 @@ def _key_bits(docs: DataFrame) -> int:
     return min(64, max(1, size // 4).bit_length() + _SPARE_BITS)
 
 
-def _ask_frequent(order: int, parts: int, bits: int):
-    """Which n-grams occur MIN_COUNT times or more?"""
+def _ask_frequent(order: int, parts: int, bits: int, min_count: int):
+    """Which n-grams occur ``min_count`` times or more?"""
 
     def ask(rows, _):
         keys, _, _, counts = Tokens(rows).ngrams(order)
         keys >>= np.uint64(64 - bits)
         cut = B.cuts_of(keys, parts, bits)
-        small = np.minimum(counts, MIN_COUNT).astype(np.uint8)
+        small = np.minimum(counts, min_count).astype(np.min_scalar_type(min_count))
         return [B.pack_arrays(B.gaps(keys[a:b]), small[a:b]) for a, b in zip(cut, cut[1:])]
 
     return ask
 
 
-def _reply_frequent(payloads):
-    asked = [B.unpack_arrays(p) for p in payloads]
-    keys = [B.ungap(k) for k, _ in asked]
-    _, which, totals = _added(np.concatenate(keys), np.concatenate([c for _, c in asked]))
-    head = np.array([(totals == r).sum() for r in range(1, MIN_COUNT)], np.int64)
-    found = (totals >= MIN_COUNT)[which]
-    return [B.pack_arrays(head, np.array([len(x)]), B.bits_of(x)) for x in _split(found, [len(k) for k in keys])]
+def _reply_frequent(min_count: int):
+    def reply(payloads):
+        asked = [B.unpack_arrays(p) for p in payloads]
+        keys = [B.ungap(k) for k, _ in asked]
+        _, which, totals = _added(np.concatenate(keys), np.concatenate([c for _, c in asked]))
+        head = np.array([(totals == r).sum() for r in range(1, min_count)], np.int64)
+        found = (totals >= min_count)[which]
+        return [B.pack_arrays(head, np.array([len(x)]), B.bits_of(x)) for x in _split(found, [len(k) for k in keys])]
 
+    return reply
 
-def _frequent(replies: list[bytes], n: int):
-    parts = [B.unpack_arrays(r) for r in replies]
+
+def _frequent(earlier: dict[int, list[bytes]], order: int, n: int, min_count: int):
+    """Which of a block's ``n`` n-grams it sends, and how many rarer ones of the corpus were counted 1, 2, .. times."""
+    if min_count == 1:
+        return np.ones(n, bool), np.zeros(0, np.int64)
+    parts = [B.unpack_arrays(r) for r in earlier[_rounds(order)[0]]]
     flags = np.concatenate([B.flags_of(bits, int(size[0])) for _, size, bits in parts])
     if len(flags) != n:
         raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
@@ -219,14 +230,14 @@ def _rounds(order: int) -> tuple[int, int]:
     return 2 * order - 2, 2 * order - 1
 
 
-def _ask_contexts(order: int, parts: int):
-    """Counts of the frequent n-grams, by context."""
+def _ask_contexts(order: int, parts: int, min_count: int):
+    """Counts of the n-grams found frequent enough, by context."""
 
     def ask(rows, earlier):
         tokens = Tokens(rows)
-        lower = probability(tokens, earlier, order - 1)
+        lower = probability(tokens, earlier, order - 1, min_count)
         keys, _, example, counts = tokens.ngrams(order)
-        flags, _ = _frequent(earlier[_rounds(order)[0]], len(keys))
+        flags, _ = _frequent(earlier, order, len(keys), min_count)
         contexts, of_token, _, seen = tokens.counted(tokens.context(order))
         chosen = np.flatnonzero(flags)
         owner = of_token[example[chosen]]
@@ -255,7 +266,7 @@ def _short(words: np.ndarray) -> np.ndarray:
     return words >> _WORD_SHIFT
 
 
-def _merged(payloads):
+def _merged(payloads, min_count: int):
     """A part of the model: contexts, their totals, their n-grams' words and totals, and sums per context."""
     asked = [B.unpack_arrays(p) for p in payloads]
     keys = [B.ungap(a[0]) for a in asked]
@@ -272,7 +283,7 @@ def _merged(payloads):
     totals = np.bincount(which_ngram, weights=counts, minlength=int(new.sum())).astype(np.int64)
     first = order[new]
     of, words, lower = owner[first], word[first], np.concatenate([a[5][a[6]] for a in asked])[first]
-    kept = totals >= MIN_COUNT
+    kept = totals >= min_count
     n = len(contexts)
     by_count = [np.bincount(of[kept & (totals == r)], minlength=n) for r in range(1, CUTOFF + 1)]
     large = kept & (totals > CUTOFF)
@@ -283,18 +294,21 @@ def _merged(payloads):
     return (contexts, seen, of, words, totals), (which, which_ngram, sums, sizes)
 
 
-def _reply_contexts(payloads):
-    (_, seen, _, _, totals), (which, which_ngram, sums, (n_contexts, n_ngrams)) = _merged(payloads)
-    head = _histogram(totals).astype(np.int64)
-    per_context = [_split(x[which], n_contexts) for x in (seen.astype(np.uint32), *sums)]
-    per_ngram = _split(totals.astype(np.uint32)[which_ngram], n_ngrams)
-    return [B.pack_arrays(head, *(x[i] for x in per_context), per_ngram[i]) for i in range(len(payloads))]
+def _reply_contexts(min_count: int):
+    def reply(payloads):
+        (_, seen, _, _, totals), (which, which_ngram, sums, (n_contexts, n_ngrams)) = _merged(payloads, min_count)
+        head = _histogram(totals).astype(np.int64)
+        per_context = [_split(x[which], n_contexts) for x in (seen.astype(np.uint32), *sums)]
+        per_ngram = _split(totals.astype(np.uint32)[which_ngram], n_ngrams)
+        return [B.pack_arrays(head, *(x[i] for x in per_context), per_ngram[i]) for i in range(len(payloads))]
+
+    return reply
 
 
-def _model_part(payloads) -> bytes:
+def _model_part(payloads, min_count: int) -> bytes:
     """The part's table: contexts, their totals, and n-grams as (context number, word, count)."""
-    (contexts, seen, of, words, totals), _ = _merged(payloads)
-    kept = totals >= MIN_COUNT
+    (contexts, seen, of, words, totals), _ = _merged(payloads, min_count)
+    kept = totals >= min_count
     return B.pack_arrays(
         B.gaps(contexts), seen.astype(np.uint32), B.gaps(of[kept].astype(np.uint32)), words[kept], totals[kept].astype(np.uint32)
     )
@@ -312,18 +326,17 @@ def backoff(seen, by_count, above, below, d):
     return np.where(some, left / (1 - below), 1.0), factor
 
 
-def probability(tokens: Tokens, earlier: dict[int, list[bytes]], order: int) -> np.ndarray:
+def probability(tokens: Tokens, earlier: dict[int, list[bytes]], order: int, min_count: int) -> np.ndarray:
     """The model's probability of each token, from the answers up to this order."""
     if order == 1:
         return _unigrams(tokens, earlier[1]).probability
-    lower = probability(tokens, earlier, order - 1)
+    lower = probability(tokens, earlier, order - 1, min_count)
     keys, which, example, _ = tokens.ngrams(order)
-    asked, told = _rounds(order)
-    flags, once = _frequent(earlier[asked], len(keys))
+    flags, rare = _frequent(earlier, order, len(keys), min_count)
     contexts, of_token, _, _ = tokens.counted(tokens.context(order))
-    parts = [B.unpack_arrays(r) for r in earlier[told]]
+    parts = [B.unpack_arrays(r) for r in earlier[_rounds(order)[1]]]
     n = sum(p[0] for p in parts)
-    n[1:MIN_COUNT] += once
+    n[1 : len(rare) + 1] += rare[: CUTOFF + 1]
     d = discounts(n)
     seen, *sums = (np.concatenate([p[i] for p in parts]) for i in range(1, CUTOFF + 4))
     if len(seen) != len(contexts):
@@ -338,30 +351,31 @@ def probability(tokens: Tokens, earlier: dict[int, list[bytes]], order: int) ->
     own = np.divide(
         discounted(count, d) * factor[of_token], seen[of_token], out=np.zeros(len(count)), where=seen[of_token] > 0
     )
-    return np.where(count >= MIN_COUNT, own, alpha[of_token] * lower)
+    return np.where(count >= min_count, own, alpha[of_token] * lower)
 
 
 # ---- fitting and scoring -------------------------------------------------------
 
 
-def _answers(dealt: DataFrame, order: int, parts: int, bits: int) -> tuple[DataFrame, list[DataFrame]]:
+def _answers(dealt: DataFrame, order: int, parts: int, bits: int, min_count: int) -> tuple[DataFrame, list[DataFrame]]:
     answers = B.answered(B.questions(dealt, 1, _ask_words(parts)), _reply_words)
     asked = []
     for k in range(2, order + 1):
         first, second = _rounds(k)
-        frequent = B.answered(B.questions(dealt, first, _ask_frequent(k, parts, bits)), _reply_frequent)
-        answers = answers.unionByName(frequent)
-        counts = B.questions(dealt, second, _ask_contexts(k, parts), answers)
+        if min_count > 1:
+            frequent = B.answered(B.questions(dealt, first, _ask_frequent(k, parts, bits, min_count)), _reply_frequent(min_count))
+            answers = answers.unionByName(frequent)
+        counts = B.questions(dealt, second, _ask_contexts(k, parts, min_count), answers)
         asked.append(counts)
-        answers = answers.unionByName(B.answered(counts, _reply_contexts))
+        answers = answers.unionByName(B.answered(counts, _reply_contexts(min_count)))
     return answers, asked
 
 
-def _score(order: int):
+def _score(order: int, min_count: int):
     def use(rows: pa.Table, earlier) -> pa.Table:
         tokens = Tokens(rows)
         one = _unigrams(tokens, earlier[1])
-        logs = np.log10(probability(tokens, earlier, order))
+        logs = np.log10(probability(tokens, earlier, order, min_count))
         base = np.log10((one.counts + 0.5) / (one.total + 0.5 * (one.distinct + 1)))
         first = tokens.first[:-1]
         n = len(first)
@@ -380,18 +394,18 @@ def _score(order: int):
     return use
 
 
-def score_documents(docs: DataFrame, order: int = ORDER, train: str = "train") -> DataFrame:
+def score_documents(docs: DataFrame, order: int = ORDER, train: str = "train", min_count: int = MIN_COUNT) -> DataFrame:
     """Scores of all rows of ``docs(doc_id, text, train)``; the model is learned from the rows with ``train``.
 
     ``docs`` is a table scan (computed columns are fine).
     """
     parts = B.parts_of(docs)
     dealt = B.deal(docs.withColumnRenamed(train, "train"), "doc_id", "text", "train")
-    answers, _ = _answers(dealt, order, parts, _key_bits(docs))
-    return B.finish(dealt, answers, SCORES, _score(order))
+    answers, _ = _answers(dealt, order, parts, _key_bits(docs) if min_count > 1 else 64, min_count)
+    return B.finish(dealt, answers, SCORES, _score(order, min_count))
 
 
-def write_model(docs: DataFrame, path: str | None = None, order: int = ORDER) -> str:
+def write_model(docs: DataFrame, path: str | None = None, order: int = ORDER, min_count: int = MIN_COUNT) -> str:
     """Writes the model of ``docs(text, train)`` as a table ``order, part, payload`` partitioned by order.
 
     A part has its contexts, sorted, their training counts, and their n-grams.
@@ -399,11 +413,11 @@ def write_model(docs: DataFrame, path: str | None = None, order: int = ORDER) ->
     spark: SparkSession = docs.sparkSession
     parts = B.parts_of(docs)
     dealt = B.deal(docs, "text", "train")
-    _, asked = _answers(dealt, order, parts, _key_bits(docs))
+    _, asked = _answers(dealt, order, parts, _key_bits(docs) if min_count > 1 else 64, min_count)
     path = path or scratch_path(spark, "katz")
 
     def part_of(key, rows):
-        payload = _model_part(rows.sort_by("block").column("payload").to_pylist())
+        payload = _model_part(rows.sort_by("block").column("payload").to_pylist(), min_count)
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "payload": pa.array([payload], pa.binary())})
 
     for k, counts in enumerate(asked, 2):
@@ -415,6 +429,6 @@ def write_model(docs: DataFrame, path: str | None = None, order: int = ORDER) ->
 def lm_digest(docs: DataFrame) -> DataFrame:
     held_out = remainder_of(F.col("doc_id")) == 1
     rows = docs.select("doc_id", "text", (~held_out).alias("train"))
-    return score_documents(rows).select(
+    return score_documents(rows, QUERY_ORDER, min_count=QUERY_MIN_COUNT).select(
         "doc_id", (remainder_of(F.col("doc_id")) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

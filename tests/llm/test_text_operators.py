@@ -132,6 +132,17 @@ def test_katz_scores_equal_brute_force(docs, pairs, order):
     np.testing.assert_allclose([g[4:] for g in got], [w[4:] for w in want], rtol=1e-9)
 
 
+def test_katz_query_scores_trigrams_with_all_counted_ngrams(docs, pairs):
+    want, prob, words = brute.katz(pairs, 3, min_count=1)
+    key = lambda r: (repr(r[0]), r[2], r[-1])
+    got = sorted((tuple(r) for r in katz.lm_digest(docs).collect()), key=key)
+    want = sorted(want, key=key)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    np.testing.assert_allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
+    for context in [("<s>", "<s>"), ("ha", "ha"), ("never", "tha")]:
+        assert sum(prob(context, w) for w in words) + prob(context, "\0") == pytest.approx(1)
+
+
 def test_katz_sums_to_one_and_beats_the_base(pairs):
     rows, prob, words = brute.katz(pairs)
     for context in [("<s>",), ("tha",), ("ha",), ("never",)]:
