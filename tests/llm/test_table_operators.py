@@ -79,6 +79,21 @@ def test_common_lines_are_removed_but_copies_are_no_evidence(spark, tmp_path):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in got.values())
 
 
+def test_lines_shared_by_many_documents_with_few_own_lines_are_common(spark, tmp_path):
+    rng = random.Random(5)
+    line = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(6))
+    shared = [line() for _ in range(20)]
+    rows = [(i, "\n".join([*shared, line()]), "h") for i in range(120)]
+    rows += [(1000 + i, "\n".join([line(), line()]), "h") for i in range(120)]
+    copied = "\n".join(line() for _ in range(4))
+    rows += [(2000 + i, copied, "h") for i in range(60)]
+    docs = written(spark, rows, "doc_id long, text string, source string", tmp_path / "q")
+    clean = {r.doc_id: r.text for r in quality.remove_common_lines(docs).collect()}
+    assert all(clean[i] == rows[i][1].split("\n")[-1] for i in range(120))
+    assert all(clean[d] == t for d, t, _ in rows[120:])
+    assert sorted(r.doc_id for r in quality.keep_good(docs).collect()) == [d for d, *_ in rows[120:]]
+
+
 def test_quality_on_an_empty_table(no_docs):
     assert quality.quality_digest(no_docs).count() == 0
 
