@@ -95,7 +95,7 @@ def test_lines_shared_by_many_documents_with_few_own_lines_are_common(spark, tmp
 
 
 def test_a_template_is_common_in_a_large_source_as_in_a_small_one(spark, tmp_path):
-    template = "\n".join(["Read our terms of use before you order anything"] * 3)
+    template = "Read our terms of use before you order anything\nWe ship to all lands in ten days\nAsk the friendly staff for help"
     rows = [(1000 * h + i, f"{template}\nitem {'x' * i}", host) for h, host in enumerate(("small", "large")) for i in range(1, 31)]
     rows += [(5000 + i, "one two three four five six seven eight nine ten " + "y" * i, "large") for i in range(2000)]
     docs = written(spark, rows, "doc_id long, text string, source string", tmp_path / "q")
