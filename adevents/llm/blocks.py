@@ -10,9 +10,12 @@ third of all documents costs one entry per block; no key's occurrences meet in
 one task, and nothing passes through the driver.
 
 Blocks are dealt by a hash of the row's number, so neither a hot source nor a
-repeated row makes a block large.  Documents must come from a table scan, so
-that a recomputed block (after a lost executor) holds the same rows in the
-same order; a block whose answers don't fit its keys raises.
+repeated row makes a block large, and a recomputed block (after a lost
+executor) holds the same rows in the same order; a block whose answers don't
+fit its keys raises.  The numbers of blocks and of key partitions follow the
+bytes of the texts (:func:`layout_of`), since each is held by one worker; they
+grow no faster than leaves a few thousand bytes to each message from a block to
+a partition.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 import io
 import math
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +33,12 @@ from pyspark.sql import functions as F
 
 from adevents.llm.common import with_row_id
 
-#: Blocks and key partitions per shuffle partition.  Every block sends a row to every key partition.
+#: Blocks and key partitions per shuffle partition, at least.  Every block sends a row to every key partition.
 BLOCKS = 2
 PARTS = 0.5
+#: Bytes of text whose keys a partition holds, and bytes of text a message stands for, at least.
+PART_BYTES = 24 << 20
+MESSAGE_BYTES = 8 << 10
 ANSWER = "block int, round int, part int, payload binary"
 _ANSWER = pa.schema([("block", pa.int32()), ("round", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
 _PACKED = "block int, payload binary"
@@ -97,13 +104,27 @@ def _width(docs: DataFrame) -> int:
     return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def parts_of(docs: DataFrame) -> int:
-    """Number of hash partitions of the keys."""
-    return max(1, math.ceil(_width(docs) * PARTS))
+@dataclass(frozen=True)
+class Layout:
+    """Numbers of blocks and of hash partitions of the keys."""
 
+    blocks: int
+    parts: int
 
-def block_of(row_id: str, docs: DataFrame) -> Column:
-    return F.pmod(F.xxhash64(row_id), F.lit(max(1, math.ceil(_width(docs) * BLOCKS)))).cast("int")
+    @property
+    def tasks(self) -> int:
+        return max(1, self.blocks // BLOCKS)
+
+    def block_of(self, row_id: str) -> Column:
+        return F.pmod(F.xxhash64(row_id), F.lit(self.blocks)).cast("int")
+
+
+def layout_of(docs: DataFrame, column: str = "text") -> Layout:
+    width = _width(docs)
+    size = docs.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0
+    wanted = min(math.ceil(size / PART_BYTES), math.isqrt(int(size * PARTS / (BLOCKS * MESSAGE_BYTES))))
+    parts = max(1, math.ceil(width * PARTS), wanted)
+    return Layout(max(1, math.ceil(width * BLOCKS), math.ceil(parts * BLOCKS / PARTS)), parts)
 
 
 def _pack_batches(columns: list[str]):
@@ -129,10 +150,10 @@ def _pack_batches(columns: list[str]):
     return pack
 
 
-def deal(docs: DataFrame, *columns: str) -> DataFrame:
+def deal(docs: DataFrame, layout: Layout, *columns: str) -> DataFrame:
     """``docs`` (a table scan) as blocks of ``row_id`` and the given columns."""
-    rows = with_row_id(docs.select(*columns), "row_id").withColumn("block", block_of("row_id", docs))
-    return rows.mapInArrow(_pack_batches(["row_id", *columns]), _PACKED).repartition(_width(docs), "block")
+    rows = with_row_id(docs.select(*columns), "row_id").withColumn("block", layout.block_of("row_id"))
+    return rows.mapInArrow(_pack_batches(["row_id", *columns]), _PACKED).repartition(layout.tasks, "block")
 
 
 def _rows_of(block: pa.Table) -> pa.Table:
@@ -175,7 +196,7 @@ def _by_round(replies: pa.Table) -> dict[int, list[bytes]]:
     return out
 
 
-def answered(asked: DataFrame, reply: Callable[[list[bytes]], Iterable[bytes]]) -> DataFrame:
+def answered(asked: DataFrame, reply: Callable[[list[bytes]], Iterable[bytes]], layout: Layout) -> DataFrame:
     """Every part answers all its blocks' questions: ``reply(payloads)``, in the same order."""
 
     def one_part(key, rows):
@@ -183,7 +204,7 @@ def answered(asked: DataFrame, reply: Callable[[list[bytes]], Iterable[bytes]])
         replies = list(reply(rows.column("payload").to_pylist()))
         return _answer_table(rows.column("block").combine_chunks(), rows.column("round")[0].as_py(), rows.column("part").to_pylist(), replies)
 
-    return asked.groupBy("part").applyInArrow(one_part, ANSWER)
+    return asked.repartition(layout.parts, "part").groupBy("part").applyInArrow(one_part, ANSWER)
 
 
 def finish(blocks: DataFrame, answers: DataFrame, schema: str, use: Callable) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,13 +70,41 @@ def remainder_of(doc_id: Column, modulus: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+#: Bits of a row number for the row's place in its file; those above number the file.
+_PLACE_BITS = 40
+
+
+def as_table(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is a scan of Parquet files, else :func:`saved`."""
+    if {"file_path", "row_index"} <= _metadata_fields(df):
+        return df
+    return saved(df, "table")
+
+
+def _metadata_fields(df: DataFrame) -> set[str]:
+    try:
+        return set(df.select("_metadata").schema[0].dataType.names)
+    except AnalysisException:
+        return set()
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """A number per row that is unique even among repeated rows.
 
-    It depends on the row's place in its input split, so ``df`` has to be a
-    table scan (or :func:`saved`): two scans of one table give equal numbers.
+    It is made of the row's file and place in it, so every scan gives a row
+    the same number, however the files are split and however many cores there
+    are.  ``df`` is a scan of Parquet files (:func:`as_table`), of which
+    columns and rows may have been left out.  The files are numbered by their
+    sorted paths: one row per file is broadcast, as in the scan's own listing.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    if not {"file_path", "row_index"} <= _metadata_fields(df):
+        raise ValueError("rows are numbered by their Parquet files; write the table first (as_table)")
+    path, place, number = (spare_name(df, c) for c in ("file_path", "row_index", "file_number"))
+    rows = df.withColumns({path: F.col("_metadata.file_path"), place: F.col("_metadata.row_index")})
+    files = sorted(r[0] for r in df.select(F.col("_metadata.file_path")).distinct().collect())
+    numbers = df.sparkSession.createDataFrame(list(enumerate(files)), f"`{number}` long, `{path}` string")
+    row_id = F.shiftleft(F.col(number), _PLACE_BITS) + F.col(place)
+    return rows.join(F.broadcast(numbers), path).select(*[F.col(f"`{c}`") for c in df.columns], row_id.alias(name))
 
 
 def spare_name(df: DataFrame, base: str) -> str:

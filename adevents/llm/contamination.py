@@ -35,8 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adevents.llm.common import saved, spare_name, with_row_id
-from adevents.llm.words import ALNUM, Texts
+from adevents.llm.common import as_table, saved, spare_name, with_row_id
+from adevents.llm.words import ALNUM, Texts, same_ranges
 from adevents.session import scratch_path
 
 WINDOW = 10
@@ -66,6 +66,16 @@ def _segment(rows: pa.RecordBatch) -> pa.RecordBatch:
     hashes = texts.hashes()
     order = np.argsort(hashes, kind="stable")
     ranked = hashes[order]
+    first = order[np.searchsorted(ranked, ranked)]
+    size = texts.end - texts.start
+    same = same_ranges(texts.data, texts.start[order], texts.end[order], texts.data, texts.start[first]) & (size[order] == size[first])
+    if not same.all():  # different words of one hash: number the words themselves
+        raw = texts.data.tobytes()
+        words = [raw[a:b] for a, b in zip(texts.start.tolist(), texts.end.tolist())]
+        numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        hashes = np.array([numbers[w] for w in words], np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        ranked = hashes[order]
     new = np.ones(len(order), bool)
     new[1:] = ranked[1:] != ranked[:-1]
     edges = np.flatnonzero(new)
@@ -105,7 +115,7 @@ class Index:
 
 
 def build_index(docs: DataFrame, path: str | None = None, segment_bytes: int = SEGMENT_BYTES) -> Index:
-    """Writes the postings of all words of ``docs`` (``doc_id, text``, a table scan)."""
+    """Writes the postings of all words of ``docs`` (``doc_id, text``)."""
 
     def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +123,7 @@ def build_index(docs: DataFrame, path: str | None = None, segment_bytes: int = S
                 yield _segment(rows)
 
     path = path or scratch_path(docs.sparkSession, "postings")
-    with_row_id(docs.select("doc_id", "text"), "row_id").mapInArrow(invert, _INDEX).write.option(
+    with_row_id(as_table(docs).select("doc_id", "text"), "row_id").mapInArrow(invert, _INDEX).write.option(
         "compression", "zstd"
     ).parquet(path)
     return Index(path)
@@ -227,7 +237,7 @@ def _matcher(phrases, slop: int):
 def _chunks(benchmark: DataFrame, most: int) -> Iterator[pa.Table]:
     """The items in runs of about ``most`` words; each run is collected by itself."""
     words = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+")).cast("long")
-    sized = with_row_id(benchmark.select("item_id", "text"), "row_id").withColumn("words", words)
+    sized = with_row_id(as_table(benchmark).select("item_id", "text"), "row_id").withColumn("words", words)
     total = sized.agg(F.sum("words")).first()[0]
     if total is None:
         return
@@ -300,6 +310,7 @@ def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents (a table scan, all columns) without any benchmark phrase."""
+    docs = as_table(docs)
     key = spare_name(docs, "row_id")
     bad = find_matches(docs.sparkSession, build_index(docs), benchmark).where(F.size("hits") > 0)
     return with_row_id(docs, key).join(bad.select(F.col("row_id").alias(key)), key, "left_anti").drop(key)

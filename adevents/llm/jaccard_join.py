@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adevents.llm import blocks as B
-from adevents.llm.common import saved, spare_name, with_row_id
+from adevents.llm.common import as_table, saved, spare_name, with_row_id
 from adevents.llm.graph import components
 from adevents.llm.substring_dedup import reply_shared, shared_bits
 from adevents.llm.words import Texts, Windows, mix
@@ -125,7 +125,7 @@ def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
 # ---- survivors -------------------------------------------------------------------
 
 
-def _standing(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _standing(classes: DataFrame, layout: B.Layout) -> DataFrame:
     """The classes' first rows as round 0 of the blocks' answers."""
 
     def pack(key, rows):
@@ -135,7 +135,7 @@ def _standing(classes: DataFrame, docs: DataFrame) -> DataFrame:
             schema=pa.schema([("block", pa.int32()), ("round", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())]),
         )
 
-    return classes.select("rep", B.block_of("rep", docs).alias("block")).groupBy("block").applyInArrow(pack, B.ANSWER)
+    return classes.select("rep", layout.block_of("rep").alias("block")).groupBy("block").applyInArrow(pack, B.ANSWER)
 
 
 class _Standing:
@@ -155,7 +155,8 @@ class _Standing:
 
 def _survivors(docs: DataFrame, classes: DataFrame, threshold: int, shingle: int, sample: float) -> DataFrame:
     """``rid, tokens`` of the classes that may have a partner."""
-    parts = B.parts_of(docs)
+    layout = B.layout_of(docs)
+    parts = layout.parts
 
     def ask(rows, earlier):
         s = _Standing(rows, earlier.get(0), shingle, sample)
@@ -176,10 +177,10 @@ def _survivors(docs: DataFrame, classes: DataFrame, threshold: int, shingle: int
             }
         )
 
-    dealt = B.deal(docs, "text")
-    standing = _standing(classes, docs)
+    dealt = B.deal(docs, layout, "text")
+    standing = _standing(classes, layout)
     asked = B.questions(dealt, 1, ask, standing)
-    answers = standing.unionByName(B.answered(asked, reply_shared))
+    answers = standing.unionByName(B.answered(asked, reply_shared, layout))
     return B.finish(dealt, answers, "rid long, tokens binary", survive)
 
 
@@ -197,7 +198,8 @@ def _reply_counts(payloads: list[bytes]) -> list[bytes]:
 
 def _prefixes(survivors: DataFrame, threshold: int, orders: int) -> DataFrame:
     """``rid, size, own, tokens, p0, p1, ..``: tokens others hold, and the prefixes among them."""
-    parts = B.parts_of(survivors)
+    layout = B.layout_of(survivors, "tokens")
+    parts = layout.parts
 
     def sets_of(rows):
         arrays = [np.frombuffer(t, np.uint64) for t in rows.column("tokens").to_pylist()]
@@ -234,8 +236,8 @@ def _prefixes(survivors: DataFrame, threshold: int, orders: int) -> DataFrame:
         kinds = {"rid": pa.int64(), "size": pa.int32(), "own": pa.int32(), "tokens": pa.binary()}
         return pa.table({c: pa.array(v, kinds.get(c, longs)) for c, v in out.items()})
 
-    dealt = B.deal(survivors, "rid", "tokens")
-    answers = B.answered(B.questions(dealt, 1, ask), _reply_counts)
+    dealt = B.deal(survivors, layout, "rid", "tokens")
+    answers = B.answered(B.questions(dealt, 1, ask), _reply_counts, layout)
     schema = "rid long, size int, own int, tokens binary, " + ", ".join(f"p{k} array<long>" for k in range(orders))
     return B.finish(dealt, answers, schema, describe)
 
@@ -380,8 +382,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, shingle: int =
 
     ``class_id`` and ``component_id`` are the smallest ids of the documents with
     an equal set and of the component, ``first_row`` its smallest row number.
-    ``docs`` is a table scan with ``doc_id`` and ``text``.
+    ``docs`` has ``doc_id`` and ``text``; for row numbers that another scan
+    repeats it is a scan of a table.
     """
+    docs = as_table(docs)
     signed = saved(_signatures(docs, shingle), "signatures")
     key = ["n_shingles", "sum1", "sum2"]
     classes = signed.where("n_shingles > 0").groupBy(*key).agg(F.min("row_id").alias("rep"), F.min("doc_id").alias("class_id"))
@@ -403,10 +407,11 @@ def jaccard_digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` (a table scan, all columns) with the first row of each component.
+    """``docs`` (all columns) with the first row of each component.
 
     Documents without words are linked with nothing and all stay.
     """
+    docs = as_table(docs)
     key = spare_name(docs, "row_id")
     firsts = near_duplicates(docs).where("row_id = first_row").select(F.col("row_id").alias(key))
     return with_row_id(docs, key).join(firsts, key, "left_semi").drop(key)

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adevents.llm import blocks as B
-from adevents.llm.common import remainder_of
+from adevents.llm.common import as_table, remainder_of
 from adevents.llm.words import Texts, mix
 from adevents.session import scratch_path
 
@@ -357,17 +357,18 @@ def probability(tokens: Tokens, earlier: dict[int, list[bytes]], order: int, min
 # ---- fitting and scoring -------------------------------------------------------
 
 
-def _answers(dealt: DataFrame, order: int, parts: int, bits: int, min_count: int) -> tuple[DataFrame, list[DataFrame]]:
-    answers = B.answered(B.questions(dealt, 1, _ask_words(parts)), _reply_words)
+def _answers(dealt: DataFrame, order: int, layout: B.Layout, bits: int, min_count: int) -> tuple[DataFrame, list[DataFrame]]:
+    parts = layout.parts
+    answers = B.answered(B.questions(dealt, 1, _ask_words(parts)), _reply_words, layout)
     asked = []
     for k in range(2, order + 1):
         first, second = _rounds(k)
         if min_count > 1:
-            frequent = B.answered(B.questions(dealt, first, _ask_frequent(k, parts, bits, min_count)), _reply_frequent(min_count))
+            frequent = B.answered(B.questions(dealt, first, _ask_frequent(k, parts, bits, min_count)), _reply_frequent(min_count), layout)
             answers = answers.unionByName(frequent)
         counts = B.questions(dealt, second, _ask_contexts(k, parts, min_count), answers)
         asked.append(counts)
-        answers = answers.unionByName(B.answered(counts, _reply_contexts(min_count)))
+        answers = answers.unionByName(B.answered(counts, _reply_contexts(min_count), layout))
     return answers, asked
 
 
@@ -397,11 +398,11 @@ def _score(order: int, min_count: int):
 def score_documents(docs: DataFrame, order: int = ORDER, train: str = "train", min_count: int = MIN_COUNT) -> DataFrame:
     """Scores of all rows of ``docs(doc_id, text, train)``; the model is learned from the rows with ``train``.
 
-    ``docs`` is a table scan (computed columns are fine).
     """
-    parts = B.parts_of(docs)
-    dealt = B.deal(docs.withColumnRenamed(train, "train"), "doc_id", "text", "train")
-    answers, _ = _answers(dealt, order, parts, _key_bits(docs) if min_count > 1 else 64, min_count)
+    docs = as_table(docs)
+    layout = B.layout_of(docs)
+    dealt = B.deal(docs.withColumnRenamed(train, "train"), layout, "doc_id", "text", "train")
+    answers, _ = _answers(dealt, order, layout, _key_bits(docs) if min_count > 1 else 64, min_count)
     return B.finish(dealt, answers, SCORES, _score(order, min_count))
 
 
@@ -411,9 +412,10 @@ def write_model(docs: DataFrame, path: str | None = None, order: int = ORDER, mi
     A part has its contexts, sorted, their training counts, and their n-grams.
     """
     spark: SparkSession = docs.sparkSession
-    parts = B.parts_of(docs)
-    dealt = B.deal(docs, "text", "train")
-    _, asked = _answers(dealt, order, parts, _key_bits(docs) if min_count > 1 else 64, min_count)
+    docs = as_table(docs)
+    layout = B.layout_of(docs)
+    dealt = B.deal(docs, layout, "text", "train")
+    _, asked = _answers(dealt, order, layout, _key_bits(docs) if min_count > 1 else 64, min_count)
     path = path or scratch_path(spark, "katz")
 
     def part_of(key, rows):

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adevents.llm.common import n_words_of, saved, spare_name, text_or_empty, with_row_id
+from adevents.llm.common import as_table, n_words_of, saved, spare_name, text_or_empty, with_row_id
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -193,7 +193,8 @@ def mix_digest(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` (a table scan, all columns), each row as often as the mix takes it."""
+    """``docs`` (all columns), each row as often as the mix takes it."""
+    docs = as_table(docs)
     key = spare_name(docs, "row_id")
     rows = with_row_id(docs, key)
     sizes = saved(_sizes(rows, seed, F.col(key).alias("row_id")), "sizes")

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adevents.llm.common import ascii_lower, let, n_words_of, saved, spare_name, text_or_empty, with_row_id, words_of
+from adevents.llm.common import as_table, ascii_lower, let, n_words_of, saved, spare_name, text_or_empty, with_row_id, words_of
 
 MIN_DOCS = 20
 MAX_SHARE = 0.02
@@ -192,13 +192,14 @@ def _verdicts(facts: DataFrame, key: str, common: DataFrame) -> DataFrame:
 
 def quality_digest(docs: DataFrame, host_col: str = "source") -> DataFrame:
     """One row per document: base counts, ``base_failed``, ``kept`` and removed words."""
-    rows = with_row_id(docs.select("doc_id", "text", F.col(host_col).alias("host_in")), "row_id")
+    rows = with_row_id(as_table(docs).select("doc_id", "text", F.col(host_col).alias("host_in")), "row_id")
     facts = saved(_facts(rows, "host_in", F.col("row_id"), F.col("doc_id")), "quality")
     return _verdicts(facts, "row_id", digest_lines(facts)).drop("row_id")
 
 
 def keep_good(docs: DataFrame, host_col: str = "source") -> DataFrame:
-    """The documents (all columns, text unchanged) that pass; ``docs`` is a table scan."""
+    """The documents (all columns, text unchanged) that pass."""
+    docs = as_table(docs)
     key = spare_name(docs, "row_id")
     rows = with_row_id(docs, key)
     facts = saved(_facts(rows, host_col, F.col(key).alias("row_id")), "quality")
@@ -207,11 +208,12 @@ def keep_good(docs: DataFrame, host_col: str = "source") -> DataFrame:
 
 
 def remove_common_lines(docs: DataFrame, host_col: str = "source") -> DataFrame:
-    """``docs`` (a table scan) with the common lines taken out of ``text``.
+    """``docs`` with the common lines taken out of ``text``.
 
     The common lines that a document holds are gathered per document, so each
     row carries at most as many hashes as it has lines.
     """
+    docs = as_table(docs)
     key = spare_name(docs, "row_id")
     rows = with_row_id(docs, key)
     facts = saved(_facts(rows, host_col, F.col(key).alias("row_id")), "quality")

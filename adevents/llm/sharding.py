@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adevents.llm.common import crc32_of, saved, spare_name, text_or_empty, with_row_id
+from adevents.llm.common import as_table, crc32_of, saved, spare_name, text_or_empty, with_row_id
 
 ROW_OVERHEAD = 8
 
@@ -94,11 +94,11 @@ def shard_digest(docs: DataFrame, shards: int = 24) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """``docs`` (a table scan) with all its columns, plus ``shard`` and ``slot``.
+    """``docs`` with all its columns, plus ``shard`` and ``slot``.
 
     A column of that name in ``docs`` is replaced.
     """
-    kept = docs.drop("shard", "slot")
+    kept = as_table(docs).drop("shard", "slot")
     key = spare_name(kept, "row_id")
     placed = assign(_sized(with_row_id(kept, key), F.col(key).alias("row_id")), shards)
     placed = placed.select(F.col("row_id").alias(key), "shard", "slot")

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adevents.llm import blocks as B
+from adevents.llm.common import as_table
 from adevents.llm.words import Texts, Windows, covered
 
 WINDOW = 35
@@ -146,11 +147,13 @@ def _bits_per_block(which, counts, keys, twice) -> list[bytes]:
 def find_and_remove(docs: DataFrame, window: int = WINDOW, period: int = PERIOD) -> DataFrame:
     """One row per document (``OUTPUT``): removed runs of words and the kept text.
 
-    ``docs`` is a table scan with ``doc_id`` and ``text``.
+    ``docs`` has ``doc_id`` and ``text``.
     """
+    docs = as_table(docs)
     if not 1 <= period <= window:
         raise ValueError("the period must be between 1 and the window")
-    cover, parts = difference_cover(period), B.parts_of(docs)
+    cover, layout = difference_cover(period), B.layout_of(docs)
+    parts = layout.parts
 
     def places(rows: pa.Table) -> _Places:
         return _Places(Texts(rows.column("text")), window, period, cover)
@@ -178,9 +181,9 @@ def find_and_remove(docs: DataFrame, window: int = WINDOW, period: int = PERIOD)
         gone = covered(repeated, window, len(p.words))
         return _result(rows, p.texts, gone)
 
-    dealt = B.deal(docs, "doc_id", "text")
-    shared_anchors = B.answered(B.questions(dealt, 1, ask_anchors), reply_shared)
-    repeated = B.answered(B.questions(dealt, 2, ask_windows, shared_anchors), _reply_windows)
+    dealt = B.deal(docs, layout, "doc_id", "text")
+    shared_anchors = B.answered(B.questions(dealt, 1, ask_anchors), reply_shared, layout)
+    repeated = B.answered(B.questions(dealt, 2, ask_windows, shared_anchors), _reply_windows, layout)
     return B.finish(dealt, shared_anchors.unionByName(repeated), OUTPUT, remove)
 
 

@@ -5,7 +5,8 @@ from a non-space character into the white space after it, nor from a letter
 into the punctuation after it.  So the ids of a text are the ids of its *chunks*
 (white space and the run of other characters after it, or the punctuation
 after letters) one after the other.  Each distinct chunk is encoded only once
-per batch, and remembered by the worker up to ``REMEMBER`` chunks.  A chunk
+per batch, and remembered by the worker, with its bytes, up to ``REMEMBER``
+chunks; chunks are looked up by a hash and compared byte by byte.  A chunk
 never begins after a character that might be non-ASCII white space.
 
 For the same reason the new chunks of a batch that begin with a space and end
@@ -20,7 +21,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from adevents.llm.words import NOT_SPACE, Texts, range_hashes
+from adevents.llm.words import NOT_SPACE, Texts, range_hashes, same_ranges
 
 END_ID = 2
 REMEMBER = 2_000_000
@@ -59,10 +60,13 @@ def _lengths(path: str) -> np.ndarray:
 
 
 class _Memory:
-    """Chunks met before: sorted hashes, and each one's ids in one long array."""
+    """Chunks met before: sorted hashes, and each one's bytes and ids in long arrays."""
 
     def __init__(self):
         self.keys = np.zeros(0, np.uint64)
+        self.place = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.data = np.zeros(0, np.uint8)
         self.start = np.zeros(0, np.uint32)
         self.count = np.zeros(0, np.uint32)
         self.ids = np.zeros(0, np.uint16)
@@ -73,11 +77,19 @@ class _Memory:
         known[known] = self.keys[at[known]] == keys[known]
         return at, known
 
-    def add(self, keys: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+    def holds(self, at: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether the chunks at these numbers have the same bytes as the given ones."""
+        return (self.size[at] == end - start) & same_ranges(data, start, end, self.data, self.place[at])
+
+    def add(self, keys: np.ndarray, chunks: list[bytes], count: np.ndarray, ids: np.ndarray) -> None:
         keys_ = np.concatenate([self.keys, keys])
+        size = np.array([len(c) for c in chunks], np.int64)
+        place = np.concatenate([self.place, len(self.data) + np.cumsum(size) - size])
+        self.data = np.concatenate([self.data, np.frombuffer(b"".join(chunks), np.uint8)])
         start = np.concatenate([self.start, (len(self.ids) + np.cumsum(count) - count).astype(np.uint32)])
         order = np.argsort(keys_, kind="stable")
-        self.keys, self.start = keys_[order], start[order]
+        self.keys, self.start, self.place = keys_[order], start[order], place[order]
+        self.size = np.concatenate([self.size, size])[order]
         self.count = np.concatenate([self.count, count.astype(np.uint32)])[order]
         self.ids = np.concatenate([self.ids, ids])
 
@@ -128,6 +140,12 @@ def _encode_chunks(data: np.ndarray, start: np.ndarray, end: np.ndarray, path: s
     return np.concatenate([together, alone]), np.concatenate(counts or none), np.concatenate(ids or none).astype(np.uint16)
 
 
+def _encode_alone(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`encode`, text by text."""
+    ids = [e.ids for e in load(path).encode_batch_fast([x or "" for x in column.to_pylist()], add_special_tokens=False)]
+    return np.array([i for x in ids for i in x], np.uint16), np.array([len(x) for x in ids], np.int64)
+
+
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a column (null: empty) in one array, and each text's number of ids."""
     texts = Texts(column)
@@ -135,15 +153,22 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     start = _chunk_starts(texts, specials)
     end = np.append(start[1:], len(texts.data))
     keys, example, which = np.unique(range_hashes(texts.data, start, end), return_index=True, return_inverse=True)
+    first = example[which]
+    if not ((end - start == end[first] - start[first]) & same_ranges(texts.data, start, end, texts.data, start[first])).all():
+        return _encode_alone(column, path)  # two chunks of one hash
     memory = _MEMORY.setdefault(path, _Memory())
     at, known = memory.find(keys)
+    if not memory.holds(at[known], texts.data, start[example[known]], end[example[known]]).all():
+        return _encode_alone(column, path)
     if not known.all():
         if len(memory.keys) > REMEMBER:
             memory = _MEMORY[path] = _Memory()
             known[:] = False
         new = example[~known]
         order, counts, ids = _encode_chunks(texts.data, start[new], end[new], path)
-        memory.add(keys[~known][order], counts, ids)
+        raw = texts.data.tobytes()
+        chunks = [raw[a:b] for a, b in zip(start[new[order]].tolist(), end[new[order]].tolist())]
+        memory.add(keys[~known][order], chunks, counts, ids)
         at, _ = memory.find(keys)
     at = at[which]
     count, first = memory.count[at].astype(np.int64), memory.start[at].astype(np.int64)

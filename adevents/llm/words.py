@@ -1,17 +1,22 @@
 """Words and hashes of whole columns of texts, in numpy.
 
-A column's UTF-8 bytes are looked at as one array.  Word and window hashes are
-polynomials modulo 2**64, read off prefix sums: the hash of the items from
-``a`` to ``b`` is ``(sum[b] - sum[a]) / base**a``.
+A column's UTF-8 bytes are looked at as one array.  Words are hashed eight bytes
+at a time, all words in step; a long word is hashed by blake2b.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_2 = np.uint64(0xD6E8FEB86659FD93)
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+_STEP_1 = np.uint64(0xD6E8FEB86659FD93)
+_STEP_2 = np.uint64(0xC2B2AE3D27D4EB4F)
+#: Longer ranges of bytes are hashed by hashlib.
+_SHORT = 128
 
 #: Bytes of the two kinds of words; all bytes of non-ASCII characters belong to words.
 _BYTES = np.arange(256)
@@ -21,30 +26,6 @@ ALNUM = (
 )
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _inverse(base: np.uint64) -> np.uint64:
-    return np.uint64(pow(int(base), -1, 1 << 64))
-
-
-def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base**i`` and ``base**-i`` for i in 0..n, kept between calls."""
-    have = _POWERS.get(int(base))
-    if have is None or len(have[0]) <= n:
-        size = max(1 << 16, n + 1 + n // 8)
-        with np.errstate(over="ignore"):
-            tables = []
-            for b in (base, _inverse(base)):
-                t = np.full(size, b, dtype=np.uint64)
-                t[0] = 1
-                tables.append(np.multiply.accumulate(t))
-        have = (tables[0], tables[1])
-        if size <= 1 << 23:
-            _POWERS[int(base)] = have
-    return have
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Murmur3's 64-bit finaliser: a bijection that spreads all bits."""
     with np.errstate(over="ignore"):
@@ -107,38 +88,101 @@ class Texts:
         return range_hashes(self.data, self.start, self.end)
 
 
-def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, step: int = 1 << 19) -> np.ndarray:
-    """A 64-bit hash of each of some ascending, disjoint ranges of bytes."""
-    out = np.empty(len(start), np.uint64)
-    a = 0
-    while a < len(start):  # in runs of about ``step`` bytes, cut between ranges
-        b = max(a + 1, int(np.searchsorted(end, start[a] + step, "right")))
-        low, high = int(start[a]), int(end[b - 1])
-        power, inverse = _powers(_BASE, high - low)
-        with np.errstate(over="ignore"):
-            sums = np.zeros(high - low + 1, np.uint64)
-            np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * power[: high - low], out=sums[1:])
-            s, e = start[a:b] - low, end[a:b] - low
-            out[a:b] = mix((sums[e] - sums[s]) * inverse[s])
-        a = b
-    return out
+def _eights(data: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """Reads the eight bytes from each of some places on (zeros past the end) as one number."""
+    padded = np.zeros((len(data) // 8 + 2) * 8, np.uint8)
+    padded[: len(data)] = data
+    words = padded.view("<u8")
+
+    def read(at: np.ndarray) -> np.ndarray:
+        word, bits = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        # two shifts, as one by 64 is not defined
+        return (words[word] >> bits) | ((words[word + 1] << np.uint64(1)) << (np.uint64(63) - bits))
+
+    return read
+
+
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+
+
+def _step(state: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Takes the next value into a hash; not linear in either, so patterns don't cancel out."""
+    with np.errstate(over="ignore"):
+        x = (state ^ (state >> np.uint64(31))) * _STEP_1 + value
+        x ^= x >> np.uint64(32)
+        x *= _STEP_2
+        x ^= x >> np.uint64(29)
+    return x
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of some ranges of bytes."""
+    size = end - start
+    read = _eights(data)
+    with np.errstate(over="ignore"):
+        out = _SEED + size.astype(np.uint64)
+    left = np.flatnonzero(size <= _SHORT)
+    offset = 0
+    while len(left):
+        value = read(start[left] + offset) & _KEEP[np.minimum(size[left] - offset, 8)]
+        out[left] = _step(out[left], value)
+        offset += 8
+        left = left[size[left] > offset]
+    for i in np.flatnonzero(size > _SHORT).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return mix(out)
+
+
+def same_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_start: np.ndarray) -> np.ndarray:
+    """Which ranges of bytes equal those of the same length that start at ``other_start`` in ``other``."""
+    size, one, two = end - start, _eights(data), _eights(other)
+    same = np.ones(len(start), bool)
+    left, offset = np.flatnonzero(size > 0), 0
+    while len(left):
+        keep = _KEEP[np.minimum(size[left] - offset, 8)]
+        fits = ((one(start[left] + offset) ^ two(other_start[left] + offset)) & keep) == 0
+        same[left[~fits]] = False
+        offset += 8
+        left = left[fits]
+        left = left[size[left] > offset]
+        if offset >= 8 * _SHORT:
+            for i in left.tolist():
+                a, b = int(start[i]), int(other_start[i])
+                same[i] = np.array_equal(data[a : a + size[i]], other[b : b + size[i]])
+            break
+    return same
 
 
 class Windows:
-    """Hashes of runs of word hashes."""
+    """Hashes of runs of word hashes.
+
+    The hash of a run is put together from those of runs of 1, 2, 4, .. items,
+    which are made from each other by doubling.
+    """
 
     def __init__(self, word_hashes: np.ndarray, second: bool = False):
-        base = _BASE_2 if second else _BASE
-        power, self._inverse = _powers(base, len(word_hashes))
         with np.errstate(over="ignore"):
-            self._sums = np.zeros(len(word_hashes) + 1, np.uint64)
-            items = mix(word_hashes + np.uint64(0x5851F42D4C957F2D)) if second else word_hashes
-            np.cumsum(items * power[: len(word_hashes)], out=self._sums[1:])
+            self._items = mix(word_hashes + np.uint64(0x5851F42D4C957F2D)) if second else word_hashes
 
     def at(self, start: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+        """The hash of ``length`` items from each start; all runs lie inside the items."""
+        if isinstance(length, np.ndarray):
+            out = np.empty(len(start), np.uint64)
+            for n in np.unique(length).tolist():
+                chosen = length == n
+                out[chosen] = self.at(start[chosen], n)
+            return out
+        runs, size, at = self._items, 1, start
+        out = np.full(len(start), _SEED)
+        while size <= length:
+            if length & size:
+                out = _step(out, runs[at]) if len(at) else out
+                at = at + size
+            if 2 * size <= length:
+                runs = _step(runs[:-size], runs[size:])
+            size *= 2
         with np.errstate(over="ignore"):
-            raw = (self._sums[start + length] - self._sums[start]) * self._inverse[start]
-            return mix(raw + np.asarray(length, np.uint64))
+            return mix(out + np.uint64(length))
 
 
 def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray:

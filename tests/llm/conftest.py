@@ -19,6 +19,18 @@ def edited(rng: random.Random, text: str, n: int) -> str:
     return " ".join(words)
 
 
+def thue_morse(n: int) -> str:
+    """``n`` letters (a power of two) whose sums of powers cancel out modulo powers of two."""
+    text = "a"
+    while len(text) < n:
+        text += text.translate({97: 98, 98: 97})
+    return text
+
+
+def long_words() -> list[str]:
+    return [w for n in (512, 1024, 2048, 4096) for w in (thue_morse(n), thue_morse(n).translate({97: 98, 98: 97}))]
+
+
 def make_rows() -> list[dict]:
     """Copies, near copies, shared passages, boilerplate, nulls, empties, repeated rows, one long text."""
     rng = random.Random(4)
@@ -30,6 +42,9 @@ def make_rows() -> list[dict]:
     texts += [passage + " " + passage[1:] + " " + passage, "ha " * 100, "one two", "one  two\n", "One Two", "x"]
     texts += [f"{prose(rng, 30)}\nAll rights reserved.\n{prose(rng, 30)}" for _ in range(30)]
     texts += ["All rights reserved.\nAll rights reserved.", None, None, "", " \t\n", "\u00a0 \u00a0", prose(rng, 6000)]
+    # texts that differ in one very long word only
+    shared = prose(rng, 34)
+    texts += [f"{shared} {w}" for w in long_words()] + long_words()
     rows = [
         {"doc_id": i, "text": t, "lang": "en", "source": None if i % 11 == 0 else f"src{i % 3}", "n_chars": len(t or "")}
         for i, t in enumerate(texts)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from adevents.llm import gru, range_coder, token_files, tokens, toxicity
 
-from .conftest import SCHEMA, prose, written
+from .conftest import SCHEMA, long_words, prose, written
 
 
 @settings(max_examples=40, deadline=None)
@@ -38,7 +38,7 @@ TRICKY = ["", "a", " a", "a ", "  a  b\n\n c", "x\u00a0 y", "x\u00a0\ny", "\u300
 
 def test_chunked_tokens_equal_whole_text_tokens(pairs):
     path = tokens.tokenizer_path()
-    texts = TRICKY + [t for _, t in pairs]
+    texts = TRICKY + [t for _, t in pairs] + [w + " " + w for w in long_words()]
     ids, counts = tokens.encode(pa.array(texts), path)
     whole = [e.ids for e in tokens.load(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == whole

@@ -28,6 +28,29 @@ def test_words_of_bytes_match_the_patterns():
         assert t.n_words.tolist() == [len(pattern.findall(x or "")) for x in texts]
 
 
+def test_hashes_tell_long_words_and_windows_apart():
+    import pyarrow as pa
+
+    from adevents.llm.words import Windows, same_ranges
+
+    from .conftest import long_words
+
+    words = [*long_words(), "x" * 127, "x" * 128, "x" * 129, "", "x", "x\0", "abcdefgh", "abcdefgh\0"]
+    t = Texts(pa.array(words), np.ones(256, bool))
+    t.start, t.end = t.offsets[:-1], t.offsets[1:]
+    assert len(set(t.hashes().tolist())) == len(words)
+    assert same_ranges(t.data, t.start, t.end, t.data, t.start).all()
+    assert not same_ranges(t.data, t.start[0:8:2], t.end[0:8:2], t.data, t.start[1:8:2]).any()
+    rng = np.random.default_rng(0)
+    one, two = rng.integers(0, 1 << 63, 2).astype(np.uint64)
+    for n in (1, 2, 5, 15, 35, 1024):
+        bits = np.array([bin(i).count("1") % 2 for i in range(n)], bool)
+        a, b = np.where(bits, one, two), np.where(bits, two, one)
+        both = Windows(np.concatenate([a, b, a])).at(np.array([0, n, 2 * n]), n)
+        assert both[0] == both[2] != both[1]
+        assert Windows(a, second=True).at(np.array([0]), n)[0] != both[0]
+
+
 def test_substring_dedup_equals_brute_force(docs, pairs):
     want = [(d, n, gone, hashlib.sha256(kept.encode()).hexdigest()) for d, n, gone, kept in brute.substring(pairs, 35)]
     same(substring_dedup.dedup_digest(docs), want, ["doc_id", "n_words", "n_removed", "kept_sha256"])
@@ -47,10 +70,13 @@ def test_difference_cover(period):
 
 
 def _items(spark, pairs, tmp_path):
+    from .conftest import long_words
+
     long = [t for _, t in pairs if t and 40 < len(t.split()) < 200]
     items = [(i, " ".join(t.split()[5:25])) for i, t in enumerate(long[:6])]
     items += [(10, "One, two"), (2, long[7][:90]), (11, None), (12, ""), (13, "--"), (None, " ".join(long[9].split()[:12]))]
     items.append(items[0])
+    items += [(20 + i, w) for i, w in enumerate(long_words()[::2])]  # each in some texts, its complement in others
     return items, written(spark, items, "item_id long, text string", tmp_path / "items")
 
 
