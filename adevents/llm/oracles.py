@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adevents.llm import quality, url_filter
+from adevents.llm import collocations, hadamard_clusters, quality, url_filter
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -89,7 +89,89 @@ SELECT page_id, host, path, rule, coalesce(action, CASE WHEN listed THEN 'block'
 FROM j"""
 
 
+def _collocations() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    least, first, longest = collocations.THRESHOLD, collocations.FIRST, collocations.LONGEST
+    return rf"""
+WITH d AS (
+  SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS t FROM documents
+),
+p AS (
+  SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-]')) AS piece FROM d)
+),
+total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest(range(1, {longest + 1})) AS k) WHERE len(w) >= k)
+),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS n FROM g GROUP BY lang, k, phrase HAVING count(*) >= {least}),
+cuts AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS s, unnest(range(1, k)) AS j FROM f WHERE k > 1),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, l.n AS l, r.n AS r, total.n AS n, (1000 * c.a * total.n) // (l.n * r.n) AS score, j
+  FROM cuts c JOIN total USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.s[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.s[j + 1:], ' ')
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (
+  SELECT lang, array_to_string(s[i:i + m - 1], ' ') AS phrase, max(n) AS n
+  FROM (SELECT lang, string_split(phrase, ' ') AS s, n, m, unnest(range(1, k - m + 2)) AS i
+        FROM f, (SELECT unnest(range(2, {longest})) AS m) WHERE m < k)
+  GROUP BY 1, 2
+),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE longer.n IS NULL OR 100 * longer.n < 100 * best.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= {first}"""
+
+
+def _clusters() -> str:
+    h = hadamard_clusters
+    places = f"unnest(range(1, {h.SIZE + 1}))"
+    steps = [
+        f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({h.SCALE} * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE len(embedding) = {h.SIZE} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {h.SIZE}
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY digest, e) - 1 AS k, e
+  FROM (SELECT sha256('{h.SEED}:' || coalesce(vec_id::VARCHAR, '')) AS digest, e FROM v) ORDER BY digest, e LIMIT {h.CLUSTERS}
+)""",
+    ]
+    distance = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    for r in range(h.ROUNDS + 1):
+        steps.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT rid, vec_id, v.e, k, {distance} AS d FROM v, c{r} c
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, k) = 1
+)"""
+        )
+        if r < h.ROUNDS:
+            steps.append(
+                f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN (
+    SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i)::BIGINT[] AS e
+    FROM (SELECT k, i, sum(e[i]) AS s, count(*)::HUGEINT AS n FROM (SELECT k, e, {places} AS i FROM a{r}) GROUP BY k, i) GROUP BY k
+  ) m USING (k)
+)"""
+            )
+    last = f"a{h.ROUNDS}"
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, a.k::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.k)::BIGINT AS cluster_inertia,
+  sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256,
+  count(*) OVER (PARTITION BY a.k) AS cluster_size
+FROM {last} a JOIN c{h.ROUNDS} c ON a.k = c.k"""
+
+
 ORACLES: dict[str, str] = {
     "op6_quality_rules": _quality(),
     "op7_url_filter": _urls(),
+    "op12_collocations": _collocations(),
+    "op13_hadamard_clusters": _clusters(),
 }

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adevents.llm import contamination, jaccard_join, katz, mixing, quality, sharding, substring_dedup, token_files, toxicity, url_filter
+from adevents.llm import (
+    collocations,
+    contamination,
+    hadamard_clusters,
+    jaccard_join,
+    katz,
+    mixing,
+    quality,
+    sharding,
+    substring_dedup,
+    token_files,
+    toxicity,
+    url_filter,
+    wrappers,
+)
 from adevents.llm.common import read_table
 
 
@@ -53,6 +67,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op11_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extraction_digest(read_table(spark, sf_dir, "pages"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hadamard_clusters.cluster_digest(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
@@ -64,4 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_html_wrappers": op11_html_wrappers,
+    "op12_collocations": op12_collocations,
+    "op13_hadamard_clusters": op13_hadamard_clusters,
 }
