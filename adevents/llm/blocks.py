@@ -106,10 +106,11 @@ def _width(docs: DataFrame) -> int:
 
 @dataclass(frozen=True)
 class Layout:
-    """Numbers of blocks and of hash partitions of the keys."""
+    """Numbers of blocks and of hash partitions of the keys, for so many bytes of texts."""
 
     blocks: int
     parts: int
+    size: int
 
     @property
     def tasks(self) -> int:
@@ -124,7 +125,7 @@ def layout_of(docs: DataFrame, column: str = "text") -> Layout:
     size = docs.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0
     wanted = min(math.ceil(size / PART_BYTES), math.isqrt(int(size * PARTS / (BLOCKS * MESSAGE_BYTES))))
     parts = max(1, math.ceil(width * PARTS), wanted)
-    return Layout(max(1, math.ceil(width * BLOCKS), math.ceil(parts * BLOCKS / PARTS)), parts)
+    return Layout(max(1, math.ceil(width * BLOCKS), math.ceil(parts * BLOCKS / PARTS)), parts, size)
 
 
 def _pack_batches(columns: list[str]):

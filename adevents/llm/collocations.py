@@ -16,9 +16,9 @@ Before that, blocks ask for words that occur often enough, by the same
 summaries, since a phrase is no more frequent than its words: only n-grams of
 surviving words are sent, which keeps most of the mass away.
 
-Second pass: blocks count their surviving n-grams, now as texts, and Spark adds
-the counts up; hashes only propose, so a collision costs a row and no error.
-Phrases below the threshold are dropped.  All parts of a candidate are at least
+Second pass: blocks count their surviving n-grams, by numbers that equal words
+alone share, and Spark adds the counts up by the phrases' texts; hashes only
+propose, so a collision costs a row and no error.  Phrases below the threshold are dropped.  All parts of a candidate are at least
 as frequent, so the same table has the counts of both sides of every cut.
 
 Scores are ``floor(1000 * a * n / (l * r))`` in decimals of 38 digits, exact for
@@ -39,13 +39,14 @@ from pyspark.sql import functions as F
 
 from adevents.llm import blocks as B
 from adevents.llm.common import as_table, saved
-from adevents.llm.words import Texts, Windows, mix
+from adevents.llm.words import Texts, Windows, mix, same_ranges
 
 LONGEST = 5
 THRESHOLD = 100
 FIRST = 2000
 NO_LANG = "und"
 _GROUPS = 64
+_SPARE_BITS = 11
 _BYTES = np.arange(256)
 #: A word is a run of bytes other than space, tab, the marks below and LF to CR; marks and LF to CR end a piece.
 _BREAK = np.isin(_BYTES, [*b".,;:!?", *range(10, 14)])
@@ -104,55 +105,74 @@ class Phrases:
             self.words = mix(texts.hashes() ^ tag[self.lang])
         self._windows = Windows(self.words)
 
-    def distinct_words(self):
-        """Distinct word keys, which of them each word has, and counts."""
-        keys, which, counts = np.unique(self.words, return_inverse=True, return_counts=True)
-        return keys, which, counts
+    def starts(self, k: int, frequent: np.ndarray | None = None) -> np.ndarray:
+        """Where runs of ``k`` words of a piece begin, all of them frequent."""
+        at = np.flatnonzero(self.left >= k)
+        if frequent is None:
+            return at
+        rare = np.concatenate([[0], np.cumsum(~frequent, dtype=np.int32)])
+        return at[rare[at + k] == rare[at]]
 
-    def ngrams(self, frequent: np.ndarray):
-        """Distinct keys of the n-grams of frequent words, places and lengths of all, which key each has, and counts."""
-        run = np.concatenate([[0], np.cumsum(~frequent)])
-        starts, lengths, keys = [], [], []
-        for k in range(2, LONGEST + 1):
-            at = np.flatnonzero(self.left >= k)
-            at = at[run[at + k] == run[at]]
-            starts.append(at)
-            lengths.append(np.full(len(at), k, np.int8))
-            keys.append(self._windows.at(at, k))
-        flat = np.concatenate(keys)
-        distinct, example, which, counts = np.unique(flat, return_index=True, return_inverse=True, return_counts=True)
-        return distinct, example, which, counts, np.concatenate(starts), np.concatenate(lengths)
+    def numbers(self) -> np.ndarray:
+        """A number per word: equal for equal words of one language, and only for them."""
+        t = self.texts
+        _, example, which = np.unique(self.words, return_index=True, return_inverse=True)
+        first = example[which]
+        same = (t.end - t.start == t.end[first] - t.start[first]) & (self.lang == self.lang[first])
+        if (same & same_ranges(t.data, t.start, t.end, t.data, t.start[first])).all():
+            return which
+        raw, seen = t.data.tobytes(), {}  # two words of one hash
+        words = zip(self.lang.tolist(), t.start.tolist(), t.end.tolist())
+        return np.array([seen.setdefault((x, raw[a:b]), len(seen)) for x, a, b in words], np.int64)
 
+    def keys(self, at: np.ndarray, k: int, bits: int) -> np.ndarray:
+        return (self.words[at] if k == 1 else self._windows.at(at, k)) >> np.uint64(64 - bits)
 
-def _payload(keys: np.ndarray, counts: np.ndarray, parts: int) -> list[bytes]:
-    cut = B.cuts_of(keys, parts)
-    small = counts.astype(np.uint32) if len(counts) == 0 or counts.max() < 1 << 32 else counts.astype(np.uint64)
-    return [B.pack_arrays(B.gaps(keys[a:b]), small[a:b]) for a, b in zip(cut, cut[1:])]
+
+def _key_bits(layout: B.Layout) -> int:
+    """Keys as short as leaves one n-gram in about a thousand that shares another's."""
+    return min(64, max(1, layout.size).bit_length() + _SPARE_BITS)
+
+
+def _cut(keys: np.ndarray, counts: np.ndarray, parts: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    cut = B.cuts_of(keys, parts, bits)
+    small = counts.astype(np.min_scalar_type(int(counts.max()) if len(counts) else 0))
+    return [(B.gaps(keys[a:b]), small[a:b]) for a, b in zip(cut, cut[1:])]
 
 
 def _survivors(threshold: int):
-    """A partition's summary over all blocks, and which of each block's keys are in it."""
+    """A partition's summary over all blocks, and which of each block's keys are in it.
+
+    A payload has a pair of arrays, keys and counts, for each of some lengths;
+    each length has its own summary.
+    """
 
     def reply(payloads: list[bytes]):
-        mass = sum(int(B.unpack_arrays(p)[1].sum()) for p in payloads)
-        summary = Summary(mass // threshold)
-        held: list = []
-        pending, size = [], 0
-        for p in payloads:  # a few blocks at a time, as many as the summary may hold again
-            gaps, counts = B.unpack_arrays(p)
-            pending.append((B.ungap(gaps), counts.astype(np.int64)))
-            size += len(gaps)
-            if size > max(summary.capacity, 1 << 16):
-                _merge_all(summary, pending)
-                pending, size = [], 0
-        _merge_all(summary, pending)
+        mass: list[int] = []
         for p in payloads:
-            keys = B.ungap(B.unpack_arrays(p)[0])
-            at = np.searchsorted(summary.keys, keys)
-            found = at < len(summary.keys)
-            found[found] = summary.keys[at[found]] == keys[found]
-            held.append(B.pack_arrays(np.array([len(keys)]), B.bits_of(found)))
-        return held
+            sums = [int(c.sum(dtype=np.int64)) for c in B.unpack_arrays(p)[1::2]]
+            mass = [a + b for a, b in zip(mass, sums)] if mass else sums
+        summaries = [Summary(m // threshold) for m in mass]
+        for i, summary in enumerate(summaries):
+            pending, size = [], 0
+            for p in payloads:  # a few blocks at a time, as many as the summary may hold again
+                gaps, counts = B.unpack_arrays(p)[2 * i : 2 * i + 2]
+                pending.append((B.ungap(gaps), counts.astype(np.int64)))
+                size += len(gaps)
+                if size > max(summary.capacity, 1 << 16):
+                    _merge_all(summary, pending)
+                    pending, size = [], 0
+            _merge_all(summary, pending)
+        for p in payloads:
+            arrays = B.unpack_arrays(p)
+            held = []
+            for summary, gaps in zip(summaries, arrays[::2]):
+                keys = B.ungap(gaps)
+                at = np.searchsorted(summary.keys, keys)
+                found = at < len(summary.keys)
+                found[found] = summary.keys[at[found]] == keys[found]
+                held += [np.array([len(keys)]), B.bits_of(found)]
+            yield B.pack_arrays(*held)
 
     return reply
 
@@ -165,8 +185,9 @@ def _merge_all(summary: Summary, pending: list) -> None:
         summary.merge(keys, counts)
 
 
-def _flags(replies: list[bytes], n: int) -> np.ndarray:
-    parts = [B.unpack_arrays(r) for r in replies]
+def _flags(replies: list[bytes], nth: int, n: int) -> np.ndarray:
+    """Which of a block's ``n`` keys of the ``nth`` length survived."""
+    parts = [B.unpack_arrays(r)[2 * nth : 2 * nth + 2] for r in replies]
     flags = np.concatenate([B.flags_of(bits, int(size[0])) for size, bits in parts])
     if len(flags) != n:
         raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
@@ -177,35 +198,45 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``lang, words, phrase, n``: exact counts of all phrases of up to 5 words that occur ``threshold`` times."""
     docs = as_table(docs)
     layout = B.layout_of(docs)
+    bits = _key_bits(layout)
     dealt = B.deal(docs, layout, "lang", "text")
 
-    def ask_words(rows, _):
-        keys, _, counts = Phrases(rows).distinct_words()
-        return _payload(keys, counts, layout.parts)
-
     def often(p: Phrases, earlier) -> np.ndarray:
-        keys, which, _ = p.distinct_words()
-        return _flags(earlier[1], len(keys))[which]
-
-    def ask_ngrams(rows, earlier):
-        p = Phrases(rows)
-        keys, _, _, counts, *_ = p.ngrams(often(p, earlier))
-        return _payload(keys, counts, layout.parts)
+        keys = p.keys(p.starts(1), 1, bits)
+        distinct, which = np.unique(keys, return_inverse=True)
+        return _flags(earlier[1], 0, len(distinct))[which]
+
+    def ask(lengths: range):
+        def payloads(rows, earlier):
+            p = Phrases(rows)
+            frequent = often(p, earlier) if earlier else None
+            parts: list[list[np.ndarray]] = [[] for _ in range(layout.parts)]
+            for k in lengths:
+                keys, counts = np.unique(p.keys(p.starts(k, frequent), k, bits), return_counts=True)
+                for part, pair in zip(parts, _cut(keys, counts, layout.parts, bits)):
+                    part += pair
+            return [B.pack_arrays(*part) for part in parts]
+
+        return payloads
 
     def count(rows, earlier) -> pa.Table:
         p = Phrases(rows)
-        frequent = often(p, earlier)
-        keys, example, _, counts, starts, lengths = p.ngrams(frequent)
-        kept = np.flatnonzero(_flags(earlier[2], len(keys)))
-        word_keys, word_example, word_counts = np.unique(p.words, return_index=True, return_counts=True)
-        word_kept = np.flatnonzero(_flags(earlier[1], len(word_keys)))
-        first = np.concatenate([word_example[word_kept], starts[example[kept]]])
-        size = np.concatenate([np.ones(len(word_kept), np.int64), lengths[example[kept]].astype(np.int64)])
-        total = np.concatenate([word_counts[word_kept], counts[kept]])
-        return _by_text(p, first, size, total)
-
-    words = B.answered(B.questions(dealt, 1, ask_words), _survivors(threshold), layout)
-    ngrams = B.answered(B.questions(dealt, 2, ask_ngrams, words), _survivors(threshold), layout)
+        frequent, words, found = often(p, earlier), p.numbers(), []
+        for k in range(1, LONGEST + 1):
+            at = p.starts(k, frequent)
+            held = p.keys(at, k, bits)
+            if k > 1:
+                distinct, which = np.unique(held, return_inverse=True)
+                at = at[_flags(earlier[2], k - 2, len(distinct))[which]]
+            run = words[at]
+            for i in range(1, k):
+                run = np.unique(run * np.int64(len(words)) + words[at + i], return_inverse=True)[1]
+            _, example, counts = np.unique(run, return_index=True, return_counts=True)
+            found.append((at[example], np.full(len(example), k), counts))
+        return _by_text(p, *(np.concatenate(x) for x in zip(*found)))
+
+    words = B.answered(B.questions(dealt, 1, ask(range(1, 2))), _survivors(threshold), layout)
+    ngrams = B.answered(B.questions(dealt, 2, ask(range(2, LONGEST + 1)), words), _survivors(threshold), layout)
     counted = B.finish(dealt, words.unionByName(ngrams), PHRASES, count)
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
 

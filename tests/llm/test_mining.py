@@ -100,8 +100,8 @@ def test_misra_gries_drops_most_rare_phrases(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(Summary, "merge", watched)
     reply = collocations._survivors(50)
     keys = np.sort(rng_keys := np.random.default_rng(0).integers(0, 1 << 60, 5000).astype(np.uint64))
-    payloads = [collocations._payload(np.unique(keys[i::4]), np.ones(len(np.unique(keys[i::4])), np.int64), 1)[0] for i in range(4)]
-    assert len(reply(payloads)) == 4 and len(rng_keys) == 5000
+    payloads = [collocations.B.pack_arrays(*collocations._cut(keys[i::4], np.ones(1250, np.int64), 1, 64)[0]) for i in range(4)]
+    assert len(list(reply(payloads))) == 4 and len(rng_keys) == 5000
     assert sizes and all(n <= capacity for n, capacity in sizes) and sizes[-1][1] == 100
     want = _collocations([("en", t) for t in texts], 50, 100)
     same(collocations.collocations(docs, 50, 100), want, COLUMNS)
