@@ -12,14 +12,16 @@ counters at once, so nothing loses more than ``mass / (capacity + 1)``, which is
 below the threshold: every n-gram that occurs so often survives, whatever the
 order of the merges.  The partition answers which of a block's n-grams did.
 
-Before that, blocks ask for words that occur often enough, by the same
-summaries, since a phrase is no more frequent than its words: only n-grams of
-surviving words are sent, which keeps most of the mass away.
+A phrase is no more frequent than the words and pairs in it, so there are three
+rounds of summaries: of words, of pairs of words that survived, and of runs of
+3 to 5 words whose pairs all did, which keeps most of the mass away.
 
-Second pass: blocks count their surviving n-grams, by numbers that equal words
-alone share, and Spark adds the counts up by the phrases' texts; hashes only
-propose, so a collision costs a row and no error.  Phrases below the threshold are dropped.  All parts of a candidate are at least
-as frequent, so the same table has the counts of both sides of every cut.
+Second pass: each partition adds up the survivors' exact counts from what the
+blocks sent, by key, and drops those below the threshold.  Keys are hashes, so
+they only propose: blocks count the phrases of these keys by numbers that equal
+words alone share, and Spark adds the counts up by the phrases' texts, where the
+threshold is asked for again.  All parts of a candidate are at least as
+frequent, so the same table has the counts of both sides of every cut.
 
 Scores are ``floor(1000 * a * n / (l * r))`` in decimals of 38 digits, exact for
 counts up to 10**16.  Each language's best rows are taken in two steps, from
@@ -105,13 +107,13 @@ class Phrases:
             self.words = mix(texts.hashes() ^ tag[self.lang])
         self._windows = Windows(self.words)
 
-    def starts(self, k: int, frequent: np.ndarray | None = None) -> np.ndarray:
-        """Where runs of ``k`` words of a piece begin, all of them frequent."""
+    def starts(self, k: int, frequent: np.ndarray | None = None, width: int = 1) -> np.ndarray:
+        """Where runs of ``k`` words of a piece begin; ``frequent`` tells from which places on all their runs of ``width`` words are."""
         at = np.flatnonzero(self.left >= k)
         if frequent is None:
             return at
         rare = np.concatenate([[0], np.cumsum(~frequent, dtype=np.int32)])
-        return at[rare[at + k] == rare[at]]
+        return at[rare[at + k - width + 1] == rare[at]]
 
     def numbers(self) -> np.ndarray:
         """A number per word: equal for equal words of one language, and only for them."""
@@ -141,7 +143,7 @@ def _cut(keys: np.ndarray, counts: np.ndarray, parts: int, bits: int) -> list[tu
 
 
 def _survivors(threshold: int):
-    """A partition's summary over all blocks, and which of each block's keys are in it.
+    """A partition's summary over all blocks, and which of each block's keys are in it and frequent.
 
     A payload has a pair of arrays, keys and counts, for each of some lengths;
     each length has its own summary.
@@ -163,20 +165,31 @@ def _survivors(threshold: int):
                     _merge_all(summary, pending)
                     pending, size = [], 0
             _merge_all(summary, pending)
+            total = np.zeros(len(summary.keys), np.int64)
+            for p in payloads:  # the second pass
+                gaps, counts = B.unpack_arrays(p)[2 * i : 2 * i + 2]
+                at, found = _find(summary.keys, B.ungap(gaps))
+                total[at[found]] += counts[found].astype(np.int64)
+            summary.keys = summary.keys[total >= threshold]
         for p in payloads:
             arrays = B.unpack_arrays(p)
             held = []
             for summary, gaps in zip(summaries, arrays[::2]):
-                keys = B.ungap(gaps)
-                at = np.searchsorted(summary.keys, keys)
-                found = at < len(summary.keys)
-                found[found] = summary.keys[at[found]] == keys[found]
-                held += [np.array([len(keys)]), B.bits_of(found)]
+                _, found = _find(summary.keys, B.ungap(gaps))
+                held += [np.array([len(found)]), B.bits_of(found)]
             yield B.pack_arrays(*held)
 
     return reply
 
 
+def _find(held: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key is among the held ones, and whether it is."""
+    at = np.searchsorted(held, keys)
+    found = at < len(held)
+    found[found] = held[at[found]] == keys[found]
+    return at, found
+
+
 def _merge_all(summary: Summary, pending: list) -> None:
     if pending:
         keys, which = np.unique(np.concatenate([k for k, _ in pending]), return_inverse=True)
@@ -195,24 +208,32 @@ def _flags(replies: list[bytes], nth: int, n: int) -> np.ndarray:
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``lang, words, phrase, n``: exact counts of all phrases of up to 5 words that occur ``threshold`` times."""
+    """``lang, words, phrase, n``: exact counts of all phrases of up to 5 words that occur ``threshold`` times.
+
+    A row of no words has the number of all words of its language.
+    """
     docs = as_table(docs)
     layout = B.layout_of(docs)
     bits = _key_bits(layout)
     dealt = B.deal(docs, layout, "lang", "text")
 
-    def often(p: Phrases, earlier) -> np.ndarray:
-        keys = p.keys(p.starts(1), 1, bits)
-        distinct, which = np.unique(keys, return_inverse=True)
-        return _flags(earlier[1], 0, len(distinct))[which]
-
-    def ask(lengths: range):
+    def often(p: Phrases, earlier, width: int) -> np.ndarray | None:
+        """From which places on the run of ``width`` (0 to 2) words survived."""
+        if not width:
+            return None
+        out = np.zeros(len(p.words), bool)
+        at = p.starts(width, often(p, earlier, width - 1), width - 1)
+        distinct, which = np.unique(p.keys(at, width, bits), return_inverse=True)
+        out[at] = _flags(earlier[width], 0, len(distinct))[which]
+        return out
+
+    def ask(lengths: range, width: int):
         def payloads(rows, earlier):
             p = Phrases(rows)
-            frequent = often(p, earlier) if earlier else None
+            frequent = often(p, earlier, width)
             parts: list[list[np.ndarray]] = [[] for _ in range(layout.parts)]
             for k in lengths:
-                keys, counts = np.unique(p.keys(p.starts(k, frequent), k, bits), return_counts=True)
+                keys, counts = np.unique(p.keys(p.starts(k, frequent, width), k, bits), return_counts=True)
                 for part, pair in zip(parts, _cut(keys, counts, layout.parts, bits)):
                     part += pair
             return [B.pack_arrays(*part) for part in parts]
@@ -221,24 +242,28 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     def count(rows, earlier) -> pa.Table:
         p = Phrases(rows)
-        frequent, words, found = often(p, earlier), p.numbers(), []
+        words, found = p.numbers(), []
+        pairs = often(p, earlier, 2)
         for k in range(1, LONGEST + 1):
-            at = p.starts(k, frequent)
-            held = p.keys(at, k, bits)
-            if k > 1:
-                distinct, which = np.unique(held, return_inverse=True)
-                at = at[_flags(earlier[2], k - 2, len(distinct))[which]]
+            if k < 3:
+                at = np.flatnonzero(pairs if k == 2 else often(p, earlier, 1))
+            else:
+                at = p.starts(k, pairs, 2)
+                distinct, which = np.unique(p.keys(at, k, bits), return_inverse=True)
+                at = at[_flags(earlier[3], k - 3, len(distinct))[which]]
             run = words[at]
             for i in range(1, k):
                 run = np.unique(run * np.int64(len(words)) + words[at + i], return_inverse=True)[1]
             _, example, counts = np.unique(run, return_index=True, return_counts=True)
             found.append((at[example], np.full(len(example), k), counts))
-        return _by_text(p, *(np.concatenate(x) for x in zip(*found)))
+        return pa.concat_tables([_by_text(p, *(np.concatenate(x) for x in zip(*found))), _totals(p)])
 
-    words = B.answered(B.questions(dealt, 1, ask(range(1, 2))), _survivors(threshold), layout)
-    ngrams = B.answered(B.questions(dealt, 2, ask(range(2, LONGEST + 1)), words), _survivors(threshold), layout)
-    counted = B.finish(dealt, words.unionByName(ngrams), PHRASES, count)
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold)
+    answers = B.answered(B.questions(dealt, 1, ask(range(1, 2), 0)), _survivors(threshold), layout)
+    for number, lengths in ((2, range(2, 3)), (3, range(3, LONGEST + 1))):
+        more = B.questions(dealt, number, ask(lengths, number - 1), answers)
+        answers = answers.unionByName(B.answered(more, _survivors(threshold), layout))
+    counted = B.finish(dealt, answers, PHRASES, count)
+    return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("words") == 0))
 
 
 def _by_text(p: Phrases, first: np.ndarray, size: np.ndarray, total: np.ndarray) -> pa.Table:
@@ -254,11 +279,17 @@ def _by_text(p: Phrases, first: np.ndarray, size: np.ndarray, total: np.ndarray)
     )
 
 
-def word_totals(docs: DataFrame) -> DataFrame:
-    """``lang, total``: all words of each language."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), ".,;:!?\n\x0b\x0c\r\t", " " * 11)
-    count = F.regexp_count(text, F.lit("[^ ]+")).cast("long")
-    return docs.groupBy(F.coalesce("lang", F.lit(NO_LANG)).alias("lang")).agg(F.sum(count).alias("total"))
+def _totals(p: Phrases) -> pa.Table:
+    """A row with no phrase per language: all its words."""
+    n = np.bincount(p.lang, minlength=len(p.names))
+    return pa.table(
+        {
+            "lang": pa.array(p.names, pa.string()),
+            "words": pa.array([0] * len(n), pa.int32()),
+            "phrase": pa.array([""] * len(n), pa.string()),
+            "n": pa.array(n, pa.int64()),
+        }
+    )
 
 
 def _scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
@@ -313,8 +344,9 @@ def _inside_longer(phrases: DataFrame) -> DataFrame:
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, first: int = FIRST) -> DataFrame:
     """Each language's best phrases: ``lang, rank, phrase, a, l, r, n, score``."""
-    phrases = saved(frequent_phrases(docs, threshold), "phrases")
-    totals = saved(word_totals(docs), "totals")  # one row per language
+    found = saved(frequent_phrases(docs, threshold), "phrases")
+    totals = found.where("words = 0").select("lang", F.col("n").alias("total"))  # one row per language
+    phrases = found.where("words > 0")
     kept = (
         _scored(phrases, totals)
         .join(_inside_longer(phrases), ["lang", "phrase"], "left")
