@@ -13,9 +13,9 @@ Blocks are dealt by a hash of the row's number, so neither a hot source nor a
 repeated row makes a block large, and a recomputed block (after a lost
 executor) holds the same rows in the same order; a block whose answers don't
 fit its keys raises.  The numbers of blocks and of key partitions follow the
-bytes of the texts (:func:`layout_of`), since each is held by one worker; they
-grow no faster than leaves a few thousand bytes to each message from a block to
-a partition.
+bytes of the texts alone (:func:`layout_of`): both grow as their square root,
+so that a message from a block to a partition stands for the same amount of
+text at any size, and the number of messages grows as the texts do.
 """
 
 from __future__ import annotations
@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 
 from adevents.llm.common import with_row_id
 
-#: Blocks and key partitions per shuffle partition, at least.  Every block sends a row to every key partition.
-BLOCKS = 2
-PARTS = 0.5
-#: Bytes of text whose keys a partition holds, and bytes of text a message stands for, at least.
-PART_BYTES = 24 << 20
-MESSAGE_BYTES = 8 << 10
+#: Blocks per key partition, and blocks per task.  Every block sends a row to every key partition.
+BLOCKS = 4
+TASK_BLOCKS = 2
+MIN_PARTS = 2
+#: Bytes of text that a message stands for.
+MESSAGE_BYTES = 16 << 10
 ANSWER = "block int, round int, part int, payload binary"
 _ANSWER = pa.schema([("block", pa.int32()), ("round", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
 _PACKED = "block int, payload binary"
@@ -100,10 +100,6 @@ def flags_of(bits: np.ndarray, n: int) -> np.ndarray:
 # ---- blocks ------------------------------------------------------------------
 
 
-def _width(docs: DataFrame) -> int:
-    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 @dataclass(frozen=True)
 class Layout:
     """Numbers of blocks and of hash partitions of the keys, for so many bytes of texts."""
@@ -114,18 +110,16 @@ class Layout:
 
     @property
     def tasks(self) -> int:
-        return max(1, self.blocks // BLOCKS)
+        return max(1, self.blocks // TASK_BLOCKS)
 
     def block_of(self, row_id: str) -> Column:
         return F.pmod(F.xxhash64(row_id), F.lit(self.blocks)).cast("int")
 
 
 def layout_of(docs: DataFrame, column: str = "text") -> Layout:
-    width = _width(docs)
     size = docs.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0
-    wanted = min(math.ceil(size / PART_BYTES), math.isqrt(int(size * PARTS / (BLOCKS * MESSAGE_BYTES))))
-    parts = max(1, math.ceil(width * PARTS), wanted)
-    return Layout(max(1, math.ceil(width * BLOCKS), math.ceil(parts * BLOCKS / PARTS)), parts, size)
+    parts = max(MIN_PARTS, math.isqrt(size // (BLOCKS * MESSAGE_BYTES)))
+    return Layout(BLOCKS * parts, parts, size)
 
 
 def _pack_batches(columns: list[str]):

@@ -16,12 +16,14 @@ A phrase is no more frequent than the words and pairs in it, so there are three
 rounds of summaries: of words, of pairs of words that survived, and of runs of
 3 to 5 words whose pairs all did, which keeps most of the mass away.
 
-Second pass: each partition adds up the survivors' exact counts from what the
-blocks sent, by key, and drops those below the threshold.  Keys are hashes, so
-they only propose: blocks count the phrases of these keys by numbers that equal
-words alone share, and Spark adds the counts up by the phrases' texts, where the
-threshold is asked for again.  All parts of a candidate are at least as
-frequent, so the same table has the counts of both sides of every cut.
+Second pass: each partition adds up the survivors' counts from what the blocks
+sent, by key, and drops those below the threshold.  These keys are hashes as
+short as the texts allow, so they only propose.  Blocks then count the phrases
+of the keys that are left, by numbers that equal words alone share, and send the
+counts with 64 bits of an independent hash; the sums of these decide.  The first
+block that holds a frequent phrase is told its total and writes it, so every
+phrase is one row.  All parts of a candidate are at least as frequent, so the
+same table has the counts of both sides of every cut.
 
 Scores are ``floor(1000 * a * n / (l * r))`` in decimals of 38 digits, exact for
 counts up to 10**16.  Each language's best rows are taken in two steps, from
@@ -105,6 +107,7 @@ class Phrases:
         with np.errstate(over="ignore"):
             tag = mix(tags.hashes() + np.uint64(0x27D4EB2F165667C5)) if len(self.names) else np.zeros(0, np.uint64)
             self.words = mix(texts.hashes() ^ tag[self.lang])
+            self._tag, self._second = tag, None
         self._windows = Windows(self.words)
 
     def starts(self, k: int, frequent: np.ndarray | None = None, width: int = 1) -> np.ndarray:
@@ -130,6 +133,12 @@ class Phrases:
     def keys(self, at: np.ndarray, k: int, bits: int) -> np.ndarray:
         return (self.words[at] if k == 1 else self._windows.at(at, k)) >> np.uint64(64 - bits)
 
+    def others(self, at: np.ndarray, k: int) -> np.ndarray:
+        """64 bits of a second hash of runs."""
+        if self._second is None:
+            self._second = Windows(mix(self.texts.hashes(seed=1) ^ self._tag[self.lang]))
+        return self._second.at(at, k)
+
 
 def _key_bits(layout: B.Layout) -> int:
     """Keys as short as leaves one n-gram in about a thousand that shares another's."""
@@ -210,7 +219,7 @@ def _flags(replies: list[bytes], nth: int, n: int) -> np.ndarray:
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``lang, words, phrase, n``: exact counts of all phrases of up to 5 words that occur ``threshold`` times.
 
-    A row of no words has the number of all words of its language.
+    Rows of no words add up to the number of all words of their language.
     """
     docs = as_table(docs)
     layout = B.layout_of(docs)
@@ -240,30 +249,79 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
         return payloads
 
-    def count(rows, earlier) -> pa.Table:
-        p = Phrases(rows)
-        words, found = p.numbers(), []
+    def survivors(p: Phrases, earlier) -> _Entries:
         pairs = often(p, earlier, 2)
-        for k in range(1, LONGEST + 1):
-            if k < 3:
-                at = np.flatnonzero(pairs if k == 2 else often(p, earlier, 1))
-            else:
-                at = p.starts(k, pairs, 2)
-                distinct, which = np.unique(p.keys(at, k, bits), return_inverse=True)
-                at = at[_flags(earlier[3], k - 3, len(distinct))[which]]
-            run = words[at]
-            for i in range(1, k):
-                run = np.unique(run * np.int64(len(words)) + words[at + i], return_inverse=True)[1]
-            _, example, counts = np.unique(run, return_index=True, return_counts=True)
-            found.append((at[example], np.full(len(example), k), counts))
-        return pa.concat_tables([_by_text(p, *(np.concatenate(x) for x in zip(*found))), _totals(p)])
+        at = [np.flatnonzero(often(p, earlier, 1)), np.flatnonzero(pairs)]
+        for k in range(3, LONGEST + 1):
+            starts = p.starts(k, pairs, 2)
+            distinct, which = np.unique(p.keys(starts, k, bits), return_inverse=True)
+            at.append(starts[_flags(earlier[3], k - 3, len(distinct))[which]])
+        return _Entries(p, at, bits)
+
+    def ask_counts(rows, earlier):
+        e = survivors(Phrases(rows), earlier)
+        cut = B.cuts_of(e.keys, layout.parts, bits)
+        small = e.counts.astype(np.min_scalar_type(int(e.counts.max()) if len(e.counts) else 0))
+        return [B.pack_arrays(B.gaps(e.keys[a:b]), e.others[a:b], small[a:b]) for a, b in zip(cut, cut[1:])]
+
+    def phrases(rows, earlier) -> pa.Table:
+        p = Phrases(rows)
+        e = survivors(p, earlier)
+        parts = [B.unpack_arrays(r) for r in earlier[4]]
+        mine = np.concatenate([B.flags_of(flags, int(size[0])) for size, flags, _ in parts])
+        if len(mine) != len(e.keys):
+            raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
+        total = np.concatenate([x for *_, x in parts])
+        return pa.concat_tables([_by_text(p, e.example[mine], e.words[mine], total), _totals(p)])
 
     answers = B.answered(B.questions(dealt, 1, ask(range(1, 2), 0)), _survivors(threshold), layout)
     for number, lengths in ((2, range(2, 3)), (3, range(3, LONGEST + 1))):
         more = B.questions(dealt, number, ask(lengths, number - 1), answers)
         answers = answers.unionByName(B.answered(more, _survivors(threshold), layout))
-    counted = B.finish(dealt, answers, PHRASES, count)
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= threshold) | (F.col("words") == 0))
+    exact = B.answered(B.questions(dealt, 4, ask_counts, answers), _add_up(threshold), layout)
+    return B.finish(dealt, answers.unionByName(exact), PHRASES, phrases)
+
+
+class _Entries:
+    """A block's distinct phrases among some runs of words, by their two keys: counts, lengths, and a place of each."""
+
+    def __init__(self, p: Phrases, at: list[np.ndarray], bits: int):
+        numbers = p.numbers()
+        found = []
+        for k, starts in enumerate(at, 1):
+            run = numbers[starts]
+            for i in range(1, k):
+                run = np.unique(run * np.int64(len(numbers)) + numbers[starts + i], return_inverse=True)[1]
+            _, example, counts = np.unique(run, return_index=True, return_counts=True)
+            place = starts[example]
+            found.append((p.keys(place, k, bits), p.others(place, k), counts, np.full(len(place), k), place))
+        keys, others, counts, words, example = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((others, keys))
+        self.keys, self.others, self.counts = keys[order], others[order], counts[order]
+        self.words, self.example = words[order], example[order]
+
+
+def _add_up(threshold: int):
+    """The total of each phrase, told to the first block that holds it, where it is frequent."""
+
+    def reply(payloads: list[bytes]):
+        asked = [B.unpack_arrays(p) for p in payloads]
+        sizes = [len(a[0]) for a in asked]
+        keys = np.concatenate([B.ungap(a[0]) for a in asked])
+        others = np.concatenate([a[1] for a in asked])
+        counts = np.concatenate([a[2].astype(np.int64) for a in asked])
+        order = np.lexsort((others, keys))  # stable: blocks in order
+        edges = np.flatnonzero(np.r_[True, (keys[order][1:] != keys[order][:-1]) | (others[order][1:] != others[order][:-1])][: len(order)])
+        total = np.zeros(len(keys), np.int64)
+        if len(edges):
+            total[order[edges]] = np.add.reduceat(counts[order], edges)
+        first = 0
+        for n in sizes:
+            own = total[first : first + n]
+            yield B.pack_arrays(np.array([n]), B.bits_of(own >= threshold), own[own >= threshold])
+            first += n
+
+    return reply
 
 
 def _by_text(p: Phrases, first: np.ndarray, size: np.ndarray, total: np.ndarray) -> pa.Table:
@@ -345,7 +403,7 @@ def _inside_longer(phrases: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, first: int = FIRST) -> DataFrame:
     """Each language's best phrases: ``lang, rank, phrase, a, l, r, n, score``."""
     found = saved(frequent_phrases(docs, threshold), "phrases")
-    totals = found.where("words = 0").select("lang", F.col("n").alias("total"))  # one row per language
+    totals = found.where("words = 0").groupBy("lang").agg(F.sum("n").alias("total"))  # one row per language
     phrases = found.where("words > 0")
     kept = (
         _scored(phrases, totals)

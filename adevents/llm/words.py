@@ -83,9 +83,9 @@ class Texts:
     def place_in_text(self) -> np.ndarray:
         return np.arange(len(self.start)) - np.repeat(self.first[:-1], self.n_words)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
-        return range_hashes(self.data, self.start, self.end)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word; different seeds give independent ones."""
+        return range_hashes(self.data, self.start, self.end, seed)
 
 
 def _eights(data: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
@@ -115,12 +115,12 @@ def _step(state: np.ndarray, value: np.ndarray) -> np.ndarray:
     return x
 
 
-def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each of some ranges of bytes."""
     size = end - start
     read = _eights(data)
     with np.errstate(over="ignore"):
-        out = _SEED + size.astype(np.uint64)
+        out = mix(np.full(1, seed, np.uint64)) + _SEED + size.astype(np.uint64)
     left = np.flatnonzero(size <= _SHORT)
     offset = 0
     while len(left):
@@ -129,7 +129,7 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
         offset += 8
         left = left[size[left] > offset]
     for i in np.flatnonzero(size > _SHORT).tolist():
-        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]], digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
     return mix(out)
 
 
