@@ -22,8 +22,8 @@ the permutation within a frequency.
    verified against the pivot, and linked documents are joined to components.
 5. Only pairs of a pivot's family that are not in one component yet remain:
    documents outside of the pivot's component against all others of the
-   family.  A large family is dealt into a grid of cells with a bounded number
-   of tokens, and a cell emits links only, never its pairs.
+   family.  A large family is dealt into a grid of cells by its rows and tokens,
+   and a cell emits links only, never its pairs.
 
 No link between different sets is lost and no pairs of a group are emitted.
 
@@ -41,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adevents.llm import blocks as B
@@ -54,7 +54,10 @@ SHINGLE = 5
 THRESHOLD = 80  # per cent
 ORDERS = 3
 SAMPLE = 0.35
+#: A cell's tokens, and its rows as long as that takes no more than CELLS cells along a side.
 CELL_TOKENS = 500_000
+CELL_ROWS = 256
+CELLS = 64
 _KEY_BITS = 56
 _SAMPLE_SALT = np.uint64(0x2545F4914F6CDD1D)
 
@@ -314,6 +317,10 @@ def _stars(families: DataFrame, kept: DataFrame, threshold: int, orders: int) ->
     return rows.groupBy("pivot", "cell").applyInPandas(verify, "a long, b long")
 
 
+def _cells(rows: str) -> Column:
+    return F.least(F.ceil(F.col(rows) / F.lit(CELL_ROWS)), F.lit(CELLS)).cast("int")
+
+
 def _rest(families: DataFrame, kept: DataFrame, roots: DataFrame, threshold: int, orders: int) -> DataFrame:
     """Links inside families between documents that are not in one component yet."""
 
@@ -322,13 +329,16 @@ def _rest(families: DataFrame, kept: DataFrame, roots: DataFrame, threshold: int
         outside = set(rows.loc[rows["outside"], "rid"])
         rows = rows.sort_values("outside").drop_duplicates("rid").reset_index(drop=True)
         cell = _Cell(rows, threshold, orders)
-        root = rows["root"].to_numpy().copy()
+        _, root = np.unique(rows["root"].to_numpy(), return_inverse=True)
+        members = {r: np.flatnonzero(root == r) for r in np.unique(root).tolist()}
         links: list[tuple[int, int]] = []
         for i in np.flatnonzero(rows["rid"].isin(outside).to_numpy()):
             for j in cell.links_of(int(i), root != root[i]):
                 if root[j] != root[i]:
                     links.append((cell.rid[i], cell.rid[j]))
-                    root[root == root[j]] = root[i]
+                    keep, gone = sorted((int(root[i]), int(root[j])), key=lambda r: -len(members[r]))
+                    root[members[gone]] = keep  # the smaller component is renamed
+                    members[keep] = np.concatenate([members[keep], members.pop(gone)])
         return _edges([a for a, _ in links], [b for _, b in links])
 
     root_of = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
@@ -346,9 +356,7 @@ def _rest(families: DataFrame, kept: DataFrame, roots: DataFrame, threshold: int
     )
     members = saved(members, "members")
     open_ones = members.where("outside").groupBy("pivot").agg(F.count("*").alias("n_out"))
-    rows = members.join(open_ones, "pivot").withColumn(
-        "out_cells", F.ceil(F.col("n_out") / F.lit(2048)).cast("int")
-    )
+    rows = members.join(open_ones, "pivot").withColumn("out_cells", _cells("n_out"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     mine = lambda n, salt: F.pmod(F.xxhash64("rid", F.lit(salt)), F.col(n)).cast("int")
     as_outside = rows.where("outside").withColumn("i", mine("out_cells", 1)).withColumn("j", every("cells"))
@@ -370,7 +378,9 @@ def links(docs: DataFrame, classes: DataFrame, threshold: int = THRESHOLD, shing
         .groupBy("pivot", "rid")
         .agg(F.first("bytes").alias("bytes"))
     )
-    sizes = families.groupBy("pivot").agg(F.ceil(F.sum("bytes") / F.lit(8 * CELL_TOKENS)).cast("int").alias("cells"))
+    by_tokens = F.ceil(F.sum("bytes") / F.lit(8 * CELL_TOKENS)).cast("int").alias("by_tokens")
+    sizes = families.groupBy("pivot").agg(by_tokens, F.count("*").alias("n"))
+    sizes = sizes.select("pivot", F.greatest("by_tokens", _cells("n")).alias("cells"))
     families = saved(families.drop("bytes").join(sizes, "pivot"), "families")
     stars = saved(_stars(families, kept, threshold, orders), "stars")
     rest = saved(_rest(families, kept, components(stars), threshold, orders), "rest")
