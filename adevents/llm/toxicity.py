@@ -1,13 +1,14 @@
 """Toxicity scores of whole texts by a recurrent network over all overlapping windows.
 
 A text's words (ASCII letters lower-cased) are cut into windows of ``WINDOW``
-words that start every ``STRIDE`` words, the last one ending with the text; the
-network (:mod:`adevents.llm.gru`) scores every window, and a text's score is its
+words that start every ``STRIDE`` words, the last one ending with the text, so a
+run of up to half a window's words is whole in some window; the network (:mod:`adevents.llm.gru`) scores every window, and a text's score is its
 highest window's.
 
 The network is trained on the driver from a bounded sample: at most
 ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` labelled documents of at most
-``MAX_CHARS`` characters, drawn by a hash of their id from the training split.
+``MAX_CHARS`` characters, drawn by a hash of their id from the training split;
+of rows with one id, the smallest text counts.
 A label belongs to a document, not to a window; so the log-odds of the sample's
 words choose each document's most telling window, and documents without the
 label add random windows too.
@@ -33,7 +34,7 @@ from adevents.llm.contamination import _slices as slices_of
 from adevents.llm.words import ALNUM, Texts
 
 WINDOW = 64
-STRIDE = 48
+STRIDE = 32
 MAX_POSITIVE = 1200
 MAX_NEGATIVE = 3600
 MAX_CHARS = 50_000
@@ -167,7 +168,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic"):
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .where(F.length("text") <= MAX_CHARS)
         .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "text", "label")
+        .groupBy("doc_id", "label")  # one row per id, so that the bound holds
+        .agg(F.min("text").alias("text"))
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("text", "ascending")])
     )
