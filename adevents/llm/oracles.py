@@ -30,13 +30,9 @@ ln AS (
   FROM (SELECT rid, host, unnest(string_split(text, chr(10))) AS line FROM d)
 ),
 lk AS (SELECT rid, host, words, ('0x' || substr(md5(norm), 1, 15))::BIGINT AS key FROM ln WHERE norm <> ''),
-mk AS (SELECT rid, list_sort(list(DISTINCT key))[1:2] AS marks FROM lk GROUP BY rid),
-hosts AS (SELECT host, count(DISTINCT marks) AS host_docs FROM d JOIN mk USING (rid) GROUP BY host),
+sets AS (SELECT rid, array_to_string(list_sort(list(DISTINCT key)), ',') AS line_set FROM lk GROUP BY rid),
 common AS (
-  SELECT host, key FROM (
-    SELECT host, key, count(DISTINCT CASE WHEN key = marks[1] THEN coalesce(marks[2], key) ELSE marks[1] END) AS docs
-    FROM lk JOIN mk USING (rid) GROUP BY host, key) JOIN hosts USING (host)
-  WHERE docs > {quality.MIN_DOCS} AND docs > host_docs * {quality.MAX_SHARE}::DOUBLE
+  SELECT host, key FROM lk JOIN sets USING (rid) GROUP BY host, key HAVING count(DISTINCT line_set) > {quality.MIN_DOCS}
 ),
 gone AS (SELECT rid, sum(words)::BIGINT AS n FROM lk JOIN common USING (host, key) GROUP BY rid),
 dup AS (
@@ -62,7 +58,7 @@ def _urls() -> str:
     ]
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{name}'" for c, name, _ in fits) + " END"
     action = "CASE " + " ".join(f"WHEN {c} THEN '{act}'" for c, _, act in fits) + " END"
-    hosts = ", ".join(f"'{h}'" for h in url_filter.LISTED_HOSTS)
+    listed = rf"(^|\.)({'|'.join(url_filter.LISTED_NAMES)})(\.|:|$)"
     return rf"""
 WITH r AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -81,7 +77,7 @@ c AS (
 ),
 j AS (
   SELECT page_id, host, path, {rule} AS rule, {action} AS action, canonical_url,
-    canonical_url <> '' AND canonical_url IN (SELECT canonical_url FROM c WHERE host IN ({hosts})) AS listed
+    canonical_url <> '' AND canonical_url IN (SELECT canonical_url FROM c WHERE regexp_matches(host, '{listed}')) AS listed
   FROM c
 )
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict,
@@ -99,7 +95,8 @@ WITH d AS (
 p AS (
   SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
   FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?
--]')) AS piece FROM d)
+-
+]')) AS piece FROM d)
 ),
 total AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
 g AS (

@@ -10,11 +10,6 @@ boilerplate lines they share.  Common lines are removed; a
 document that loses more than ``max_removed`` of its words, or keeps fewer
 than ``min_words``, is depleted and rejected.
 
-The digest follows its SQL instead (:func:`digest_lines`), which tells the
-documents of a line apart by the smallest hash of their other lines and asks
-for more than ``max_share`` of the host's documents too; that undercounts
-documents that share many lines, and keeps lines of large hosts.
-
 Everything is DataFrame functions.  Lines are counted with two map-side
 combined aggregates, so a line in a third of all documents sends one row per
 task.  ``documents`` has no host column; its ``source`` plays that part.
@@ -33,7 +28,6 @@ from pyspark.sql import functions as F
 from adevents.llm.common import as_table, ascii_lower, let, n_words_of, saved, spare_name, text_or_empty, with_row_id, words_of
 
 MIN_DOCS = 20
-MAX_SHARE = 0.02
 MAX_REMOVED = 0.7
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
@@ -132,7 +126,6 @@ def _facts(docs: DataFrame, host_col: str, *ids: Column) -> DataFrame:
         )
         .select("*", "w.*")
         .drop("w")
-        .withColumn("marks", F.slice(F.sort_array(F.array_distinct(F.transform("lines", lambda x: x["key"]))), 1, 2))
     )
 
 
@@ -152,24 +145,6 @@ def common_lines(facts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     )
 
 
-def digest_lines(
-    facts: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE
-) -> DataFrame:
-    """The lines that the digest's SQL calls common."""
-    per_host = facts.where(F.size("marks") > 0).groupBy("host").agg(F.count_distinct("marks").alias("host_docs"))
-    key, least, next_least = F.col("line.key"), F.get("marks", F.lit(0)), F.get("marks", F.lit(1))
-    per_line = (
-        facts.select("host", "marks", F.explode("lines").alias("line"))
-        .select("host", key.alias("key"), F.when(key == least, F.coalesce(next_least, key)).otherwise(least).alias("mark"))
-        .groupBy("host", "key")
-        .agg(F.count_distinct("mark").alias("docs"))
-        .where(F.col("docs") > min_docs)
-    )
-    return (
-        per_line.join(per_host, "host").where(F.col("docs") > F.col("host_docs") * F.lit(max_share)).select("host", "key")
-    )
-
-
 def _verdicts(facts: DataFrame, key: str, common: DataFrame) -> DataFrame:
     """``facts`` plus ``n_removed_words``, ``base_failed`` and ``kept``."""
     removed = (
@@ -182,7 +157,7 @@ def _verdicts(facts: DataFrame, key: str, common: DataFrame) -> DataFrame:
     n, gone = F.col("n_words"), F.col("n_removed_words")
     depleted = (gone > 0) & ((n - gone < MIN_WORDS) | (gone > n * F.lit(MAX_REMOVED)))
     return (
-        facts.drop("lines", "marks", "host")
+        facts.drop("lines", "host")
         .join(removed, key, "left")
         .withColumn("n_removed_words", F.coalesce(gone, F.lit(0).cast("long")))
         .withColumn("base_failed", (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * n))
@@ -194,7 +169,7 @@ def quality_digest(docs: DataFrame, host_col: str = "source") -> DataFrame:
     """One row per document: base counts, ``base_failed``, ``kept`` and removed words."""
     rows = with_row_id(as_table(docs).select("doc_id", "text", F.col(host_col).alias("host_in")), "row_id")
     facts = saved(_facts(rows, "host_in", F.col("row_id"), F.col("doc_id")), "quality")
-    return _verdicts(facts, "row_id", digest_lines(facts)).drop("row_id")
+    return _verdicts(facts, "row_id", common_lines(facts)).drop("row_id")
 
 
 def keep_good(docs: DataFrame, host_col: str = "source") -> DataFrame:

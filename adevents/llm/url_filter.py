@@ -17,6 +17,7 @@ fine; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -32,15 +33,8 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Hosts whose pages make up the production list.
-LISTED_HOSTS = (
-    "ads-track.example.com",
-    "adult-x.example.com",
-    "casino-win.example.net",
-    "cheap-pills.example.net",
-    "free-bets.example.net",
-    "spam-farm.example.org",
-)
+#: Names of sites whose pages make up the production list, under any subdomain and ending.
+LISTED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 WORDS = 8
 BITS_PER_URL = 16
 
@@ -131,6 +125,7 @@ def mark_listed(pages: DataFrame, listed: DataFrame, broadcast_bytes: int = 64 <
         .withColumn("possible", F.coalesce(hit & (url != ""), F.lit(False)))
         .drop("block", *[f"w{i}" for i in range(WORDS)])
     )
+    probed = saved(probed, "probed")  # URLs only; both branches read it
     out = probed.where(~F.col("possible")).withColumn("listed", F.lit(False))
     exact = (
         probed.where("possible")
@@ -164,7 +159,8 @@ def judge(
     )
 
 
-def listed_pages(pages: DataFrame, hosts: Sequence[str] = LISTED_HOSTS) -> DataFrame:
-    """The production list: canonical URLs seen on the given hosts."""
+def listed_pages(pages: DataFrame, names: Sequence[str] = LISTED_NAMES) -> DataFrame:
+    """The production list: canonical URLs seen on hosts with one of the names among their labels."""
     at = F.col("url")
-    return pages.where(host_of(at).isin(*hosts)).select(canonical(at).alias("url"))
+    named = host_of(at).rlike(rf"(^|\.)({'|'.join(map(re.escape, names))})(\.|:|$)")
+    return pages.where(named).select(canonical(at).alias("url"))
