@@ -180,6 +180,70 @@ def test_pipeline(spark, rows, tmp_path):
     assert sorted(map(repr, result.select("doc_id").collect())) == sorted(map(repr, docs.select("doc_id").collect()))
 
 
+def test_pipeline_stages_equal_plain_python(spark, rows, tmp_path):
+    import corpus_pipeline
+
+    from . import brute
+    from .test_table_operators import _good
+
+    plain = SCHEMA  # with columns that the operators use inside
+    written(spark, rows, plain, tmp_path / "documents.parquet")
+    item = " ".join(next(r["text"] for r in rows if r["text"] and 50 < len(r["text"].split()) < 150).split()[:12])
+    written(spark, [(1, item)], "item_id long, text string", tmp_path / "benchmark.parquet")
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    key = lambda r: (repr(r["doc_id"]), r["text"])
+
+    good = corpus_pipeline.saved(stages[0](spark, docs, str(tmp_path)), "test")
+    want = _good(rows)
+    assert sorted(map(key, good.collect())) == sorted(map(key, want))
+
+    unique = corpus_pipeline.saved(stages[1](spark, good, str(tmp_path)), "test")
+    component = {}
+    for (doc_id, n, c), r in zip(brute.components([(r["doc_id"], r["text"]) for r in want]), want):
+        component[key(r)] = ("set", c) if n else ("alone", key(r))
+    kept = unique.collect()
+    assert sorted(map(repr, (component[key(r)] for r in kept))) == sorted(map(repr, set(component.values())))
+
+    clean = corpus_pipeline.saved(stages[2](spark, unique, str(tmp_path)), "test")
+    hits = brute.contamination([(key(r), r["text"]) for r in kept], [(1, item)])
+    assert sorted(map(key, clean.collect())) == sorted(h[0] for h in hits if not h[5])
+    assert any(h[5] for h in hits) and clean.columns == docs.columns
+
+    mixed = corpus_pipeline.saved(stages[3](spark, clean, str(tmp_path)), "test")
+    assert set(map(key, mixed.collect())) <= set(map(key, clean.collect())) and mixed.columns == docs.columns
+    shards = stages[4](spark, mixed, str(tmp_path))
+    assert shards.count() == mixed.count() and sorted(shards.columns) == sorted([*docs.columns, "slot"])
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    written(spark, [], SCHEMA, tmp_path / "documents.parquet")
+    written(spark, [(1, "a b")], "item_id long, text string", tmp_path / "benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_toxicity_of_empty_and_repeated_rows(spark, tmp_path):
+    rows = _toxic_rows(120)
+    repeated = rows + [rows[3]] * 50
+    docs = written(spark, [(i, t, "x", 0.5) for i, t, _ in repeated], "doc_id long, text string, label string, score double", tmp_path / "d")
+    labels = written(spark, [(i, y) for i, _, y in rows], "doc_id long, toxic int", tmp_path / "l")
+    assert toxicity.sample(docs, labels)[1].tolist() == toxicity.sample(docs.distinct(), labels)[1].tolist()
+    got = toxicity.toxicity_digest(docs, labels)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == len(repeated)
+    assert len({r.score for r in got.where("doc_id = 3").collect()}) == 1
+    assert toxicity.toxicity_digest(docs.limit(0), labels).count() == 0
+
+
+def test_a_run_of_half_a_window_is_whole_in_some_window():
+    w = toxicity.Windows(pa.array([" ".join(f"w{i}" for i in range(n)) for n in (1, 64, 65, 130, 1000)]))
+    half = toxicity.WINDOW // 2
+    for text, n in enumerate(w.texts.n_words.tolist()):
+        spans = [(a - w.texts.first[text], a - w.texts.first[text] + s) for a, s in zip(w.start[w.text == text], w.size[w.text == text])]
+        assert all(any(a <= i and i + half <= b for a, b in spans) for i in range(max(1, n - half + 1))) or n < half
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 

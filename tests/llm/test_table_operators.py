@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import random
+import re
 import zlib
 
 import pytest
@@ -102,6 +103,37 @@ def test_a_template_is_common_in_a_large_source_as_in_a_small_one(spark, tmp_pat
     assert sorted(r.doc_id for r in quality.keep_good(docs).collect()) == [d for d, *_ in rows[60:]]
 
 
+def _good(rows):
+    """doc ids that pass, by plain Python."""
+    upper = str.maketrans({i: i + 32 for i in range(65, 91)})
+
+    def norm(line):
+        text = re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ", line.translate(upper))
+        return re.sub("[0-9]+", "0", text).strip(" ")
+
+    holders = collections.defaultdict(set)
+    lines = []
+    for r in rows:
+        found = [(norm(x), len(brute.WORD.findall(x))) for x in (r["text"] or "").split("\n")]
+        lines.append([x for x in found if x[0]])
+        for n, _ in lines[-1]:
+            holders[r["source"], n].add(frozenset(x for x, _ in lines[-1]))
+    out = []
+    for r, found in zip(rows, lines):
+        n, *_, repeated = _base_counts(r["text"] or "")
+        gone = sum(w for x, w in found if len(holders[r["source"], x]) > quality.MIN_DOCS)
+        if n >= 10 and 100 * repeated <= 20 * n and not (gone and (n - gone < quality.MIN_WORDS or gone > n * quality.MAX_REMOVED)):
+            out.append(r)
+    return out
+
+
+def test_good_documents_equal_plain_python(spark, docs, rows, tmp_path):
+    want = sorted((r["doc_id"] for r in _good(rows)), key=repr)
+    assert 0 < len(want) < len(rows)
+    assert sorted((r.doc_id for r in quality.keep_good(docs).collect()), key=repr) == want
+    assert sorted((r.doc_id for r in quality.quality_digest(docs).where("kept").collect()), key=repr) == want
+
+
 def test_quality_on_an_empty_table(no_docs):
     assert quality.quality_digest(no_docs).count() == 0
 
@@ -135,6 +167,28 @@ def test_verdicts_with_and_without_broadcast(spark, bytes_):
     assert none.where("listed").count() == 0 and none.count() == len(urls)
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_the_production_list_decides_verdicts(spark, sf):
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+    listed = url_filter.listed_pages(pages)
+    got = url_filter.judge(pages, listed)
+    none = url_filter.judge(pages, listed.limit(0))
+    blocked = lambda df: df.where("verdict = 'block'").count()
+    by_list = got.where("rule IS NULL AND verdict = 'block'")
+    assert by_list.count() == blocked(got) - blocked(none) > 0
+    assert by_list.where("NOT listed").count() == 0 and got.where("listed AND rule IS NULL AND verdict = 'allow'").count() == 0
+    assert got.count() == pages.count()
+
+
+def test_urls_of_an_empty_table_and_very_long_ones(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert url_filter.judge(none, url_filter.listed_pages(none)).count() == 0
+    long = "http://free-bets.net/" + "x" * 200_000
+    pages = spark.createDataFrame([(1, long), (2, long + "y"), (3, "http://not-free-bets.net/"), (4, "http://a.free-bets:80/")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, url_filter.listed_pages(pages.where("page_id <> 2"))).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow", 4: "block"}
+
+
 def test_bloom_filter_has_no_false_negatives_and_few_false_positives(spark):
     pages = spark.range(20000).selectExpr("concat('u', id) as url")
     marked = url_filter.mark_listed(pages, spark.range(4000).selectExpr("concat('u', id) as url"))

@@ -146,6 +146,17 @@ def test_components_of_paths_and_stars(spark):
     assert found == {i: 0 for i in range(31)} | {i: 81 for i in [*range(81, 91), 100]} | {299: 299, 300: 299}
 
 
+def test_a_long_chain_takes_few_steps(spark, monkeypatch):
+    from adevents.llm import graph
+
+    steps = []
+    monkeypatch.setattr(graph, "saved", lambda df, name, save=graph.saved: steps.append(name) or save(df, name))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(2000)] + [(5000 - i, 5001 - i) for i in range(100)], "a long, b long")
+    found = {r.node: r.root for r in graph.components(edges).collect()}
+    assert found == {i: 0 for i in range(2001)} | {i: 4901 for i in range(4901, 5002)}
+    assert steps.count("edges") <= 3 and steps.count("hooks") <= 15
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_katz_scores_equal_brute_force(docs, pairs, order):
     want, _, _ = brute.katz(pairs, order)
