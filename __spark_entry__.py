@@ -162,6 +162,69 @@ GROUP BY type, day""",
 SELECT lower(country) AS lower_country, CAST(month(day) AS INTEGER) AS month_day, CAST(length(type) AS INTEGER) AS length_type,
        COUNT(*) AS count_star
 FROM ad_events GROUP BY ALL""",
+    "rollup_snapshot": _DAILY.format(source="daily_revenue", cond="TRUE"),
+    "streamed_rollups": """
+SELECT day, publisher_id, country, ROUND(SUM(bid_price), 4) AS total_revenue FROM ad_text WHERE type = 'impression' GROUP BY ALL""",
+    "answer_hybrid": """
+SELECT country, ROUND(SUM(bid_price), 4) AS sum_bid_price, 'daily_revenue+events' AS source FROM ad_events
+WHERE type = 'impression' AND hour BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-20 17:00:00' GROUP BY country""",
+    "distinct_from_rollup": """
+SELECT country, COUNT(DISTINCT user_id) AS count_distinct_user_id FROM ad_events
+WHERE day BETWEEN DATE '2024-01-04' AND DATE '2024-01-22' GROUP BY country""",
+    "spread_from_rollup": """
+SELECT advertiser_id, ROUND(STDDEV_SAMP(bid_price), 6) AS stddev_bid_price, ROUND(VAR_SAMP(total_price), 6) AS variance_total_price,
+       ROUND(STDDEV_POP(total_price), 6) AS stddev_pop_total_price, ROUND(VAR_POP(bid_price), 6) AS var_pop_bid_price
+FROM ad_events WHERE day BETWEEN DATE '2024-01-04' AND DATE '2024-01-22' GROUP BY advertiser_id""",
+    # the exact quantile's bucket, and how many values lie below and in it
+    "quantile_from_rollup": """,
+v AS (
+  SELECT country, bid_price AS x FROM ad_events
+  WHERE type = 'impression' AND day BETWEEN DATE '2024-01-04' AND DATE '2024-01-22' AND bid_price IS NOT NULL
+),
+s AS (SELECT country, x, row_number() OVER (PARTITION BY country ORDER BY x) AS r, COUNT(*) OVER (PARTITION BY country) AS n FROM v),
+e AS (SELECT country, n, r AS rank, x FROM s WHERE r = GREATEST(CAST(ceil(0.9 * n) AS BIGINT), 1)),
+p AS (
+  SELECT *, CASE WHEN pow(2.0, floor(log2(x))) > x THEN floor(log2(x)) - 1
+                 WHEN pow(2.0, floor(log2(x)) + 1) <= x THEN floor(log2(x)) + 1 ELSE floor(log2(x)) END AS k FROM e
+),
+b AS (
+  SELECT *, pow(2.0, k) * (1 + floor((x / pow(2.0, k) - 1) * 16) / 16) AS low,
+    pow(2.0, k) * (1 + (floor((x / pow(2.0, k) - 1) * 16) + 1) / 16) AS high FROM p
+)
+SELECT b.country, b.n, b.rank, COUNT(*) FILTER (v.x < b.low) + 1 AS first_rank, COUNT(*) FILTER (v.x < b.high) AS last_rank, b.low, b.high
+FROM b JOIN v ON b.country IS NOT DISTINCT FROM v.country
+GROUP BY b.country, b.n, b.rank, b.low, b.high""",
+    "compare_keyed": """,
+a AS (
+  SELECT advertiser_id, country, ROUND(SUM(bid_price), 4) AS s, COUNT(*) AS c FROM ad_events
+  WHERE type = 'impression' AND day BETWEEN DATE '2024-01-01' AND DATE '2024-01-15' AND advertiser_id <> 3 GROUP BY ALL
+),
+b AS (
+  SELECT advertiser_id, country, ROUND(SUM(bid_price), 4) AS s, COUNT(*) AS c FROM ad_events
+  WHERE type = 'impression' AND day BETWEEN DATE '2024-01-16' AND DATE '2024-01-31' AND country <> 'BR' GROUP BY ALL
+),
+j AS (
+  SELECT COALESCE(a.advertiser_id, b.advertiser_id) AS advertiser_id, COALESCE(a.country, b.country) AS country,
+    a.c IS NOT NULL AS in_a, b.c IS NOT NULL AS in_b, a.s AS sa, b.s AS sb, a.c AS ca, b.c AS cb
+  FROM a FULL JOIN b ON a.advertiser_id IS NOT DISTINCT FROM b.advertiser_id AND a.country IS NOT DISTINCT FROM b.country
+),
+d AS (
+  SELECT *, CASE WHEN in_a AND in_b THEN
+      CAST(NOT (sa IS NOT DISTINCT FROM sb OR COALESCE(abs(sb - sa) <= 10 OR abs(sb - sa) <= 0.3 * GREATEST(abs(sa), abs(sb)), FALSE)) AS INTEGER)
+      + CAST(NOT (abs(cb - ca) <= 10 OR abs(cb - ca) <= 0.3 * GREATEST(ca, cb)) AS INTEGER) ELSE 0 END AS n_changed
+  FROM j
+)
+SELECT advertiser_id, country, CASE WHEN NOT in_b THEN 'missing' WHEN NOT in_a THEN 'added' ELSE 'changed' END AS status, n_changed,
+  sa AS sum_bid_price_a, sb AS sum_bid_price_b, ROUND(sb - sa, 4) AS sum_bid_price_diff,
+  ROUND((sb - sa) / NULLIF(GREATEST(abs(sa), abs(sb)), 0), 6) AS sum_bid_price_rel,
+  ca AS count_star_a, cb AS count_star_b, CAST(cb - ca AS DOUBLE) AS count_star_diff, ROUND((cb - ca) / GREATEST(ca, cb)::DOUBLE, 6) AS count_star_rel
+FROM d WHERE n_changed > 0 OR NOT in_a OR NOT in_b""",
+    "quarantine": """
+SELECT auction_id, CASE WHEN n % 97 = 0 OR n % 103 = 0 THEN 'wrong number of fields' WHEN n % 101 = 0 THEN 'malformed total_price' END AS reason
+FROM (SELECT auction_id, CAST(substr(auction_id, 2) AS BIGINT) AS n FROM ad_events)""",
+    "input_guards": """
+SELECT 'no parts' AS "case", 'not found' AS outcome, CAST(NULL AS BIGINT) AS n_rows UNION ALL SELECT 'no store', 'not found', NULL
+UNION ALL SELECT 'store', 'opened', NULL UNION ALL SELECT 'parts', 'opened', COUNT(*) FROM ad_events""",
     "csv_roundtrip": f"SELECT {_ALL} FROM ad_text",
     "zip_roundtrip": f"SELECT {_ALL} FROM ad_text",
     "incremental_ingest": f"SELECT {_ALL} FROM ad_text",

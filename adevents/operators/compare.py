@@ -9,6 +9,8 @@ summary -- one shuffle, no cross join, nothing collected.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +73,51 @@ def compare_results(a: DataFrame, b: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+def compare_keyed(a: DataFrame, b: DataFrame, keys: Sequence[str], absolute: float = 0.0, relative: float = 0.0) -> DataFrame:
+    """Rows of ``a`` and ``b`` that differ, matched by their keys (null equals null).
+
+    One row per key that is ``missing`` (only in ``a``), ``added`` (only in
+    ``b``) or ``changed``, with the number of differing columns and for every
+    other column ``c`` of both: ``c_a``, ``c_b``, and for numbers ``c_diff`` and
+    ``c_rel`` (the difference over the larger magnitude).  Numbers are equal when
+    their difference is at most ``absolute`` or at most ``relative`` of the larger
+    magnitude; NaN equals NaN, and null equals null only.  A key that occurs
+    twice on a side raises.  One shuffle per side, no rows collected.
+    """
+    keys = list(keys)
+    values = [c for c in a.columns if c not in keys]
+    if not keys or set(a.columns) != set(b.columns) or not set(keys) <= set(a.columns):
+        raise ValueError(f"both sides need the keys {keys} and equal columns; got {a.columns} and {b.columns}")
+    numbers = {f.name for f in a.schema.fields if isinstance(f.dataType, T.NumericType)}
+    numbers &= {f.name for f in b.schema.fields if isinstance(f.dataType, T.NumericType)}
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        once = [F.first(c).alias(f"{c}_{name}") for c in values]
+        rows = df.groupBy(*[F.col(k).alias(f"{k}__{name}") for k in keys]).agg(F.count(F.lit(1)).alias(f"n__{name}"), *once)
+        twice = F.raise_error(F.concat_ws(" ", F.lit("a key occurs twice:"), *[F.col(f"{k}__{name}").cast("string") for k in keys]))
+        return rows.withColumn(f"n__{name}", F.when(F.col(f"n__{name}") == 1, F.lit(1)).otherwise(twice.cast("int")))
+
+    same = [F.col(f"{k}__a").eqNullSafe(F.col(f"{k}__b")) for k in keys]
+    joined = side(a, "a").join(side(b, "b"), same, "full_outer")
+    in_a, in_b = F.col("n__a").isNotNull(), F.col("n__b").isNotNull()
+    columns, differ = [], []
+    for c in values:
+        x, y = F.col(f"{c}_a"), F.col(f"{c}_b")
+        columns += [x, y]
+        if c in numbers:
+            x, y = x.cast("double"), y.cast("double")
+            gap, size = F.abs(y - x), F.greatest(F.abs(x), F.abs(y))
+            columns += [(y - x).alias(f"{c}_diff"), F.when(size > 0, (y - x) / size).alias(f"{c}_rel")]
+            equal = x.eqNullSafe(y) | F.coalesce((gap <= F.lit(float(absolute))) | (gap <= size * F.lit(float(relative))), F.lit(False))
+        else:
+            equal = x.eqNullSafe(y)
+        differ.append((in_a & in_b & ~equal).cast("int"))
+    status = F.when(~in_b, "missing").when(~in_a, "added").when(F.col("n_changed") > 0, "changed")
+    out = joined.withColumn("n_changed", sum(differ, F.lit(0)))
+    key_columns = [F.coalesce(F.col(f"{k}__a"), F.col(f"{k}__b")).alias(k) for k in keys]
+    return out.select(*key_columns, status.alias("status"), "n_changed", *columns).where(F.col("status").isNotNull())
+
+
 def _text_normalized(df: DataFrame, digits: int) -> DataFrame:
     """Text values that parse as numbers are rounded, as a text comparer does."""
     cols = []

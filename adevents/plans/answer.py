@@ -14,22 +14,33 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from adevents.operators.report import clauses_of, report
-from adevents.operators.rollups import ROLLUPS, covers, rollup_report
+from adevents.operators.hybrid import hybrid_report
+from adevents.operators.rollups import ROLLUPS, NotCovered, covers, rollup_report
 from adevents.plans.prepare import PreparedStore
 from adevents.session import _join
 from adevents.sources.results import write_result_csv
 
 
 def answer(spark: SparkSession, store: PreparedStore, rollups=ROLLUPS, names: str = "plain", **clauses) -> tuple[DataFrame, str]:
-    """``(result, source)``; source is a rollup name or ``"events"``.
+    """``(result, source)``; source is a rollup name, ``"<name>+events"`` or ``"events"``.
 
     Of the covering summary tables built from the store's current version,
-    the one with the fewest rows answers.
+    the one with the fewest rows answers.  A range of time that cuts days is
+    answered from a table kept by day and the events of the cut days
+    (:mod:`adevents.operators.hybrid`).
     """
     store.sync(spark)
-    for r in sorted(rollups, key=lambda x: (store.rollup_rows.get(x.name, 0), len(x.dims))):
-        if r.name in store.rollup_paths and covers(r, **clauses):
+    built = [r for r in rollups if r.name in store.rollup_paths]
+    built.sort(key=lambda x: (store.rollup_rows.get(x.name, 0), len(x.dims)))
+    for r in built:
+        if covers(r, **clauses):
             return rollup_report(r, store.rollup(spark, r), **clauses, names=names), r.name
+    for r in built:
+        try:
+            result = hybrid_report(r, store.rollup(spark, r), store.events(spark), **clauses, names=names)
+        except NotCovered:
+            continue
+        return result, f"{r.name}+events"
     return report(store.events(spark), **clauses, names=names), "events"
 
 

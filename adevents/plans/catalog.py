@@ -344,6 +344,133 @@ def scalar_items(spark, sf_dir):
     )
 
 
+# ---- summary tables: snapshots, streams, parts of days, mergeable measures -------
+
+_IMPRESSIONS = [{"col": "type", "op": "eq", "val": "impression"}]
+_DAYS = {"col": "day", "op": "between", "val": ["2024-01-04", "2024-01-22"]}
+_HOURS = {"col": "hour", "op": "between", "val": ["2024-01-05 06:00:00", "2024-01-20 17:00:00"]}
+
+
+def rollup_snapshot(spark, sf_dir):
+    """A store in two writes; the second one's days are refreshed, and a refresh that meets a write lists nothing."""
+    from adevents.operators.rollups import DAILY_REVENUE
+    from adevents.plans.answer import answer
+    from adevents.plans.prepare import PreparedStore, build_folders, prepare, refresh_rollups
+    from adevents.session import scratch_path
+    from adevents.sources import manifest
+    from adevents.sources.store import write_store
+
+    events = load_ad_events(spark, sf_dir)
+    late = F.coalesce(F.col("day") >= F.lit("2024-01-20").cast("date"), F.lit(False))
+    prepared = prepare(events.where(~late), scratch_path(spark, "snapshot"), rollups=(DAILY_REVENUE,))
+    slow = PreparedStore(prepared.root)  # a refresh that begins before the second write and ends after it
+    version = slow.sync(spark)
+    folders = build_folders(spark, slow, slow.events(spark), (DAILY_REVENUE,), None, {})
+    write_store(events.where(late), prepared.events_path, replace="none")
+    try:
+        manifest.add_rollups(spark, slow.events_path, version, folders, slow.entry)
+        raise RuntimeError("a refresh of an old version was listed")
+    except manifest.Conflict:
+        pass
+    days = [r.day for r in events.where(late).select("day").distinct().collect()]
+    refresh_rollups(spark, prepared, days, rollups=(DAILY_REVENUE,))
+    result, source = answer(spark, prepared, select=["day", "SUM(bid_price)"], where=_IMPRESSIONS, group_by=["day"])
+    return _rounded(result, SUM4).withColumn("source", F.lit(source))
+
+
+def streamed_rollups(spark, sf_dir):
+    """A summary table kept up by the stream, after a batch that came twice."""
+    from adevents.operators.rollups import DAILY_REVENUE
+    from adevents.plans.prepare import streamed_rollups_for
+
+    return _rounded(streamed_rollups_for(spark, sf_dir).rollup(spark, DAILY_REVENUE), {"total_revenue": 4})
+
+
+def answer_hybrid(spark, sf_dir):
+    """Whole days from a summary table, the cut first and last day from the events."""
+    r = _answered(spark, sf_dir, select=["country", "SUM(bid_price)"], where=[*_IMPRESSIONS, _HOURS], group_by=["country"])
+    return _rounded(r, SUM4)
+
+
+def _from_mergeable(spark, sf_dir, rollup, **clauses):
+    from adevents.plans.prepare import mergeable_for
+
+    return rollup_report(rollup, mergeable_for(spark, sf_dir).rollup(spark, rollup), **clauses)
+
+
+def distinct_from_rollup(spark, sf_dir):
+    """COUNT(DISTINCT id) from bitmaps kept by day."""
+    from adevents.operators.rollups import USERS
+
+    return _from_mergeable(spark, sf_dir, USERS, select=["country", "COUNT(DISTINCT user_id)"], where=[_DAYS], group_by=["country"])
+
+
+def spread_from_rollup(spark, sf_dir):
+    """Spreads from moments kept by day."""
+    from adevents.operators.rollups import BIDS
+
+    items = {"STDDEV": "bid_price", "VARIANCE": "total_price", "STDDEV_POP": "total_price", "VAR_POP": "bid_price"}
+    r = _from_mergeable(spark, sf_dir, BIDS, select=["advertiser_id", items], where=[_DAYS], group_by=["advertiser_id"])
+    return _rounded(r, {c: 6 for c in r.columns[1:]})
+
+
+def quantile_from_rollup(spark, sf_dir):
+    """Ranks and bounds of a quantile from histograms kept by day."""
+    from adevents.operators.rollups import BID_VALUES, rollup_quantile
+    from adevents.plans.prepare import mergeable_for
+
+    table = mergeable_for(spark, sf_dir).rollup(spark, BID_VALUES)
+    return rollup_quantile(BID_VALUES, table, 0.9, ["country"], [*_IMPRESSIONS, _DAYS])
+
+
+def compare_keyed_q(spark, sf_dir):
+    """U4: revenue by advertiser and country over two ranges of days, compared by key within 30 %."""
+    from adevents.operators.compare import compare_keyed
+
+    def side(days, extra=()):
+        where = [*_IMPRESSIONS, {"col": "day", "op": "between", "val": days}, *extra]
+        clauses = dict(select=["advertiser_id", "country", "SUM(bid_price)", "COUNT(*)"], where=where, group_by=["advertiser_id", "country"])
+        return _rounded(report(store(spark, sf_dir), **clauses), SUM4)
+
+    a = side(["2024-01-01", "2024-01-15"], [{"col": "advertiser_id", "op": "neq", "val": 3}])
+    b = side(["2024-01-16", "2024-01-31"], [{"col": "country", "op": "neq", "val": "BR"}])
+    found = compare_keyed(a, b, ["advertiser_id", "country"], absolute=10, relative=0.3)
+    return _rounded(found, {"sum_bid_price_diff": 4, "sum_bid_price_rel": 6, "count_star_rel": 6})
+
+
+def quarantine(spark, sf_dir):
+    """Every line of damaged parts, good or set aside with a reason."""
+    from adevents.plans.prepare import damaged_parts_for
+    from adevents.sources.quarantine import read_with_quarantine
+
+    good, bad = read_with_quarantine(spark, damaged_parts_for(spark, sf_dir), "part-*.txt")
+    lines = bad.select(F.get(F.split("line", ","), F.lit(2)).alias("auction_id"), "reason")
+    return good.select("auction_id", F.lit(None).cast("string").alias("reason")).unionByName(lines)
+
+
+def input_guards(spark, sf_dir):
+    """A folder without parts and a place without a store raise; parts are counted."""
+    from adevents.plans.prepare import open_prepared
+    from adevents.session import scratch_path
+
+    def outcome(run) -> str:
+        try:
+            run()
+            return "opened"
+        except FileNotFoundError:
+            return "not found"
+
+    nowhere = scratch_path(spark, "nowhere")
+    parts = csv_events(spark, sf_dir)
+    rows = [
+        ("no parts", outcome(lambda: read_event_parts(spark, prepared_for(spark, sf_dir).events_path))),
+        ("no store", outcome(lambda: open_prepared(spark, nowhere))),
+        ("store", outcome(lambda: open_prepared(spark, prepared_for(spark, sf_dir).root))),
+    ]
+    cases = spark.createDataFrame(rows, "case string, outcome string").withColumn("n_rows", F.lit(None).cast("long"))
+    return cases.unionByName(parts.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("parts").alias("case"), F.lit("opened").alias("outcome"), "n_rows"))
+
+
 # ---- sort / limit ----------------------------------------------------------------
 
 def topk_bids(spark, sf_dir):
@@ -464,6 +591,15 @@ def queries() -> dict:
             "reload_day": reload_day,
             "view_report": view_report,
             "scalar_items": scalar_items,
+            "rollup_snapshot": rollup_snapshot,
+            "streamed_rollups": streamed_rollups,
+            "answer_hybrid": answer_hybrid,
+            "distinct_from_rollup": distinct_from_rollup,
+            "spread_from_rollup": spread_from_rollup,
+            "quantile_from_rollup": quantile_from_rollup,
+            "compare_keyed": compare_keyed_q,
+            "quarantine": quarantine,
+            "input_guards": input_guards,
         }
     )
     for key, where in FILTERS.items():

@@ -2,25 +2,31 @@
 
 ``prepare(events, root)`` writes the partitioned event store, then each rollup
 aggregated from the *written* store (so each rollup scan reads only its
-partitions and columns, never the raw input again), and last lists the rollups
-in the store's manifest (:mod:`adevents.sources.manifest`).  A rollup that isn't
-listed for the store's current version is never read.
+partitions and columns, never the raw input again) into a new folder, and last
+lists these folders in the store's manifest (:mod:`adevents.sources.manifest`).
+A folder that isn't listed for the store's current version is never read, and a
+listed one is never written again.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import threading
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adevents.operators.rollups import ROLLUPS, Rollup, build_rollup, clear_partitions, read_rollup, write_rollup
+from adevents.operators.rollups import MERGEABLE, ROLLUPS, Rollup, build_rollup, read_snapshot, write_counted
+from adevents.schema import EVENT_COLUMNS
 from adevents.session import _join, prepare_session, scratch_path
 from adevents.sources import manifest
-from adevents.sources.files import exists
-from adevents.sources.store import read_store, write_store
+from adevents.sources.store import read_batches, read_store, write_store
+
+
+#: A summary table of more folders than this is built whole again by its next refresh.
+MAX_FOLDERS = 8
 
 
 @dataclass
@@ -32,14 +38,15 @@ class PreparedStore:
     defined once and queried many times.  :meth:`sync` compares with the
     manifest, drops what was opened before a change and takes over the
     summary tables that are listed for the current version; ``answer`` calls
-    it for every report.
+    it for every report.  A report that was planned before a change goes on
+    reading the folders of its own entry, which nobody overwrites.
     """
 
     root: str
-    rollup_paths: dict[str, str] = field(default_factory=dict)
+    rollup_paths: dict[str, list[str]] = field(default_factory=dict)
     rollup_rows: dict[str, int] = field(default_factory=dict)
+    entry: manifest.Entry | None = field(default=None, repr=False)
     _frames: dict = field(default_factory=dict, repr=False)
-    _seq: int | None = field(default=None, repr=False)
 
     @property
     def events_path(self) -> str:
@@ -52,10 +59,14 @@ class PreparedStore:
         return self._frames[key]
 
     def events(self, spark: SparkSession) -> DataFrame:
-        return self._open(spark, "events", lambda: read_store(spark, self.events_path))
+        last = self.entry.batch if self.entry else None
+        if last is None:
+            return self._open(spark, "events", lambda: read_store(spark, self.events_path))
+        return self._open(spark, "events", lambda: read_batches(spark, self.events_path, last).select(*EVENT_COLUMNS))
 
     def rollup(self, spark: SparkSession, rollup: Rollup) -> DataFrame:
-        return self._open(spark, rollup.name, lambda: read_rollup(spark, rollup, self.rollup_paths[rollup.name]))
+        folders = self.entry.rollups[rollup.name]
+        return self._open(spark, rollup.name, lambda: read_snapshot(spark, rollup, [(f.path, f.without) for f in folders]))
 
     def rollup_path(self, name: str) -> str:
         return _join(self.root, f"agg_{name}")
@@ -63,17 +74,17 @@ class PreparedStore:
     def sync(self, spark: SparkSession) -> str:
         """Follow the manifest; gives the store's version.
 
-        Raises ``FileNotFoundError`` when there is no store or its last write
+        Raises ``FileNotFoundError`` when there is no store or a write of it
         didn't finish.
         """
         entry = manifest.current(spark, self.events_path)
-        if entry is None or entry.version == manifest.UNFINISHED:
+        if entry is None or not entry.complete:
             raise FileNotFoundError(f"no complete event store at {self.events_path}; prepare it first")
-        if entry.seq != self._seq or entry.version == manifest.STREAMING:
+        if self.entry is None or entry.seq != self.entry.seq or entry.version == manifest.STREAMING:
             self._frames.clear()
-        self._seq = entry.seq
-        self.rollup_rows = dict(entry.rollups)
-        self.rollup_paths = {name: self.rollup_path(name) for name in entry.rollups}
+        self.entry = entry
+        self.rollup_rows = {name: sum(f.rows for f in folders) for name, folders in entry.rollups.items()}
+        self.rollup_paths = {name: [f.path for f in folders] for name, folders in entry.rollups.items()}
         return entry.version
 
 
@@ -109,24 +120,7 @@ def prepare(events: DataFrame, root: str, rollups=ROLLUPS, parallel: int = 3) ->
     spark = events.sparkSession
     prepared = PreparedStore(root)
     write_store(events, prepared.events_path)
-    version = prepared.sync(spark)
-    store = prepared.events(spark)
-
-    def build(r: Rollup) -> tuple[str, int]:
-        path = prepared.rollup_path(r.name)
-        write_rollup(build_rollup(store, r), r, path)
-        return r.name, read_rollup(spark, r, path).count()
-
-    if parallel > 1 and len(rollups) > 1:
-        from concurrent.futures import ThreadPoolExecutor
-
-        with ThreadPoolExecutor(max_workers=min(parallel, len(rollups))) as pool:
-            built = list(pool.map(build, rollups))
-    else:
-        built = [build(r) for r in rollups]
-    manifest.record(spark, prepared.events_path, version, dict(built))
-    prepared.sync(spark)
-    return prepared
+    return refresh_rollups(spark, prepared, rollups=rollups, parallel=parallel)
 
 
 def open_prepared(spark: SparkSession, root: str, rollups=ROLLUPS) -> PreparedStore:
@@ -142,38 +136,78 @@ def open_prepared(spark: SparkSession, root: str, rollups=ROLLUPS) -> PreparedSt
     return prepared
 
 
-def refresh_rollups(spark: SparkSession, prepared: PreparedStore, days=None, rollups=ROLLUPS) -> PreparedStore:
-    """Rebuild the summary tables after the store changed.
+def refresh_rollups(
+    spark: SparkSession, prepared: PreparedStore, days: Iterable | None = None, rollups=ROLLUPS, parallel: int = 3
+) -> PreparedStore:
+    """Build the summary tables of the store's current version.
+
+    Every table is written to a folder of its own and listed by one commit at
+    the end.  A refresh that breaks off leaves folders that nobody reads; one
+    that meets a change of the store raises :class:`manifest.Conflict` and
+    lists nothing.  In between, reports read the tables listed before.
 
-    With ``days`` given (``None`` among them for rows without a day), a rollup
-    partitioned by ``day`` is recomputed for those days only: they are re-read
-    from the store and replaced, and days without rows are emptied.  The
-    caller states that no other day changed since the tables were built.
-    Rollups without a ``day`` partition or not built yet are built from the
-    whole store.
+    With ``days`` given (``None`` among them for rows without a day), a table
+    partitioned by ``day`` that was listed before the store's last change gets
+    a folder with these days, re-read from the store, in place of what its
+    other folders hold of them.  The caller states that no other day changed.
+    Tables that aren't partitioned by ``day``, weren't listed, or have too many
+    folders are built whole.
+
+    The tables are independent pruned reads, so up to ``parallel`` of them are
+    submitted at once from driver threads.
     """
     version = prepared.sync(spark)
-    store = prepared.events(spark)
-    rows = {}
-    for r in rollups:
-        path = prepared.rollup_path(r.name)
-        if days is not None and "day" in r.partition_by and exists(spark, path):
-            table = build_rollup(store.where(_on_days(days)), r)
-            write_rollup(table, r, path, only_present_partitions=True)
-            present = {x.day for x in table.select("day").distinct().collect()}  # at most the given days
-            asked = {None if d is None else dt.date.fromisoformat(str(d)) for d in days}
-            clear_partitions(spark, r, path, asked - present)
-        else:
-            write_rollup(build_rollup(store, r), r, path)
-        rows[r.name] = read_rollup(spark, r, path).count()
-    kept = {n: k for n, k in prepared.rollup_rows.items() if n not in rows}
-    if version == manifest.STREAMING:  # the stream may go on; nothing stays true
-        kept = rows = {}
-    manifest.record(spark, prepared.events_path, version, kept | rows)
+    base = prepared.entry
+    listed = _listed_before(spark, prepared, rollups) if days is not None else {}
+    folders = build_folders(spark, prepared, prepared.events(spark), rollups, days, listed, parallel)
+    if version != manifest.STREAMING:  # where a stream may go on, nothing stays true
+        manifest.add_rollups(spark, prepared.events_path, version, folders, base)
     prepared.sync(spark)
     return prepared
 
 
+def _listed_before(spark: SparkSession, prepared: PreparedStore, rollups) -> dict[str, tuple[manifest.Folder, ...]]:
+    """The last listed folders of each table, whatever the store's version was."""
+    found: dict[str, tuple[manifest.Folder, ...]] = {}
+    wanted = {r.name for r in rollups}
+    for seq in reversed(manifest.numbers(spark, prepared.events_path)):
+        for name, folders in manifest.read(spark, prepared.events_path, seq).rollups.items():
+            found.setdefault(name, folders)
+        if wanted <= set(found):
+            break
+    return {n: f for n, f in found.items() if n in wanted}
+
+
+def build_folders(
+    spark: SparkSession, prepared: PreparedStore, store: DataFrame, rollups, days, listed, parallel: int = 3
+) -> dict[str, list[manifest.Folder]]:
+    """Writes new folders of the summary tables; gives every table's folders."""
+    asked = None if days is None else sorted({None if d is None else str(d) for d in days}, key=str)
+
+    def build(r: Rollup) -> tuple[str, list[manifest.Folder]]:
+        path = f"{prepared.rollup_path(r.name)}/{manifest.new_version()}"
+        kept = listed.get(r.name, ())
+        whole = asked is None or "day" not in r.partition_by or not kept or len(kept) >= MAX_FOLDERS
+        rows = write_counted(build_rollup(store if whole else store.where(_on_days(asked)), r), r, path)
+        new = manifest.Folder(path, rows)
+        if whole:
+            return r.name, [new]
+        without = [tuple(sorted({*f.without, *asked}, key=str)) for f in kept]
+        return r.name, [manifest.Folder(f.path, f.rows, w) for f, w in zip(kept, without)] + [new]
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(rollups)))) as pool:
+        return dict(pool.map(build, rollups))
+
+
+def drop_old_rollups(spark: SparkSession, prepared: PreparedStore, rollups=ROLLUPS, keep: int = 2) -> list[str]:
+    """Deletes folders of summary tables that none of the last ``keep`` entries lists.
+
+    Call it when no refresh is under way and no report reads older entries.
+    """
+    folders = [f for r in rollups for f in manifest.subfolders(spark, prepared.rollup_path(r.name))]
+    return manifest.drop_unlisted(spark, prepared.events_path, folders, keep)
+
+
 def _on_days(days):
     known = [F.lit(str(d)).cast("date") for d in days if d is not None]
     cond = F.col("day").isin(*known) if known else F.lit(False)
@@ -184,6 +218,37 @@ _CACHE: dict[tuple[str, str], PreparedStore] = {}
 _LOCK = threading.RLock()
 
 
+def mergeable_for(spark: SparkSession, sf_dir: str) -> PreparedStore:
+    """:func:`prepared_for` with the tables of mergeable measures."""
+    prepared = prepared_for(spark, sf_dir)
+    with _LOCK:
+        if not {r.name for r in MERGEABLE} <= set(prepared.rollup_paths):
+            refresh_rollups(spark, prepared, rollups=MERGEABLE)
+    return prepared
+
+
+def streamed_rollups_for(spark: SparkSession, sf_dir: str) -> PreparedStore:
+    """Store and summary tables kept up by a stream of the CSV parts, two per trigger; the last batch comes twice."""
+    from adevents.functions.typing import type_events
+    from adevents.streaming.rollups import append_batch, keep_up
+
+    def build() -> str:
+        folder = csv_parts_for(spark, sf_dir)
+        root = scratch_path(spark, "kept")
+        query = keep_up(spark, folder, root, max_files=2)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        prepared = PreparedStore(root)
+        prepared.sync(spark)
+        append_batch(prepared, type_events(read_raw_events(spark, folder)), prepared.entry.batch)
+        return root
+
+    prepared = PreparedStore(_once(spark, sf_dir, "kept", build))
+    prepared.sync(spark)
+    return prepared
+
+
 def prepared_for(spark: SparkSession, sf_dir: str) -> PreparedStore:
     """The store prepared from ``sf_dir``'s events, built once per application."""
     from adevents.plans.adapter import load_ad_events
@@ -234,6 +299,32 @@ def csv_parts_for(spark: SparkSession, sf_dir: str, mixed_headers: bool = True)
     return _once(spark, sf_dir, f"csv-{mixed_headers}", build)
 
 
+# Every how many events a line of the damaged parts lacks a field, has one more, or a malformed price.
+DAMAGE = {"short": 97, "price": 101, "long": 103}
+
+
+def damaged_parts_for(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of parts (``part-*.txt``) with a share of bad lines, by event id."""
+    from adevents.plans.adapter import load_ad_events, raw_events
+    from adevents.schema import RAW_COLUMNS
+
+    def build() -> str:
+        folder = scratch_path(spark, "damaged")
+        events = load_ad_events(spark, sf_dir)
+        nth = F.substring("auction_id", 2, 20).cast("long")
+        bad = {k: nth % every == 0 for k, every in DAMAGE.items()}
+        raw = raw_events(events).withColumn("total_price", F.when(bad["price"], "12.5x").otherwise(F.col("total_price")))
+        fields = [F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS]
+        line = F.when(bad["short"], F.concat_ws(",", *fields[:-1])).when(bad["long"], F.concat_ws(",", *fields, F.lit("more")))
+        lines = raw.select(F.pmod(nth, F.lit(_n_parts(events))).alias("part"), line.otherwise(F.concat_ws(",", *fields)).alias("line"))
+        # a part has PART_EVENTS lines
+        text = lines.groupBy("part").agg(F.array_join(F.collect_list("line"), "\n").alias("body"))
+        text.select(F.concat_ws("\n", F.lit(",".join(RAW_COLUMNS)), "body").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
+        return folder
+
+    return _once(spark, sf_dir, "damaged", build)
+
+
 def zip_parts_for(spark: SparkSession, sf_dir: str) -> str:
     """Folder of zip archives (one part member each, plus a __MACOSX copy)."""
     from adevents.plans.adapter import load_ad_events, raw_events

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adevents.schema import EVENT_COLUMNS, EVENTS_SCHEMA, STORE_PARTITIONS
 from adevents.sources import manifest
@@ -45,9 +46,9 @@ def write_store(events: DataFrame, path: str, replace: str = "all") -> str:
     if replace == "partitions":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     spark = events.sparkSession
-    manifest.record(spark, path, manifest.UNFINISHED)
+    name = manifest.begin_write(spark, path, whole=replace == "all")
     writer.parquet(path)
-    manifest.record(spark, path, manifest.new_version())
+    manifest.finish_write(spark, path, name)
     return path
 
 
@@ -56,6 +57,12 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(path).select(*EVENT_COLUMNS)
 
 
+def read_batches(spark: SparkSession, path: str, last: int) -> DataFrame:
+    """Lazy scan of a store kept up batch by batch (``batch=/type=/day=``), up to the given batch, with ``batch``."""
+    schema = T.StructType([*EVENTS_SCHEMA.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(schema).parquet(path).where(F.col("batch") <= last)
+
+
 def register_events(df: DataFrame, name: str = "events") -> DataFrame:
     """Expose a frame to SQL as a temporary view."""
     df.createOrReplaceTempView(name)

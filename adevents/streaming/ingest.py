@@ -12,9 +12,10 @@ keeps running with the given processing-time trigger.
 
 The store is written through the file sink's log (``_spark_metadata``),
 which is what makes appends exactly-once; read it with ``read_store`` and
-let only the stream write to it.  Summary tables are not updated by the
+let only the stream write to it.  Summary tables are not updated by this
 stream: call :func:`adevents.plans.prepare.refresh_rollups` afterwards,
-which recomputes only the changed days of the day-partitioned table.
+which recomputes only the changed days, or use
+:func:`adevents.streaming.rollups.keep_up`.
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ def ingest_parts(
     ``by_name=True`` assigns columns by each part's header (parts in any
     column order); the default assigns by position and verifies headers.
     """
-    manifest.record(spark, store, manifest.STREAMING)
+    manifest.set_version(spark, store, manifest.STREAMING)
     source = stream_event_parts_by_name if by_name else stream_event_parts
     typed = type_events(source(spark, folder, max_files), bad_price=bad_price)
     writer = (
@@ -115,5 +116,5 @@ def catch_up(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    manifest.record(spark, store, manifest.new_version())
+    manifest.set_version(spark, store, manifest.new_version())
     return q
