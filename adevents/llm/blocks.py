@@ -38,7 +38,7 @@ BLOCKS = 4
 TASK_BLOCKS = 2
 MIN_PARTS = 2
 #: Bytes of text that a message stands for.
-MESSAGE_BYTES = 16 << 10
+MESSAGE_BYTES = 32 << 10
 ANSWER = "block int, round int, part int, payload binary"
 _ANSWER = pa.schema([("block", pa.int32()), ("round", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
 _PACKED = "block int, payload binary"

@@ -109,6 +109,7 @@ class Phrases:
             self.words = mix(texts.hashes() ^ tag[self.lang])
             self._tag, self._second = tag, None
         self._windows = Windows(self.words)
+        self.often: dict[int, np.ndarray] = {}
 
     def starts(self, k: int, frequent: np.ndarray | None = None, width: int = 1) -> np.ndarray:
         """Where runs of ``k`` words of a piece begin; ``frequent`` tells from which places on all their runs of ``width`` words are."""
@@ -230,7 +231,9 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         """From which places on the run of ``width`` (0 to 2) words survived."""
         if not width:
             return None
-        out = np.zeros(len(p.words), bool)
+        if width in p.often:
+            return p.often[width]
+        out = p.often[width] = np.zeros(len(p.words), bool)
         at = p.starts(width, often(p, earlier, width - 1), width - 1)
         distinct, which = np.unique(p.keys(at, width, bits), return_inverse=True)
         out[at] = _flags(earlier[width], 0, len(distinct))[which]
