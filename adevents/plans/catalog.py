@@ -448,6 +448,14 @@ def quarantine(spark, sf_dir):
     return good.select("auction_id", F.lit(None).cast("string").alias("reason")).unionByName(lines)
 
 
+def advised_rollups(spark, sf_dir):
+    """The grains to keep for the five reports, at most as many rows as a fifth of the events."""
+    from adevents.operators.advice import advise
+
+    events = store(spark, sf_dir)
+    return advise(events, list(SPECS.values()), events.count() // 5)
+
+
 def input_guards(spark, sf_dir):
     """A folder without parts and a place without a store raise; parts are counted."""
     from adevents.plans.prepare import open_prepared
@@ -600,6 +608,7 @@ def queries() -> dict:
             "compare_keyed": compare_keyed_q,
             "quarantine": quarantine,
             "input_guards": input_guards,
+            "advised_rollups": advised_rollups,
         }
     )
     for key, where in FILTERS.items():

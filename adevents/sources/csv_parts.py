@@ -83,12 +83,15 @@ def _scan(spark: SparkSession, paths, names: list[str], options: dict) -> DataFr
     return df.select(*[F.col(c) if c in names else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS])
 
 
-def read_event_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB) -> DataFrame:
+def read_event_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB, multiline: bool = False) -> DataFrame:
     """All parts of ``folder`` as the nine raw text columns, by header name.
 
     Raises ``FileNotFoundError`` when no part exists; header-only and empty
-    parts contribute no rows.
+    parts contribute no rows.  A quoted field with a line break fails the read,
+    since a part may be split between any two lines; with ``multiline=True``
+    parts are read whole, one task each, and such fields are kept.
     """
+    options = {"multiLine": True} if multiline else {}
     headers = part_headers(spark, folder, pattern).where(F.col("header").isNotNull())
     # distinct header layouts only (tiny); paths are fetched only if they differ
     layouts = [r.header for r in headers.select("header").distinct().collect()]
@@ -100,14 +103,14 @@ def read_event_parts(spark: SparkSession, folder: str, pattern: str = PART_GLOB)
     if unknown_only:
         raise ValueError(f"part headers without any event column: {unknown_only[:3]}")
     if len(layouts) == 1:
-        return _scan(spark, folder, layouts[0].split("\x1f"), {"pathGlobFilter": pattern})
+        return _scan(spark, folder, layouts[0].split("\x1f"), {"pathGlobFilter": pattern, **options})
     # Layouts differ: one scan per layout over its own files.  The file list
     # is metadata the driver's file index holds anyway; it is collected as
     # plain rows (no per-layout list is built inside a task).
     by_layout: dict[str, list[str]] = {}
     for r in headers.select("header", "path").collect():
         by_layout.setdefault(r.header, []).append(r.path)
-    scans = [_scan(spark, sorted(paths), header.split("\x1f"), {}) for header, paths in sorted(by_layout.items())]
+    scans = [_scan(spark, sorted(paths), header.split("\x1f"), options) for header, paths in sorted(by_layout.items())]
     return reduce(lambda a, b: a.unionByName(b), scans)
 
 

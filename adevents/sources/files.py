@@ -27,6 +27,23 @@ def arrow_csv_options():
     )
 
 
+def arrow_parse_options(multiline: bool):
+    import pyarrow.csv as pacsv
+
+    return pacsv.ParseOptions(newlines_in_values=multiline)
+
+
+def check_line_breaks(rows, multiline: bool):
+    """Raises where a value holds a line break that the reader wasn't told to expect."""
+    import pyarrow.compute as pc
+
+    if not multiline:
+        for column in rows.columns:
+            if pc.any(pc.match_substring_regex(column, r"[\r\n]")).as_py():
+                raise ValueError("a quoted field holds a line break; read these parts with multiline=True")
+    return rows
+
+
 def exists(spark, path: str) -> bool:
     """Whether Spark finds a folder or file with data at ``path``."""
     from pyspark.errors import AnalysisException

@@ -15,7 +15,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 from adevents.schema import PART_GLOB, RAW_COLUMNS, RAW_SCHEMA
-from adevents.sources.files import arrow_csv_options, attempt_suffix, is_part_name, open_filesystem, publish
+from adevents.sources.files import arrow_csv_options, arrow_parse_options, attempt_suffix, check_line_breaks, is_part_name, open_filesystem, publish
 
 _BATCH_BYTES = 8 << 20
 
@@ -42,32 +42,37 @@ def _members_of(pattern: str):
     return members
 
 
-def _read_members(batches):
-    import pyarrow.csv as pacsv
+def _member_reader(multiline: bool):
+    def read_members(batches):
+        import pyarrow.csv as pacsv
 
-    convert = arrow_csv_options()
-    for batch in batches:
-        for archive, name in zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist()):
-            filesystem, inner = open_filesystem(archive)
-            with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf, zf.open(name) as member:
-                if not member.peek(1):
-                    continue
-                read = pacsv.ReadOptions(block_size=_BATCH_BYTES)
-                for rows in pacsv.open_csv(member, read_options=read, convert_options=convert):
-                    if rows.num_rows:
-                        yield rows
+        convert, parse = arrow_csv_options(), arrow_parse_options(multiline)
+        for batch in batches:
+            for archive, name in zip(batch.column("archive").to_pylist(), batch.column("member").to_pylist()):
+                filesystem, inner = open_filesystem(archive)
+                with filesystem.open_input_file(inner) as f, zipfile.ZipFile(f) as zf, zf.open(name) as member:
+                    if not member.peek(1):
+                        continue
+                    read = pacsv.ReadOptions(block_size=_BATCH_BYTES)
+                    for rows in pacsv.open_csv(member, read_options=read, parse_options=parse, convert_options=convert):
+                        if rows.num_rows:
+                            yield check_line_breaks(rows, multiline)
+
+    return read_members
 
 
-def read_event_zip(spark: SparkSession, path: str, pattern: str = PART_GLOB) -> DataFrame:
+def read_event_zip(spark: SparkSession, path: str, pattern: str = PART_GLOB, multiline: bool = False) -> DataFrame:
     """Raw text events from a zip archive (or a folder / glob of archives).
 
     Raises ``FileNotFoundError`` when no archive holds a matching member.
+    Quoted fields with line breaks are kept with ``multiline=True`` and fail
+    the read without, as in the CSV reader.
     """
     members = list_archives(spark, path).mapInArrow(_members_of(pattern), "archive string, member string")
     if members.isEmpty():
         raise FileNotFoundError(f"no {pattern} member in {path}")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return members.repartition(width, "archive", "member").mapInArrow(_read_members, RAW_SCHEMA)
+    return members.repartition(width, "archive", "member").mapInArrow(_member_reader(multiline), RAW_SCHEMA)
 
 
 def _zip_writer(folder: str, junk_member: bool):

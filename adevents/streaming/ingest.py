@@ -26,38 +26,46 @@ from pyspark.sql.streaming import StreamingQuery
 from adevents.functions.typing import type_events
 from adevents.schema import PART_GLOB, RAW_SCHEMA, STORE_PARTITIONS
 from adevents.sources import manifest
-from adevents.sources.files import CSV_DIALECT, arrow_csv_options, open_filesystem
+from adevents.sources.files import CSV_DIALECT, arrow_csv_options, arrow_parse_options, check_line_breaks, open_filesystem
 
 
-def stream_event_parts(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
+def stream_event_parts(
+    spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB, multiline: bool = False
+) -> DataFrame:
     """Streaming frame of raw text events from parts arriving in ``folder``.
 
     ``max_files`` caps the parts per trigger (1 = part by part); ``None``
     takes every new part in one trigger.
     """
-    reader = spark.readStream.schema(RAW_SCHEMA).options(header=True, enforceSchema=False, mode="FAILFAST", **CSV_DIALECT)
+    reader = spark.readStream.schema(RAW_SCHEMA).options(header=True, multiLine=multiline, enforceSchema=False, mode="FAILFAST", **CSV_DIALECT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(f"{folder.rstrip('/')}/{pattern}")
 
 
-def _parse_parts(batches):
+def _part_parser(multiline: bool):
     """Paths of parts -> raw rows, read in blocks, columns assigned by each part's header."""
-    import pyarrow.csv as pacsv
 
-    convert = arrow_csv_options()
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            filesystem, inner = open_filesystem(path)
-            if not filesystem.get_file_info(inner).size:
-                continue
-            with filesystem.open_input_stream(inner) as part:
-                for rows in pacsv.open_csv(part, convert_options=convert):
-                    if rows.num_rows:
-                        yield rows
+    def parse_parts(batches):
+        import pyarrow.csv as pacsv
 
+        convert, parse = arrow_csv_options(), arrow_parse_options(multiline)
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                filesystem, inner = open_filesystem(path)
+                if not filesystem.get_file_info(inner).size:
+                    continue
+                with filesystem.open_input_stream(inner) as part:
+                    for rows in pacsv.open_csv(part, parse_options=parse, convert_options=convert):
+                        if rows.num_rows:
+                            yield check_line_breaks(rows, multiline)
 
-def stream_event_parts_by_name(spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB) -> DataFrame:
+    return parse_parts
+
+
+def stream_event_parts_by_name(
+    spark: SparkSession, folder: str, max_files: int | None = None, pattern: str = PART_GLOB, multiline: bool = False
+) -> DataFrame:
     """Like :func:`stream_event_parts`, but columns are assigned by header name.
 
     The stream carries the new parts' paths only; each part is read in blocks
@@ -68,7 +76,7 @@ def stream_event_parts_by_name(spark: SparkSession, folder: str, max_files: int
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     parts = reader.option("pathGlobFilter", pattern).load(folder)
-    return parts.select("path").mapInArrow(_parse_parts, RAW_SCHEMA)
+    return parts.select("path").mapInArrow(_part_parser(multiline), RAW_SCHEMA)
 
 
 def ingest_parts(
@@ -81,15 +89,17 @@ def ingest_parts(
     processing_time: str = "30 seconds",
     bad_price: str = "error",
     by_name: bool = False,
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Start appending typed parts from ``folder`` to the store at ``store``.
 
     ``by_name=True`` assigns columns by each part's header (parts in any
     column order); the default assigns by position and verifies headers.
+    ``multiline=True`` keeps quoted line breaks, which fail the stream without.
     """
     manifest.set_version(spark, store, manifest.STREAMING)
     source = stream_event_parts_by_name if by_name else stream_event_parts
-    typed = type_events(source(spark, folder, max_files), bad_price=bad_price)
+    typed = type_events(source(spark, folder, max_files, multiline=multiline), bad_price=bad_price)
     writer = (
         typed.writeStream.format("parquet")
         .option("path", store)
@@ -110,9 +120,10 @@ def catch_up(
     max_files: int | None = None,
     bad_price: str = "error",
     by_name: bool = False,
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Append every part not yet ingested, then return the finished query."""
-    q = ingest_parts(spark, folder, store, checkpoint, max_files, available_now=True, bad_price=bad_price, by_name=by_name)
+    q = ingest_parts(spark, folder, store, checkpoint, max_files, available_now=True, bad_price=bad_price, by_name=by_name, multiline=multiline)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
