@@ -262,10 +262,12 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         return _Entries(p, at, bits)
 
     def ask_counts(rows, earlier):
-        e = survivors(Phrases(rows), earlier)
+        p = Phrases(rows)
+        e = survivors(p, earlier)
+        others = e.others(p)
         cut = B.cuts_of(e.keys, layout.parts, bits)
         small = e.counts.astype(np.min_scalar_type(int(e.counts.max()) if len(e.counts) else 0))
-        return [B.pack_arrays(B.gaps(e.keys[a:b]), e.others[a:b], small[a:b]) for a, b in zip(cut, cut[1:])]
+        return [B.pack_arrays(B.gaps(e.keys[a:b]), others[a:b], small[a:b]) for a, b in zip(cut, cut[1:])]
 
     def phrases(rows, earlier) -> pa.Table:
         p = Phrases(rows)
@@ -286,22 +288,32 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 class _Entries:
-    """A block's distinct phrases among some runs of words, by their two keys: counts, lengths, and a place of each."""
+    """A block's distinct phrases among some runs of words, by ascending key: counts, lengths, and a place of each."""
 
     def __init__(self, p: Phrases, at: list[np.ndarray], bits: int):
         numbers = p.numbers()
         found = []
         for k, starts in enumerate(at, 1):
-            run = numbers[starts]
-            for i in range(1, k):
-                run = np.unique(run * np.int64(len(numbers)) + numbers[starts + i], return_inverse=True)[1]
-            _, example, counts = np.unique(run, return_index=True, return_counts=True)
+            _, example, which, counts = np.unique(p.keys(starts, k, 64), return_index=True, return_inverse=True, return_counts=True)
+            first = starts[example[which]]
+            if not all((numbers[starts + i] == numbers[first + i]).all() for i in range(k)):  # two phrases of one hash
+                run = numbers[starts]
+                for i in range(1, k):
+                    run = np.unique(run * np.int64(len(numbers)) + numbers[starts + i], return_inverse=True)[1]
+                _, example, counts = np.unique(run, return_index=True, return_counts=True)
             place = starts[example]
-            found.append((p.keys(place, k, bits), p.others(place, k), counts, np.full(len(place), k), place))
-        keys, others, counts, words, example = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((others, keys))
-        self.keys, self.others, self.counts = keys[order], others[order], counts[order]
-        self.words, self.example = words[order], example[order]
+            found.append((p.keys(place, k, bits), counts, np.full(len(place), k), place))
+        keys, counts, words, example = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.counts, self.words, self.example = keys[order], counts[order], words[order], example[order]
+
+    def others(self, p: Phrases) -> np.ndarray:
+        """The second keys."""
+        out = np.empty(len(self.keys), np.uint64)
+        for k in range(1, LONGEST + 1):
+            chosen = np.flatnonzero(self.words == k)
+            out[chosen] = p.others(self.example[chosen], k)
+        return out
 
 
 def _add_up(threshold: int):
