@@ -310,6 +310,43 @@ def _verify_sql() -> str:
     return "\n" + "\nUNION ALL\n".join(parts)
 
 
+def _advice_sql() -> str:
+    """The greedy choice as a recursion: ``b`` has the rows that each report reads so far."""
+    from adevents.operators.advice import candidates, needed
+    from adevents.plans.reports import SPECS
+
+    needs = [needed(q) for q in SPECS.values()]
+    grains = candidates(needs)
+    rows = "\nUNION ALL\n".join(
+        f"SELECT '{','.join(g)}' AS name, {len(g)} AS size, {[set(n) <= set(g) for n in needs]} AS covers, "
+        f"(SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(g)} FROM ad_events)) AS k"
+        for g in grains
+    )
+    gain = "list_sum(list_transform(range(1, len(s.b) + 1), lambda i: CASE WHEN c.covers[i] THEN greatest(s.b[i] - c.k, 0) ELSE 0 END))"
+    after = "list_transform(range(1, len(s.b) + 1), lambda i: CASE WHEN c.covers[i] THEN least(s.b[i], c.k) ELSE s.b[i] END)"
+    return f""",
+c AS MATERIALIZED ({rows}),
+total AS (SELECT COUNT(*) AS n FROM ad_events),
+step AS (
+  SELECT 0 AS nth, '' AS grain, CAST(0 AS BIGINT) AS n_rows, CAST(0 AS DOUBLE) AS saved_rows,
+    list_transform(range({len(needs)}), lambda i: n) AS b, n // 5 AS budget
+  FROM total
+  UNION ALL
+  SELECT nth + 1, name, k, gain, after, budget - k FROM (
+    SELECT s.nth, s.budget, c.name, c.k, CAST({gain} AS DOUBLE) AS gain, {after} AS after,
+      row_number() OVER (PARTITION BY s.nth ORDER BY {gain} / greatest(c.k, 1)::DOUBLE DESC, c.k, c.size, c.name) AS place
+    FROM step s, c WHERE c.k <= s.budget AND {gain} > 0
+  ) WHERE place = 1
+),
+single AS (
+  SELECT 1 AS nth, c.name AS grain, c.k AS n_rows, CAST({gain} AS DOUBLE) AS saved_rows
+  FROM step s, c WHERE s.nth = 0 AND c.k <= s.budget ORDER BY {gain} DESC, c.k, c.size, c.name LIMIT 1
+),
+better AS (SELECT COALESCE((SELECT saved_rows FROM single), 0) > (SELECT SUM(saved_rows) FROM step) AS one)
+SELECT nth, grain, n_rows, saved_rows FROM step WHERE nth > 0 AND NOT (SELECT one FROM better)
+UNION ALL SELECT nth, grain, n_rows, saved_rows FROM single WHERE (SELECT one FROM better)"""
+
+
 def oracle_sql() -> dict[str, str]:
     a = AD_EVENTS
     out: dict[str, str] = {}
@@ -324,6 +361,7 @@ def oracle_sql() -> dict[str, str]:
     for key, sql in _OTHER.items():
         out[key] = a + ("\n" + sql if not sql.startswith(",") else sql)
     out["verify_reports"] = a + _verify_sql()
+    out["advised_rollups"] = a.replace("WITH ad_events", "WITH RECURSIVE ad_events", 1) + _advice_sql()
     if llm := _optional("adevents.llm.oracles"):
         out |= llm.ORACLES
         pipeline = _optional("corpus_pipeline")
