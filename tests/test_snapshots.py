@@ -107,7 +107,7 @@ def test_a_planned_report_reads_its_own_snapshot(spark, scratch):
         write_store(_events(spark, [(None, "impression", 1.0)]), store.events_path, replace="none")
         P.refresh_rollups(spark, store, [None])
         assert len(store.rollup_paths["counts"]) <= P.MAX_FOLDERS
-        assert _answers(spark, store) == [(6 + i, "counts"), (3.5 + i - 0.0, "daily_revenue")] or _answers(spark, store)[0] == (6 + i, "counts")
+        assert _answers(spark, store) == [(6 + i, "counts"), (3.5 + i, "daily_revenue")]
     gone = P.drop_old_rollups(spark, store)
     assert gone and _answers(spark, P.open_prepared(spark, scratch))[0] == (5 + P.MAX_FOLDERS + 1, "counts")
 
