@@ -222,6 +222,14 @@ FROM d WHERE n_changed > 0 OR NOT in_a OR NOT in_b""",
     "quarantine": """
 SELECT auction_id, CASE WHEN n % 97 = 0 OR n % 103 = 0 THEN 'wrong number of fields' WHEN n % 101 = 0 THEN 'malformed total_price' END AS reason
 FROM (SELECT auction_id, CAST(substr(auction_id, 2) AS BIGINT) AS n FROM ad_events)""",
+    "clustered_scan": "\nUNION ALL\n".join(
+        f"SELECT auction_id, day, country, publisher_id, minute, bid_price, '{d}' AS dimension FROM ad_events WHERE {cond}"
+        for d, cond in {
+            "country": "country = 'JP'",
+            "publisher_id": "publisher_id BETWEEN 20 AND 29",
+            "minute": "minute BETWEEN '2024-01-15 06:00' AND '2024-01-15 11:59'",
+        }.items()
+    ),
     "input_guards": """
 SELECT 'no parts' AS "case", 'not found' AS outcome, CAST(NULL AS BIGINT) AS n_rows UNION ALL SELECT 'no store', 'not found', NULL
 UNION ALL SELECT 'store', 'opened', NULL UNION ALL SELECT 'parts', 'opened', COUNT(*) FROM ad_events""",

@@ -456,6 +456,23 @@ def advised_rollups(spark, sf_dir):
     return advise(events, list(SPECS.values()), events.count() // 5)
 
 
+_BY_DIMENSION = {
+    "country": {"col": "country", "op": "eq", "val": "JP"},
+    "publisher_id": {"col": "publisher_id", "op": "between", "val": [20, 29]},
+    "minute": {"col": "minute", "op": "between", "val": ["2024-01-15 06:00", "2024-01-15 11:59"]},
+}
+
+
+def clustered_scan(spark, sf_dir):
+    """A filter on each dimension of a store in space-filling order."""
+    from adevents.plans.prepare import clustered_for
+
+    events = read_store(spark, clustered_for(spark, sf_dir))
+    columns = ["auction_id", "day", "country", "publisher_id", "minute", "bid_price"]
+    found = [report(events, select=columns, where=[w]).withColumn("dimension", F.lit(d)) for d, w in _BY_DIMENSION.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def input_guards(spark, sf_dir):
     """A folder without parts and a place without a store raise; parts are counted."""
     from adevents.plans.prepare import open_prepared
@@ -607,6 +624,7 @@ def queries() -> dict:
             "quantile_from_rollup": quantile_from_rollup,
             "compare_keyed": compare_keyed_q,
             "quarantine": quarantine,
+            "clustered_scan": clustered_scan,
             "input_guards": input_guards,
             "advised_rollups": advised_rollups,
         }

@@ -262,6 +262,17 @@ def prepared_for(spark: SparkSession, sf_dir: str) -> PreparedStore:
         return _CACHE[key]
 
 
+def clustered_for(spark: SparkSession, sf_dir: str) -> str:
+    """The events of the driver's table in a store whose rows follow a space-filling curve."""
+    from adevents.sources.layout import Curve
+
+    def build() -> str:
+        path = _join(scratch_path(spark, "clustered"), "events")
+        return write_store(prepared_for(spark, sf_dir).events(spark), path, curve=Curve())
+
+    return _once(spark, sf_dir, "clustered", build)
+
+
 def _once(spark: SparkSession, sf_dir: str, what: str, build):
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
     with _LOCK:

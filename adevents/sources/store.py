@@ -19,29 +19,34 @@ from pyspark.sql import types as T
 
 from adevents.schema import EVENT_COLUMNS, EVENTS_SCHEMA, STORE_PARTITIONS
 from adevents.sources import manifest
+from adevents.sources.layout import Curve
 
 # Columns after the partition keys used to order rows inside each file.
 CLUSTER_COLUMNS = ("country", "publisher_id", "minute")
 
 
-def write_store(events: DataFrame, path: str, replace: str = "all") -> str:
+def write_store(events: DataFrame, path: str, replace: str = "all", curve: Curve | None = None) -> str:
     """Write typed events to the store.
 
     ``replace="all"`` replaces the whole store; ``replace="partitions"``
     replaces only the ``(type, day)`` directories present in ``events``
     (reloading single days); ``replace="none"`` appends.  The manifest gets
-    a new version without summary tables.
+    a new version without summary tables.  With a ``curve`` the rows of a
+    partition follow a space-filling curve instead of the sort.
     """
     modes = {"all": "overwrite", "partitions": "overwrite", "none": "append"}
     if replace not in modes:
         raise ValueError(f"replace must be one of {sorted(modes)}")
-    laid_out = events.select(*EVENT_COLUMNS).hint("rebalance", *STORE_PARTITIONS).sortWithinPartitions(
-        *STORE_PARTITIONS, *CLUSTER_COLUMNS
-    )
+    if curve:
+        laid_out = curve.lay_out(events)
+    else:
+        laid_out = events.select(*EVENT_COLUMNS).hint("rebalance", *STORE_PARTITIONS).sortWithinPartitions(
+            *STORE_PARTITIONS, *CLUSTER_COLUMNS
+        )
     writer = (
         laid_out.write.mode(modes[replace])
         .partitionBy(*STORE_PARTITIONS)
-        .option("compression", "zstd")
+        .options(compression="zstd", **(curve.options() if curve else {}))
     )
     if replace == "partitions":
         writer = writer.option("partitionOverwriteMode", "dynamic")
