@@ -1,14 +1,15 @@
 """An adaptive range coder for token ids that mixes predictions of orders 0 to 2.
 
 Ids are cut into blocks that are coded independently: every block starts with
-empty models, so any block can be decoded by itself.  For the next id, order 2
-names the id that last followed the two ids before it, order 1 the one that
-last followed the id before it (both with a small confidence count), and
-order 0 is an adaptive distribution over classes of ids (an id's leading bits;
-the bits below them are uniform).  The three are mixed into one probability
-interval: the shares of the order-2 id, of the order-1 id and of all others
-adapt separately for each pair of confidences, and where orders 1 and 2 name
-the same id their shares are one.
+empty models of orders 1 and 2, so any block can be decoded by itself.  For the
+next id, order 2 names the id that last followed the two ids before it, order 1
+the one that last followed the id before it (both with a small confidence
+count), and order 0 has a share for every id: the shares of all ids of the
+blocks' file row (:class:`Shares`), which the row holds once, or, without a row,
+falling by rank, as vocabularies number frequent ids first.  The three are mixed
+into one probability interval: the shares of the order-2 id, of the order-1 id
+and of all others adapt separately for each pair of confidences, and where orders
+1 and 2 name the same id their shares are one.
 
 Python would be far too slow id by id, so the blocks of a batch are coded in
 step: place ``t`` of all blocks at once, with numpy arrays of one entry per
@@ -18,42 +19,70 @@ every machine.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 
 BLOCK_IDS = 1024
-LANES = 6144
+LANES = 4096
 MAX_ID = (1 << 16) - 1
 
 _ONE_BITS = 12
 _ONE = 1 << _ONE_BITS
 _ORDER_1 = 10  # log2 of a lane's table of order-1 predictions
 _ORDER_2 = 10
-_CLASSES = 60
-_ALL_BITS = 14
+_ALL_BITS = 18
 _ALL = 1 << _ALL_BITS
 _WORD = np.uint64(1 << 32)
 _LOW = np.uint64((1 << 32) - 1)
 _32 = np.uint64(32)
-#: The classes' distribution is renewed after so many ids, and then every _RENEW ids.
-_EARLY = (1, 2, 4, 8, 16, 24)
-_RENEW = 32
 _CHECK = 32  # ids between two looks at the room for words
-_STEP = 8  # classes per step of the decoder's search
 
 
-def _class_tables():
-    ids = np.arange(MAX_ID + 1)
-    top = np.where(ids < 4, 0, np.floor(np.log2(np.maximum(ids, 1))).astype(np.int64))
-    below = np.maximum(top - 2, 0)
-    number = np.where(ids < 4, ids, 4 + (top - 2) * 4 + ((ids >> below) & 3))
-    first = np.zeros(_CLASSES, np.int64)
-    bits = np.zeros(_CLASSES, np.int64)
-    first[number[::-1]] = ids[::-1]
-    bits[number] = below
-    return number.astype(np.uint8), first, bits.astype(np.uint64)
+class Shares:
+    """Order 0: a share of ``_ALL`` for each id that occurs, at least one unit."""
+
+    def __init__(self, counts: np.ndarray):
+        counts = np.asarray(counts, np.int64)
+        used = counts > 0
+        size = used + counts * (_ALL - int(used.sum())) // max(int(counts.sum()), 1)
+        size[int(np.argmax(counts))] += _ALL - int(size.sum())
+        self._set(size)
+
+    def _set(self, size: np.ndarray) -> None:
+        self.size = size.astype(np.uint32)
+        self.start = (np.cumsum(size) - size).astype(np.uint32)
+        self.ids = np.repeat(np.arange(len(size), dtype=np.uint16), size)  # the id of every unit
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Shares:
+        return cls(np.bincount(ids, minlength=MAX_ID + 1))
+
+    @classmethod
+    def read(cls, data: bytes) -> Shares:
+        raw = np.frombuffer(zlib.decompress(data), np.uint8).reshape(6, -1)
+        size = np.zeros(MAX_ID + 1, np.int64)
+        size[np.cumsum(_joined(raw[:2], "<u2"))] = _joined(raw[2:], "<u4")
+        out = cls.__new__(cls)
+        out._set(size)
+        return out
+
+    def written(self) -> bytes:
+        used = np.flatnonzero(self.size)
+        planes = [_planes(np.diff(used, prepend=0), "<u2"), _planes(self.size[used], "<u4")]
+        return zlib.compress(np.concatenate(planes).tobytes())
+
+
+def _planes(values: np.ndarray, kind: str) -> np.ndarray:
+    """The values' bytes by place: all lowest bytes first."""
+    return np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), -1).T
+
 
+def _joined(planes: np.ndarray, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1).astype(np.int64)
 
-_CLASS, _FIRST, _BITS = _class_tables()
+
+_BY_RANK = Shares((1 << 32) // (np.arange(MAX_ID + 1) + 64))
 
 
 class _Models:
@@ -72,19 +101,9 @@ class _Models:
         self.table2 = np.zeros(lanes << _ORDER_2, np.int32)
         self.share2 = np.tile(np.linspace(200, 3400, 4).astype(np.int64).repeat(8), lanes)
         self.share1 = np.tile(np.tile(np.linspace(100, 2400, 4).astype(np.int64).repeat(2), 4), lanes)
-        self.counts = np.ones((lanes, _CLASSES), np.int32)
-        self.base_class, self.base_share = lane * _CLASSES, lane * (_CLASSES + 4)
-        self.shares = np.full((lanes, _CLASSES + 4), _ALL, np.int16)  # cumulative, of _ALL
-        self.renew(lanes)
         self.before = np.zeros(lanes, np.int64)
         self.last = np.zeros(lanes, np.int64)
 
-    def renew(self, n: int) -> None:
-        upto = np.cumsum(self.counts[:n], axis=1)
-        free = _ALL - _CLASSES  # every class keeps one unit
-        self.shares[:n, 0] = 0
-        self.shares[:n, 1 : _CLASSES + 1] = upto * free // upto[:, -1:] + np.arange(1, _CLASSES + 1)
-
     def predict(self, n: int) -> None:
         """Predictions and shares for the first ``n`` lanes."""
         key = self.last[:n] * 40503
@@ -101,7 +120,7 @@ class _Models:
         self.f2 = self.s2 * (self.c2 > 0)
         self.f1 = np.maximum(((_ONE - self.f2) * self.s1) >> _ONE_BITS, 1) * self.has1
 
-    def learn(self, t: int, n: int, ids: np.ndarray, classes: np.ndarray, hits2: np.ndarray, hits1: np.ndarray) -> None:
+    def learn(self, n: int, ids: np.ndarray, hits2: np.ndarray, hits1: np.ndarray) -> None:
         s = self.s2 - (self.s2 >> 4)
         s[hits2] = self.s2[hits2] + ((_ONE - self.s2[hits2]) >> 4)
         self.share2[self.state] = s
@@ -116,9 +135,6 @@ class _Models:
             new = fresh.copy()
             new[stays] = e[stays] + np.where(right[stays], c[stays] < 3, -1)
             table[at] = new
-        self.counts.reshape(-1)[self.base_class[:n] + classes] += 1
-        if (t + 1) % _RENEW == 0 or t + 1 in _EARLY:
-            self.renew(n)
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
 
@@ -132,29 +148,15 @@ class _Models:
         size[hits2] = self.f2[hits2]
         return start.view(np.uint64), size.view(np.uint64)
 
-    def class_share(self, n: int, c: np.ndarray):
-        flat, at = self.shares.reshape(-1), self.base_share[:n] + c
-        a = flat[at]
-        return a.astype(np.uint64), (flat[at + 1] - a).astype(np.uint64)
-
-    def find(self, n: int, value: np.ndarray) -> np.ndarray:
-        """The class whose share holds each value."""
-        coarse = (self.shares[:n, _STEP : _CLASSES : _STEP] <= value[:, None]).sum(axis=1) * _STEP
-        flat, at = self.shares.reshape(-1), self.base_share[:n] + coarse
-        width = _STEP // 2
-        while width:  # halve the eight classes that are left; past the last one, shares are full
-            at += (flat[at + width] <= value) * width
-            width //= 2
-        return at - self.base_share[:n]
-
 
 def _widths(lengths: np.ndarray):
     """Lanes in use at each place; ``lengths`` is descending."""
     return np.searchsorted(-lengths, -np.arange(1, (lengths[0] if len(lengths) else 0) + 1), "right").tolist()
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """The code of each block of ids (at most ``MAX_ID``; not empty)."""
+def encode_blocks(blocks: list[np.ndarray], shares: Shares | None = None) -> list[bytes]:
+    """The code of each block of ids (at most ``MAX_ID``; not empty). ``shares`` must have all of them."""
+    shares = shares or _BY_RANK
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     lengths = np.array([len(blocks[i]) for i in order], np.int64)
     lanes = len(blocks)
@@ -179,7 +181,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 
     with np.errstate(over="ignore"):
         for t, n in enumerate(_widths(lengths)):
-            if t % _CHECK == 0 and used.max() + 2 * _CHECK > out.shape[1]:  # an id takes two words at most
+            if t % _CHECK == 0 and used.max() + 2 * _CHECK > out.shape[1]:  # an id takes one word at most
                 out = np.pad(out, ((0, 0), (0, out.shape[1] // 2 + 2 * _CHECK)))
             x, lo, sp = ids[t, :n].astype(np.int64), low[:n], span[:n]
             m.predict(n)
@@ -190,19 +192,13 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             r = sp >> np.uint64(_ONE_BITS)
             lo += start * r
             np.multiply(size, r, out=sp)
-            c = _CLASS[x].astype(np.int64)
-            start, size = m.class_share(n, c)
+            start, size = shares.start[x].astype(np.uint64), shares.size[x].astype(np.uint64)
             r = sp >> np.uint64(_ALL_BITS)
             start[hits], r[hits], size[hits] = 0, sp[hits], 1
             lo += start * r
             np.multiply(size, r, out=sp)
             shift(lo, sp)
-            bits, rest = _BITS[c], (x - _FIRST[c]).view(np.uint64)
-            bits[hits] = rest[hits] = 0
-            sp >>= bits
-            lo += rest * sp
-            shift(lo, sp)
-            m.learn(t, n, x, c, hits2, hits1)
+            m.learn(n, x, hits2, hits1)
         last = (low + _LOW) >> _32  # the one value of the interval that ends in 32 zero bits
         out[np.arange(lanes), used] = last.astype(np.uint32)
     codes: list[bytes] = [b""] * lanes
@@ -211,8 +207,9 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     return codes
 
 
-def decode_blocks(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
-    """The ids of each block, from its code and its number of ids."""
+def decode_blocks(codes: list[bytes], sizes: list[int], shares: Shares | None = None) -> list[np.ndarray]:
+    """The ids of each block, from its code, its number of ids and the shares that it was coded with."""
+    shares = shares or _BY_RANK
     sizes_ = np.asarray(sizes, np.int64)
     order = np.argsort(-sizes_, kind="stable")
     lengths = sizes_[order]
@@ -256,25 +253,15 @@ def decode_blocks(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
             take(lo, g, start * r)
             np.multiply(size, r, out=sp)
             r = sp >> np.uint64(_ALL_BITS)
-            # a small share of a right prediction may leave nothing to divide; its class isn't looked at
-            v = np.minimum(g // np.maximum(r, np.uint64(1)), np.uint64(_ALL - 1)).astype(np.int16)
-            c = m.find(n, v)
-            start, size = m.class_share(n, c)
+            x = shares.ids[np.minimum(g // r, np.uint64(_ALL - 1)).view(np.int64)].astype(np.int64)
+            start, size = shares.start[x].astype(np.uint64), shares.size[x].astype(np.uint64)
             start[hits], r[hits], size[hits] = 0, sp[hits], 1
+            x[hits2], x[hits1] = m.p2[hits2], m.p1[hits1]
             take(lo, g, start * r)
             np.multiply(size, r, out=sp)
             shift(lo, sp, g)
-            bits = _BITS[c]
-            bits[hits] = 0
-            sp >>= bits
-            rest = np.minimum(g // sp, (np.uint64(1) << bits) - np.uint64(1))
-            take(lo, g, rest * sp)
-            shift(lo, sp, g)
-            x = _FIRST[c] + rest.view(np.int64)
-            x[hits2], x[hits1] = m.p2[hits2], m.p1[hits1]
-            x = np.minimum(x, MAX_ID)
             ids[t, :n] = x
-            m.learn(t, n, x, _CLASS[x].astype(np.int64), hits2, hits1)
+            m.learn(n, x, hits2, hits1)
     out: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
     for lane, i in enumerate(order):
         out[i] = ids[: lengths[lane], lane].copy()

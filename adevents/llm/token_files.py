@@ -2,12 +2,14 @@
 
 The corpus is range-partitioned by ``doc_id``; every partition (a *part*)
 tokenizes its documents in order, appends the end id to each, cuts the part's
-ids into blocks of ``range_coder.BLOCK_IDS`` and codes them.  A file row is one
-block: part, position of its first id in the part, number of ids, crc32 of the
-ids as little-endian unsigned 32-bit integers, the code, and the documents (or
-pieces of documents) in it.  Parts are Parquet files, so they are committed
-atomically by Spark, can be split between tasks and be read in any order;
-blocks are decoded independently and checked against their crc32.
+ids into blocks of ``range_coder.BLOCK_IDS`` and codes them.  A file row holds up
+to ``range_coder.LANES`` blocks: part, position of its first id in the part, the
+shares of its ids (the coder's order 0), and of each block its position in the
+part, number of ids, crc32 of the ids as little-endian unsigned 32-bit integers,
+code, and the documents (or pieces of documents) in it.  Parts are Parquet files,
+so they are committed atomically by Spark, can be split between tasks and be read
+in any order; blocks are decoded independently of each other, with their row's
+shares, and checked against their crc32.
 
 Cases: a null text is empty (its end id alone), a null ``doc_id`` sorts first,
 repeated ids are ordered by text, an empty corpus gives an empty file, further
@@ -29,8 +31,11 @@ from adevents.llm.contamination import _slices as slices_of
 from adevents.session import scratch_path
 
 _PIECES = "array<struct<nth:long,doc_id:long,at:int>>"
-FILE = f"part int, first long, n int, crc32 long, code binary, pieces {_PIECES}"
+_BLOCKS = f"array<struct<first:long,n:int,crc32:long,code:binary,pieces:{_PIECES}>>"
+FILE = f"part int, first long, n long, shares binary, blocks {_BLOCKS}"
 _PIECE_TYPE = pa.list_(pa.struct([("nth", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32())]))
+#: A file row takes some megabytes, so row groups are kept small.
+ROW_GROUP_BYTES = 32 << 20
 SLICE_BYTES = 4 << 20
 
 
@@ -90,14 +95,22 @@ class _Writer:
             ]
             for b, e, f in zip(begin.tolist(), end.tolist(), firsts.tolist())
         ]
+        shares = range_coder.Shares.of(np.concatenate(blocks))
+        columns = {
+            "first": pa.array(firsts, pa.int64()),
+            "n": pa.array(sizes, pa.int32()),
+            "crc32": pa.array([_crc(b) for b in blocks], pa.int64()),
+            "code": pa.array(range_coder.encode_blocks(blocks, shares), pa.binary()),
+            "pieces": pa.array(pieces, _PIECE_TYPE),
+        }
+        coded = pa.StructArray.from_arrays(list(columns.values()), list(columns))
         return pa.record_batch(
             {
-                "part": pa.array([self.part] * len(blocks), pa.int32()),
-                "first": pa.array(firsts, pa.int64()),
-                "n": pa.array(sizes, pa.int32()),
-                "crc32": pa.array([_crc(b) for b in blocks], pa.int64()),
-                "code": pa.array(range_coder.encode_blocks(blocks), pa.binary()),
-                "pieces": pa.array(pieces, _PIECE_TYPE),
+                "part": pa.array([self.part], pa.int32()),
+                "first": pa.array([first], pa.int64()),
+                "n": pa.array([int(sizes.sum())], pa.int64()),
+                "shares": pa.array([shares.written()], pa.binary()),
+                "blocks": pa.ListArray.from_arrays(pa.array([0, len(blocks)], pa.int32()), coded),
             }
         )
 
@@ -123,7 +136,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, tokenizer: str | None
         .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
     )
-    ordered.mapInArrow(code, FILE).write.parquet(path)
+    ordered.mapInArrow(code, FILE).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return path
 
 
@@ -131,16 +144,15 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FILE).parquet(path)
 
 
-def _decoded(batch: pa.RecordBatch) -> list[np.ndarray]:
-    """The ids of a batch's blocks, checked."""
-    out: list[np.ndarray] = []
-    codes, sizes = batch.column("code").to_pylist(), batch.column("n").to_pylist()
-    for a in range(0, len(codes), range_coder.LANES):
-        out += range_coder.decode_blocks(codes[a : a + range_coder.LANES], sizes[a : a + range_coder.LANES])
-    for ids, crc in zip(out, batch.column("crc32").to_pylist()):
+def _decoded(row: pa.RecordBatch):
+    """A file row's blocks: their ids (checked), positions and pieces."""
+    first, n, crc32, code, pieces = row.column("blocks").flatten().flatten()
+    shares = range_coder.Shares.read(row.column("shares")[0].as_py())
+    out = range_coder.decode_blocks(code.to_pylist(), n.to_pylist(), shares)
+    for ids, crc in zip(out, crc32.to_pylist()):
         if _crc(ids) != crc:
             raise ValueError("a block of token ids doesn't match its checksum")
-    return out
+    return zip(out, first.to_pylist(), pieces.to_pylist())
 
 
 def read_pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -165,19 +177,19 @@ def read_pieces(spark: SparkSession, path: str) -> DataFrame:
 
 def _with_pieces(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        part, first, nth, doc_id, ids = [], [], [], [], []
-        rows = zip(_decoded(batch), *(batch.column(c).to_pylist() for c in ("part", "first", "pieces")))
-        for block, p, f, pieces in rows:
-            cuts = [x["at"] for x in pieces] + [len(block)]
-            for x, a, b in zip(pieces, cuts, cuts[1:]):
-                part.append(p)
-                first.append(f + a)
-                nth.append(x["nth"])
-                doc_id.append(x["doc_id"])
-                ids.append(block[a:b])
-        yield batch, part, first, nth, doc_id, ids
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1)
+            part, first, nth, doc_id, ids = [], [], [], [], []
+            p = row.column("part")[0].as_py()
+            for block, f, pieces in _decoded(row):
+                cuts = [x["at"] for x in pieces] + [len(block)]
+                for x, a, b in zip(pieces, cuts, cuts[1:]):
+                    part.append(p)
+                    first.append(f + a)
+                    nth.append(x["nth"])
+                    doc_id.append(x["doc_id"])
+                    ids.append(block[a:b])
+            yield row, part, first, nth, doc_id, ids
 
 
 # ---- crc32 of a whole from the crc32s of its pieces ---------------------------

@@ -6,7 +6,7 @@ into the punctuation after it.  So the ids of a text are the ids of its *chunks*
 (white space and the run of other characters after it, or the punctuation
 after letters) one after the other.  Each distinct chunk is encoded only once
 per batch, and remembered by the worker, with its bytes, up to ``REMEMBER``
-chunks; chunks are looked up by a hash and compared byte by byte.  A chunk
+chunks; chunks are looked up by a hash and compared (:func:`_same`).  A chunk
 never begins after a character that might be non-ASCII white space.
 
 For the same reason the new chunks of a batch that begin with a space and end
@@ -59,6 +59,20 @@ def _lengths(path: str) -> np.ndarray:
     return _LENGTHS[path]
 
 
+def _same(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_start: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """Whether chunks of equal hashes are equal.
+
+    Each step of a hash is invertible, so up to eight bytes (one step) chunks of
+    one size and hash are equal, and only longer ones are compared byte by byte.
+    """
+    size = end - start
+    same = size == other_size
+    longer = np.flatnonzero(same & (size > 8))
+    if len(longer):
+        same[longer] = same_ranges(data, start[longer], end[longer], other, other_start[longer])
+    return same
+
+
 class _Memory:
     """Chunks met before: sorted hashes, and each one's bytes and ids in long arrays."""
 
@@ -79,7 +93,7 @@ class _Memory:
 
     def holds(self, at: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Whether the chunks at these numbers have the same bytes as the given ones."""
-        return (self.size[at] == end - start) & same_ranges(data, start, end, self.data, self.place[at])
+        return _same(data, start, end, self.data, self.place[at], self.size[at])
 
     def add(self, keys: np.ndarray, chunks: list[bytes], count: np.ndarray, ids: np.ndarray) -> None:
         keys_ = np.concatenate([self.keys, keys])
@@ -154,7 +168,7 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     end = np.append(start[1:], len(texts.data))
     keys, example, which = np.unique(range_hashes(texts.data, start, end), return_index=True, return_inverse=True)
     first = example[which]
-    if not ((end - start == end[first] - start[first]) & same_ranges(texts.data, start, end, texts.data, start[first])).all():
+    if not _same(texts.data, start, end, texts.data, start[first], (end - start)[first]).all():
         return _encode_alone(column, path)  # two chunks of one hash
     memory = _MEMORY.setdefault(path, _Memory())
     at, known = memory.find(keys)

@@ -33,6 +33,31 @@ def test_range_coder_compresses_and_blocks_are_independent():
         assert (range_coder.decode_blocks([c], [len(b)])[0] == b).all()
 
 
+def test_shares_of_a_row_are_kept_and_beat_one_order(docs):
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    ids = tokens.encode(pa.array(texts), tokens.tokenizer_path())[0]
+    shares = range_coder.Shares.of(ids)
+    back = range_coder.Shares.read(shares.written())
+    assert all((getattr(back, a) == getattr(shares, a)).all() for a in ("size", "start", "ids"))
+    blocks = [ids[a : a + range_coder.BLOCK_IDS] for a in range(0, len(ids), range_coder.BLOCK_IDS)]
+    codes = range_coder.encode_blocks(blocks, shares)
+    nth = len(blocks) // 2  # one block by itself
+    assert (range_coder.decode_blocks([codes[nth]], [len(blocks[nth])], back)[0] == blocks[nth]).all()
+    p = np.bincount(ids) / len(ids)
+    entropy = -(p[p > 0] * np.log2(p[p > 0])).sum()
+    assert 8 * sum(map(len, codes)) < entropy * len(ids)
+
+
+def test_shares_of_every_id_and_of_one():
+    everything = np.arange(range_coder.MAX_ID + 1).astype(np.uint16)
+    for ids in (everything, np.array([range_coder.MAX_ID], np.uint16), np.zeros(3, np.uint16)):
+        shares = range_coder.Shares.of(ids)
+        blocks = [ids[a : a + 1024] for a in range(0, len(ids), 1024)]
+        codes = range_coder.encode_blocks(blocks, shares)
+        back = range_coder.decode_blocks(codes, [len(b) for b in blocks], range_coder.Shares.read(shares.written()))
+        assert all((a == b).all() for a, b in zip(back, blocks))
+
+
 TRICKY = ["", "a", " a", "a ", "  a  b\n\n c", "x\u00a0 y", "x\u00a0\ny", "\u3000 \u3000a", "don't  stop", "é\u2003 ß", "a<|endoftext|> b <|endoftext|>", "\x1c \x85 z", "日本 語\t\t"]
 
 
@@ -91,7 +116,8 @@ def test_small_batches_write_the_same_documents(rows):
 def test_a_changed_block_is_noticed(spark, docs):
     path = token_files.write_tokens(docs)
     broken = path + "-broken"
-    spark.read.parquet(path).withColumn("crc32", F.col("crc32") + 1).write.parquet(broken)
+    other = F.transform("blocks", lambda b: b.withField("crc32", b["crc32"] + 1))
+    spark.read.parquet(path).withColumn("blocks", other).write.parquet(broken)
     with pytest.raises(Exception, match="checksum"):
         token_files.read_digest(spark, broken).count()
 
