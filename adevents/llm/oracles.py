@@ -2,9 +2,122 @@
 
 from __future__ import annotations
 
-from adevents.llm import collocations, hadamard_clusters, quality, url_filter
+from adevents.llm import collocations, hadamard_clusters, quality, sharding, substring_dedup, url_filter
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _lower(text: str) -> str:
+    return f"translate(coalesce({text}, ''), '{_UPPER}', '{_UPPER.lower()}')"
+
+
+def _contamination() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_lower("text")}, '{word}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_lower("text")}, '{word}') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+),
+dw AS (
+  SELECT rid, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)
+),
+hit AS (SELECT rid, i, k, item_id FROM dw JOIN win USING (k, g)),
+words AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM hit) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n, array_to_string(list(item ORDER BY item), ',') AS names
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM hit) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items.names, '')) AS items_sha256, words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
+
+
+def _shards(shards: int = 24) -> str:
+    in_order = "ORDER BY doc_id NULLS FIRST, text_crc32, size"
+    return f"""
+WITH steps AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_concat([i], range(0, 8)),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(0, 256)) AS i)
+  )
+),
+h AS (
+  SELECT row_number() OVER () AS rid, doc_id, octet_length(encode(coalesce(text, ''))) + {sharding.ROW_OVERHEAD} AS size,
+    hex(encode(coalesce(text, ''))) AS hex
+  FROM documents
+),
+s AS (
+  SELECT doc_id, size::BIGINT AS size, xor(4294967295, list_reduce(
+      list_concat([4294967295], list_transform(regexp_extract_all(hex, '..'), lambda x: ('0x' || x)::BIGINT)),
+      lambda c, x: xor(c >> 8, t[xor(c % 256, x) + 1]))) AS text_crc32
+  FROM h, steps
+),
+placed AS (
+  SELECT *, (sum(size) OVER ({in_order} ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start, sum(size) OVER () AS whole,
+    row_number() OVER ({in_order}) AS position
+  FROM s
+),
+cut AS (SELECT *, least(((2 * start + size) * {shards}) // greatest(2 * whole, 1), {shards - 1})::INTEGER AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, position - min(position) OVER (PARTITION BY shard) AS slot,
+  NULL::INTEGER AS grown_shard, start
+FROM cut"""
+
+
+def _repeats() -> str:
+    n = substring_dedup.WINDOW
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+win AS (
+  SELECT rid, i, md5(array_to_string(w[i:i + {n - 1}], ' ')) AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - {n - 2})) AS i FROM d WHERE len(w) >= {n})
+),
+again AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS MATERIALIZED (SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(i, i + {n})) AS p FROM win JOIN again USING (g))),
+runs AS (
+  SELECT rid, min(p) - 1 AS first, max(p) AS behind, count(*) AS n
+  FROM (SELECT rid, p, p - row_number() OVER (PARTITION BY rid ORDER BY p) AS run FROM gone) GROUP BY rid, run
+),
+cut AS (
+  SELECT rid, sum(n)::BIGINT AS n, string_agg(first || '-' || behind, ',' ORDER BY first) AS removed FROM runs GROUP BY rid
+),
+kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS text
+  FROM (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (rid, p) GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(cut.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256,
+  coalesce(cut.removed, '') AS removed
+FROM d LEFT JOIN cut USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+def _near_duplicates() -> str:
+    return rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_lower("text")}, '{_WORD}') AS w FROM documents
+),
+sh AS MATERIALIZED (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+sized AS (SELECT rid, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS set_key FROM sh GROUP BY rid),
+class AS MATERIALIZED (
+  SELECT set_key, n, min(rid) AS rep, min(doc_id) AS class_id FROM sized JOIN d USING (rid) GROUP BY set_key, n
+),
+rs AS MATERIALIZED (SELECT rid, g, n FROM sh JOIN class ON rid = rep),
+link AS MATERIALIZED (
+  SELECT x.rid AS a, y.rid AS b FROM rs x JOIN rs y ON x.g = y.g AND x.rid <> y.rid
+  GROUP BY x.rid, y.rid, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+),
+reach(a, b) AS (SELECT rep, rep FROM class UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+component AS (SELECT a AS rep, min(class_id) AS component_id FROM reach JOIN class ON reach.b = class.rep GROUP BY a)
+SELECT doc_id, coalesce(sized.n, 0)::BIGINT AS n_shingles,
+  CASE WHEN sized.n IS NULL THEN doc_id ELSE component_id END AS component_id,
+  CASE WHEN sized.n IS NULL THEN doc_id ELSE class_id END AS class_id
+FROM d LEFT JOIN sized USING (rid) LEFT JOIN class USING (set_key, n) LEFT JOIN component USING (rep)"""
 
 
 def _quality() -> str:
@@ -167,8 +280,12 @@ FROM {last} a JOIN c{h.ROUNDS} c ON a.k = c.k"""
 
 
 ORACLES: dict[str, str] = {
+    "op2_decontamination": _contamination(),
+    "op5_sharding": _shards(),
     "op6_quality_rules": _quality(),
     "op7_url_filter": _urls(),
+    "op9_substring_dedup": _repeats(),
+    "op10_ngram_jaccard_join": _near_duplicates(),
     "op12_collocations": _collocations(),
     "op13_hadamard_clusters": _clusters(),
 }

@@ -231,8 +231,9 @@ def _result(rows: pa.Table, texts: Texts, gone: np.ndarray) -> pa.Table:
 
 
 def dedup_digest(docs: DataFrame) -> DataFrame:
-    """Per document: its words, how many are removed and the sha256 of the kept text."""
+    """Per document: its words, how many are removed, the sha256 of the kept text and the removed runs (``start-end,..``)."""
+    runs = F.transform("removed", lambda r: F.concat_ws("-", r["start"].cast("string"), r["end"].cast("string")))
     size = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
     return find_and_remove(docs).select(
-        "doc_id", "n_words", size.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"), "removed"
+        "doc_id", "n_words", size.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"), F.array_join(runs, ",").alias("removed")
     )
