@@ -196,6 +196,32 @@ def read_snapshot(spark: SparkSession, rollup: Rollup, folders: Iterable[tuple[s
     return out
 
 
+def merge_rollup(table: DataFrame, rollup: Rollup) -> DataFrame:
+    """Partial rows of a rollup (of disjoint sets of events) as one row per group."""
+    keys = [*rollup.dims, BUCKET] if rollup.bucketed else list(rollup.dims)
+    merge = {"sum": F.sum, "count": F.sum, "histogram": F.sum, "min": F.min, "max": F.max, "distinct": F.bitmap_or_agg}
+    aggs, spreads = [], {}
+    for stored, func, _ in rollup.measures:
+        if func != "moments":
+            aggs.append(merge[func](stored).alias(stored))
+            continue
+        n, mean, m2 = moment_columns(stored)
+        weighted = F.sum(F.when(F.col(n) > 0, F.col(n) * F.col(mean)))
+        aggs += [F.sum(n).alias(n), (weighted / F.nullif(F.sum(n), F.lit(0))).alias(mean)]
+        # a group has at most one partial row per folder
+        aggs.append(F.collect_list(F.when(F.col(n) > 0, F.struct(n, mean, m2))).alias(m2))
+        spreads[m2] = F.when(F.col(n) > 0, F.aggregate(m2, F.lit(0.0), _spread_around(n, mean, m2)))
+    return table.groupBy(*keys).agg(*aggs).withColumns(spreads).select(*rollup.dims, *rollup.stored)
+
+
+def _spread_around(n: str, mean: str, m2: str):
+    def add(total: Column, part: Column) -> Column:
+        apart = part[mean] - F.col(mean)
+        return total + part[m2] + part[n] * apart * apart
+
+    return add
+
+
 # Stored measures each derivable aggregate needs.
 _NEEDS = {"sum": ("sum",), "count": ("count",), "min": ("min",), "max": ("max",), "avg": ("sum", "count")}
 # Spreads from moments: whether the divisor is one less than the count, and whether a root is taken.

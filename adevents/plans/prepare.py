@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adevents.operators.rollups import MERGEABLE, ROLLUPS, Rollup, build_rollup, read_snapshot, write_counted
+from adevents.operators.rollups import MERGEABLE, ROLLUPS, Rollup, build_rollup, merge_rollup, read_snapshot, write_counted
 from adevents.schema import EVENT_COLUMNS
 from adevents.session import _join, prepare_session, scratch_path
 from adevents.sources import manifest
@@ -66,7 +66,13 @@ class PreparedStore:
 
     def rollup(self, spark: SparkSession, rollup: Rollup) -> DataFrame:
         folders = self.entry.rollups[rollup.name]
-        return self._open(spark, rollup.name, lambda: read_snapshot(spark, rollup, [(f.path, f.without) for f in folders]))
+
+        def read() -> DataFrame:
+            table = read_snapshot(spark, rollup, [(f.path, f.without) for f in folders])
+            # folders of a store that is kept up batch by batch have partial rows
+            return table if self.entry.batch is None or len(folders) == 1 else merge_rollup(table, rollup)
+
+        return self._open(spark, rollup.name, read)
 
     def rollup_path(self, name: str) -> str:
         return _join(self.root, f"agg_{name}")

@@ -1,34 +1,60 @@
 """A store and its summary tables kept up together by a stream of event parts.
 
-Every micro-batch writes its events to a folder of its own (``batch=<n>``), then
-recomputes the days it touched in every summary table into new folders, and
+Every micro-batch writes its events to a folder of its own (``batch=<n>``),
+aggregates just these events to a further folder of every summary table, and
 commits both by one entry of the store's manifest: the last batch that counts,
 and the tables' folders.  Until that commit nobody reads any of it, so answers
 are those of the batches before, and an entry's tables always fit its events.
 
+A table's folders hold partial rows that readers merge
+(:func:`adevents.operators.rollups.merge_rollup`).  Folders of about one size are
+merged into a new one as soon as there are ``MERGE_FOLDERS`` of them, so a table has
+some folders per power of eight of its rows, a row is merged again once per such
+power, and a batch costs what its own events cost, however many came before.
+
 A batch that is delivered again (after a failure) has the same number: if its
 entry was committed, nothing is done; if not, its folder is overwritten and its
-days are computed again.  Days are always recomputed from the events, never
-added to, so late events of old days are right, too.
+events are aggregated again into folders of their own, so nothing is counted
+twice.  Late events of old days are partial rows like any others.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adevents.functions.typing import type_events
-from adevents.operators.rollups import ROLLUPS
+from adevents.operators.rollups import ROLLUPS, Rollup, merge_rollup, read_snapshot, write_counted
 from adevents.plans.prepare import PreparedStore, build_folders
 from adevents.schema import EVENT_COLUMNS, STORE_PARTITIONS
 from adevents.session import prepare_session
 from adevents.sources import manifest
-from adevents.sources.store import CLUSTER_COLUMNS, read_batches
+from adevents.sources.store import CLUSTER_COLUMNS, read_batches, read_store
 from adevents.streaming.ingest import stream_event_parts, stream_event_parts_by_name
 
+#: So many folders of about one size (a power of eight of rows) become one.
+MERGE_FOLDERS = 8
+
+
+def _size(folder: manifest.Folder) -> int:
+    return (max(folder.rows, 1).bit_length() - 1) // 3
+
+
+def _merged(spark: SparkSession, prepared: PreparedStore, rollup: Rollup, folders: list[manifest.Folder]) -> list[manifest.Folder]:
+    """The table's folders, after merging those of sizes that have too many; merged ones stay for earlier entries."""
+    while True:
+        sizes = [_size(f) for f in folders]
+        full = [s for s in sorted(set(sizes)) if sizes.count(s) >= MERGE_FOLDERS]
+        if not full:
+            return folders
+        old = [f for f, s in zip(folders, sizes) if s == full[0]]
+        path = f"{prepared.rollup_path(rollup.name)}/{manifest.new_version()}"
+        rows = write_counted(merge_rollup(read_snapshot(spark, rollup, [(f.path, f.without) for f in old]), rollup), rollup, path)
+        folders = [f for f in folders if f not in old] + [manifest.Folder(path, rows)]
+
 
 def append_batch(prepared: PreparedStore, events: DataFrame, batch: int, rollups=ROLLUPS) -> bool:
     """Adds a batch of typed events to the store and its summary tables; gives False if it was there already."""
@@ -41,12 +67,16 @@ def append_batch(prepared: PreparedStore, events: DataFrame, batch: int, rollups
     folder = f"{prepared.events_path}/batch={batch}"
     laid_out = events.select(*EVENT_COLUMNS).hint("rebalance", *STORE_PARTITIONS).sortWithinPartitions(*STORE_PARTITIONS, *CLUSTER_COLUMNS)
     laid_out.write.mode("overwrite").partitionBy(*STORE_PARTITIONS).option("compression", "zstd").parquet(folder)
-    store = read_batches(spark, prepared.events_path, batch)
-    # names of partitions only
-    days = [r.day for r in read_batches(spark, prepared.events_path, batch).where(F.col("batch") == batch).select("day").distinct().collect()]
     listed = dict(base.rollups) if base is not None else {}
-    folders = build_folders(spark, prepared, store, rollups, days if base is not None else None, listed)
-    entry = replace(base or manifest.Entry(), version=manifest.new_version(), batch=batch, rollups={n: tuple(f) for n, f in folders.items()})
+    known = [r for r in rollups if base is None or r.name in listed]
+    folders = build_folders(spark, prepared, read_store(spark, folder), known, None, {})
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        merged = pool.map(lambda r: _merged(spark, prepared, r, [*listed.get(r.name, ()), *folders[r.name]]), known)
+        tables = {r.name: f for r, f in zip(known, merged)}
+    added = [r for r in rollups if r not in known]
+    if added:  # tables that the store didn't have need all its events once
+        tables |= build_folders(spark, prepared, read_batches(spark, prepared.events_path, batch).select(*EVENT_COLUMNS), added, None, {})
+    entry = replace(base or manifest.Entry(), version=manifest.new_version(), batch=batch, rollups={n: tuple(f) for n, f in tables.items()})
     manifest.commit(spark, prepared.events_path, entry)  # fails if another writer was faster
     return True
 

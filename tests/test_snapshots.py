@@ -194,3 +194,33 @@ def test_a_batch_store_is_no_stream_store(spark, scratch):
     store = P.prepare(_events(spark, [EVENT]), scratch)
     with pytest.raises(ValueError, match="batch by batch"):
         append_batch(store, _events(spark, [EVENT]), 0)
+
+
+def test_a_batch_reads_no_earlier_events(spark, scratch, monkeypatch):
+    from adevents.operators.rollups import MERGEABLE
+    from adevents.streaming import rollups as S
+
+    tables = ROLLUPS + MERGEABLE
+    store = P.PreparedStore(scratch)
+    price = F.when(F.col("auction_id") != "x", F.lit(0.25)).cast("double")
+    for batch in range(8):
+        if batch == 1:  # events of earlier batches aren't read, whatever days a batch has
+
+            def no_read(*_):
+                raise AssertionError("earlier batches were read")
+
+            monkeypatch.setattr(S, "read_batches", no_read)
+            monkeypatch.setattr(S, "MERGE_FOLDERS", 3, raising=False)
+        events = _events(spark, [EVENT] * (batch + 1)).withColumns(
+            {"bid_price": price * (1 + batch * batch), "total_price": F.when(F.lit(batch == 4), price * 3), "user_id": F.lit(batch % 3).cast("long")}
+        )
+        assert S.append_batch(store, events, batch, rollups=tables)
+    assert S.append_batch(store, events, 7, rollups=tables) is False
+    store.sync(spark)
+    six = lambda row: [round(x, 6) if isinstance(x, float) else x for x in row]
+    for r in tables:
+        assert 1 < len(store.rollup_paths[r.name]) < 8  # partial rows, some merged
+        want = build_rollup(store.events(spark), r).select(*r.dims, *r.stored)
+        got = store.rollup(spark, r)
+        assert got.dtypes == want.dtypes
+        assert sorted(repr(six(x)) for x in got.collect()) == sorted(repr(six(x)) for x in want.collect())
