@@ -10,6 +10,11 @@ even when a run is interrupted and restarted.  ``available_now=True`` works
 through the backlog and stops (a batch-style catch-up); otherwise the query
 keeps running with the given processing-time trigger.
 
+A trigger of fewer parts than the cluster has cores would leave cores idle
+while a few tasks write its many small files one after the other, so its rows
+are dealt over all cores first, each task's rows of a ``(type, day)`` to one
+task: the same files are written side by side.
+
 The store is written through the file sink's log (``_spark_metadata``),
 which is what makes appends exactly-once; read it with ``read_store`` and
 let only the stream write to it.  Summary tables are not updated by this
@@ -21,6 +26,7 @@ which recomputes only the changed days, or use
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adevents.functions.typing import type_events
@@ -79,6 +85,14 @@ def stream_event_parts_by_name(
     return parts.select("path").mapInArrow(_part_parser(multiline), RAW_SCHEMA)
 
 
+def _dealt(events: DataFrame, max_files: int | None) -> DataFrame:
+    """The rows of small triggers over all cores, by partition of the store and task that read them."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    if max_files is None or max_files >= cores:
+        return events
+    return events.withColumn("__split", F.spark_partition_id()).repartition(cores, *STORE_PARTITIONS, "__split").drop("__split")
+
+
 def ingest_parts(
     spark: SparkSession,
     folder: str,
@@ -101,7 +115,7 @@ def ingest_parts(
     source = stream_event_parts_by_name if by_name else stream_event_parts
     typed = type_events(source(spark, folder, max_files, multiline=multiline), bad_price=bad_price)
     writer = (
-        typed.writeStream.format("parquet")
+        _dealt(typed, max_files).writeStream.format("parquet")
         .option("path", store)
         .option("checkpointLocation", checkpoint)
         .option("compression", "zstd")

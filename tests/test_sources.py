@@ -265,3 +265,25 @@ def test_a_header_without_end_is_refused(scratch):
         f.write("x" * (csv_parts._MAX_HEADER + 20000))
     with pytest.raises(ValueError, match="no line end"):
         csv_parts._read_first_line(scratch + "/events_part_0.csv")
+
+
+@pytest.mark.parametrize("by_name", [False, True])
+def test_a_trigger_of_one_part_is_written_by_several_tasks(spark, scratch, by_name):
+    import glob
+    import os
+
+    from adevents.schema import RAW_COLUMNS
+    from adevents.streaming.ingest import catch_up
+
+    os.makedirs(scratch + "/in")
+    for part in range(2):
+        rows = [f"{86_400_000 * (i % 20)},click,{part}-{i},1,2,,3,,US" for i in range(200)]
+        with open(f"{scratch}/in/events_part_{part:05d}.csv", "w") as f:
+            f.write("\n".join([",".join(RAW_COLUMNS), *rows]) + "\n")
+    catch_up(spark, scratch + "/in", scratch + "/store", scratch + "/checkpoint", max_files=1, by_name=by_name)
+    files = glob.glob(scratch + "/store/type=click/day=*/part-*.parquet")
+    assert len(files) == 2 * 20  # a part's rows of a day are still one file
+    assert len({os.path.basename(f)[:10] for f in files}) > 1  # the writing task's number
+    from adevents.sources.store import read_store
+
+    assert read_store(spark, scratch + "/store").select("auction_id").distinct().count() == 400
