@@ -52,7 +52,14 @@ class Shares:
     def _set(self, size: np.ndarray) -> None:
         self.size = size.astype(np.uint32)
         self.start = (np.cumsum(size) - size).astype(np.uint32)
-        self.ids = np.repeat(np.arange(len(size), dtype=np.uint16), size)  # the id of every unit
+        self.ids = np.repeat(np.arange(len(size), dtype=np.int32), size)  # the id of every unit
+        # start and size in one word, so that looking both up is one access
+        self.both = (self.start.astype(np.uint64) << _32) | self.size
+
+    def find(self, ids: np.ndarray):
+        """Start and size of the ids' shares."""
+        both = self.both.take(ids)
+        return both >> _32, both & _LOW
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Shares:
@@ -96,35 +103,41 @@ class _Models:
 
     def __init__(self, lanes: int):
         lane = np.arange(lanes)
-        self.base1, self.base2, self.base_state = lane << _ORDER_1, lane << _ORDER_2, lane << 5
+        self.base1, self.base_state = (lane << _ORDER_1).astype(np.uint32), (lane << 5).astype(np.int32)
+        self.base2 = (lane << _ORDER_2).astype(np.uint32)
         self.table1 = np.zeros(lanes << _ORDER_1, np.int32)
         self.table2 = np.zeros(lanes << _ORDER_2, np.int32)
-        self.share2 = np.tile(np.linspace(200, 3400, 4).astype(np.int64).repeat(8), lanes)
-        self.share1 = np.tile(np.tile(np.linspace(100, 2400, 4).astype(np.int64).repeat(2), 4), lanes)
-        self.before = np.zeros(lanes, np.int64)
-        self.last = np.zeros(lanes, np.int64)
+        self.share2 = np.tile(np.linspace(200, 3400, 4).astype(np.int32).repeat(8), lanes)
+        self.share1 = np.tile(np.tile(np.linspace(100, 2400, 4).astype(np.int32).repeat(2), 4), lanes)
+        self.before = np.zeros(lanes, np.uint32)
+        self.last = np.zeros(lanes, np.uint32)
 
     def predict(self, n: int) -> None:
         """Predictions and shares for the first ``n`` lanes."""
-        key = self.last[:n] * 40503
-        self.at1 = ((key >> 5) & ((1 << _ORDER_1) - 1)) + self.base1[:n]
-        key += self.before[:n] * 31153
-        self.at2 = ((key >> 6) & ((1 << _ORDER_2) - 1)) + self.base2[:n]
-        self.e1, self.e2 = self.table1[self.at1], self.table2[self.at2]
+        key = self.last[:n] * np.uint32(40503)  # only its low bits count
+        self.at1 = (((key >> np.uint32(5)) & np.uint32((1 << _ORDER_1) - 1)) + self.base1[:n]).astype(np.int64)
+        key += self.before[:n] * np.uint32(31153)
+        self.at2 = (((key >> np.uint32(6)) & np.uint32((1 << _ORDER_2) - 1)) + self.base2[:n]).astype(np.int64)
+        self.e1, self.e2 = self.table1.take(self.at1), self.table2.take(self.at2)
         self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
-        agree = (self.p1 == self.p2) & (self.c2 > 0)
-        self.state = (self.c2 << 3) + (self.c1 << 1) + agree + self.base_state[:n]
-        self.s2, self.s1 = self.share2[self.state], self.share1[self.state]
+        self.has2 = self.c2 > 0
+        agree = (self.p1 == self.p2) & self.has2
         self.has1 = (self.c1 > 0) & ~agree
-        self.f2 = self.s2 * (self.c2 > 0)
-        self.f1 = np.maximum(((_ONE - self.f2) * self.s1) >> _ONE_BITS, 1) * self.has1
+        self.asked1 = self.has1.view(np.int8).astype(np.int32)
+        state = (self.c2 << 3) + (self.c1 << 1)
+        state += agree.view(np.int8).astype(np.int32)
+        state += self.base_state[:n]
+        self.state = state.astype(np.int64)
+        self.s2, self.s1 = self.share2.take(self.state), self.share1.take(self.state)
+        self.f2 = self.s2 * self.has2.view(np.int8).astype(np.int32)
+        self.f1 = np.maximum(((_ONE - self.f2) * self.s1) >> _ONE_BITS, 1) * self.asked1
 
     def learn(self, n: int, ids: np.ndarray, hits2: np.ndarray, hits1: np.ndarray) -> None:
         s = self.s2 - (self.s2 >> 4)
         s[hits2] = self.s2[hits2] + ((_ONE - self.s2[hits2]) >> 4)
         self.share2[self.state] = s
-        s = self.s1 - (self.s1 >> 4) * self.has1
+        s = self.s1 - (self.s1 >> 4) * self.asked1
         s[hits1] = self.s1[hits1] + ((_ONE - self.s1[hits1]) >> 4)
         s[hits2] = self.s1[hits2]  # order 1 wasn't asked
         self.share1[self.state] = s
@@ -133,7 +146,7 @@ class _Models:
             right = p == ids
             stays = np.flatnonzero(right | (c > 1))
             new = fresh.copy()
-            new[stays] = e[stays] + np.where(right[stays], c[stays] < 3, -1)
+            new[stays] = e.take(stays) + np.where(right.take(stays), c.take(stays) < 3, -1)
             table[at] = new
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
@@ -146,7 +159,7 @@ class _Models:
         size[hits1] = self.f1[hits1]
         start[hits2] = 0
         size[hits2] = self.f2[hits2]
-        return start.view(np.uint64), size.view(np.uint64)
+        return start.astype(np.uint64), size.astype(np.uint64)
 
 
 def _widths(lengths: np.ndarray):
@@ -183,16 +196,16 @@ def encode_blocks(blocks: list[np.ndarray], shares: Shares | None = None) -> lis
         for t, n in enumerate(_widths(lengths)):
             if t % _CHECK == 0 and used.max() + 2 * _CHECK > out.shape[1]:  # an id takes one word at most
                 out = np.pad(out, ((0, 0), (0, out.shape[1] // 2 + 2 * _CHECK)))
-            x, lo, sp = ids[t, :n].astype(np.int64), low[:n], span[:n]
+            x, lo, sp = ids[t, :n].astype(np.int32), low[:n], span[:n]
             m.predict(n)
-            hits2 = np.flatnonzero((m.p2 == x) & (m.c2 > 0))
+            hits2 = np.flatnonzero((m.p2 == x) & m.has2)
             hits1 = np.flatnonzero((m.p1 == x) & m.has1)  # has1 rules out that order 2 named it too
             hits = np.concatenate([hits2, hits1])
             start, size = m.shares_of(hits2, hits1)
             r = sp >> np.uint64(_ONE_BITS)
             lo += start * r
             np.multiply(size, r, out=sp)
-            start, size = shares.start[x].astype(np.uint64), shares.size[x].astype(np.uint64)
+            start, size = shares.find(x)
             r = sp >> np.uint64(_ALL_BITS)
             start[hits], r[hits], size[hits] = 0, sp[hits], 1
             lo += start * r
@@ -245,7 +258,7 @@ def decode_blocks(codes: list[bytes], sizes: list[int], shares: Shares | None =
             lo, sp, g = low[:n], span[:n], gap[:n]
             m.predict(n)
             r = sp >> np.uint64(_ONE_BITS)
-            v = np.minimum(g // r, np.uint64(_ONE - 1)).view(np.int64)
+            v = np.minimum(g // r, np.uint64(_ONE - 1)).astype(np.int32)
             hits = np.flatnonzero(v < m.f2 + m.f1)
             by2 = v[hits] < m.f2[hits]
             hits2, hits1 = hits[by2], hits[~by2]
@@ -253,8 +266,8 @@ def decode_blocks(codes: list[bytes], sizes: list[int], shares: Shares | None =
             take(lo, g, start * r)
             np.multiply(size, r, out=sp)
             r = sp >> np.uint64(_ALL_BITS)
-            x = shares.ids[np.minimum(g // r, np.uint64(_ALL - 1)).view(np.int64)].astype(np.int64)
-            start, size = shares.start[x].astype(np.uint64), shares.size[x].astype(np.uint64)
+            x = shares.ids.take(np.minimum(g // r, np.uint64(_ALL - 1)).view(np.int64))
+            start, size = shares.find(x)
             start[hits], r[hits], size[hits] = 0, sp[hits], 1
             x[hits2], x[hits1] = m.p2[hits2], m.p1[hits1]
             take(lo, g, start * r)

@@ -160,13 +160,24 @@ def _encode_alone(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array([i for x in ids for i in x], np.uint16), np.array([len(x) for x in ids], np.int64)
 
 
+def _distinct(keys: np.ndarray):
+    """Distinct keys, an example of each and which of them every entry has (``np.unique`` sorts stably, which takes longer)."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], which
+
+
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a column (null: empty) in one array, and each text's number of ids."""
     texts = Texts(column)
     specials = [t.content.encode() for t in load(path).get_added_tokens_decoder().values()]
     start = _chunk_starts(texts, specials)
     end = np.append(start[1:], len(texts.data))
-    keys, example, which = np.unique(range_hashes(texts.data, start, end), return_index=True, return_inverse=True)
+    keys, example, which = _distinct(range_hashes(texts.data, start, end))
     first = example[which]
     if not _same(texts.data, start, end, texts.data, start[first], (end - start)[first]).all():
         return _encode_alone(column, path)  # two chunks of one hash

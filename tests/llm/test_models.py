@@ -275,3 +275,24 @@ def test_queries_are_registered():
 
     names = entry.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
+
+
+def test_codes_stay_readable():
+    """The coder's bytes are a file format: those of before its integers were narrowed."""
+    import zlib
+
+    from adevents.llm import range_coder, tokens
+
+    n = np.arange(9000, dtype=np.uint64)
+    ids = ((n * n * np.uint64(2654435761) >> np.uint64(16)) % np.uint64(97) * np.uint64(675)).astype(np.uint16)
+    ids[::7] = range_coder.MAX_ID
+    blocks = [ids[:5000], ids[5000:5001], ids[5001:]]
+    for shares, crc in ((range_coder.Shares.of(ids), 3715420284), (None, 2031893067)):
+        codes = range_coder.encode_blocks(blocks, shares)
+        assert zlib.crc32(b"".join(codes)) == crc
+        for a, b in zip(blocks, range_coder.decode_blocks(codes, [len(b) for b in blocks], shares)):
+            assert (a == b).all()
+    keys, example, which = tokens._distinct(n * n % np.uint64(11))
+    assert (keys == np.unique(n * n % np.uint64(11))).all() and (keys[which] == n * n % np.uint64(11)).all()
+    assert (keys == (n * n % np.uint64(11))[example]).all()
+    assert all(len(x) == 0 for x in tokens._distinct(np.zeros(0, np.uint64)))
