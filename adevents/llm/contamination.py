@@ -40,7 +40,7 @@ from adevents.llm.words import ALNUM, Texts, same_ranges
 from adevents.session import scratch_path
 
 WINDOW = 10
-SEGMENT_BYTES = 8 << 20
+SEGMENT_BYTES = 4 << 20
 CHUNK_WORDS = 200_000
 _INDEX = "segment long, term string, positions binary, row_ids array<long>, doc_ids array<long>, n_words array<int>"
 _DOCS = "array<struct<start:int,end:int>>"

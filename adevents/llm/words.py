@@ -17,6 +17,8 @@ _STEP_1 = np.uint64(0xD6E8FEB86659FD93)
 _STEP_2 = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Longer ranges of bytes are hashed by hashlib.
 _SHORT = 128
+#: Ranges looked at in one go, so that the arrays in between stay small.
+_AT_ONCE = 1 << 15
 
 #: Bytes of the two kinds of words; all bytes of non-ASCII characters belong to words.
 _BYTES = np.arange(256)
@@ -88,6 +90,17 @@ class Texts:
         return range_hashes(self.data, self.start, self.end, seed)
 
 
+def distinct(keys: np.ndarray):
+    """Distinct keys, an example of each and which of them every entry has (``np.unique`` sorts stably, which takes longer)."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], which
+
+
 def _eights(data: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     """Reads the eight bytes from each of some places on (zeros past the end) as one number."""
     padded = np.zeros((len(data) // 8 + 2) * 8, np.uint8)
@@ -117,8 +130,15 @@ def _step(state: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of each of some ranges of bytes."""
+    read, out = _eights(data), np.empty(len(start), np.uint64)
+    for a in range(0, len(start), _AT_ONCE):
+        some = slice(a, a + _AT_ONCE)
+        out[some] = _hashes(data, read, start[some], end[some], seed)
+    return out
+
+
+def _hashes(data: np.ndarray, read: Callable, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
     size = end - start
-    read = _eights(data)
     with np.errstate(over="ignore"):
         out = mix(np.full(1, seed, np.uint64)) + _SEED + size.astype(np.uint64)
     left = np.flatnonzero(size <= _SHORT)
@@ -135,7 +155,16 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int
 
 def same_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_start: np.ndarray) -> np.ndarray:
     """Which ranges of bytes equal those of the same length that start at ``other_start`` in ``other``."""
-    size, one, two = end - start, _eights(data), _eights(other)
+    one = _eights(data)
+    two = one if other is data else _eights(other)
+    same = np.empty(len(start), bool)
+    for a in range(0, len(start), _AT_ONCE):
+        some = slice(a, a + _AT_ONCE)
+        same[some] = _same(data, one, start[some], end[some] - start[some], other, two, other_start[some])
+    return same
+
+
+def _same(data: np.ndarray, one: Callable, start: np.ndarray, size: np.ndarray, other: np.ndarray, two: Callable, other_start: np.ndarray):
     same = np.ones(len(start), bool)
     left, offset = np.flatnonzero(size > 0), 0
     while len(left):

@@ -200,3 +200,47 @@ def test_text_operators_on_an_empty_table(no_docs):
     assert substring_dedup.dedup_digest(no_docs).count() == 0
     assert jaccard_join.jaccard_digest(no_docs).count() == 0
     assert no_docs.columns == SCHEMA.replace(" long", "").replace(" string", "").replace(" int", "").split(", ")
+
+
+def test_an_index_segment_needs_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    words = np.array([f"w{i}x" for i in range(5000)])
+    texts = [" ".join(words[rng.integers(0, 5000, 400)]) for _ in range(contamination.SEGMENT_BYTES // 2400 + 1)]
+    rows = pa.record_batch(
+        {"row_id": pa.array(range(len(texts))), "doc_id": pa.array(range(len(texts))), "text": pa.array(texts)}
+    )
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    segment = contamination._segment(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert segment.num_rows == 5001 and size > 0.9 * contamination.SEGMENT_BYTES
+    assert peak < 100 << 20
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1 << 15])
+def test_ranges_taken_a_few_at_a_time_hash_and_compare_alike(monkeypatch, at_once):
+    import pyarrow as pa
+
+    from adevents.llm import words
+
+    texts = Texts(pa.array(["a bb a " + "long" * 40 + " bb", None, "x" * 3000 + " a " + "x" * 3000, "abcdefgh abcdefghi"]))
+    want = {}
+    for h, a, b in zip(texts.hashes(seed=3).tolist(), texts.start, texts.end):
+        assert want.setdefault(texts.data[a:b].tobytes(), h) == h
+    assert len(set(want.values())) == len(want)
+    monkeypatch.setattr(words, "_AT_ONCE", at_once)
+    assert [want[texts.data[a:b].tobytes()] for a, b in zip(texts.start, texts.end)] == texts.hashes(seed=3).tolist()
+    n = len(texts.start)
+    one, two = np.repeat(np.arange(n), n), np.tile(np.arange(n), n)
+    size = texts.end - texts.start
+    alike = size[one] == size[two]
+    one, two = one[alike], two[alike]
+    got = words.same_ranges(texts.data, texts.start[one], texts.end[one], texts.data, texts.start[two])
+    raw = texts.data.tobytes()
+    word = [raw[a:b] for a, b in zip(texts.start, texts.end)]
+    assert got.tolist() == [word[i] == word[j] for i, j in zip(one, two)]
