@@ -36,7 +36,8 @@ FILE = f"part int, first long, n long, shares binary, blocks {_BLOCKS}"
 _PIECE_TYPE = pa.list_(pa.struct([("nth", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32())]))
 #: A file row takes some megabytes, so row groups are kept small.
 ROW_GROUP_BYTES = 32 << 20
-SLICE_BYTES = 4 << 20
+#: Bytes of text tokenized at once; the arrays for them take some thirty times as much.
+SLICE_BYTES = 1 << 20
 
 
 def _crc(ids: np.ndarray) -> int:

@@ -5,9 +5,10 @@ from a non-space character into the white space after it, nor from a letter
 into the punctuation after it.  So the ids of a text are the ids of its *chunks*
 (white space and the run of other characters after it, or the punctuation
 after letters) one after the other.  Each distinct chunk is encoded only once
-per batch, and remembered by the worker, with its bytes, up to ``REMEMBER``
-chunks; chunks are looked up by a hash and compared (:func:`_same`).  A chunk
-never begins after a character that might be non-ASCII white space.
+per batch, and remembered by the worker, with its bytes.  When there are more
+than ``REMEMBER`` chunks, those that were met only once are forgotten.  Chunks
+are looked up by a hash and compared (:func:`_same`).  A chunk never begins
+after a character that might be non-ASCII white space.
 
 For the same reason the new chunks of a batch that begin with a space and end
 in printable ASCII can be encoded as one text; the ids' lengths in bytes tell
@@ -22,9 +23,12 @@ import numpy as np
 import pyarrow as pa
 
 from adevents.llm.words import NOT_SPACE, Texts, range_hashes, same_ranges
+from adevents.llm.words import distinct as _distinct
 
 END_ID = 2
-REMEMBER = 2_000_000
+REMEMBER = 500_000
+#: Chunks that the tokenizer gets in one call; its results take far more room than the ids.
+_CALL = 5_000
 
 _TOKENIZERS: dict[str, object] = {}
 _MEMORY: dict[str, _Memory] = {}
@@ -84,6 +88,7 @@ class _Memory:
         self.start = np.zeros(0, np.uint32)
         self.count = np.zeros(0, np.uint32)
         self.ids = np.zeros(0, np.uint16)
+        self.again = np.zeros(0, bool)  # met again after the batch that brought it
 
     def find(self, keys: np.ndarray):
         at = np.searchsorted(self.keys, keys)
@@ -106,6 +111,24 @@ class _Memory:
         self.size = np.concatenate([self.size, size])[order]
         self.count = np.concatenate([self.count, count.astype(np.uint32)])[order]
         self.ids = np.concatenate([self.ids, ids])
+        self.again = np.concatenate([self.again, np.zeros(len(keys), bool)])[order]
+
+    def forget(self) -> None:
+        """Leaves the chunks that were met again, if these are at most half of what may be remembered, else none."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > REMEMBER // 2:
+            kept = kept[:0]
+        self.data, self.place = _ranges(self.data, self.place[kept], self.size[kept])
+        self.ids, start = _ranges(self.ids, self.start[kept].astype(np.int64), self.count[kept].astype(np.int64))
+        self.start = start.astype(np.uint32)
+        self.keys, self.size, self.count = self.keys[kept], self.size[kept], self.count[kept]
+        self.again = np.zeros(len(kept), bool)
+
+
+def _ranges(values: np.ndarray, start: np.ndarray, size: np.ndarray):
+    """Some ranges of an array one after the other, and where each begins."""
+    upto = np.cumsum(size)
+    return values[np.arange(upto[-1] if len(upto) else 0) + np.repeat(start - (upto - size), size)], upto - size
 
 
 _PUNCTUATION = np.isin(np.arange(256), [*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
@@ -138,8 +161,8 @@ def _encode_chunks(data: np.ndarray, start: np.ndarray, end: np.ndarray, path: s
     together, alone = np.flatnonzero(joins), np.flatnonzero(~joins)
     raw = data.tobytes()
     counts, ids = [], []
-    for a in range(0, len(together), 20_000):
-        some = together[a : a + 20_000]
+    for a in range(0, len(together), _CALL):
+        some = together[a : a + _CALL]
         text = b"".join([raw[i:j] for i, j in zip(start[some].tolist(), end[some].tolist())]).decode("utf-8")
         found = np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
         upto = np.cumsum(_lengths(path)[found])
@@ -147,9 +170,10 @@ def _encode_chunks(data: np.ndarray, start: np.ndarray, end: np.ndarray, path: s
         counts.append(np.diff(np.append(-1, last_id)))
         ids.append(found)
     texts = [raw[i:j].decode("utf-8") for i, j in zip(start[alone].tolist(), end[alone].tolist())]
-    for e in tok.encode_batch_fast(texts, add_special_tokens=False):
-        counts.append(np.array([len(e.ids)]))
-        ids.append(np.array(e.ids, np.uint16))
+    for a in range(0, len(texts), _CALL):
+        found = [e.ids for e in tok.encode_batch_fast(texts[a : a + _CALL], add_special_tokens=False)]
+        counts.append(np.array([len(x) for x in found]))
+        ids.append(np.array([i for x in found for i in x], np.uint16))
     none = [np.zeros(0, np.int64)]
     return np.concatenate([together, alone]), np.concatenate(counts or none), np.concatenate(ids or none).astype(np.uint16)
 
@@ -160,17 +184,6 @@ def _encode_alone(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array([i for x in ids for i in x], np.uint16), np.array([len(x) for x in ids], np.int64)
 
 
-def _distinct(keys: np.ndarray):
-    """Distinct keys, an example of each and which of them every entry has (``np.unique`` sorts stably, which takes longer)."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    new = np.ones(len(keys), bool)
-    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
-    which = np.empty(len(keys), np.int64)
-    which[order] = np.cumsum(new) - 1
-    return ordered[new], order[new], which
-
-
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a column (null: empty) in one array, and each text's number of ids."""
     texts = Texts(column)
@@ -185,10 +198,11 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     at, known = memory.find(keys)
     if not memory.holds(at[known], texts.data, start[example[known]], end[example[known]]).all():
         return _encode_alone(column, path)
+    memory.again[at[known]] = True
     if not known.all():
         if len(memory.keys) > REMEMBER:
-            memory = _MEMORY[path] = _Memory()
-            known[:] = False
+            memory.forget()
+            _, known = memory.find(keys)
         new = example[~known]
         order, counts, ids = _encode_chunks(texts.data, start[new], end[new], path)
         raw = texts.data.tobytes()
@@ -197,8 +211,7 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         at, _ = memory.find(keys)
     at = at[which]
     count, first = memory.count[at].astype(np.int64), memory.start[at].astype(np.int64)
+    ids, _ = _ranges(memory.ids, first, count)
     upto = np.cumsum(count)
-    total = int(upto[-1]) if len(upto) else 0
-    ids = memory.ids[np.arange(total) + np.repeat(first - (upto - count), count)]
     before = np.concatenate([[0], upto])[np.searchsorted(start, texts.offsets)]
     return ids, np.diff(before)

@@ -296,3 +296,33 @@ def test_codes_stay_readable():
     assert (keys == np.unique(n * n % np.uint64(11))).all() and (keys[which] == n * n % np.uint64(11)).all()
     assert (keys == (n * n % np.uint64(11))[example]).all()
     assert all(len(x) == 0 for x in tokens._distinct(np.zeros(0, np.uint64)))
+
+
+def test_remembered_chunks_are_bounded_and_the_common_ones_stay(monkeypatch):
+    path = tokens.tokenizer_path()
+    monkeypatch.setattr(tokens, "_MEMORY", {})
+    monkeypatch.setattr(tokens, "REMEMBER", 300, raising=True)
+    common = " the quick fox, (and) ünïcode\u00a0words 12.5"
+    for i in range(20):
+        texts = [f"{common} w{i}x{j} {j}-{i}/y\n" for j in range(40)] + [None, ""]
+        ids, counts = tokens.encode(pa.array(texts), path)
+        whole = [e.ids for e in tokens.load(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert ids.tolist() == [x for one in whole for x in one] and counts.tolist() == [len(x) for x in whole]
+        memory = tokens._MEMORY[path]
+        assert len(memory.keys) <= 300 + 200
+        assert len({len(x) for x in (memory.keys, memory.place, memory.size, memory.start, memory.count, memory.again)}) == 1
+        assert memory.size.sum() == len(memory.data) and memory.count.sum() == len(memory.ids)
+    assert memory.again.sum() > 0
+    memory.forget()
+    held = {memory.data[a : a + n].tobytes() for a, n in zip(memory.place, memory.size)}
+    assert {b" the", b" quick", b" fox"} <= held and len(held) < 100
+
+
+def test_chunks_are_few_when_most_are_common(monkeypatch):
+    path = tokens.tokenizer_path()
+    monkeypatch.setattr(tokens, "_MEMORY", {})
+    monkeypatch.setattr(tokens, "REMEMBER", 2)
+    for _ in range(4):  # all are met again: more than half of what may be remembered
+        assert tokens.encode(pa.array([" a b c d"]), path)[0].tolist() == tokens.load(path).encode(" a b c d", add_special_tokens=False).ids
+        tokens.encode(pa.array([" e f"]), path)
+        assert len(tokens._MEMORY[path].keys) <= 6
