@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from adevents.llm import blocks as B
 from adevents.llm.common import as_table, saved
-from adevents.llm.words import Texts, Windows, mix, same_ranges
+from adevents.llm.words import Texts, Windows, distinct, mix, same_ranges
 
 LONGEST = 5
 THRESHOLD = 100
@@ -109,7 +109,9 @@ class Phrases:
             self.words = mix(texts.hashes() ^ tag[self.lang])
             self._tag, self._second = tag, None
         self._windows = Windows(self.words)
+        self._every_word = None
         self.often: dict[int, np.ndarray] = {}
+        self.runs: dict[int, _Runs] = {}
 
     def starts(self, k: int, frequent: np.ndarray | None = None, width: int = 1) -> np.ndarray:
         """Where runs of ``k`` words of a piece begin; ``frequent`` tells from which places on all their runs of ``width`` words are."""
@@ -119,11 +121,16 @@ class Phrases:
         rare = np.concatenate([[0], np.cumsum(~frequent, dtype=np.int32)])
         return at[rare[at + k - width + 1] == rare[at]]
 
+    def every_word(self) -> _Runs:
+        if self._every_word is None:
+            self._every_word = _Runs(np.arange(len(self.words)), self.words)
+        return self._every_word
+
     def numbers(self) -> np.ndarray:
         """A number per word: equal for equal words of one language, and only for them."""
-        t = self.texts
-        _, example, which = np.unique(self.words, return_index=True, return_inverse=True)
-        first = example[which]
+        t, runs = self.texts, self.every_word()
+        which = runs.which
+        first = runs.example[which]
         same = (t.end - t.start == t.end[first] - t.start[first]) & (self.lang == self.lang[first])
         if (same & same_ranges(t.data, t.start, t.end, t.data, t.start[first])).all():
             return which
@@ -141,6 +148,23 @@ class Phrases:
         return self._second.at(at, k)
 
 
+class _Runs:
+    """The distinct runs of one length among those at some places, by all 64 bits of their keys, found by one sort."""
+
+    def __init__(self, at: np.ndarray, keys: np.ndarray):
+        self.at = at
+        self.keys, self.example, self.which = distinct(keys)
+
+    def keep(self, replies: list[bytes], nth: int, bits: int) -> np.ndarray:
+        """Which places' runs survived; runs that share the leading ``bits`` do so together."""
+        short = self.keys >> np.uint64(64 - bits)
+        new = np.ones(len(short), bool)
+        np.not_equal(short[1:], short[:-1], out=new[1:])
+        group = np.cumsum(new) - 1
+        self.kept = _flags(replies, nth, int(group[-1]) + 1 if len(group) else 0)[group]
+        return self.kept[self.which]
+
+
 def _key_bits(layout: B.Layout) -> int:
     """Keys as short as leaves one n-gram in about a thousand that shares another's."""
     return min(64, max(1, layout.size).bit_length() + _SPARE_BITS)
@@ -234,9 +258,13 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         if width in p.often:
             return p.often[width]
         out = p.often[width] = np.zeros(len(p.words), bool)
-        at = p.starts(width, often(p, earlier, width - 1), width - 1)
-        distinct, which = np.unique(p.keys(at, width, bits), return_inverse=True)
-        out[at] = _flags(earlier[width], 0, len(distinct))[which]
+        if width == 1:
+            runs = p.every_word()
+        else:
+            at = p.starts(width, often(p, earlier, width - 1), width - 1)
+            runs = _Runs(at, p.keys(at, width, 64))
+        p.runs[width] = runs
+        out[runs.at] = runs.keep(earlier[width], 0, bits)
         return out
 
     def ask(lengths: range, width: int):
@@ -254,12 +282,11 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     def survivors(p: Phrases, earlier) -> _Entries:
         pairs = often(p, earlier, 2)
-        at = [np.flatnonzero(often(p, earlier, 1)), np.flatnonzero(pairs)]
         for k in range(3, LONGEST + 1):
             starts = p.starts(k, pairs, 2)
-            distinct, which = np.unique(p.keys(starts, k, bits), return_inverse=True)
-            at.append(starts[_flags(earlier[3], k - 3, len(distinct))[which]])
-        return _Entries(p, at, bits)
+            p.runs[k] = _Runs(starts, p.keys(starts, k, 64))
+            p.runs[k].keep(earlier[3], k - 3, bits)
+        return _Entries(p, bits)
 
     def ask_counts(rows, earlier):
         p = Phrases(rows)
@@ -288,21 +315,27 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 class _Entries:
-    """A block's distinct phrases among some runs of words, by ascending key: counts, lengths, and a place of each."""
+    """A block's distinct phrases among the runs that survived, by ascending key: counts, lengths, and a place of each."""
 
-    def __init__(self, p: Phrases, at: list[np.ndarray], bits: int):
+    def __init__(self, p: Phrases, bits: int):
         numbers = p.numbers()
         found = []
-        for k, starts in enumerate(at, 1):
-            _, example, which, counts = np.unique(p.keys(starts, k, 64), return_index=True, return_inverse=True, return_counts=True)
-            first = starts[example[which]]
-            if not all((numbers[starts + i] == numbers[first + i]).all() for i in range(k)):  # two phrases of one hash
+        for k in range(1, LONGEST + 1):
+            runs = p.runs[k]
+            held, kept = np.flatnonzero(runs.kept), runs.kept[runs.which]
+            starts, first = runs.at[kept], runs.at[runs.example[runs.which[kept]]]
+            if all((numbers[starts + i] == numbers[first + i]).all() for i in range(k)):
+                place = runs.at[runs.example[held]]
+                counts = np.bincount(runs.which, minlength=len(runs.keys))[held]
+                keys = runs.keys[held] >> np.uint64(64 - bits)
+            else:  # two phrases of one hash
                 run = numbers[starts]
                 for i in range(1, k):
                     run = np.unique(run * np.int64(len(numbers)) + numbers[starts + i], return_inverse=True)[1]
                 _, example, counts = np.unique(run, return_index=True, return_counts=True)
-            place = starts[example]
-            found.append((p.keys(place, k, bits), counts, np.full(len(place), k), place))
+                place = starts[example]
+                keys = p.keys(place, k, bits)
+            found.append((keys, counts, np.full(len(place), k), place))
         keys, counts, words, example = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(keys, kind="stable")
         self.keys, self.counts, self.words, self.example = keys[order], counts[order], words[order], example[order]
@@ -342,10 +375,10 @@ def _add_up(threshold: int):
 def _by_text(p: Phrases, first: np.ndarray, size: np.ndarray, total: np.ndarray) -> pa.Table:
     """Rows of the runs of ``size`` words from ``first`` on, words joined by one space."""
     raw = p.texts.data.tobytes()
-    start, end = p.texts.start.tolist(), p.texts.end.tolist()
-    phrases = [
-        b" ".join([raw[start[i] : end[i]] for i in range(a, a + k)]).decode("utf-8") for a, k in zip(first.tolist(), size.tolist())
-    ]
+    nth = np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
+    words = [raw[a:b] for a, b in zip(p.texts.start[nth].tolist(), p.texts.end[nth].tolist())]
+    upto = np.cumsum(size).tolist()
+    phrases = [b" ".join(words[b - k : b]).decode("utf-8") for b, k in zip(upto, size.tolist())]
     langs = pa.array(p.names, pa.string()).take(pa.array(p.lang[first] if len(first) else np.zeros(0, np.int64)))
     return pa.table(
         {"lang": langs, "words": pa.array(size, pa.int32()), "phrase": pa.array(phrases, pa.string()), "n": pa.array(total, pa.int64())}

@@ -195,3 +195,33 @@ def test_sql_of_collocations_and_clusters(spark):
         found = con.execute(oracles.ORACLES[name])
         columns = [d[0] for d in found.description]
         same(run(spark.read.parquet(f"{sf}/{table}.parquet")), found.fetchall(), columns)
+
+
+def test_runs_are_sorted_once_and_survive_together():
+    import pyarrow as pa
+
+    rows = pa.table({"lang": ["en", None, "en"], "text": ["a b c a b c, a b", "a b c", None]})
+    p = collocations.Phrases(rows)
+    assert p.every_word() is p.every_word()  # words are sorted once for their numbers and their keys
+    for k, places in ((1, p.every_word().at), *((k, p.starts(k)) for k in range(2, 6))):
+        p.runs[k] = runs = collocations._Runs(places, p.keys(places, k, 64))
+        bits = 20
+        n = len(np.unique(p.keys(places, k, bits)))
+        flags = np.arange(n) % 2 == 0
+        reply = [collocations.B.pack_arrays(np.array([n]), collocations.B.bits_of(flags))]
+        found, which = np.unique(p.keys(places, k, bits), return_inverse=True)
+        assert runs.keep(reply, 0, bits).tolist() == flags[which].tolist()
+        runs.kept[:] = True
+    entries = collocations._Entries(p, 64)
+    raw = p.texts.data.tobytes()
+    want: collections.Counter = collections.Counter()
+    for k in range(1, 6):
+        for i in (p.every_word().at if k == 1 else p.starts(k)).tolist():
+            want[p.lang[i], raw[p.texts.start[i] : p.texts.end[i + k - 1]]] += 1
+    got = {
+        (p.lang[i], raw[p.texts.start[i] : p.texts.end[i + k - 1]]): n
+        for i, k, n in zip(entries.example.tolist(), entries.words.tolist(), entries.counts.tolist())
+    }
+    assert got == dict(want) and len(got) == len(entries.keys)
+    text = collocations._by_text(p, entries.example, entries.words, entries.counts)
+    assert sorted(zip(text["phrase"].to_pylist(), text["n"].to_pylist())) == sorted((w.decode(), n) for (_, w), n in got.items())
