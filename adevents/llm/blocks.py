@@ -158,7 +158,7 @@ def _rows_of(block: pa.Table) -> pa.Table:
     return pa.concat_tables(tables)
 
 
-def _answer_table(block: int | pa.Array, number: int, parts: list, payloads: list[bytes]) -> pa.Table:
+def answer_table(block: int | pa.Array, number: int, parts: list, payloads: list[bytes]) -> pa.Table:
     n = len(payloads)
     blocks = pa.array([block] * n, pa.int32()) if isinstance(block, int) else block
     return pa.table([blocks, pa.array([number] * n, pa.int32()), pa.array(parts, pa.int32()), pa.array(payloads, pa.binary())], schema=_ANSWER)
@@ -172,18 +172,18 @@ def questions(blocks: DataFrame, number: int, ask: Callable, answers: DataFrame
 
     def one_block(key, block):
         payloads = ask(_rows_of(block), {})
-        return _answer_table(key[0].as_py(), number, list(range(len(payloads))), payloads)
+        return answer_table(key[0].as_py(), number, list(range(len(payloads))), payloads)
 
     def with_answers(key, block, replies):
-        payloads = ask(_rows_of(block), _by_round(replies))
-        return _answer_table(key[0].as_py(), number, list(range(len(payloads))), payloads)
+        payloads = ask(_rows_of(block), by_round(replies))
+        return answer_table(key[0].as_py(), number, list(range(len(payloads))), payloads)
 
     if answers is None:
         return blocks.groupBy("block").applyInArrow(one_block, ANSWER)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(with_answers, ANSWER)
 
 
-def _by_round(replies: pa.Table) -> dict[int, list[bytes]]:
+def by_round(replies: pa.Table) -> dict[int, list[bytes]]:
     replies = replies.sort_by([("round", "ascending"), ("part", "ascending")])
     out: dict[int, list[bytes]] = {}
     for number, payload in zip(replies.column("round").to_pylist(), replies.column("payload").to_pylist()):
@@ -197,7 +197,7 @@ def answered(asked: DataFrame, reply: Callable[[list[bytes]], Iterable[bytes]],
     def one_part(key, rows):
         rows = rows.sort_by([("round", "ascending"), ("block", "ascending")])
         replies = list(reply(rows.column("payload").to_pylist()))
-        return _answer_table(rows.column("block").combine_chunks(), rows.column("round")[0].as_py(), rows.column("part").to_pylist(), replies)
+        return answer_table(rows.column("block").combine_chunks(), rows.column("round")[0].as_py(), rows.column("part").to_pylist(), replies)
 
     return asked.repartition(layout.parts, "part").groupBy("part").applyInArrow(one_part, ANSWER)
 
@@ -206,6 +206,6 @@ def finish(blocks: DataFrame, answers: DataFrame, schema: str, use: Callable) ->
     """``use(rows, answers by round)`` gives the result table of each block."""
 
     def one_block(block, replies):
-        return use(_rows_of(block), _by_round(replies))
+        return use(_rows_of(block), by_round(replies))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(one_block, schema)

@@ -14,20 +14,21 @@ class of unknown words.  A context whose n-grams would leave nothing keeps the
 share ``0.5 / (c(context) + 0.5)`` for backing off, and its n-grams' shares are
 scaled to the rest.
 
-Documents are dealt into blocks (:mod:`adevents.llm.blocks`).  For every order,
-blocks send the counts of their n-grams, with their lower-order probabilities,
-to the partition that holds their context.
-It adds them up to its part of the model table and answers with counts and
-the sums that ``alpha`` and the discounts need.  The query keeps every n-gram
-that training holds (``min_count`` 1).  With a higher ``min_count`` blocks first
-ask which of their n-grams occur so often (by short keys,
-with as many bits as the corpus needs for one false yes in some thousands, which
-is found out next) and send only these; the others
-cost a few bytes each, though all enter the counts of counts.
-
-So the model is a table partitioned by context.  ``write_model`` stores its
-parts; scoring takes the blocks' tokens to the parts as they are made, and then
-evaluates order by order in the blocks, for all tokens.
+Documents are dealt into blocks (:mod:`adevents.llm.blocks`), which first put their
+distinct words to hash partitions of the words and get each one's count and number
+back (frequent words of a partition have small numbers).  Then every token is sent
+once, with its document and the numbers of the ``order - 1`` words before it, to the
+partition of the word before it: that one has all contexts that end in this word and
+so counts the n-grams of every order.  Tokens after a *common* word (one with more
+than half of what a partition holds on average; the beginning of texts counts as one)
+are dealt by the word before that too.  Their contexts of two and more words are still
+whole in one partition; bigrams after common words are added up by hash partitions of
+the pairs, whose answers also bring the counts of counts of the whole corpus.
+With these a partition has the probability of each of its tokens, and answers
+with one sum per document.
+
+So the model is a table partitioned by the last word of the context (``write_model``
+stores it), and the tokens of a text are evaluated where their n-grams are.
 
 Cases: a null text has the end token alone, a null ``doc_id`` counts as the
 empty text in the split, repeated rows are counted and scored each, without
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 
 from adevents.llm import blocks as B
 from adevents.llm.common import as_table, remainder_of
-from adevents.llm.words import Texts, mix
+from adevents.llm.words import Texts, distinct, mix
 from adevents.session import scratch_path
 
 ORDER = 2
@@ -55,13 +56,11 @@ MIN_COUNT = 2
 QUERY_ORDER = 3
 QUERY_MIN_COUNT = 1
 CUTOFF = 5
-#: Bits of an n-gram's key above those that number the corpus's bytes by fours.
-_SPARE_BITS = 12
-#: Bits of a word within its context, whose hash has 64.
-_WORD_SHIFT = np.uint64(16)
+#: Most frequent words of a partition that it names to all blocks.
+_NAMED = 16
+#: The number of the beginning of a text; words have numbers from 1 on.
+_BEGIN = 0
 _END = np.uint64(0x1D8E4E27C47D124F)
-_BEGIN = np.uint64(0xEB44ACCAB455D165)
-_CONTEXT = np.uint64(0x9FB21C651E98DF25)
 SCORES = "row_id long, doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -84,7 +83,7 @@ def discounted(counts: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 
 class Tokens:
-    """A block's tokens: hashes, each one's document, and contexts by order."""
+    """A block's tokens: hashes, and each one's document and place in it."""
 
     def __init__(self, rows: pa.Table):
         texts = Texts(rows.column("text"), lower=True)
@@ -93,36 +92,22 @@ class Tokens:
         self.hashes = np.full(int(self.first[-1]), _END)
         self.hashes[np.arange(len(texts.start)) + texts.text_of_word()] = texts.hashes()
         self.document = np.repeat(np.arange(len(texts)), n + 1)
-        train = rows.column("train").to_numpy(zero_copy_only=False).astype(bool)
-        self.train = train[self.document].astype(np.float64)
-
-    def context(self, order: int) -> np.ndarray:
-        """A hash of the ``order - 1`` tokens before each token (of the beginning, where a text has fewer)."""
-        out = np.full(len(self.hashes), _CONTEXT)
-        place = np.arange(len(self.hashes)) - self.first[self.document]
-        for back in range(1, order):
-            before = np.full(len(self.hashes), _BEGIN)
-            has = np.flatnonzero(place >= back)
-            before[has] = self.hashes[has - back]
-            with np.errstate(over="ignore"):
-                out = mix(out * np.uint64(0xD1342543DE82EF95) + before)
+        self.train = rows.column("train").to_numpy(zero_copy_only=False).astype(bool)
+        self.keys, _, self.which = distinct(self.hashes)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """How often each distinct token occurs in training documents, and in the others."""
+        every = np.bincount(self.which, minlength=len(self.keys))
+        train = np.bincount(self.which, weights=self.train[self.document], minlength=len(self.keys))
+        return train.astype(np.uint32), (every - train).astype(np.uint32)
+
+    def before(self, numbers: np.ndarray, back: int) -> np.ndarray:
+        """The number of the word ``back`` places before each token."""
+        out = np.full(len(numbers), _BEGIN, np.int64)
+        has = np.flatnonzero(np.arange(len(numbers)) - self.first[self.document] >= back)
+        out[has] = numbers[has - back]
         return out
 
-    def counted(self, keys: np.ndarray):
-        """Distinct keys, which of them each token has, an example token and the training count of each."""
-        distinct, example, which = np.unique(keys, return_index=True, return_inverse=True)
-        return distinct, which, example, np.bincount(which, weights=self.train, minlength=len(distinct)).astype(np.uint32)
-
-    def ngrams(self, order: int):
-        with np.errstate(over="ignore"):
-            return self.counted(mix(self.context(order) * np.uint64(0xA3B195354A39B70D) + self.hashes))
-
-
-def _added(keys: np.ndarray, counts: np.ndarray):
-    """Distinct keys, which of them each entry has, and the sum of counts of each."""
-    distinct, which = np.unique(keys, return_inverse=True)
-    return distinct, which, np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.int64)
-
 
 def _histogram(totals: np.ndarray) -> np.ndarray:
     """How many totals are 0, 1, .. CUTOFF + 1."""
@@ -133,127 +118,118 @@ def _split(flat: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(sizes)[:-1])
 
 
-# ---- unigrams ------------------------------------------------------------------
+# ---- words ---------------------------------------------------------------------
 
 
 def _ask_words(parts: int):
     def ask(rows, _):
         tokens = Tokens(rows)
-        keys, _, _, counts = tokens.counted(tokens.hashes)
-        cut = B.cuts_of(keys, parts)
-        return [B.pack_arrays(B.gaps(keys[a:b]), counts[a:b]) for a, b in zip(cut, cut[1:])]
+        train, other = tokens.counts()
+        cut = B.cuts_of(tokens.keys, parts)
+        return [B.pack_arrays(B.gaps(tokens.keys[a:b]), train[a:b], other[a:b]) for a, b in zip(cut, cut[1:])]
 
     return ask
 
 
-def _reply_words(payloads):
+def _added_words(payloads):
+    """A part's words by falling count, their counts in training and in all; which of them each asked word is."""
     asked = [B.unpack_arrays(p) for p in payloads]
-    keys = [B.ungap(k) for k, _ in asked]
-    _, which, totals = _added(np.concatenate(keys), np.concatenate([c for _, c in asked]))
-    head = np.concatenate([[totals.sum(), (totals > 0).sum()], _histogram(totals)]).astype(np.int64)
-    found = totals.astype(np.uint32)[which]
-    return [B.pack_arrays(head, x) for x in _split(found, [len(k) for k in keys])]
-
-
-@dataclass
-class Unigrams:
-    """What a block knows of single tokens: counts of its tokens, and of all training tokens."""
-
-    counts: np.ndarray
-    total: int
-    distinct: int
-    probability: np.ndarray
-
-
-def _unigrams(tokens: Tokens, replies: list[bytes]) -> Unigrams:
-    keys, which, _, _ = tokens.counted(tokens.hashes)
-    parts = [B.unpack_arrays(r) for r in replies]
-    found = np.concatenate([c for _, c in parts]).astype(np.int64)
-    if len(found) != len(keys):
-        raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
-    head = sum(h for h, _ in parts)
-    total, distinct, n = int(head[0]), int(head[1]), head[2:]
+    keys = [B.ungap(a[0]) for a in asked]
+    found, _, which = distinct(np.concatenate(keys))
+    train, other = (np.bincount(which, weights=np.concatenate([a[i] for a in asked]), minlength=len(found)).astype(np.int64) for i in (1, 2))
+    order = np.argsort(-train, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found[order], train[order], (train + other)[order], rank[which], [len(k) for k in keys]
+
+
+def _reply_words(payloads):
+    _, train, every, which, sizes = _added_words(payloads)
+    head = np.array([train.sum(), (train > 0).sum(), *_histogram(train), every.sum()], np.int64)
+    named = np.argsort(-every, kind="stable")[:_NAMED]
+    counts = _split(train[which].astype(np.uint32), sizes)
+    return [B.pack_arrays(head, named, every[named], r.astype(np.uint32), c) for r, c in zip(_split(which, sizes), counts)]
+
+
+class Words:
+    """What a block knows of its tokens: each one's number and training count, and which numbers are common."""
+
+    def __init__(self, tokens: Tokens, replies: list[bytes]):
+        answers = [B.unpack_arrays(r) for r in replies]
+        parts, sizes = len(answers), [len(a[3]) for a in answers]
+        if sum(sizes) != len(tokens.keys):
+            raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
+        self.head = sum(a[0] for a in answers)
+        home = np.repeat(np.arange(parts), sizes)
+        self.numbers = _number(np.concatenate([a[3] for a in answers]), home, parts)[tokens.which]
+        self.counts = np.concatenate([a[4] for a in answers])[tokens.which].astype(np.int64)
+        named = np.concatenate([_number(a[1], p, parts) for p, a in enumerate(answers)])
+        often = np.concatenate([a[2] for a in answers]) * 2 * parts > self.head[-1]
+        self.common = np.append(named[often], _BEGIN)
+
+
+def _number(rank: np.ndarray, home, parts: int) -> np.ndarray:
+    """The number of a word from its place in its part."""
+    return rank.astype(np.int64) * parts + home + 1
+
+
+def _single(head: np.ndarray):
+    """The probability of a single token, as a function of its training count, from the sums over all parts."""
+    total, words, n = int(head[0]), int(head[1]), head[2:-1]
     d = discounts(n)
     r = np.arange(CUTOFF + 1)
     left = float(((1 - d) * r * n[: CUTOFF + 1]).sum() / total) if total else 1.0
-    unknown = max(left, 0.5 / (total + 0.5 * (distinct + 1)))
-    counts = found[which]
+    unknown = max(left, 0.5 / (total + 0.5 * (words + 1)))
     scale = (1 - unknown) / (1 - left) / total if left < 1 else 0.0
-    return Unigrams(counts, total, distinct, np.where(counts > 0, discounted(counts, d) * scale, unknown))
-
-
-# ---- higher orders -------------------------------------------------------------
-
-
-def _key_bits(docs: DataFrame) -> int:
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return min(64, max(1, size // 4).bit_length() + _SPARE_BITS)
-
-
-def _ask_frequent(order: int, parts: int, bits: int, min_count: int):
-    """Which n-grams occur ``min_count`` times or more?"""
-
-    def ask(rows, _):
-        keys, _, _, counts = Tokens(rows).ngrams(order)
-        keys >>= np.uint64(64 - bits)
-        cut = B.cuts_of(keys, parts, bits)
-        small = np.minimum(counts, min_count).astype(np.min_scalar_type(min_count))
-        return [B.pack_arrays(B.gaps(keys[a:b]), small[a:b]) for a, b in zip(cut, cut[1:])]
-
-    return ask
-
-
-def _reply_frequent(min_count: int):
-    def reply(payloads):
-        asked = [B.unpack_arrays(p) for p in payloads]
-        keys = [B.ungap(k) for k, _ in asked]
-        _, which, totals = _added(np.concatenate(keys), np.concatenate([c for _, c in asked]))
-        head = np.array([(totals == r).sum() for r in range(1, min_count)], np.int64)
-        found = (totals >= min_count)[which]
-        return [B.pack_arrays(head, np.array([len(x)]), B.bits_of(x)) for x in _split(found, [len(k) for k in keys])]
-
-    return reply
+    return lambda counts: np.where(counts > 0, discounted(counts, d) * scale, unknown)
 
 
-def _frequent(earlier: dict[int, list[bytes]], order: int, n: int, min_count: int):
-    """Which of a block's ``n`` n-grams it sends, and how many rarer ones of the corpus were counted 1, 2, .. times."""
-    if min_count == 1:
-        return np.ones(n, bool), np.zeros(0, np.int64)
-    parts = [B.unpack_arrays(r) for r in earlier[_rounds(order)[0]]]
-    flags = np.concatenate([B.flags_of(bits, int(size[0])) for _, size, bits in parts])
-    if len(flags) != n:
-        raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
-    return flags, sum(h for h, _, _ in parts)
+# ---- tokens with their contexts --------------------------------------------------
 
 
-def _rounds(order: int) -> tuple[int, int]:
-    return 2 * order - 2, 2 * order - 1
+def _base(rows: pa.Table, tokens: Tokens, words: Words) -> list[np.ndarray]:
+    """The columns of a block's result that single tokens give."""
+    total, distinct_words = int(words.head[0]), int(words.head[1])
+    logs = np.log10((words.counts + 0.5) / (total + 0.5 * (distinct_words + 1)))
+    doc_id = rows.column("doc_id").cast(pa.int64()).combine_chunks()
+    return [
+        rows.column("row_id").to_numpy().astype(np.int64),
+        doc_id.fill_null(0).to_numpy(zero_copy_only=False),
+        doc_id.is_null().to_numpy(zero_copy_only=False),
+        np.diff(tokens.first),
+        np.bincount(tokens.document, weights=words.counts > 0, minlength=len(tokens.first) - 1).astype(np.int64),
+        np.full(rows.num_rows, total),
+        np.add.reduceat(logs, tokens.first[:-1]),
+    ]
 
 
-def _ask_contexts(order: int, parts: int, min_count: int):
-    """Counts of the n-grams found frequent enough, by context."""
+def _ask_tokens(order: int, parts: int):
+    """Every token once, in the order of the texts, to the part of the word before it."""
 
     def ask(rows, earlier):
         tokens = Tokens(rows)
-        lower = probability(tokens, earlier, order - 1, min_count)
-        keys, _, example, counts = tokens.ngrams(order)
-        flags, _ = _frequent(earlier, order, len(keys), min_count)
-        contexts, of_token, _, seen = tokens.counted(tokens.context(order))
-        chosen = np.flatnonzero(flags)
-        owner = of_token[example[chosen]]
-        by_context = np.argsort(owner, kind="stable")
-        chosen, owner = chosen[by_context], owner[by_context]
-        at = example[chosen]
-        cut = B.cuts_of(contexts, parts)
-        inner = np.searchsorted(owner, cut)
+        words = Words(tokens, earlier[_WORDS])
+        last, *further = (tokens.before(words.numbers, back) for back in range(1, order))
+        common = np.isin(last, words.common)
+        part, code = (last - 1) % parts, (last - 1) // parts * 2
+        dealt = (further[0] if further else words.numbers)[common].astype(np.uint64)
+        with np.errstate(over="ignore"):
+            part[common] = (mix(mix(last[common].astype(np.uint64)) + dealt) % np.uint64(parts)).astype(np.int64)
+        code[common] = last[common] * 2 + 1
+        base = _base(rows, tokens, words)
+        base_part = int(base[0][0]) % parts
+        by_part = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[by_part], np.arange(parts + 1))
         out = []
-        for a, b, i, j in zip(cut, cut[1:], inner, inner[1:]):
-            own = (owner[i:j] - a).astype(np.uint32)
-            word = _short(tokens.hashes[at[i:j]])
-            values, which = np.unique(lower[at[i:j]], return_inverse=True)  # few differ
+        for p, (a, b) in enumerate(zip(cut, cut[1:])):
+            at = by_part[a:b]
+            per_document = np.bincount(tokens.document[at], minlength=rows.num_rows).astype(np.uint32)
+            number = words.numbers[at]
+            _, example = np.unique(number, return_index=True)
             out.append(
                 B.pack_arrays(
-                    B.gaps(contexts[a:b]), seen[a:b], B.gaps(own), word, counts[chosen[i:j]], values, which.astype(np.uint32)
+                    words.head, B.bits_of(tokens.train), per_document, code[at], number, words.counts[at][example],
+                    *(x[at] for x in further), *(base if p == base_part else ()),
                 )
             )
         return out
@@ -261,57 +237,101 @@ def _ask_contexts(order: int, parts: int, min_count: int):
     return ask
 
 
-def _short(words: np.ndarray) -> np.ndarray:
-    """The leading 48 bits of hashes; the packed array's two empty planes cost nothing."""
-    return words >> _WORD_SHIFT
+class Part:
+    """All tokens of a part: numbers and counts of their words, and their contexts' words, the last first."""
 
+    def __init__(self, messages: pa.Table, order: int, parts: int):
+        messages = messages.sort_by("block")
+        self.blocks = messages.column("block").to_pylist()
+        part = messages.column("part")[0].as_py()
+        asked = [B.unpack_arrays(p) for p in messages.column("payload").to_pylist()]
+        self.single = _single(asked[0][0])
+        self.head = asked[0][0]
+        self.sizes = [len(a[2]) for a in asked]
+        train = np.concatenate([B.flags_of(a[1], len(a[2])) for a in asked])
+        self.document = np.repeat(np.arange(len(train)), np.concatenate([a[2] for a in asked]))
+        self.train = train[self.document].astype(np.float64)
+        code = np.concatenate([a[3] for a in asked])
+        self.common = (code & 1).astype(bool)
+        last = np.where(self.common, code >> 1, (code >> 1) * parts + part + 1)
+        self.number = np.concatenate([a[4] for a in asked])
+        counts = [a[5][np.unique(a[4], return_inverse=True)[1]] for a in asked]
+        self.counts = np.concatenate(counts)
+        self.history = [last] + [np.concatenate([a[6 + k] for a in asked]) for k in range(order - 2)]
+        self.base = [a[6 + order - 2 :] for a in asked]
+        self._numbers = 1 + max(int(x.max(initial=0)) for x in (self.number, *self.history))
+        self.contexts = np.zeros(len(self.number), np.int64)
+        self._further = iter(self.history)
+
+    def next_order(self):
+        """Goes on to contexts of one more word: their number, and an example, each token's and the training count of n-grams."""
+        found, _, self.contexts = distinct(self.contexts * self._numbers + next(self._further))
+        _, example, which = distinct(self.contexts * self._numbers + self.number)
+        return len(found), example, which, np.bincount(which, weights=self.train, minlength=len(example)).astype(np.int64)
+
+    def bigrams_after_common(self, example: np.ndarray, parts: int):
+        """Which bigrams other parts may have too, by home, pair; their words; where each home's begin."""
+        chosen = np.flatnonzero(self.common[example])
+        last, number = self.history[0][example[chosen]], self.number[example[chosen]]
+        with np.errstate(over="ignore"):
+            home = mix(mix(last.astype(np.uint64)) ^ number.astype(np.uint64)) % np.uint64(parts)
+        order = np.lexsort((number, last, home))
+        return chosen[order], last[order], number[order], np.searchsorted(home[order], np.arange(parts + 1, dtype=np.uint64))
 
-def _merged(payloads, min_count: int):
-    """A part of the model: contexts, their totals, their n-grams' words and totals, and sums per context."""
-    asked = [B.unpack_arrays(p) for p in payloads]
-    keys = [B.ungap(a[0]) for a in asked]
-    contexts, which, seen = _added(np.concatenate(keys), np.concatenate([a[1] for a in asked]))
-    base = np.cumsum([0, *(len(k) for k in keys)])[:-1]
-    owner = np.concatenate([which[B.ungap(a[2]).astype(np.int64) + o] if len(a[2]) else np.zeros(0, np.int64) for a, o in zip(asked, base)])
-    word = np.concatenate([a[3] for a in asked])
-    order = np.lexsort((word, owner))
-    new = np.ones(len(order), bool)
-    new[1:] = (owner[order][1:] != owner[order][:-1]) | (word[order][1:] != word[order][:-1])
-    which_ngram = np.empty(len(order), np.int64)
-    which_ngram[order] = np.cumsum(new) - 1
-    counts = np.concatenate([a[4] for a in asked])
-    totals = np.bincount(which_ngram, weights=counts, minlength=int(new.sum())).astype(np.int64)
-    first = order[new]
-    of, words, lower = owner[first], word[first], np.concatenate([a[5][a[6]] for a in asked])[first]
+
+def _sums(of: np.ndarray, totals: np.ndarray, lower: np.ndarray, n: int, min_count: int) -> list[np.ndarray]:
+    """Sums over the n-grams of each of ``n`` contexts: kept ones by count, and counts and lower-order probabilities."""
     kept = totals >= min_count
-    n = len(contexts)
     by_count = [np.bincount(of[kept & (totals == r)], minlength=n) for r in range(1, CUTOFF + 1)]
     large = kept & (totals > CUTOFF)
-    above = np.bincount(of[large], weights=totals[large], minlength=n)
-    below = np.bincount(of[kept], weights=lower[kept], minlength=n)
-    sums = [*(x.astype(np.uint32) for x in by_count), above.astype(np.uint32), below]
-    sizes = [len(k) for k in keys], [len(a[3]) for a in asked]
-    return (contexts, seen, of, words, totals), (which, which_ngram, sums, sizes)
+    seen = np.bincount(of, weights=totals, minlength=n).astype(np.int64)
+    above = np.bincount(of[large], weights=totals[large], minlength=n).astype(np.int64)
+    return [seen, *by_count, above, np.bincount(of[kept], weights=lower[kept], minlength=n)]
 
 
-def _reply_contexts(min_count: int):
-    def reply(payloads):
-        (_, seen, _, _, totals), (which, which_ngram, sums, (n_contexts, n_ngrams)) = _merged(payloads, min_count)
-        head = _histogram(totals).astype(np.int64)
-        per_context = [_split(x[which], n_contexts) for x in (seen.astype(np.uint32), *sums)]
-        per_ngram = _split(totals.astype(np.uint32)[which_ngram], n_ngrams)
-        return [B.pack_arrays(head, *(x[i] for x in per_context), per_ngram[i]) for i in range(len(payloads))]
+def _ask_common(order: int, parts: int):
+    """A part's bigrams after common words, to the homes of the pairs, and its counts of counts of all others."""
 
-    return reply
+    def of_part(key, messages):
+        part, number = Part(messages, order, parts), key[0].as_py()
+        heads = np.zeros((order - 1, CUTOFF + 2), np.int64)
+        out = []
+        for k in range(order - 1):
+            _, example, _, totals = part.next_order()
+            if k == 0:
+                chosen, last, word, cut = part.bigrams_after_common(example, parts)
+                shared = totals[chosen].astype(np.uint32), part.counts[example[chosen]].astype(np.uint32)
+                totals = totals[~part.common[example]]
+            heads[k] = _histogram(totals)
+        for home, (a, b) in enumerate(zip(cut, cut[1:])):
+            own = heads if home == number else np.zeros_like(heads)
+            out.append(B.pack_arrays(part.head, own.reshape(-1), B.gaps(last[a:b]), B.gaps(word[a:b]), *(x[a:b] for x in shared)))
+        return B.answer_table(number, _COMMON, list(range(parts)), out)
+
+    return of_part
+
+
+def _added_bigrams(payloads):
+    """A home's bigrams: the common words, which of them each bigram is after, an example, its total, and each asked one's number."""
+    asked = [B.unpack_arrays(p) for p in payloads]
+    last, word = (np.concatenate([B.ungap(a[i]) for a in asked]) for i in (2, 3))
+    common, _, after = distinct(last)
+    _, example, which = distinct(after * (1 + int(word.max(initial=0))) + word)
+    totals = np.bincount(which, weights=np.concatenate([a[4] for a in asked]), minlength=len(example)).astype(np.int64)
+    return asked, common, after[example], word[example], totals, example, which
 
 
-def _model_part(payloads, min_count: int) -> bytes:
-    """The part's table: contexts, their totals, and n-grams as (context number, word, count)."""
-    (contexts, seen, of, words, totals), _ = _merged(payloads, min_count)
-    kept = totals >= min_count
-    return B.pack_arrays(
-        B.gaps(contexts), seen.astype(np.uint32), B.gaps(of[kept].astype(np.uint32)), words[kept], totals[kept].astype(np.uint32)
-    )
+def _reply_common(min_count: int):
+    def reply(payloads):
+        asked, common, after, _, totals, example, which = _added_bigrams(payloads)
+        heads = sum(a[1] for a in asked)
+        heads[: CUTOFF + 2] += _histogram(totals)
+        lower = _single(asked[0][0])(np.concatenate([a[5] for a in asked])[example].astype(np.int64))
+        sums = _sums(after, totals, lower, len(common), min_count)
+        found = _split(totals[which].astype(np.uint32), [len(a[4]) for a in asked])
+        return [B.pack_arrays(heads, common, *sums, x) for x in found]
+
+    return reply
 
 
 def backoff(seen, by_count, above, below, d):
@@ -326,105 +346,137 @@ def backoff(seen, by_count, above, below, d):
     return np.where(some, left / (1 - below), 1.0), factor
 
 
-def probability(tokens: Tokens, earlier: dict[int, list[bytes]], order: int, min_count: int) -> np.ndarray:
-    """The model's probability of each token, from the answers up to this order."""
-    if order == 1:
-        return _unigrams(tokens, earlier[1]).probability
-    lower = probability(tokens, earlier, order - 1, min_count)
-    keys, which, example, _ = tokens.ngrams(order)
-    flags, rare = _frequent(earlier, order, len(keys), min_count)
-    contexts, of_token, _, _ = tokens.counted(tokens.context(order))
-    parts = [B.unpack_arrays(r) for r in earlier[_rounds(order)[1]]]
-    n = sum(p[0] for p in parts)
-    n[1 : len(rare) + 1] += rare[: CUTOFF + 1]
-    d = discounts(n)
-    seen, *sums = (np.concatenate([p[i] for p in parts]) for i in range(1, CUTOFF + 4))
-    if len(seen) != len(contexts):
-        raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
-    alpha, factor = backoff(seen.astype(np.int64), sums[:CUTOFF], sums[CUTOFF], sums[CUTOFF + 1], d)
-    # The n-grams' totals came in the order of their contexts.
-    chosen = np.flatnonzero(flags)
-    chosen = chosen[np.argsort(of_token[example[chosen]], kind="stable")]
-    totals = np.zeros(len(keys), np.int64)
-    totals[chosen] = np.concatenate([p[-1] for p in parts])
-    count = totals[which]
-    own = np.divide(
-        discounted(count, d) * factor[of_token], seen[of_token], out=np.zeros(len(count)), where=seen[of_token] > 0
-    )
-    return np.where(count >= min_count, own, alpha[of_token] * lower)
+def _evaluated(part: Part, replies: list[bytes], order: int, parts: int, min_count: int) -> np.ndarray:
+    """The model's probability of each token of a part."""
+    answers = [B.unpack_arrays(r) for r in replies]
+    heads = sum(a[0] for a in answers).reshape(-1, CUTOFF + 2)
+    probability = part.single(part.counts)
+    for k in range(order - 1):
+        n, example, which, totals = part.next_order()
+        sums = _sums(part.contexts[example], totals, probability[example], n, min_count)
+        if k == 0:
+            chosen, _, _, cut = part.bigrams_after_common(example, parts)
+            if [len(a[-1]) for a in answers] != np.diff(cut).tolist():
+                raise RuntimeError("the documents of a block changed between two rounds; write them to a table first")
+            totals[chosen] = np.concatenate([a[-1] for a in answers])
+            # sums over all bigrams after common words, from all homes
+            after = np.zeros(n, np.int64)
+            after[part.contexts] = part.history[0]
+            is_common = np.zeros(n, bool)
+            is_common[part.contexts] = part.common
+            for i, own in enumerate(sums, 2):
+                own[is_common] = 0
+            for a in answers:
+                at = np.searchsorted(after, a[1])  # contexts are numbered by their word here
+                here = at < n
+                here[here] = after[at[here]] == a[1][here]
+                for i, own in enumerate(sums, 2):
+                    own[at[here]] += a[i][here]
+        seen, *by_count, above, below = sums
+        d = discounts(heads[k])
+        alpha, factor = backoff(seen, by_count, above, below, d)
+        of, count = part.contexts, totals[which]
+        own = np.divide(discounted(count, d) * factor[of], seen[of], out=np.zeros(len(count)), where=seen[of] > 0)
+        probability = np.where(count >= min_count, own, alpha[of] * probability)
+    return probability
+
+
+def _score_part(order: int, parts: int, min_count: int):
+    """The sums of each block's documents over the tokens of a part, and the block's other columns where they came along."""
+
+    def of_part(key, messages, replies):
+        part = Part(messages, max(order, 2), parts)
+        logs = np.log10(_evaluated(part, B.by_round(replies)[_COMMON], order, parts, min_count))
+        sums = _split(np.bincount(part.document, weights=logs, minlength=sum(part.sizes)), part.sizes)
+        payloads = [B.pack_arrays(x, *base) for x, base in zip(sums, part.base)]
+        return B.answer_table(pa.array(part.blocks, pa.int32()), _SCORES, [key[0].as_py()] * len(payloads), payloads)
+
+    return of_part
+
+
+def _whole(rows):
+    """A block's result from the parts' sums."""
+    score, base = 0.0, None
+    for payload in rows.sort_by("part").column("payload").to_pylist():
+        sums, *more = B.unpack_arrays(payload)
+        score, base = score + sums, more or base
+    row_id, doc_id, without, *columns = base
+    names = ["row_id", "doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return pa.table([pa.array(row_id), pa.array(doc_id, mask=without), *(pa.array(x) for x in (*columns, score))], names=names)
 
 
 # ---- fitting and scoring -------------------------------------------------------
 
+_WORDS, _TOKENS, _COMMON, _SCORES = 1, 2, 3, 4
 
-def _answers(dealt: DataFrame, order: int, layout: B.Layout, bits: int, min_count: int) -> tuple[DataFrame, list[DataFrame]]:
-    parts = layout.parts
-    answers = B.answered(B.questions(dealt, 1, _ask_words(parts)), _reply_words, layout)
-    asked = []
-    for k in range(2, order + 1):
-        first, second = _rounds(k)
-        if min_count > 1:
-            frequent = B.answered(B.questions(dealt, first, _ask_frequent(k, parts, bits, min_count)), _reply_frequent(min_count), layout)
-            answers = answers.unionByName(frequent)
-        counts = B.questions(dealt, second, _ask_contexts(k, parts, min_count), answers)
-        asked.append(counts)
-        answers = answers.unionByName(B.answered(counts, _reply_contexts(min_count), layout))
-    return answers, asked
 
+def _layout(docs: DataFrame) -> B.Layout:
+    """More and smaller parts than usual, as a part sorts all its tokens, and two blocks per part."""
+    layout = B.layout_of(docs)
+    parts = layout.parts * 3 // 2
+    return B.Layout(2 * parts, parts, layout.size)
 
-def _score(order: int, min_count: int):
-    def use(rows: pa.Table, earlier) -> pa.Table:
-        tokens = Tokens(rows)
-        one = _unigrams(tokens, earlier[1])
-        logs = np.log10(probability(tokens, earlier, order, min_count))
-        base = np.log10((one.counts + 0.5) / (one.total + 0.5 * (one.distinct + 1)))
-        first = tokens.first[:-1]
-        n = len(first)
-        return pa.table(
-            {
-                "row_id": rows.column("row_id"),
-                "doc_id": rows.column("doc_id").cast(pa.int64()),
-                "n_tokens": pa.array(np.diff(tokens.first), pa.int64()),
-                "n_known": pa.array(np.bincount(tokens.document, weights=one.counts > 0, minlength=n).astype(np.int64)),
-                "train_tokens": pa.array(np.full(n, one.total), pa.int64()),
-                "base_score": pa.array(np.add.reduceat(base, first)),
-                "score": pa.array(np.add.reduceat(logs, first)),
-            }
-        )
-
-    return use
 
+def _asked(docs: DataFrame, order: int, layout: B.Layout) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The blocks' words, their tokens by part, and the parts' bigrams after common words."""
+    dealt = B.deal(docs, layout, "doc_id", "text", "train")
+    words = B.questions(dealt, _WORDS, _ask_words(layout.parts))
+    numbered = B.answered(words, _reply_words, layout)
+    tokens = B.questions(dealt, _TOKENS, _ask_tokens(order, layout.parts), numbered).repartition(layout.parts, "part")
+    return words, tokens, tokens.groupBy("part").applyInArrow(_ask_common(order, layout.parts), B.ANSWER)
 
-def score_documents(docs: DataFrame, order: int = ORDER, train: str = "train", min_count: int = MIN_COUNT) -> DataFrame:
-    """Scores of all rows of ``docs(doc_id, text, train)``; the model is learned from the rows with ``train``.
 
-    """
+def score_documents(docs: DataFrame, order: int = ORDER, train: str = "train", min_count: int = MIN_COUNT) -> DataFrame:
+    """Scores of all rows of ``docs(doc_id, text, train)``; the model is learned from the rows with ``train``."""
     docs = as_table(docs)
-    layout = B.layout_of(docs)
-    dealt = B.deal(docs.withColumnRenamed(train, "train"), layout, "doc_id", "text", "train")
-    answers, _ = _answers(dealt, order, layout, _key_bits(docs) if min_count > 1 else 64, min_count)
-    return B.finish(dealt, answers, SCORES, _score(order, min_count))
+    layout = _layout(docs)
+    _, tokens, common = _asked(docs.withColumnRenamed(train, "train"), max(order, 2), layout)
+    replies = B.answered(common, _reply_common(min_count), layout)
+    scored = tokens.groupBy("part").cogroup(replies.groupBy("block")).applyInArrow(_score_part(order, layout.parts, min_count), B.ANSWER)
+    return scored.groupBy("block").applyInArrow(_whole, SCORES)
 
 
 def write_model(docs: DataFrame, path: str | None = None, order: int = ORDER, min_count: int = MIN_COUNT) -> str:
-    """Writes the model of ``docs(text, train)`` as a table ``order, part, payload`` partitioned by order.
+    """Writes the model of ``docs(text, train)`` as a table ``part, payload, order`` partitioned by order.
 
-    A part has its contexts, sorted, their training counts, and their n-grams.
+    It has the n-grams that are kept: a column of numbers for each word of the context, the last first,
+    the words' numbers and the counts.  A second table, ``<path>_words``, has of each part the words'
+    hashes and training counts; a word's number is its place there times the parts, plus the part, plus 1.
     """
     spark: SparkSession = docs.sparkSession
-    docs = as_table(docs)
-    layout = B.layout_of(docs)
-    dealt = B.deal(docs, layout, "text", "train")
-    _, asked = _answers(dealt, order, layout, _key_bits(docs) if min_count > 1 else 64, min_count)
+    docs = as_table(docs).withColumn("doc_id", F.lit(0))
+    layout = _layout(docs)
+    words, tokens, common = _asked(docs, max(order, 2), layout)
     path = path or scratch_path(spark, "katz")
 
-    def part_of(key, rows):
-        payload = _model_part(rows.sort_by("block").column("payload").to_pylist(), min_count)
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "payload": pa.array([payload], pa.binary())})
-
-    for k, counts in enumerate(asked, 2):
-        table = counts.groupBy("part").applyInArrow(part_of, "part int, payload binary")
-        table.withColumn("order", F.lit(k)).write.mode("append").partitionBy("order").parquet(path)
+    def table(key, tables):
+        rows = [{"part": key[0].as_py(), "payload": B.pack_arrays(*arrays), "order": k} for k, arrays in tables.items()]
+        return pa.Table.from_pylist(rows, pa.schema([("part", pa.int32()), ("payload", pa.binary()), ("order", pa.int32())]))
+
+    def of_words(key, rows):
+        hashes, counts, *_ = _added_words(rows.sort_by("block").column("payload").to_pylist())
+        return table(key, {1: [hashes, counts]})
+
+    def of_tokens(key, messages):
+        part, out = Part(messages, max(order, 2), layout.parts), {}
+        for k in range(order - 1):
+            _, example, _, totals = part.next_order()
+            kept = totals >= min_count
+            if k == 0:
+                kept &= ~part.common[example]
+            at = example[kept]
+            out[k + 2] = [*(x[at] for x in part.history[: k + 1]), part.number[at], totals[kept]]
+        return table(key, out)
+
+    def of_common(key, rows):
+        _, common, after, word, totals, _, _ = _added_bigrams(rows.sort_by("block").column("payload").to_pylist())
+        kept = totals >= min_count
+        return table(key, {2: [common[after[kept]], word[kept], totals[kept]]} if order > 1 else {})
+
+    tables = "part int, payload binary, order int"
+    words.groupBy("part").applyInArrow(of_words, tables).write.parquet(f"{path}_words")
+    for asked, of in ((tokens, of_tokens), (common, of_common)):
+        asked.groupBy("part").applyInArrow(of, tables).write.mode("append").partitionBy("order").parquet(path)
     return path
 
 

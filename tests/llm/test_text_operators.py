@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adevents.llm import contamination, jaccard_join, katz, substring_dedup
+from adevents.llm import blocks, contamination, jaccard_join, katz, substring_dedup
 from adevents.llm.common import remainder_of
 from adevents.llm.words import ALNUM, Texts
 
@@ -180,6 +180,40 @@ def test_katz_query_scores_trigrams_with_all_counted_ngrams(docs, pairs):
         assert sum(prob(context, w) for w in words) + prob(context, "\0") == pytest.approx(1)
 
 
+def zipf_texts(seed, n_docs, n_words, vocabulary=20_000):
+    rng = np.random.default_rng(seed)
+    words = (vocabulary ** rng.random((n_docs, n_words))).astype(int)
+    return [" ".join(f"w{w}" for w in row) for row in words]
+
+
+def test_katz_sends_every_token_once(spark, tmp_path, monkeypatch):
+    """All messages between blocks and parts, in bytes for each token (24 when every order's n-grams were sent)."""
+    texts = zipf_texts(5, 300, 400)
+    rows = written(spark, [(i, t, True) for i, t in enumerate(texts)], "doc_id long, text string, train boolean", tmp_path / "docs")
+    sent = []
+
+    def noting(made):
+        return lambda *a, **k: sent.append(made(*a, **k)) or sent[-1]
+
+    monkeypatch.setattr(blocks, "questions", noting(blocks.questions))
+    monkeypatch.setattr(blocks, "answered", noting(blocks.answered))
+    katz.score_documents(rows, 3, min_count=1)
+    size = sum(x.agg(F.sum(F.length("payload"))).first()[0] for x in sent)
+    assert size < 15 * 300 * 401
+
+
+def test_katz_words_that_are_most_of_a_corpus(spark, tmp_path):
+    """Tokens after common words are dealt by more than that word; contexts and counts are still whole."""
+    texts = ["the " + t.replace(" ", " the ").replace("w1 ", "of ") for t in zipf_texts(6, 60, 50, 100)] + ["the the the " * 40] * 20
+    pairs = [(i, t) for i, t in enumerate(texts)]
+    rows = written(spark, pairs, "doc_id long, text string", tmp_path / "docs")
+    rows = rows.withColumn("train", remainder_of(F.col("doc_id")) != 1)
+    for order, min_count in ((2, 1), (3, 1), (4, 2)):
+        want = {r[0]: r[-1] for r in brute.katz(pairs, order, min_count)[0]}
+        got = {r.doc_id: r.score for r in katz.score_documents(rows, order, min_count=min_count).collect()}
+        assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_katz_sums_to_one_and_beats_the_base(pairs):
     rows, prob, words = brute.katz(pairs)
     for context in [("<s>",), ("tha",), ("ha",), ("never",)]:
