@@ -24,7 +24,7 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 1024
-LANES = 4096
+LANES = 8192
 MAX_ID = (1 << 16) - 1
 
 _ONE_BITS = 12

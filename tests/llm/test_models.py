@@ -326,3 +326,20 @@ def test_chunks_are_few_when_most_are_common(monkeypatch):
         assert tokens.encode(pa.array([" a b c d"]), path)[0].tolist() == tokens.load(path).encode(" a b c d", add_special_tokens=False).ids
         tokens.encode(pa.array([" e f"]), path)
         assert len(tokens._MEMORY[path].keys) <= 6
+
+
+def test_a_large_vocabulary_is_encoded_once(monkeypatch):
+    asked = []
+
+    def one_id_each(data, start, end, path):
+        asked.append(len(start))
+        return np.arange(len(start)), np.ones(len(start), np.int64), (start % 50_000).astype(np.uint16)
+
+    monkeypatch.setattr(tokens, "_MEMORY", {})
+    monkeypatch.setattr(tokens, "_encode_chunks", one_id_each)
+    texts = [" ".join(f"x{i:06d}" for i in range(a, a + 100_000)) for a in range(0, 600_000, 100_000)]
+    first = [tokens.encode(pa.array([t]), tokens.tokenizer_path())[0] for t in texts]
+    assert sum(asked) == 600_000
+    again = [tokens.encode(pa.array([t]), tokens.tokenizer_path())[0] for t in texts]
+    assert sum(asked) == 600_000
+    assert all((a == b).all() for a, b in zip(first, again))

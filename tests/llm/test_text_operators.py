@@ -187,7 +187,7 @@ def zipf_texts(seed, n_docs, n_words, vocabulary=20_000):
 
 
 def test_katz_sends_every_token_once(spark, tmp_path, monkeypatch):
-    """All messages between blocks and parts, in bytes for each token (24 when every order's n-grams were sent)."""
+    """All messages between blocks and parts, in bytes for each token (36 when the n-grams of every order were sent)."""
     texts = zipf_texts(5, 300, 400)
     rows = written(spark, [(i, t, True) for i, t in enumerate(texts)], "doc_id long, text string, train boolean", tmp_path / "docs")
     sent = []
