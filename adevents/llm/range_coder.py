@@ -29,14 +29,15 @@ MAX_ID = (1 << 16) - 1
 
 _ONE_BITS = 12
 _ONE = 1 << _ONE_BITS
-_ORDER_1 = 10  # log2 of a lane's table of order-1 predictions
-_ORDER_2 = 10
+_ORDER = 10  # log2 of a lane's table of predictions of one order
+_GAIN = np.int32(_ONE - 15)  # so shares come up to _ONE - 15, and down to 15
+_HIT = np.int32(MAX_ID + 1)  # in order 0: what order 1 or 2 has named
 _ALL_BITS = 18
 _ALL = 1 << _ALL_BITS
 _WORD = np.uint64(1 << 32)
 _LOW = np.uint64((1 << 32) - 1)
 _32 = np.uint64(32)
-_CHECK = 32  # ids between two looks at the room for words
+_AT_ONCE = 64  # blocks copied at once into or out of the lanes
 
 
 class Shares:
@@ -52,14 +53,16 @@ class Shares:
     def _set(self, size: np.ndarray) -> None:
         self.size = size.astype(np.uint32)
         self.start = (np.cumsum(size) - size).astype(np.uint32)
-        self.ids = np.repeat(np.arange(len(size), dtype=np.int32), size)  # the id of every unit
-        # start and size in one word, so that looking both up is one access
-        self.both = (self.start.astype(np.uint64) << _32) | self.size
+        self.ids = np.repeat(np.arange(len(size), dtype=np.uint16), size)  # the id of every unit
+        # start and size in one word, so that looking both up is one access; hits of orders 1 and 2 take the whole
+        self.both = np.append((self.start.astype(np.uint64) << _32) | self.size, np.uint64(1))
 
     def find(self, ids: np.ndarray):
-        """Start and size of the ids' shares."""
+        """Start and size of the ids' shares (of ``_HIT``: 0 and 1)."""
         both = self.both.take(ids)
-        return both >> _32, both & _LOW
+        start = both >> _32
+        both &= _LOW
+        return start, both
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Shares:
@@ -96,70 +99,92 @@ class _Models:
     """The models of ``lanes`` blocks, all at the same place.
 
     An entry of the prediction tables is an id and, in its lowest two bits, its
-    confidence (0: nothing predicted).  Most predictions fail on ordinary text,
-    so the steps below do for all lanes what a miss needs, and then put right
-    the lanes with a hit.
+    confidence (all zero: nothing predicted); arrays have a row for order 1 and
+    one for order 2.  The shares of orders 2 and 1 are one word (zero for what
+    isn't asked), and all lanes' words of a state lie together.  As hits can't be
+    foreseen, every lane takes the same steps, with factors 0 and 1 for what is a
+    hit or a miss.
     """
 
     def __init__(self, lanes: int):
-        lane = np.arange(lanes)
-        self.base1, self.base_state = (lane << _ORDER_1).astype(np.uint32), (lane << 5).astype(np.int32)
-        self.base2 = (lane << _ORDER_2).astype(np.uint32)
-        self.table1 = np.zeros(lanes << _ORDER_1, np.int32)
-        self.table2 = np.zeros(lanes << _ORDER_2, np.int32)
-        self.share2 = np.tile(np.linspace(200, 3400, 4).astype(np.int32).repeat(8), lanes)
-        self.share1 = np.tile(np.tile(np.linspace(100, 2400, 4).astype(np.int32).repeat(2), 4), lanes)
+        self.lanes, self.lane = np.int32(lanes), np.arange(lanes, dtype=np.int32)
+        first = self.lane.astype(np.uint32) << np.uint32(_ORDER + 1)
+        self.base = np.stack([first, first + np.uint32(1 << _ORDER)])
+        self.table = np.zeros(lanes << (_ORDER + 1), np.int32)
+        share2, share1 = np.linspace(200, 3400, 4).astype(np.int32), np.linspace(100, 2400, 4).astype(np.int32)
+        share2[0] = share1[0] = 0
+        asked1 = share1[:, None] * np.array([1, 0], np.int32)  # not where both orders name one id
+        self.shares = np.repeat(((share2[:, None, None] << 16) | asked1).ravel(), lanes)
         self.before = np.zeros(lanes, np.uint32)
         self.last = np.zeros(lanes, np.uint32)
 
     def predict(self, n: int) -> None:
         """Predictions and shares for the first ``n`` lanes."""
-        key = self.last[:n] * np.uint32(40503)  # only its low bits count
-        self.at1 = (((key >> np.uint32(5)) & np.uint32((1 << _ORDER_1) - 1)) + self.base1[:n]).astype(np.int64)
-        key += self.before[:n] * np.uint32(31153)
-        self.at2 = (((key >> np.uint32(6)) & np.uint32((1 << _ORDER_2) - 1)) + self.base2[:n]).astype(np.int64)
-        self.e1, self.e2 = self.table1.take(self.at1), self.table2.take(self.at2)
-        self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
-        self.c1, self.c2 = self.e1 & 3, self.e2 & 3
-        self.has2 = self.c2 > 0
-        agree = (self.p1 == self.p2) & self.has2
-        self.has1 = (self.c1 > 0) & ~agree
-        self.asked1 = self.has1.view(np.int8).astype(np.int32)
-        state = (self.c2 << 3) + (self.c1 << 1)
-        state += agree.view(np.int8).astype(np.int32)
-        state += self.base_state[:n]
+        key = np.empty((2, n), np.uint32)  # only the low bits of these count
+        np.multiply(self.last[:n], np.uint32(40503), out=key[0])
+        np.multiply(self.before[:n], np.uint32(31153), out=key[1])
+        key[1] += key[0]
+        key[0] >>= np.uint32(5)
+        key[1] >>= np.uint32(6)
+        key &= np.uint32((1 << _ORDER) - 1)
+        key += self.base[:, :n]
+        self.at = key.astype(np.int64)
+        self.e = self.table.take(self.at)
+        self.c = self.e & 3
+        c1, c2 = self.c
+        self.named = self.c > 0
+        state = c2 << 2
+        state += c1
+        state <<= 1
+        state += ((self.e[0] ^ self.e[1]) < 4) & self.named[1]
+        state *= self.lanes
+        state += self.lane[:n]
         self.state = state.astype(np.int64)
-        self.s2, self.s1 = self.share2.take(self.state), self.share1.take(self.state)
-        self.f2 = self.s2 * self.has2.view(np.int8).astype(np.int32)
-        self.f1 = np.maximum(((_ONE - self.f2) * self.s1) >> _ONE_BITS, 1) * self.asked1
-
-    def learn(self, n: int, ids: np.ndarray, hits2: np.ndarray, hits1: np.ndarray) -> None:
-        s = self.s2 - (self.s2 >> 4)
-        s[hits2] = self.s2[hits2] + ((_ONE - self.s2[hits2]) >> 4)
-        self.share2[self.state] = s
-        s = self.s1 - (self.s1 >> 4) * self.asked1
-        s[hits1] = self.s1[hits1] + ((_ONE - self.s1[hits1]) >> 4)
-        s[hits2] = self.s1[hits2]  # order 1 wasn't asked
-        self.share1[self.state] = s
-        fresh = (ids << 2) | 1
-        for table, at, e, p, c in ((self.table1, self.at1, self.e1, self.p1, self.c1), (self.table2, self.at2, self.e2, self.p2, self.c2)):
-            right = p == ids
-            stays = np.flatnonzero(right | (c > 1))
-            new = fresh.copy()
-            new[stays] = e.take(stays) + np.where(right.take(stays), c.take(stays) < 3, -1)
-            table[at] = new
+        self.s1 = self.shares.take(self.state)
+        self.f2 = self.s1 >> 16
+        self.s1 &= 0xFFFF
+        self.f1 = _ONE - self.f2
+        self.f1 *= self.s1
+        self.f1 >>= _ONE_BITS
+        np.maximum(self.f1, self.s1 > 0, out=self.f1)
+        self.f21 = self.f2 + self.f1
+
+    def learn(self, n: int, ids: np.ndarray, fresh: np.ndarray, right: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """Takes in the ids; ``fresh`` are their entries, ``right`` says which predictions name them."""
+        s1 = hit1 * _GAIN
+        s1 += 15
+        s1 -= self.s1
+        s1 >>= 4
+        s1 *= ~hit2  # order 1 wasn't asked
+        s1 += self.s1
+        s2 = hit2 * _GAIN
+        s2 += 15
+        s2 -= self.f2
+        s2 >>= 4
+        s2 += self.f2
+        s2 <<= 16
+        s2 |= s1
+        self.shares[self.state] = s2
+        new = self.e + right  # a step up or down, with 3 the highest
+        new += right & (self.c < 3)
+        new -= 1
+        new -= fresh
+        new *= (self.c > 1) | right
+        new += fresh
+        self.table[self.at.ravel()] = new.ravel()
         self.before[:n] = self.last[:n]
         self.last[:n] = ids
 
-    def shares_of(self, hits2: np.ndarray, hits1: np.ndarray):
-        """Start and size of the share of each lane's case: order 2, order 1, or neither."""
-        start = self.f2 + self.f1
-        size = _ONE - start
-        start[hits1] = self.f2[hits1]
-        size[hits1] = self.f1[hits1]
-        start[hits2] = 0
-        size[hits2] = self.f2[hits2]
-        return start.astype(np.uint64), size.astype(np.uint64)
+    def shares_of(self, hit2: np.ndarray, hit1: np.ndarray):
+        """Start and size of the share of each lane's case (order 2, order 1, or neither), and which is neither."""
+        miss = ~(hit2 | hit1)
+        start = self.f2 * ~hit2
+        start += self.f1 * miss
+        size = _ONE - self.f21
+        size *= miss
+        size += self.f1 * hit1
+        size += self.f2 * hit2
+        return start.astype(np.uint64), size.astype(np.uint64), miss
 
 
 def _widths(lengths: np.ndarray):
@@ -167,6 +192,17 @@ def _widths(lengths: np.ndarray):
     return np.searchsorted(-lengths, -np.arange(1, (lengths[0] if len(lengths) else 0) + 1), "right").tolist()
 
 
+def _narrow(lo: np.ndarray, sp: np.ndarray):
+    """Lanes whose interval is narrower than a word, and their low ends; these move up by one word."""
+    k = (sp < _WORD).nonzero()[0]
+    a, s = lo.take(k), sp.take(k)
+    apart = (a ^ (a + s)) >= _WORD
+    np.copyto(s, (~a + np.uint64(1)) & _LOW, where=apart)
+    lo[k] = a << _32
+    sp[k] = s << _32
+    return k, a
+
+
 def encode_blocks(blocks: list[np.ndarray], shares: Shares | None = None) -> list[bytes]:
     """The code of each block of ids (at most ``MAX_ID``; not empty). ``shares`` must have all of them."""
     shares = shares or _BY_RANK
@@ -174,49 +210,48 @@ def encode_blocks(blocks: list[np.ndarray], shares: Shares | None = None) -> lis
     lengths = np.array([len(blocks[i]) for i in order], np.int64)
     lanes = len(blocks)
     ids = np.zeros((lengths[0] if lanes else 0, lanes), np.uint16)
-    for lane, i in enumerate(order):
-        ids[: lengths[lane], lane] = blocks[i]
+    for a in range(0, lanes, _AT_ONCE):
+        some = [blocks[i] for i in order[a : a + _AT_ONCE]]
+        if len(some[0]) == len(some[-1]):
+            ids[: len(some[0]), a : a + len(some)] = np.stack(some, axis=1)
+        else:
+            for lane, block in enumerate(some, a):
+                ids[: len(block), lane] = block
     m = _Models(lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    out = np.zeros((lanes, len(ids) // 2 + 2 * _CHECK), "<u4")
-    used = np.zeros(lanes, np.int64)
-
-    def shift(lo: np.ndarray, sp: np.ndarray) -> None:
-        k = np.flatnonzero(sp < _WORD)
-        if len(k):
-            a, s = lo[k], sp[k]
-            apart = ((a ^ (a + s)) >> _32) != 0
-            s = np.where(apart, (~a + np.uint64(1)) & _LOW, s)
-            out[k, used[k]] = (a >> _32).astype(np.uint32)
-            used[k] += 1
-            lo[k] = a << _32
-            sp[k] = s << _32
+    words, of_lane = [], []  # as they leave
 
     with np.errstate(over="ignore"):
         for t, n in enumerate(_widths(lengths)):
-            if t % _CHECK == 0 and used.max() + 2 * _CHECK > out.shape[1]:  # an id takes one word at most
-                out = np.pad(out, ((0, 0), (0, out.shape[1] // 2 + 2 * _CHECK)))
             x, lo, sp = ids[t, :n].astype(np.int32), low[:n], span[:n]
             m.predict(n)
-            hits2 = np.flatnonzero((m.p2 == x) & m.has2)
-            hits1 = np.flatnonzero((m.p1 == x) & m.has1)  # has1 rules out that order 2 named it too
-            hits = np.concatenate([hits2, hits1])
-            start, size = m.shares_of(hits2, hits1)
+            fresh = (x << 2) | 1
+            right = (m.e ^ fresh) < 4
+            hit1, hit2 = right & m.named
+            hit1 = hit1 > hit2  # order 1 isn't asked if order 2 names the same id
+            start, size, miss = m.shares_of(hit2, hit1)
             r = sp >> np.uint64(_ONE_BITS)
-            lo += start * r
-            np.multiply(size, r, out=sp)
-            start, size = shares.find(x)
-            r = sp >> np.uint64(_ALL_BITS)
-            start[hits], r[hits], size[hits] = 0, sp[hits], 1
-            lo += start * r
-            np.multiply(size, r, out=sp)
-            shift(lo, sp)
-            m.learn(n, x, hits2, hits1)
+            start *= r
+            lo += start
+            size *= r
+            start, r = shares.find(np.maximum(x, ~miss * _HIT))
+            size >>= miss * np.uint64(_ALL_BITS)
+            start *= size
+            lo += start
+            np.multiply(r, size, out=sp)
+            k, a = _narrow(lo, sp)
+            words.append((a >> _32).astype("<u4"))
+            of_lane.append(k.astype(np.min_scalar_type(lanes)))
+            m.learn(n, x, fresh, right, hit2, hit1)
         last = (low + _LOW) >> _32  # the one value of the interval that ends in 32 zero bits
-        out[np.arange(lanes), used] = last.astype(np.uint32)
+    words.append(last.astype("<u4"))
+    of_lane.append(np.arange(lanes, dtype=np.min_scalar_type(lanes)))
+    of_lane = np.concatenate(of_lane)
+    out = np.concatenate(words)[np.argsort(of_lane, kind="stable")].tobytes()
+    upto = 4 * np.cumsum(np.bincount(of_lane, minlength=lanes))
     codes: list[bytes] = [b""] * lanes
-    for lane, i in enumerate(order):
-        codes[i] = out[lane, : used[lane] + 1].tobytes()
+    for i, a, b in zip(order.tolist(), [0, *upto.tolist()], upto.tolist()):
+        codes[i] = out[a:b]
     return codes
 
 
@@ -227,55 +262,48 @@ def decode_blocks(codes: list[bytes], sizes: list[int], shares: Shares | None =
     order = np.argsort(-sizes_, kind="stable")
     lengths = sizes_[order]
     lanes = len(codes)
-    width = max((len(c) // 4 for c in codes), default=0) + 4
-    words = np.zeros((lanes, width), "<u4")
-    for lane, i in enumerate(order):
-        words[lane, : len(codes[i]) // 4] = np.frombuffer(codes[i], "<u4")
+    # A code ends in 32 zero bits, which aren't written.
+    words = np.frombuffer(bytes(4).join([*(codes[i] for i in order), b""]), "<u4")
+    upto = np.cumsum([0, *(len(codes[i]) // 4 + 1 for i in order)])
+    at, end = upto[:-1] + 2, len(words) - 1
     ids = np.zeros((lengths[0] if lanes else 0, lanes), np.uint16)
     m = _Models(lanes)
     # ``gap`` is the code minus the interval's low end.
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    gap = (words[:, 0].astype(np.uint64) << _32) | words[:, 1] if lanes else np.zeros(0, np.uint64)
-    used = np.full(lanes, 2, np.int64)
-
-    def shift(lo: np.ndarray, sp: np.ndarray, g: np.ndarray) -> None:
-        k = np.flatnonzero(sp < _WORD)
-        if len(k):
-            a, s = lo[k], sp[k]
-            apart = ((a ^ (a + s)) >> _32) != 0
-            s = np.where(apart, (~a + np.uint64(1)) & _LOW, s)
-            g[k] = (g[k] << _32) | words[k, np.minimum(used[k], width - 1)]
-            used[k] += 1
-            lo[k] = a << _32
-            sp[k] = s << _32
-
-    def take(lo: np.ndarray, g: np.ndarray, by: np.ndarray) -> None:
-        lo += by
-        g -= by
+    gap = (words[at - 2].astype(np.uint64) << _32) | words[at - 1]
 
     with np.errstate(over="ignore"):
         for t, n in enumerate(_widths(lengths)):
             lo, sp, g = low[:n], span[:n], gap[:n]
             m.predict(n)
             r = sp >> np.uint64(_ONE_BITS)
-            v = np.minimum(g // r, np.uint64(_ONE - 1)).astype(np.int32)
-            hits = np.flatnonzero(v < m.f2 + m.f1)
-            by2 = v[hits] < m.f2[hits]
-            hits2, hits1 = hits[by2], hits[~by2]
-            start, size = m.shares_of(hits2, hits1)
-            take(lo, g, start * r)
-            np.multiply(size, r, out=sp)
-            r = sp >> np.uint64(_ALL_BITS)
-            x = shares.ids.take(np.minimum(g // r, np.uint64(_ALL - 1)).view(np.int64))
-            start, size = shares.find(x)
-            start[hits], r[hits], size[hits] = 0, sp[hits], 1
-            x[hits2], x[hits1] = m.p2[hits2], m.p1[hits1]
-            take(lo, g, start * r)
-            np.multiply(size, r, out=sp)
-            shift(lo, sp, g)
+            hit2 = g < m.f2.astype(np.uint64) * r
+            hit1 = (g < m.f21.astype(np.uint64) * r) > hit2
+            start, size, miss = m.shares_of(hit2, hit1)
+            start *= r
+            lo += start
+            g -= start
+            size *= r
+            size >>= miss * np.uint64(_ALL_BITS)
+            x = shares.ids.take(np.minimum(g // size, np.uint64(_ALL - 1)).view(np.int64)).astype(np.int32)
+            start, r = shares.find(np.maximum(x, ~miss * _HIT))
+            start *= size
+            lo += start
+            g -= start
+            np.multiply(r, size, out=sp)
+            k, _ = _narrow(lo, sp)
+            next_ = at.take(k)
+            g[k] = (g.take(k) << _32) | words.take(np.minimum(next_, end))
+            next_ += 1
+            at[k] = next_
+            x *= miss
+            x += (m.e[0] >> 2) * hit1
+            x += (m.e[1] >> 2) * hit2
             ids[t, :n] = x
-            m.learn(n, x, hits2, hits1)
+            fresh = (x << 2) | 1
+            m.learn(n, x, fresh, (m.e ^ fresh) < 4, hit2, hit1)
     out: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
-    for lane, i in enumerate(order):
-        out[i] = ids[: lengths[lane], lane].copy()
+    for a in range(0, lanes, _AT_ONCE):
+        for lane, block in enumerate(ids[:, a : a + _AT_ONCE].T.copy(), a):
+            out[order[lane]] = block[: lengths[lane]]
     return out

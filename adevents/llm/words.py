@@ -39,6 +39,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of texts (null: empty), and each text's first byte (with one more entry at the end)."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+        if isinstance(column, pa.ChunkedArray):  # no chunks
+            column = pa.array([], pa.large_string())
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    n = len(column)
+    bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1] if n else np.zeros(1, np.int64)
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[bounds[0] : bounds[-1]] if n and raw else np.zeros(0, np.uint8)
+    return data, bounds - bounds[0]
+
+
 class Texts:
     """A column of texts (null: empty) as bytes and as hashed words.
 
@@ -47,16 +61,7 @@ class Texts:
     """
 
     def __init__(self, column: pa.Array | pa.ChunkedArray, word_bytes: np.ndarray = NOT_SPACE, lower: bool = False):
-        if isinstance(column, pa.ChunkedArray):
-            column = column.combine_chunks()
-            if isinstance(column, pa.ChunkedArray):  # no chunks
-                column = pa.array([], pa.large_string())
-        column = column.cast(pa.large_binary()).fill_null(b"")
-        n = len(column)
-        bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1] if n else np.zeros(1, np.int64)
-        raw = column.buffers()[2]
-        data = np.frombuffer(raw, np.uint8)[bounds[0] : bounds[-1]] if n and raw else np.zeros(0, np.uint8)
-        self.offsets = bounds - bounds[0]
+        data, self.offsets = column_bytes(column)
         self.data = LOWER[data] if lower else data
         self._find(word_bytes[data])
 

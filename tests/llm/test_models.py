@@ -58,6 +58,19 @@ def test_shares_of_every_id_and_of_one():
         assert all((a == b).all() for a, b in zip(back, blocks))
 
 
+def test_blocks_of_many_lengths_and_of_one_id_over_and_over():
+    rng = np.random.default_rng(2)
+    blocks = [np.full(n, i, np.uint16) for n, i in ((1024, 0), (1, range_coder.MAX_ID), (700, range_coder.MAX_ID), (3, 0))]
+    blocks += [rng.integers(0, range_coder.MAX_ID + 1, n).astype(np.uint16) for n in rng.integers(1, 1024, 40).tolist()]
+    blocks += [np.tile(rng.integers(0, 9, 2), 300).astype(np.uint16) for _ in range(40)]
+    shares = range_coder.Shares.of(np.concatenate(blocks))
+    codes = range_coder.encode_blocks(blocks, shares)
+    back = range_coder.decode_blocks(codes, [len(b) for b in blocks], shares)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(back, blocks))
+    assert len(codes[0]) < 100  # each id costs a small part of a bit
+    assert range_coder.encode_blocks([]) == range_coder.decode_blocks([], []) == []
+
+
 TRICKY = ["", "a", " a", "a ", "  a  b\n\n c", "x\u00a0 y", "x\u00a0\ny", "\u3000 \u3000a", "don't  stop", "é\u2003 ß", "a<|endoftext|> b <|endoftext|>", "\x1c \x85 z", "日本 語\t\t"]
 
 
@@ -76,6 +89,55 @@ def test_chunked_tokens_of_random_space(text):
     assert tokens.encode(pa.array([text]), path)[0].tolist() == tokens.load(path).encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_letters_go_to_the_model_without_the_pattern(monkeypatch):
+    path = tokens.tokenizer_path()
+    letters = [chr(c) for c in range(0x21, 0x250)]
+    texts = [f"{a}b{x}y {x} ab{x}" for x in letters for a in ("", " ", "q")] + [" ".join(letters), "".join(letters)]
+    whole = [e.ids for e in tokens.load(path).encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(tokens, "_MEMORY", {})
+    ids, counts = tokens.encode(pa.array(texts), path)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == whole
+
+    class Pattern:
+        def __getattr__(self, name):
+            assert not name.startswith("encode")
+            return getattr(tok, name)
+
+    tok, words = tokens.load(path), " vorher ñandú über Łódź x"
+    want = tok.encode(words, add_special_tokens=False).ids
+    monkeypatch.setattr(tokens, "_MEMORY", {})
+    monkeypatch.setitem(tokens._TOKENIZERS, path, Pattern())
+    assert tokens.encode(pa.array([words]), path)[0].tolist() == want
+
+
+def test_other_tokenizers_and_letters_as_special_tokens_keep_the_pattern(tmp_path):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokens.tokenizer_path())
+    tok.add_special_tokens(["abc"])
+    tok.save(path := str(tmp_path / "special.json"))
+    assert tokens._of_words(tokens.tokenizer_path()) is not None and tokens._of_words(path) is None
+    texts = ["xabcy abc", " abc d"]
+    whole = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    ids, counts = tokens.encode(pa.array(texts), path)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == whole
+
+
+def test_chunks_are_found_when_slots_are_shared():
+    memory = tokens._Memory()
+    keys = np.arange(1, 4001, dtype=np.uint64) << np.uint64(3)  # few first slots
+    for a in range(0, 4000, 500):
+        n = np.arange(500)
+        data = np.full(500, a % 251, np.uint8)
+        memory.add(keys[a : a + 500], data, n, np.ones(500, np.int64), np.ones(500, np.int64), n.astype(np.uint16), n[::-1])
+        assert (memory.find(keys[: a + 500]) == np.arange(a + 500)).all()
+        assert (memory.find(keys[a + 500 :]) == -1).all() and (memory.find(keys + np.uint64(1)) == -1).all()
+    memory.again[::5] = True
+    memory.forget()
+    assert (memory.find(keys)[::5] == np.arange(800)).all() and (memory.find(keys) >= 0).sum() == 800
+    assert (memory.ids == np.tile(499 - np.arange(0, 500, 5), 8)).all()
+
+
 def test_joined_crc32():
     data = bytes(range(256)) * 5
     pieces = [data[:3], data[3:700], b"", data[700:]]
