@@ -21,6 +21,7 @@ answer and no shuffle is planned.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -149,6 +150,15 @@ def build_rollup(events: DataFrame, rollup: Rollup) -> DataFrame:
     return df.groupBy(*keys).agg(*aggs)
 
 
+def folder_name(small: bool) -> str:
+    """A new name for a folder of a rollup."""
+    return ("small-" if small else "") + uuid.uuid4().hex
+
+
+def _small(path: str) -> bool:
+    return path.rstrip("/").rsplit("/", 1)[-1].startswith("small-")
+
+
 def write_rollup(table: DataFrame, rollup: Rollup, path: str) -> str:
     """Write a rollup as Parquet, partitioned by its ``partition_by`` dims."""
     write_counted(table, rollup, path)
@@ -156,16 +166,22 @@ def write_rollup(table: DataFrame, rollup: Rollup, path: str) -> str:
 
 
 def write_counted(table: DataFrame, rollup: Rollup, path: str) -> int:
-    """:func:`write_rollup`; gives the rows, counted by the write itself."""
-    rows = Observation()
+    """:func:`write_rollup`; gives the rows, counted by the write itself.
+
+    A table of one task for a folder named by :func:`folder_name` as small becomes
+    one sorted file, which keeps the partition dims as columns.
+    """
+    rows, small = Observation(), _small(path)
     writer = table.observe(rows, F.count(F.lit(1)).alias("n"))
-    if rollup.partition_by:
+    order = list(rollup.cluster_by) or [d for d in rollup.dims if d not in rollup.partition_by]
+    if small:
+        writer = writer.sortWithinPartitions(*rollup.partition_by, *order)
+    elif rollup.partition_by:
         # One shuffle on the partition dims keeps files per directory few;
         # adaptive execution splits a skewed dim value over several tasks.
-        order = list(rollup.cluster_by) or [d for d in rollup.dims if d not in rollup.partition_by]
         writer = writer.hint("rebalance", *rollup.partition_by).sortWithinPartitions(*rollup.partition_by, *order)
     w = writer.write.mode("overwrite").option("compression", "zstd")
-    if rollup.partition_by:
+    if rollup.partition_by and not small:
         w = w.partitionBy(*rollup.partition_by)
     w.parquet(path)
     return int(rows.get["n"])
@@ -185,8 +201,12 @@ def read_snapshot(spark: SparkSession, rollup: Rollup, folders: Iterable[tuple[s
     """Lazy scan of a rollup's folders, each without the days that later folders replace (pruned partitions)."""
     schema = rollup_schema(spark, rollup)
     out = None
-    for path, without in folders:
-        df = spark.read.schema(schema).parquet(path).select(*rollup.dims, *rollup.stored)
+    scans: dict[tuple, list[str]] = {}
+    for path, without in folders:  # small ones have no partitions, so one scan reads many
+        without = tuple(without)
+        scans.setdefault(("small" if _small(path) else path, without), []).append(path)
+    for (_, without), paths in scans.items():
+        df = spark.read.schema(schema).parquet(*paths).select(*rollup.dims, *rollup.stored)
         known = [F.lit(d).cast("date") for d in without if d is not None]
         if known:
             df = df.where(F.col("day").isNull() | ~F.col("day").isin(*known))

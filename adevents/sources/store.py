@@ -13,6 +13,8 @@ into partition filters: only matching directories are listed and read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,10 +64,22 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(path).select(*EVENT_COLUMNS)
 
 
+def batch_folder(path: str, batch: int, small: bool) -> str:
+    """Where a batch of a store that is kept up batch by batch lies: small ones beside the store, in files of all types and days."""
+    return f"{path.rstrip('/')}{'.small' if small else ''}/batch={batch}"
+
+
 def read_batches(spark: SparkSession, path: str, last: int) -> DataFrame:
-    """Lazy scan of a store kept up batch by batch (``batch=/type=/day=``), up to the given batch, with ``batch``."""
+    """Lazy scan of a store kept up batch by batch, up to the given batch, with ``batch``.
+
+    Batches are ``batch=/type=/day=``, or ``batch=`` alone beside the store
+    (:func:`batch_folder`).
+    """
     schema = T.StructType([*EVENTS_SCHEMA.fields, T.StructField("batch", T.LongType())])
-    return spark.read.schema(schema).parquet(path).where(F.col("batch") <= last)
+    roots = [batch_folder(path, last, small).rsplit("/", 1)[0] for small in (False, True)]
+    found = [r for r in roots if manifest.subfolders(spark, r)] or roots[:1]
+    scans = [spark.read.schema(schema).parquet(r).where(F.col("batch") <= last).select(*schema.names) for r in found]
+    return reduce(DataFrame.unionByName, scans)
 
 
 def register_events(df: DataFrame, name: str = "events") -> DataFrame:

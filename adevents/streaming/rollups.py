@@ -6,6 +6,10 @@ commits both by one entry of the store's manifest: the last batch that counts,
 and the tables' folders.  Until that commit nobody reads any of it, so answers
 are those of the batches before, and an entry's tables always fit its events.
 
+A batch of ``SMALL_ROWS`` events at most would spend its time on the many tiny files
+of its types and days.  It is typed once, by all cores, and kept while a few sorted
+files of its events, and one of each table's rows, are written side by side.
+
 A table's folders hold partial rows that readers merge
 (:func:`adevents.operators.rollups.merge_rollup`).  Folders of about one size are
 merged into a new one as soon as there are ``MERGE_FOLDERS`` of them, so a table has
@@ -27,16 +31,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from adevents.functions.typing import type_events
-from adevents.operators.rollups import ROLLUPS, Rollup, merge_rollup, read_snapshot, write_counted
+from adevents.operators.rollups import ROLLUPS, Rollup, build_rollup, folder_name, merge_rollup, read_snapshot, write_counted
 from adevents.plans.prepare import PreparedStore, build_folders
-from adevents.schema import EVENT_COLUMNS, STORE_PARTITIONS
+from adevents.schema import EVENT_COLUMNS, RAW_COLUMNS, STORE_PARTITIONS
 from adevents.session import prepare_session
 from adevents.sources import manifest
-from adevents.sources.store import CLUSTER_COLUMNS, read_batches, read_store
+from adevents.sources.store import CLUSTER_COLUMNS, batch_folder, read_batches, read_store
 from adevents.streaming.ingest import stream_event_parts, stream_event_parts_by_name
 
 #: So many folders of about one size (a power of eight of rows) become one.
 MERGE_FOLDERS = 8
+#: A batch of so many events at most, and folders of a table with so many rows, aren't split by types and days.
+SMALL_ROWS = 8**6
+#: Events of a small batch per file, about.
+FILE_ROWS = 8**5
+#: So many tasks work on the rows of a part.
+PART_TASKS = 8
 
 
 def _size(folder: manifest.Folder) -> int:
@@ -51,11 +61,42 @@ def _merged(spark: SparkSession, prepared: PreparedStore, rollup: Rollup, folder
         if not full:
             return folders
         old = [f for f, s in zip(folders, sizes) if s == full[0]]
-        path = f"{prepared.rollup_path(rollup.name)}/{manifest.new_version()}"
-        rows = write_counted(merge_rollup(read_snapshot(spark, rollup, [(f.path, f.without) for f in old]), rollup), rollup, path)
+        small = not rollup.bucketed and sum(f.rows for f in old) <= SMALL_ROWS
+        path = f"{prepared.rollup_path(rollup.name)}/{folder_name(small)}"
+        partial = read_snapshot(spark, rollup, [(f.path, f.without) for f in old])
+        rows = write_counted(merge_rollup(partial.coalesce(1) if small else partial, rollup), rollup, path)
         folders = [f for f in folders if f not in old] + [manifest.Folder(path, rows)]
 
 
+def _write_batch(prepared: PreparedStore, events: DataFrame, batch: int, rollups) -> dict[str, list[manifest.Folder]]:
+    """Writes a batch's events and their partial rows of the summary tables; gives the tables' new folders."""
+    spark = events.sparkSession
+    events = events.select(*EVENT_COLUMNS).persist()
+    try:
+        rows = events.count()
+        small = rows <= SMALL_ROWS
+        folder = batch_folder(prepared.events_path, batch, small)
+        manifest.delete(spark, batch_folder(prepared.events_path, batch, not small))  # of a delivery that broke off
+        if not small:
+            laid_out = events.hint("rebalance", *STORE_PARTITIONS).sortWithinPartitions(*STORE_PARTITIONS, *CLUSTER_COLUMNS)
+            laid_out.write.mode("overwrite").partitionBy(*STORE_PARTITIONS).option("compression", "zstd").parquet(folder)
+            return build_folders(spark, prepared, read_store(spark, folder), rollups, None, {})
+
+        def build(rollup: Rollup) -> tuple[str, list[manifest.Folder]]:
+            small = not rollup.bucketed  # a row of a bucketed table may be large
+            path = f"{prepared.rollup_path(rollup.name)}/{folder_name(small)}"
+            rows = write_counted(build_rollup(events.coalesce(1) if small else events, rollup), rollup, path)
+            return rollup.name, [manifest.Folder(path, rows)]
+
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            built = pool.map(build, rollups)
+            laid_out = events.coalesce(rows // FILE_ROWS + 1).sortWithinPartitions(*STORE_PARTITIONS, *CLUSTER_COLUMNS)
+            laid_out.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+            return dict(built)
+    finally:
+        events.unpersist()
+
+
 def append_batch(prepared: PreparedStore, events: DataFrame, batch: int, rollups=ROLLUPS) -> bool:
     """Adds a batch of typed events to the store and its summary tables; gives False if it was there already."""
     spark = events.sparkSession
@@ -64,13 +105,10 @@ def append_batch(prepared: PreparedStore, events: DataFrame, batch: int, rollups
         raise ValueError(f"the store at {prepared.events_path} isn't kept up batch by batch")
     if base is not None and batch <= base.batch:
         return False
-    folder = f"{prepared.events_path}/batch={batch}"
-    laid_out = events.select(*EVENT_COLUMNS).hint("rebalance", *STORE_PARTITIONS).sortWithinPartitions(*STORE_PARTITIONS, *CLUSTER_COLUMNS)
-    laid_out.write.mode("overwrite").partitionBy(*STORE_PARTITIONS).option("compression", "zstd").parquet(folder)
     listed = dict(base.rollups) if base is not None else {}
     known = [r for r in rollups if base is None or r.name in listed]
-    folders = build_folders(spark, prepared, read_store(spark, folder), known, None, {})
-    with ThreadPoolExecutor(max_workers=3) as pool:
+    folders = _write_batch(prepared, events, batch, known)
+    with ThreadPoolExecutor(max_workers=4) as pool:
         merged = pool.map(lambda r: _merged(spark, prepared, r, [*listed.get(r.name, ()), *folders[r.name]]), known)
         tables = {r.name: f for r, f in zip(known, merged)}
     added = [r for r in rollups if r not in known]
@@ -81,6 +119,12 @@ def append_batch(prepared: PreparedStore, events: DataFrame, batch: int, rollups
     return True
 
 
+def _dealt(raw: DataFrame, max_files: int | None) -> DataFrame:
+    """The rows of small triggers over more cores: as text, before the work on them."""
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw if max_files is None or max_files >= cores else raw.repartition(min(cores, max_files * PART_TASKS), *RAW_COLUMNS)
+
+
 def keep_up(
     spark: SparkSession,
     folder: str,
@@ -96,7 +140,7 @@ def keep_up(
     prepare_session(spark)
     prepared = PreparedStore(root)
     source = stream_event_parts_by_name if by_name else stream_event_parts
-    typed = type_events(source(spark, folder, max_files), bad_price=bad_price)
+    typed = type_events(_dealt(source(spark, folder, max_files), max_files), bad_price=bad_price)
     writer = typed.writeStream.foreachBatch(lambda events, batch: append_batch(prepared, events, batch, rollups) and None)
     writer = writer.option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -224,3 +225,54 @@ def test_a_batch_reads_no_earlier_events(spark, scratch, monkeypatch):
         got = store.rollup(spark, r)
         assert got.dtypes == want.dtypes
         assert sorted(repr(six(x)) for x in got.collect()) == sorted(repr(six(x)) for x in want.collect())
+
+
+def _files(path):
+    return [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+
+
+def test_a_small_batch_writes_few_files(spark, scratch):
+    from adevents.streaming import rollups as S
+
+    folder, root = scratch + "/parts", scratch + "/root"
+    store = P.PreparedStore(root)
+    at = lambda d: int(dt.datetime(2024, 6, d, 10, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    rows = [(at(1 + i % 28), ["impression", "click", "purchase"][i % 3], float(i % 7)) for i in range(300)]
+    for n in range(3):
+        _part(spark, folder, n, rows + [("", "impression", 7.0)])
+    S.keep_up(spark, folder, root, max_files=1).awaitTermination()
+    store.sync(spark)
+    # a file or few per batch and table, not one for each type and day
+    assert len(_files(f"{root}/events") + _files(f"{root}/events.small")) <= 3 * 8
+    for r in ROLLUPS:
+        assert [len(_files(p)) for p in store.rollup_paths[r.name]] == [1] * 3
+        got = sorted(map(repr, store.rollup(spark, r).collect()))
+        assert got == sorted(map(repr, build_rollup(store.events(spark), r).select(*r.dims, *r.stored).collect()))
+    assert _answers(spark, store) == [(903, "counts"), (3 * (sum(i % 7 for i in range(0, 300, 3)) + 7.0), "daily_revenue")]
+
+
+def test_small_and_large_batches_make_one_store(spark, scratch, monkeypatch):
+    from adevents.operators.rollups import MERGEABLE
+    from adevents.streaming import rollups as S
+
+    tables, store = ROLLUPS + MERGEABLE, P.PreparedStore(scratch)
+    monkeypatch.setattr(S, "MERGE_FOLDERS", 3)
+    monkeypatch.setattr(S, "SMALL_ROWS", 4)
+    # a batch that was written as a small one broke off before its commit, and comes again with more events
+    monkeypatch.setattr(manifest, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        S.append_batch(store, _events(spark, [EVENT] * 2), 0, rollups=tables)
+    monkeypatch.undo()
+    monkeypatch.setattr(S, "MERGE_FOLDERS", 3)
+    monkeypatch.setattr(S, "SMALL_ROWS", 4)
+    sizes = [6, 2, 1, 0, 5, 3, 4, 9, 1]
+    for batch, n in enumerate(sizes):
+        rows = [EVENT, (None, "impression", 0.25), ("2024-06-02 10:00:00", "purchase", 0.5)]
+        assert S.append_batch(store, _events(spark, (rows * n)[:n]), batch, rollups=tables)
+    store.sync(spark)
+    events = store.events(spark)
+    assert events.count() == sum(sizes) and answer(spark, store, **COUNT)[0].collect()[0][0] == sum(sizes)
+    assert _files(f"{scratch}/events") and _files(f"{scratch}/events.small")
+    for r in tables:
+        want = build_rollup(events, r).select(*r.dims, *r.stored)
+        assert sorted(map(repr, store.rollup(spark, r).collect())) == sorted(map(repr, want.collect()))
